@@ -30,7 +30,11 @@ DEFAULT = SkewPolicy()
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> DataFrame | None:
-    """Heavy keys of ``df`` with their row counts in ``_rows``, or None when there are none."""
+    """Heavy keys of ``df`` with their row counts in ``_rows``, or None when there are none.
+
+    This runs a count over the key columns. Where ``df`` is costly to compute, callers measure
+    the cheaper rows it comes from.
+    """
     rows = df.select(*keys).count()
     limit = max(policy.floor, int(rows * policy.share))
     if rows <= limit:
@@ -49,14 +53,20 @@ def split_rows(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> tuple[Da
 
 
 def join_facts(
-    df: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "left", policy: SkewPolicy = DEFAULT
+    df: DataFrame,
+    facts: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    policy: SkewPolicy = DEFAULT,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``df`` to ``facts``, which has at most one row per key.
 
     Rows of heavy keys meet a broadcast of just those keys' facts, so they are never moved.
+    ``sized_by``: rows to measure keys on, when ``df`` itself is costly.
     """
     keys = list(keys)
-    heavy = heavy_keys(df, keys, policy)
+    heavy = heavy_keys(df if sized_by is None else sized_by, keys, policy)
     if heavy is None:
         return df.join(facts, keys, how)
     hot, cold = split_rows(df, keys, heavy)
@@ -74,11 +84,12 @@ def ordered_scan(
     previous: dict[str, Column] | None = None,
     ordinal: str | None = None,
     policy: SkewPolicy = DEFAULT,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add running columns over each key's rows in ascending ``order`` (a total order).
 
     ``sums``: total up to and including the row. ``latest``: last non-null value up to and
-    including the row. ``previous``: value on the row before.
+    including the row. ``previous``: last non-null value before the row.
 
     Heavy keys are cut into slices that follow the order, scanned slice by slice, and joined
     to what the earlier slices carry over. ``ordinal`` names an integer column that rises with
@@ -87,14 +98,15 @@ def ordered_scan(
     """
     keys, order = list(keys), list(order)
     sums, latest, previous = sums or {}, latest or {}, previous or {}
-    heavy = heavy_keys(df, keys, policy)
+    heavy = heavy_keys(df if sized_by is None else sized_by, keys, policy)
     if heavy is None:
         rows = Window.partitionBy(*keys).orderBy(*order)
         so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        earlier = rows.rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumns(
             {name: F.sum(value).over(so_far) for name, value in sums.items()}
             | {name: F.last(value, ignorenulls=True).over(so_far) for name, value in latest.items()}
-            | {name: F.lag(value).over(rows) for name, value in previous.items()}
+            | {name: F.last(value, ignorenulls=True).over(earlier) for name, value in previous.items()}
         )
 
     if ordinal is not None:
@@ -107,11 +119,11 @@ def ordered_scan(
 
     rows = Window.partitionBy(*keys, "_slice").orderBy(*order)
     so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = rows.rowsBetween(Window.unboundedPreceding, -1)
     within = marked.withColumns(
         {f"_in_{name}": F.sum(value).over(so_far) for name, value in sums.items()}
         | {f"_in_{name}": F.last(value, ignorenulls=True).over(so_far) for name, value in latest.items()}
-        | {f"_in_{name}": F.lag(value).over(rows) for name, value in previous.items()}
-        | {"_first": F.row_number().over(rows) == 1}
+        | {f"_in_{name}": F.last(value, ignorenulls=True).over(earlier) for name, value in previous.items()}
     )
 
     position = F.struct(*order)
@@ -119,13 +131,12 @@ def ordered_scan(
         marked.where("_heavy")
         .groupBy(*keys, "_slice")
         .agg(
-            F.count(F.lit(1)).alias("_n"),
+            F.count(F.lit(1)).alias("_rows"),
             *[F.sum(value).alias(f"_carry_{name}") for name, value in sums.items()],
             *[
                 F.max_by(value, F.when(value.isNotNull(), position)).alias(f"_carry_{name}")
-                for name, value in latest.items()
+                for name, value in (latest | previous).items()
             ],
-            *[F.max_by(value, position).alias(f"_carry_{name}") for name, value in previous.items()],
         )
     )
     slices = Window.partitionBy(*keys).orderBy("_slice")
@@ -134,8 +145,10 @@ def ordered_scan(
         *keys,
         "_slice",
         *[F.sum(f"_carry_{name}").over(before).alias(f"_carry_{name}") for name in sums],
-        *[F.last(f"_carry_{name}", ignorenulls=True).over(before).alias(f"_carry_{name}") for name in latest],
-        *[F.lag(f"_carry_{name}").over(slices).alias(f"_carry_{name}") for name in previous],
+        *[
+            F.last(f"_carry_{name}", ignorenulls=True).over(before).alias(f"_carry_{name}")
+            for name in latest | previous
+        ],
     )
 
     joined = within.join(carried, [*keys, "_slice"], "left")
@@ -146,10 +159,7 @@ def ordered_scan(
         )
         for name in sums
     }
-    carry |= {name: F.coalesce(f"_in_{name}", f"_carry_{name}") for name in latest}
-    carry |= {
-        name: F.when(F.col("_first"), F.col(f"_carry_{name}")).otherwise(F.col(f"_in_{name}")) for name in previous
-    }
+    carry |= {name: F.coalesce(f"_in_{name}", f"_carry_{name}") for name in latest | previous}
     return joined.select(*df.columns, *[value.alias(name) for name, value in carry.items()])
 
 

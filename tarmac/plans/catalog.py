@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.operators import allocation, bookings, demand, events, observability, seats
 from tarmac.operators import connections as ott
-from tarmac.operators import demand
-from tarmac.sources import tables
+from tarmac.operators import flights as registry
+from tarmac.sources import export, ingest, logs, tables
+from tarmac.sources import journal as event_log
+from tarmac.sources.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +24,18 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def journal_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flight journal, written once per application and then scanned."""
+    return stored(spark, sf_dir, "journal", lambda: built_journal(spark, sf_dir))
+
+
+def built_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = tables.read(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("flight_id"))
+    log = seats.seat_command_log(tables.commands(spark, sf_dir), sized_by=raw)
+    entities = raw.select(F.concat(F.lit("flight-"), F.col("flight_id")).alias("persistence_id"))
+    return event_log.new_events(events.facts_from_log(log), sized_by=entities)
+
+
 # --- connections ---------------------------------------------------------------------------
 
 
@@ -60,3 +75,347 @@ def od_demand_monthly(spark, sf_dir):
 @query
 def top_routes(spark, sf_dir):
     return demand.top_routes(tables.booking_requests(spark, sf_dir), 10)
+
+
+@query
+def flight_demand(spark, sf_dir):
+    return demand.flight_demand(_assigned(spark, sf_dir))
+
+
+# --- sources and sinks ---------------------------------------------------------------------
+
+
+@query
+def ingest_flights(spark, sf_dir):
+    parsed = ingest.parse_flight_requests(tables.flight_request_lines(spark, sf_dir))
+    flights = ingest.to_flights(ingest.accepted(parsed), F.col("flight_id"))
+    return ingest.flatten_flights(flights).withColumn(
+        "estimated_seconds",
+        F.timestamp_diff("SECOND", "scheduled_departure", "scheduled_arrival"),
+    )
+
+
+@query
+def validate_requests(spark, sf_dir):
+    parsed = ingest.parse_flight_requests(tables.flight_request_lines(spark, sf_dir))
+    return (
+        parsed.groupBy(F.coalesce("reason", F.lit("accepted")).alias("verdict"))
+        .agg(F.count(F.lit(1)).alias("requests"))
+    )
+
+
+@query
+def quarantine_requests(spark, sf_dir):
+    parsed = ingest.parse_flight_requests(tables.flight_request_lines(spark, sf_dir))
+    return ingest.quarantined(parsed).select("flight_id", "reason")
+
+
+@query
+def ingest_allocation_requests(spark, sf_dir):
+    parsed = ingest.parse_allocation_requests(tables.allocation_request_lines(spark, sf_dir))
+    return ingest.to_demands(ingest.accepted(parsed), F.col("allocation_id"))
+
+
+@query
+def journal_scan(spark, sf_dir):
+    return event_log.scan(journal_table(spark, sf_dir))
+
+
+@query
+def journal_entity_ids(spark, sf_dir):
+    return event_log.entity_ids(journal_table(spark, sf_dir))
+
+
+@query
+def journal_append(spark, sf_dir):
+    """Number the accepted events straight from the command stream."""
+    return built_journal(spark, sf_dir)
+
+
+@query
+def events_by_tag(spark, sf_dir):
+    journal = journal_table(spark, sf_dir)
+    return event_log.events_by_tag(journal, event_log.tag_events(journal), "seats").select(
+        "ordering", "persistence_id", "sequence_number", "event_type"
+    )
+
+
+@query
+def export_flights_json(spark, sf_dir):
+    return export.flight_documents(tables.flights_current(spark, sf_dir), tables.airports(spark, sf_dir))
+
+
+@query
+def export_allocation_results(spark, sf_dir):
+    demands, flights = tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir)
+    outcome = allocation.with_outcome(demands, flights).withColumn("position", F.col("request_id"))
+    given = allocation.allocate_greedy(demands, flights).withColumn("position", F.col("request_id"))
+    return export.allocation_documents(outcome, given)
+
+
+# --- flights -------------------------------------------------------------------------------
+
+
+@query
+def list_flights(spark, sf_dir):
+    return registry.list_flights(tables.flights_current(spark, sf_dir))
+
+
+@query
+def lookup_flights(spark, sf_dir):
+    return registry.lookup_flights(tables.registration_requests(spark, sf_dir), tables.flights_current(spark, sf_dir))
+
+
+@query
+def lookup_missing(spark, sf_dir):
+    return registry.missing_flights(tables.registration_requests(spark, sf_dir), tables.flights_current(spark, sf_dir))
+
+
+@query
+def flights_by_route(spark, sf_dir):
+    return registry.by_route(tables.flights_current(spark, sf_dir), "N03", "N09")
+
+
+@query
+def flights_by_status(spark, sf_dir):
+    return registry.by_status(tables.flights_current(spark, sf_dir), "Boarding")
+
+
+@query
+def flights_available(spark, sf_dir):
+    return registry.with_seats_left(tables.flights_current(spark, sf_dir), 50)
+
+
+@query
+def flight_capacity(spark, sf_dir):
+    return registry.capacity(tables.flights_current(spark, sf_dir), F.expr("cast(1 + flight_no % 60 as int)"))
+
+
+@query
+def route_capacity(spark, sf_dir):
+    return registry.capacity_by(tables.flights_current(spark, sf_dir), ["origin", "destination"])
+
+
+@query
+def status_capacity(spark, sf_dir):
+    return registry.capacity_by(tables.flights_current(spark, sf_dir), ["status"])
+
+
+@query
+def register_flights(spark, sf_dir):
+    return registry.register_flights(tables.registration_requests(spark, sf_dir), tables.flights(spark, sf_dir))
+
+
+@query
+def register_rejects(spark, sf_dir):
+    return registry.register_rejects(tables.registration_requests(spark, sf_dir), tables.flights(spark, sf_dir))
+
+
+@query
+def upsert_flights(spark, sf_dir):
+    return registry.upsert_flights(tables.flights(spark, sf_dir), tables.flight_changes(spark, sf_dir))
+
+
+# --- event sourcing ------------------------------------------------------------------------
+
+
+@query
+def create_outcomes(spark, sf_dir):
+    return events.create_outcomes(tables.create_commands(spark, sf_dir))
+
+
+@query
+def seat_command_log(spark, sf_dir):
+    return seats.seat_command_log(
+        tables.commands(spark, sf_dir).select("flight_id", "ordering", "command", "seats")
+    )
+
+
+@query
+def seat_commands_state(spark, sf_dir):
+    return seats.seat_state(
+        seats.seat_command_log(tables.commands(spark, sf_dir).select("flight_id", "ordering", "command", "seats"))
+    )
+
+
+@query
+def replay_flights(spark, sf_dir):
+    return events.replay(journal_table(spark, sf_dir))
+
+
+@query
+def recover_flights(spark, sf_dir):
+    journal = journal_table(spark, sf_dir)
+    return events.recovered(event_log.entity_ids(journal), events.replay(journal))
+
+
+@query
+def snapshots_keep2(spark, sf_dir):
+    return events.snapshots(journal_table(spark, sf_dir), interval=25, keep=2)
+
+
+@query
+def replay_from_snapshot(spark, sf_dir):
+    journal = journal_table(spark, sf_dir)
+    saved = stored(spark, sf_dir, "snapshots", lambda: events.snapshots(journal, interval=25, keep=2))
+    return events.replay_from_snapshots(journal, saved, interval=25)
+
+
+@query
+def flight_history(spark, sf_dir):
+    return event_log.history(journal_table(spark, sf_dir), "flight-7").select(
+        "ordering", "persistence_id", "sequence_number", "event_type", "event_ts", "seats", "remaining_seats", "new_status"
+    )
+
+
+@query
+def seat_mismatches(spark, sf_dir):
+    return events.seat_mismatches(journal_table(spark, sf_dir))
+
+
+@query
+def status_transitions(spark, sf_dir):
+    return events.status_transitions(journal_table(spark, sf_dir))
+
+
+@query
+def lifecycle_violations(spark, sf_dir):
+    return events.lifecycle_violations(events.status_transitions(journal_table(spark, sf_dir)))
+
+
+@query
+def cancelled_flights(spark, sf_dir):
+    return events.cancelled(events.replay(journal_table(spark, sf_dir)))
+
+
+@query
+def events_by_entity_type(spark, sf_dir):
+    return events.count_by_entity_type(_all_events(spark, sf_dir))
+
+
+@query
+def audit_trail(spark, sf_dir):
+    return events.audit_trail(*_families(spark, sf_dir)).select(
+        "event_ts", "persistence_id", "sequence_number", "event_type", "seats", "reason"
+    )
+
+
+def _families(spark, sf_dir):
+    return (
+        journal_table(spark, sf_dir),
+        bookings.booking_events(_assigned(spark, sf_dir)),
+        _run_events(spark, sf_dir),
+    )
+
+
+def _all_events(spark, sf_dir):
+    parts = [family.select("persistence_id") for family in _families(spark, sf_dir)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --- bookings ------------------------------------------------------------------------------
+
+
+def _assigned(spark, sf_dir):
+    return bookings.assign_flights(tables.booking_requests(spark, sf_dir), tables.flights(spark, sf_dir))
+
+
+@query
+def booking_state(spark, sf_dir):
+    return bookings.booking_state(bookings.booking_events(_assigned(spark, sf_dir)))
+
+
+@query
+def booking_details(spark, sf_dir):
+    states = bookings.booking_state(bookings.booking_events(_assigned(spark, sf_dir)))
+    return bookings.booking_details(states, tables.booking_requests(spark, sf_dir), tables.flights(spark, sf_dir))
+
+
+@query
+def seat_reconciliation(spark, sf_dir):
+    flights = tables.flights(spark, sf_dir)
+    return bookings.seat_reconciliation(
+        bookings.seat_effects(bookings.booking_events(_assigned(spark, sf_dir))),
+        allocation.allocate_greedy(tables.allocation_demands(spark, sf_dir), flights),
+        tables.flights_current(spark, sf_dir),
+    )
+
+
+# --- allocation ----------------------------------------------------------------------------
+
+
+@query
+def allocate_stub(spark, sf_dir):
+    return allocation.allocate_stub(tables.allocation_demands(spark, sf_dir))
+
+
+@query
+def demand_candidates(spark, sf_dir):
+    return allocation.demand_candidates(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir))
+
+
+@query
+def allocate_greedy(spark, sf_dir):
+    return allocation.allocate_greedy(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir)).select(
+        "allocation_id", "run_id", "request_id", "origin", "destination", "flight_id", "seats_allocated"
+    )
+
+
+@query
+def unallocated_demand(spark, sf_dir):
+    return allocation.unallocated(
+        allocation.with_outcome(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir))
+    )
+
+
+@query
+def run_summary(spark, sf_dir):
+    return allocation.run_summary(
+        allocation.with_outcome(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir))
+    )
+
+
+@query
+def allocation_events(spark, sf_dir):
+    return allocation.allocation_events(
+        allocation.allocate_greedy(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir))
+    )
+
+
+def _run_events(spark, sf_dir):
+    demands = tables.allocation_demands(spark, sf_dir)
+    return tables.run_events_from(demands, allocation.allocate_greedy(demands, tables.flights(spark, sf_dir)))
+
+
+@query
+def allocation_status(spark, sf_dir):
+    states = allocation.run_states(_run_events(spark, sf_dir))
+    return allocation.allocation_status(tables.status_requests(spark, sf_dir), states)
+
+
+@query
+def allocation_result(spark, sf_dir):
+    states = allocation.run_states(_run_events(spark, sf_dir))
+    summary = allocation.run_summary(
+        allocation.with_outcome(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir))
+    )
+    return allocation.allocation_result(tables.status_requests(spark, sf_dir), states, summary)
+
+
+# --- metrics and logs ----------------------------------------------------------------------
+
+
+@query
+def metrics_summary(spark, sf_dir):
+    listed = spark.createDataFrame([("click",), ("allocation",)], "operation string")
+    return observability.metrics_summary(tables.metrics(spark, sf_dir), listed)
+
+
+@query
+def run_trace(spark, sf_dir):
+    return observability.run_trace(logs.parse_logs(tables.log_lines(spark, sf_dir)))
+
+
+@query
+def run_checkpoints(spark, sf_dir):
+    return observability.run_checkpoints(logs.parse_logs(tables.log_lines(spark, sf_dir)))

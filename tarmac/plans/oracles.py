@@ -130,3 +130,424 @@ oracle(
     f"""SELECT origin, destination, {DEMAND} FROM booking_requests GROUP BY origin, destination
   ORDER BY total_seats_requested DESC, origin, destination LIMIT 10""",
 )
+
+# --- more tables ---------------------------------------------------------------------------
+
+CTES |= {
+    "commands": """SELECT CAST(user_id AS VARCHAR) AS flight_id, event_id + 1 AS ordering, ts AS command_ts,
+  row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS turn,
+  CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1 THEN 'create'
+   WHEN event_type = 'error' AND event_id % 50 = 0 THEN 'cancel'
+   WHEN event_type IN ('click', 'purchase') THEN 'allocate' WHEN event_type = 'view' THEN 'release'
+   ELSE 'status' END AS command,
+  1 + CAST(floor(value) AS BIGINT) % 40 AS k,
+  ['Scheduled', 'Boarding', 'Departed', 'Arrived', 'Delayed'][event_id % 5 + 1] AS asked FROM events""",
+    "folded": """SELECT flight_id, turn, ordering, 300 AS free, TRUE AS accepted FROM commands WHERE turn = 1
+  UNION ALL
+  SELECT c.flight_id, c.turn, c.ordering,
+   CASE WHEN c.command = 'allocate' AND f.free >= c.k THEN CAST(f.free - c.k AS INTEGER)
+    WHEN c.command = 'release' AND f.free + c.k <= 300 THEN CAST(f.free + c.k AS INTEGER) ELSE f.free END,
+   CASE c.command WHEN 'allocate' THEN f.free >= c.k WHEN 'release' THEN f.free + c.k <= 300 ELSE TRUE END
+  FROM folded f JOIN commands c ON c.flight_id = f.flight_id AND c.turn = f.turn + 1""",
+    "seat_log": """SELECT c.flight_id, c.ordering, c.command,
+  CAST(CASE c.command WHEN 'create' THEN 300 WHEN 'allocate' THEN k WHEN 'release' THEN k END AS INTEGER) AS seats,
+  f.accepted, CASE WHEN f.accepted THEN NULL WHEN c.command = 'allocate' THEN 'Insufficient seats available'
+  ELSE 'Release exceeds total seats' END AS reason, 300 AS total_seats, f.free AS remaining_seats,
+  c.command_ts, CASE c.command WHEN 'status' THEN c.asked WHEN 'cancel' THEN 'Cancelled' END AS new_status
+  FROM commands c JOIN folded f ON f.flight_id = c.flight_id AND f.turn = c.turn""",
+    "facts": """SELECT ordering, 'flight-' || flight_id AS persistence_id,
+  row_number() OVER (PARTITION BY flight_id ORDER BY ordering) AS sequence_number, FALSE AS deleted,
+  CASE command WHEN 'create' THEN 'FlightCreated' WHEN 'allocate' THEN 'SeatsAllocated'
+   WHEN 'release' THEN 'SeatsReleased' WHEN 'cancel' THEN 'FlightCancelled' ELSE 'FlightStatusChanged' END AS event_type,
+  command_ts AS event_ts, CASE WHEN command = 'create' THEN seats END AS total_seats,
+  CASE WHEN command <> 'create' THEN seats END AS seats,
+  CASE WHEN seats IS NOT NULL THEN remaining_seats END AS remaining_seats,
+  CASE WHEN command = 'create' THEN 'Scheduled' ELSE new_status END AS new_status,
+  CASE WHEN command = 'cancel' THEN 'Cancelled by operator' END AS reason FROM seat_log WHERE accepted""",
+    "status_changes": """SELECT ordering, persistence_id, sequence_number, event_ts, event_type,
+  lag(new_status) OVER (PARTITION BY persistence_id ORDER BY sequence_number) AS old_status, new_status
+  FROM facts WHERE new_status IS NOT NULL""",
+    "journal": """SELECT f.*, s.old_status, CAST(NULL AS VARCHAR) AS booking_id, CAST(NULL AS VARCHAR) AS allocation_id
+  FROM facts f LEFT JOIN status_changes s ON s.ordering = f.ordering""",
+    "states": """SELECT persistence_id, max(total_seats) AS total_seats,
+  CAST(sum(CASE event_type WHEN 'FlightCreated' THEN total_seats WHEN 'SeatsAllocated' THEN -seats
+   WHEN 'SeatsReleased' THEN seats ELSE 0 END) AS BIGINT) AS available_seats,
+  arg_max(new_status, CASE WHEN new_status IS NOT NULL THEN sequence_number END) AS status,
+  max(sequence_number) AS sequence_number FROM journal GROUP BY persistence_id""",
+    "asks": """SELECT 'F' || (o_orderkey // 5) AS flight_id, o_orderkey AS request_no, o_custkey AS requested_by FROM orders""",
+    "first_flights": """SELECT origin, destination, flight_id FROM (SELECT *, row_number() OVER
+  (PARTITION BY origin, destination ORDER BY scheduled_departure, flight_id) AS n FROM flights) WHERE n = 1""",
+    "assigned": """SELECT b.*, f.flight_id FROM booking_requests b LEFT JOIN first_flights f USING (origin, destination)""",
+    "booking_events": """SELECT 'booking-' || request_id AS persistence_id, n AS sequence_number,
+  ['BookingCreated', 'BookingConfirmed', 'BookingCancelled'][n] AS event_type,
+  request_time + to_hours(CAST(n - 1 AS INTEGER)) AS event_ts, 'bk-' || request_id AS booking_id,
+  CASE WHEN n > 1 THEN flight_id END AS flight_id, seats, CASE WHEN n = 3 THEN 'Cancelled by passenger' END AS reason
+  FROM assigned JOIN (SELECT unnest([1, 2, 3]) AS n) ON n <= CASE WHEN flight_id IS NULL THEN 1
+  WHEN order_status = 'F' THEN 2 WHEN order_status = 'P' THEN 3 ELSE 1 END""",
+    "booking_states": """SELECT booking_id, replace(arg_max(event_type, sequence_number), 'Booking', '') AS status,
+  max(flight_id) AS flight_id, max(seats) AS seats, min(event_ts) AS created_at FROM booking_events GROUP BY booking_id""",
+    "demands": """SELECT 'alloc-' || strftime(request_time, '%Y-%m-%d') || '-' || priority || '-' || (request_id // 10000)
+  AS allocation_id, 'run-' || strftime(request_time, '%Y-%m-%d') AS run_id, request_id, origin, destination, seats,
+  priority, priority_rank, request_time FROM booking_requests""",
+    "demand_axis": """SELECT *, sum(seats) OVER (PARTITION BY origin, destination
+  ORDER BY priority_rank DESC, request_time, request_id ROWS UNBOUNDED PRECEDING) AS demand_end FROM demands""",
+    "flight_axis": """SELECT *, sum(available_seats) OVER (PARTITION BY origin, destination
+  ORDER BY scheduled_departure, flight_id ROWS UNBOUNDED PRECEDING) AS flight_end FROM flights""",
+    "allocations": """SELECT d.allocation_id, d.run_id, d.request_id, d.request_time, d.origin, d.destination, f.flight_id,
+  CAST(least(demand_end, flight_end) - greatest(demand_end - d.seats, flight_end - available_seats) AS BIGINT)
+   AS seats_allocated, CAST(flight_end - least(demand_end, flight_end) AS BIGINT) AS flight_seats_left,
+  greatest(demand_end - d.seats, flight_end - available_seats) AS axis_start
+  FROM demand_axis d JOIN flight_axis f ON d.origin = f.origin AND d.destination = f.destination
+   AND demand_end - d.seats < flight_end AND flight_end - available_seats < demand_end""",
+    "outcome": """SELECT d.*, CAST(coalesce(got, 0) AS BIGINT) AS allocated_seats,
+  CAST(d.seats - coalesce(got, 0) AS BIGINT) AS unallocated_seats FROM demands d
+  LEFT JOIN (SELECT request_id, sum(seats_allocated) AS got FROM allocations GROUP BY request_id) USING (request_id)""",
+    "run_events": """SELECT allocation_id, 'allocation-' || allocation_id AS persistence_id, n AS sequence_number,
+  CASE WHEN n = 1 THEN 'AllocationStarted' WHEN digit = 1 THEN 'AllocationFailed' ELSE 'AllocationCompleted' END
+   AS event_type, day + to_hours(CAST(n AS INTEGER)) AS event_ts, pairs_total,
+  CASE WHEN n = 2 THEN pairs_total ELSE pairs_total // 2 END AS pairs_done,
+  CASE WHEN n = 2 AND digit <> 1 THEN coalesce(made, 0) END AS allocations,
+  CASE WHEN n = 2 AND digit = 1 THEN 'capacity feed unavailable' END AS reason
+  FROM (SELECT allocation_id, count(*) AS pairs_total, min(request_time) AS day,
+   dayofmonth(min(request_time)) % 10 AS digit FROM demands GROUP BY allocation_id)
+  LEFT JOIN (SELECT allocation_id, count(*) AS made FROM allocations GROUP BY allocation_id) USING (allocation_id)
+  JOIN (SELECT unnest([1, 2]) AS n) ON n = 1 OR digit <> 0""",
+    "runs": """SELECT allocation_id, CASE arg_max(event_type, sequence_number) WHEN 'AllocationCompleted' THEN 'completed'
+  WHEN 'AllocationFailed' THEN 'failed' ELSE 'in-progress' END AS state, max(pairs_done) AS pairs_done,
+  max(pairs_total) AS pairs_total, max(allocations) AS allocations,
+  max(reason) AS fail_reason FROM run_events GROUP BY allocation_id""",
+    "status_asks": """SELECT DISTINCT allocation_id FROM demands
+  UNION ALL SELECT 'alloc-none-' || c_custkey FROM customer""",
+    "logs": """SELECT CAST(user_id AS VARCHAR) AS correlation_id, 'run-' || strftime(ts, '%Y-%m-%d') AS run_id,
+  CAST(CAST(json_extract(props, '$.k') AS INTEGER) % 25 AS VARCHAR) AS od_group, ts AS logged_at, event_type AS message,
+  CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level FROM events""",
+    "request_faults": """SELECT flight_id, CASE flight_no % 19 WHEN 1 THEN 'bad estimatedDuration'
+  WHEN 2 THEN 'bad scheduledDeparture' WHEN 4 THEN 'bad scheduledArrival' WHEN 5 THEN 'missing totalSeats'
+  WHEN 6 THEN 'malformed JSON' END AS reason FROM flights""",
+}
+
+NEEDS |= {
+    "folded": ["commands"],
+    "seat_log": ["folded"],
+    "facts": ["seat_log"],
+    "status_changes": ["facts"],
+    "journal": ["status_changes"],
+    "states": ["journal"],
+    "first_flights": ["flights"],
+    "assigned": ["first_flights", "booking_requests"],
+    "booking_events": ["assigned"],
+    "booking_states": ["booking_events"],
+    "demands": ["booking_requests"],
+    "demand_axis": ["demands"],
+    "flight_axis": ["flights"],
+    "allocations": ["demand_axis", "flight_axis"],
+    "outcome": ["allocations"],
+    "run_events": ["allocations"],
+    "runs": ["run_events"],
+    "status_asks": ["demands"],
+    "request_faults": ["flights"],
+}
+
+FLIGHT = """flight_id, flight_number, origin, destination, distance, scheduled_departure, scheduled_arrival, total_seats,
+  available_seats, status"""
+CAPACITY = """count(*) AS flights, CAST(sum(total_seats) AS BIGINT) AS total_seats,
+  CAST(sum(available_seats) AS BIGINT) AS available_seats,
+  CAST(sum(total_seats - available_seats) AS BIGINT) AS occupied_seats,
+  count(*) FILTER (available_seats <= 0) AS full_flights"""
+
+oracle(
+    "flight_demand",
+    "assigned",
+    f"""SELECT flight_id, {DEMAND}, CAST(date_trunc('day', min(request_time)) AS TIMESTAMP) AS period_start,
+  CAST(date_trunc('day', max(request_time)) AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 SECOND AS period_end
+  FROM assigned WHERE flight_id IS NOT NULL GROUP BY flight_id""",
+)
+
+oracle(
+    "ingest_flights",
+    "flights request_faults",
+    f"""SELECT {FLIGHT}, date_diff('second', scheduled_departure, scheduled_arrival) AS estimated_seconds FROM flights
+  WHERE flight_id IN (SELECT flight_id FROM request_faults WHERE reason IS NULL)""",
+)
+oracle(
+    "validate_requests",
+    "request_faults",
+    "SELECT coalesce(reason, 'accepted') AS verdict, count(*) AS requests FROM request_faults GROUP BY 1",
+)
+oracle("quarantine_requests", "request_faults", "SELECT * FROM request_faults WHERE reason IS NOT NULL")
+oracle(
+    "ingest_allocation_requests",
+    "demands",
+    """SELECT allocation_id, run_id, priority, priority_rank, CAST(row_number() OVER (PARTITION BY allocation_id
+  ORDER BY request_id) - 1 AS INTEGER) AS position, origin, destination, seats FROM demands""",
+)
+oracle("journal_scan", "journal", "SELECT * FROM journal ORDER BY persistence_id, sequence_number")
+oracle("journal_append", "journal", "SELECT * FROM journal")
+oracle("journal_entity_ids", "journal", "SELECT DISTINCT substr(persistence_id, 8) AS entity_id FROM journal")
+oracle(
+    "events_by_tag",
+    "journal",
+    """SELECT ordering, persistence_id, sequence_number, event_type FROM journal
+  WHERE event_type IN ('SeatsAllocated', 'SeatsReleased')""",
+)
+oracle(
+    "export_flights_json",
+    "flights_current airports",
+    """SELECT flight_id, CAST(json_object('flightId', flight_id, 'flightNumber', flight_number, 'route', json_object(
+   'origin', json_object('code', o.code, 'name', o.name, 'city', o.city, 'country', o.country),
+   'destination', json_object('code', d.code, 'name', d.name, 'city', d.city, 'country', d.country),
+   'distance', distance, 'estimatedDuration', 'PT' || CASE WHEN minutes // 60 > 0 THEN (minutes // 60) || 'H' ELSE '' END
+    || CASE WHEN minutes % 60 > 0 THEN (minutes % 60) || 'M' ELSE '' END),
+   'scheduledDeparture', strftime(scheduled_departure, '%Y-%m-%dT%H:%M:%S'),
+   'scheduledArrival', strftime(scheduled_arrival, '%Y-%m-%dT%H:%M:%S'), 'totalSeats', total_seats,
+   'availableSeats', available_seats, 'status', status) AS VARCHAR) AS document
+  FROM (SELECT *, date_diff('minute', scheduled_departure, scheduled_arrival) AS minutes FROM flights_current)
+  JOIN airports o ON origin = o.code JOIN airports d ON destination = d.code""",
+)
+oracle(
+    "export_allocation_results",
+    "outcome allocations",
+    """SELECT allocation_id, part, CAST(coalesce(given, 0) AS INTEGER) AS allocation_count,
+  CAST(missing AS INTEGER) AS unallocated_count, CAST(json_object('allocationId', allocation_id, 'runId', run_id,
+   'allocations', coalesce(allocations, CAST('[]' AS JSON)), 'unallocated', coalesce(unallocated, CAST('[]' AS JSON)))
+   AS VARCHAR) AS document
+  FROM (SELECT allocation_id, request_id // 1000 AS part, run_id, count(*) FILTER (unallocated_seats > 0) AS missing,
+   json_group_array(json_object('odPair', origin || '-' || destination, 'seats', unallocated_seats) ORDER BY request_id)
+    FILTER (unallocated_seats > 0) AS unallocated FROM outcome GROUP BY allocation_id, part, run_id)
+  LEFT JOIN (SELECT allocation_id, request_id // 1000 AS part, count(*) AS given, json_group_array(json_object(
+    'odPair', origin || '-' || destination, 'flightId', flight_id, 'seatsAllocated', seats_allocated)
+    ORDER BY request_id, axis_start) AS allocations FROM allocations GROUP BY allocation_id, part)
+  USING (allocation_id, part)""",
+)
+
+oracle("list_flights", "flights_current", f"SELECT {FLIGHT} FROM flights_current")
+oracle(
+    "lookup_flights",
+    "flights_current asks",
+    """SELECT flight_id, request_no, requested_by, flight_number, available_seats, status,
+  flight_number IS NOT NULL AS found, CASE WHEN flight_number IS NULL THEN 'Flight ' || flight_id || ' not found' END
+  AS message FROM asks LEFT JOIN flights_current USING (flight_id)""",
+)
+oracle(
+    "lookup_missing",
+    "flights_current asks",
+    "SELECT DISTINCT flight_id FROM asks WHERE flight_id NOT IN (SELECT flight_id FROM flights_current)",
+)
+oracle(
+    "flights_by_route",
+    "flights_current",
+    f"SELECT {FLIGHT} FROM flights_current WHERE origin = 'N03' AND destination = 'N09'",
+)
+oracle("flights_by_status", "flights_current", f"SELECT {FLIGHT} FROM flights_current WHERE status = 'Boarding'")
+oracle("flights_available", "flights_current", f"SELECT {FLIGHT} FROM flights_current WHERE available_seats >= 50")
+oracle(
+    "flight_capacity",
+    "flights_current",
+    """SELECT flight_id, total_seats, available_seats, total_seats - available_seats AS occupied_seats,
+  available_seats <= 0 AS is_fully_booked, CAST(1 + flight_no % 60 AS INTEGER) AS wanted,
+  available_seats >= 1 + flight_no % 60 AS has_capacity FROM flights_current""",
+)
+oracle(
+    "route_capacity",
+    "flights_current",
+    f"SELECT origin, destination, {CAPACITY} FROM flights_current GROUP BY origin, destination",
+)
+oracle("status_capacity", "flights_current", f"SELECT status, {CAPACITY} FROM flights_current GROUP BY status")
+oracle(
+    "register_flights",
+    "flights asks",
+    """SELECT flight_id, request_no, requested_by FROM (SELECT *, row_number() OVER (PARTITION BY flight_id
+  ORDER BY request_no) AS n FROM asks) WHERE n = 1 AND flight_id NOT IN (SELECT flight_id FROM flights)""",
+)
+oracle(
+    "register_rejects",
+    "flights asks",
+    """SELECT flight_id, request_no, requested_by, 'Flight already exists' AS reason FROM (SELECT *, row_number() OVER
+  (PARTITION BY flight_id ORDER BY request_no) AS n FROM asks)
+  WHERE n > 1 OR flight_id IN (SELECT flight_id FROM flights)""",
+)
+oracle(
+    "upsert_flights",
+    "flights_current",
+    """SELECT flight_id, CASE status WHEN 'Scheduled' THEN 'Boarding' WHEN 'Boarding' THEN 'Departed' ELSE status END
+  AS status, available_seats FROM flights_current""",
+)
+
+oracle(
+    "create_outcomes",
+    "",
+    """SELECT flight_id, ordering, command, outcome, CASE outcome WHEN 'FlightOperationFailed' THEN 'Flight already exists'
+   WHEN 'FlightNotFound' THEN 'Flight ' || flight_id || ' not found' END AS reason
+  FROM (SELECT *, CASE WHEN command = 'create' AND before = 0 THEN 'FlightCreated'
+   WHEN command = 'create' THEN 'FlightOperationFailed' WHEN before = 0 THEN 'FlightNotFound' ELSE 'FlightInfo' END
+   AS outcome FROM (SELECT CAST(user_id AS VARCHAR) AS flight_id, event_id + 1 AS ordering,
+    CASE event_type WHEN 'signup' THEN 'create' ELSE 'get' END AS command,
+    count(*) FILTER (event_type = 'signup') OVER (PARTITION BY user_id ORDER BY event_id
+     ROWS UNBOUNDED PRECEDING) - CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS before
+    FROM events WHERE event_type IN ('signup', 'view')))""",
+)
+SEAT_LOG = "flight_id, ordering, command, seats, accepted, reason, total_seats, remaining_seats"
+oracle("seat_command_log", "seat_log", f"SELECT {SEAT_LOG} FROM seat_log")
+oracle(
+    "seat_commands_state",
+    "seat_log",
+    """SELECT flight_id, arg_max(total_seats, ordering) AS total_seats, arg_max(remaining_seats, ordering)
+  AS remaining_seats, count(*) FILTER (accepted) AS accepted, count(*) FILTER (NOT accepted) AS rejected,
+  max(ordering) AS last_ordering FROM seat_log GROUP BY flight_id""",
+)
+oracle("replay_flights", "states", "SELECT * FROM states")
+oracle("recover_flights", "states", "SELECT * FROM states")
+oracle("replay_from_snapshot", "states", "SELECT * FROM states")
+oracle(
+    "snapshots_keep2",
+    "journal",
+    """SELECT persistence_id, sequence_number, 300 AS total_seats, available_seats, status FROM (
+  SELECT persistence_id, sequence_number, row_number() OVER (PARTITION BY persistence_id ORDER BY sequence_number DESC)
+   AS newest, available_seats, status FROM (SELECT persistence_id, sequence_number,
+    CAST(sum(CASE event_type WHEN 'FlightCreated' THEN total_seats WHEN 'SeatsAllocated' THEN -seats
+     WHEN 'SeatsReleased' THEN seats ELSE 0 END) OVER past AS BIGINT) AS available_seats,
+    last_value(new_status IGNORE NULLS) OVER past AS status FROM journal
+    WINDOW past AS (PARTITION BY persistence_id ORDER BY sequence_number ROWS UNBOUNDED PRECEDING))
+  WHERE sequence_number % 25 = 0) WHERE newest <= 2""",
+)
+oracle(
+    "flight_history",
+    "journal",
+    """SELECT ordering, persistence_id, sequence_number, event_type, event_ts, seats, remaining_seats, new_status
+  FROM journal WHERE persistence_id = 'flight-7' ORDER BY sequence_number""",
+)
+oracle(
+    "seat_mismatches",
+    "states seat_log",
+    """SELECT persistence_id, available_seats AS summed, CAST(stored AS BIGINT) AS stored FROM states
+  JOIN (SELECT 'flight-' || flight_id AS persistence_id, arg_max(remaining_seats, ordering) AS stored FROM seat_log
+   WHERE accepted AND seats IS NOT NULL GROUP BY flight_id) USING (persistence_id) WHERE available_seats <> stored""",
+)
+oracle(
+    "status_transitions",
+    "status_changes",
+    "SELECT persistence_id, sequence_number, event_ts, event_type, old_status, new_status FROM status_changes",
+)
+oracle(
+    "lifecycle_violations",
+    "status_changes",
+    """SELECT old_status, new_status, count(*) AS changes, NOT (old_status || '>' || new_status IN
+  ('Scheduled>Boarding', 'Boarding>Departed', 'Departed>Arrived', 'Scheduled>Delayed', 'Boarding>Delayed',
+   'Delayed>Scheduled', 'Delayed>Boarding', 'Delayed>Departed') OR new_status = 'Cancelled') AS off_path
+  FROM status_changes WHERE old_status IS NOT NULL GROUP BY old_status, new_status""",
+)
+oracle("cancelled_flights", "states", "SELECT * FROM states WHERE status = 'Cancelled'")
+oracle(
+    "events_by_entity_type",
+    "journal booking_events run_events",
+    """SELECT split_part(persistence_id, '-', 1) AS entity_type, count(*) AS events FROM (
+  SELECT persistence_id FROM journal UNION ALL SELECT persistence_id FROM booking_events
+  UNION ALL SELECT persistence_id FROM run_events) GROUP BY 1""",
+)
+oracle(
+    "audit_trail",
+    "journal booking_events run_events",
+    """SELECT event_ts, persistence_id, sequence_number, event_type, seats, reason FROM journal
+  UNION ALL SELECT event_ts, persistence_id, sequence_number, event_type, seats, reason FROM booking_events
+  UNION ALL SELECT event_ts, persistence_id, sequence_number, event_type, NULL, reason FROM run_events""",
+)
+
+oracle(
+    "booking_state",
+    "booking_states",
+    "SELECT *, CASE WHEN status = 'Confirmed' THEN seats ELSE 0 END AS seats_held FROM booking_states",
+)
+oracle(
+    "booking_details",
+    "booking_states flights booking_requests",
+    """SELECT s.booking_id, r.passenger_id, r.passenger_name, s.flight_id, f.flight_number, s.seats AS seats_booked,
+  s.status, s.created_at FROM booking_states s JOIN booking_requests r ON s.booking_id = 'bk-' || r.request_id
+  LEFT JOIN flights f ON f.flight_id = s.flight_id""",
+)
+oracle(
+    "seat_reconciliation",
+    "booking_events allocations flights_current",
+    """SELECT flight_id, CAST(coalesce(booked, 0) AS BIGINT) AS booked_seats, CAST(coalesce(given, 0) AS BIGINT)
+  AS allocated_seats, CAST(total_seats - available_seats AS BIGINT) AS occupied_seats,
+  CAST(total_seats - available_seats - coalesce(booked, 0) - coalesce(given, 0) AS BIGINT) AS difference
+  FROM flights_current
+  LEFT JOIN (SELECT flight_id, sum(CASE event_type WHEN 'BookingConfirmed' THEN seats WHEN 'BookingCancelled' THEN -seats
+   END) AS booked FROM booking_events GROUP BY flight_id) USING (flight_id)
+  LEFT JOIN (SELECT flight_id, sum(seats_allocated) AS given FROM allocations GROUP BY flight_id) USING (flight_id)
+  WHERE total_seats - available_seats <> coalesce(booked, 0) + coalesce(given, 0)""",
+)
+
+oracle(
+    "allocate_stub",
+    "demands",
+    "SELECT allocation_id, request_id, origin, destination, seats AS unallocated_seats FROM demands",
+)
+oracle(
+    "demand_candidates",
+    "flight_axis demands",
+    """SELECT origin, destination, flight_id, available_seats, CAST(flight_end - available_seats AS BIGINT) AS flight_start,
+  requests, seats_wanted FROM flight_axis JOIN (SELECT origin, destination, count(*) AS requests,
+  CAST(sum(seats) AS BIGINT) AS seats_wanted FROM demands GROUP BY origin, destination) USING (origin, destination)""",
+)
+ALLOCATION = "SELECT allocation_id, run_id, request_id, origin, destination, flight_id, seats_allocated FROM allocations"
+oracle("allocate_greedy", "allocations", ALLOCATION)
+oracle(
+    "unallocated_demand",
+    "outcome",
+    """SELECT allocation_id, run_id, request_id, origin, destination, unallocated_seats FROM outcome
+  WHERE unallocated_seats > 0""",
+)
+SUMMARY = """SELECT allocation_id, run_id, count(*) AS demands, count(*) FILTER (allocated_seats > 0) AS allocated_demands,
+  count(*) FILTER (unallocated_seats > 0) AS unallocated_demands, CAST(sum(allocated_seats) AS BIGINT) AS allocated_seats,
+  CAST(sum(unallocated_seats) AS BIGINT) AS unallocated_seats FROM outcome GROUP BY allocation_id, run_id"""
+oracle("run_summary", "outcome", SUMMARY)
+oracle(
+    "allocation_events",
+    "allocations",
+    """SELECT 'flight-' || flight_id AS persistence_id, row_number() OVER (PARTITION BY flight_id ORDER BY axis_start)
+  AS sequence_number, 'SeatsAllocated' AS event_type, request_time AS event_ts, seats_allocated AS seats,
+  flight_seats_left AS remaining_seats, allocation_id, request_id FROM allocations""",
+)
+MESSAGE = """CASE coalesce(state, 'not-found')
+  WHEN 'completed' THEN 'Allocation completed with ' || allocations || ' allocations'
+  WHEN 'in-progress' THEN {prefix} printf('%.1f%% complete', pairs_done / pairs_total * 100)
+  WHEN 'failed' THEN fail_reason ELSE 'Allocation ' || allocation_id || ' not found' END"""
+oracle(
+    "allocation_status",
+    "runs status_asks",
+    f"""SELECT allocation_id, coalesce(state, 'not-found') AS status, {MESSAGE.format(prefix='')} AS message
+  FROM status_asks LEFT JOIN runs USING (allocation_id)""",
+)
+oracle(
+    "allocation_result",
+    "runs status_asks outcome",
+    f"""SELECT allocation_id, coalesce(state, 'not-found') AS status, CASE WHEN state = 'completed' THEN NULL
+  ELSE {MESSAGE.format(prefix="'Allocation is ' ||")} END AS message,
+  CASE WHEN state = 'completed' THEN got END AS allocated_seats, CASE WHEN state = 'completed' THEN missed END
+  AS unallocated_seats FROM status_asks LEFT JOIN runs USING (allocation_id)
+  LEFT JOIN (SELECT allocation_id, CAST(sum(allocated_seats) AS BIGINT) AS got, CAST(sum(unallocated_seats) AS BIGINT)
+   AS missed FROM outcome GROUP BY allocation_id) USING (allocation_id)""",
+)
+
+oracle(
+    "metrics_summary",
+    "",
+    """SELECT operation, coalesce(n, 0) AS count, printf('%.2f', coalesce(mean, 0)) AS avg_ms, coalesce(low, 0) AS min_ms,
+  coalesce(high, 0) AS max_ms, coalesce(total, 0) AS total_ms
+  FROM (SELECT event_type AS operation, count(*) AS n, avg(ms) AS mean, min(ms) AS low, max(ms) AS high,
+   CAST(sum(ms) AS BIGINT) AS total FROM (SELECT event_type, CAST(floor(value * 10) AS BIGINT) AS ms FROM events)
+   GROUP BY event_type) FULL JOIN (SELECT unnest(['click', 'allocation']) AS operation) USING (operation)""",
+)
+oracle(
+    "run_trace",
+    "logs",
+    """SELECT correlation_id, run_id, od_group, min(logged_at) AS first_at, max(logged_at) AS last_at, count(*) AS lines,
+  count(*) FILTER (level = 'ERROR') AS errors, count(*) FILTER (level = 'WARN') AS warnings,
+  (epoch_us(max(logged_at)) - epoch_us(min(logged_at))) // 1000 AS span_ms FROM logs GROUP BY ALL""",
+)
+oracle(
+    "run_checkpoints",
+    "logs",
+    """SELECT run_id, message AS checkpoint, (epoch_us(reached_at) - epoch_us(min(reached_at) OVER (PARTITION BY run_id)))
+  // 1000 AS offset_ms FROM (SELECT run_id, message, min(logged_at) AS reached_at FROM logs GROUP BY run_id, message)""",
+)

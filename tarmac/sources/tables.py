@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.operators.skew import join_facts
+
 HUBS = 25  # airports are the nations
 
 
@@ -97,3 +99,225 @@ def booking_requests_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 def booking_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return booking_requests_from(read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer"))
+
+
+def flight_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create-flight bodies as JSON text, one per flight; some break one of the input rules."""
+    flown, places = flights(spark, sf_dir), airports(spark, sf_dir)
+
+    def end(side: str) -> DataFrame:
+        return places.select(F.col("code").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("name", "city", "country")])
+
+    fault = F.col("flight_no") % 19
+    minutes = F.expr("timestampdiff(MINUTE, scheduled_departure, scheduled_arrival)")
+    body = F.to_json(
+        F.struct(
+            F.col("flight_number").alias("flightNumber"),
+            *[
+                F.col(f"{side}{column}").alias(f"{side}{name}")
+                for side in ("origin", "destination")
+                for column, name in (("", "Code"), ("_name", "Name"), ("_city", "City"), ("_country", "Country"))
+            ],
+            "distance",
+            F.when(fault == 1, F.lit("2 hours"))
+            .otherwise(F.concat(F.lit("PT"), minutes.cast("string"), F.lit("M")))
+            .alias("estimatedDuration"),
+            F.when(fault == 2, F.date_format("scheduled_departure", "yyyy-MM-dd HH:mm:ss"))
+            .when(fault == 3, F.date_format("scheduled_departure", "yyyy-MM-dd'T'HH:mm"))
+            .otherwise(F.date_format("scheduled_departure", "yyyy-MM-dd'T'HH:mm:ss"))
+            .alias("scheduledDeparture"),
+            F.when(fault == 4, F.lit("2024-02-30T10:00:00"))
+            .otherwise(F.date_format("scheduled_arrival", "yyyy-MM-dd'T'HH:mm:ss"))
+            .alias("scheduledArrival"),
+            F.when(fault != 5, F.col("total_seats")).alias("totalSeats"),
+        )
+    )
+    return (
+        flown.join(end("origin"), "origin")
+        .join(end("destination"), "destination")
+        .select("flight_id", F.when(fault == 6, F.substring(body, 1, 40)).otherwise(body).alias("body"))
+    )
+
+
+REQUEST_SPAN = 10_000  # order keys per allocation request, hence its most pairs
+
+
+def allocation_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allocation-request bodies as JSON text, one per day, priority and span of order keys."""
+    asked = booking_requests(spark, sf_dir)
+    pair = F.struct(
+        "request_id",
+        F.col("origin").alias("originCode"),
+        F.col("destination").alias("destinationCode"),
+        F.col("seats").alias("demand"),
+    )
+    return (
+        asked.groupBy(
+            F.date_format("request_time", "yyyy-MM-dd").alias("day"),
+            "priority",
+            F.expr(f"request_id div {REQUEST_SPAN}").alias("span"),
+        )
+        .agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
+        .select(
+            F.concat_ws("-", F.lit("alloc"), "day", "priority", "span").alias("allocation_id"),
+            F.to_json(
+                F.struct(
+                    F.concat(F.lit("run-"), F.col("day")).alias("runId"),
+                    F.transform("pairs", lambda p: p.dropFields("request_id")).alias("odPairs"),
+                    "priority",
+                )
+            ).alias("body"),
+        )
+    )
+
+
+def allocation_demands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same demands as rows, without going through JSON."""
+    return booking_requests(spark, sf_dir).select(
+        F.concat_ws(
+            "-",
+            F.lit("alloc"),
+            F.date_format("request_time", "yyyy-MM-dd"),
+            "priority",
+            F.expr(f"request_id div {REQUEST_SPAN}"),
+        ).alias("allocation_id"),
+        F.concat(F.lit("run-"), F.date_format("request_time", "yyyy-MM-dd")).alias("run_id"),
+        "request_id",
+        "origin",
+        "destination",
+        "seats",
+        "priority",
+        "priority_rank",
+        "request_time",
+    )
+
+
+def commands_from(events: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Flight commands read off the event stream: a user is a flight, its first event creates it."""
+    kind = (
+        F.when(F.col("event_id") == F.col("first_id"), "create")
+        .when((F.col("event_type") == "error") & (F.col("event_id") % 50 == 0), "cancel")
+        .when(F.col("event_type").isin("click", "purchase"), "allocate")
+        .when(F.col("event_type") == "view", "release")
+        .otherwise("status")
+    )
+    return (
+        join_facts(events, firsts, ["user_id"], "inner")
+        .withColumn("command", kind)
+        .select(
+            F.col("user_id").cast("string").alias("flight_id"),
+            (F.col("event_id") + 1).alias("ordering"),
+            F.col("ts").alias("command_ts"),
+            "command",
+            F.when(F.col("command") == "create", 300)
+            .when(F.col("command").isin("allocate", "release"), 1 + F.floor("value") % 40)
+            .cast("int")
+            .alias("seats"),
+            F.when(
+                F.col("command") == "status",
+                F.expr(
+                    "element_at(array('Scheduled', 'Boarding', 'Departed', 'Arrived', 'Delayed'),"
+                    " cast(event_id % 5 as int) + 1)"
+                ),
+            )
+            .when(F.col("command") == "cancel", "Cancelled")
+            .alias("new_status"),
+        )
+    )
+
+
+def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read(spark, sf_dir, "events")
+    firsts = events.groupBy("user_id").agg(F.min("event_id").alias("first_id"))
+    return commands_from(events, firsts)
+
+
+def create_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create and get commands only, with several creates per flight."""
+    return (
+        read(spark, sf_dir, "events")
+        .where(F.col("event_type").isin("signup", "view"))
+        .select(
+            F.col("user_id").cast("string").alias("flight_id"),
+            (F.col("event_id") + 1).alias("ordering"),
+            F.when(F.col("event_type") == "signup", "create").otherwise("get").alias("command"),
+        )
+    )
+
+
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select(
+        F.col("event_type").alias("operation"),
+        F.floor(F.col("value") * 10).alias("duration_ms"),
+        F.col("user_id").cast("string").alias("correlation_id"),
+    )
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured log lines as JSON text."""
+    return read(spark, sf_dir, "events").select(
+        F.to_json(
+            F.struct(
+                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+                F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"),
+                F.col("event_type").alias("message"),
+                F.col("user_id").cast("string").alias("correlationId"),
+                F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd")).alias("runId"),
+                (F.get_json_object("props", "$.k").cast("int") % HUBS).cast("string").alias("odGroup"),
+            )
+        ).alias("line")
+    )
+
+
+def registration_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that name flights by number; each number is asked for several times, and some
+    are not in the flight table."""
+    return read(spark, sf_dir, "orders").selectExpr(
+        "concat('F', o_orderkey div 5) as flight_id", "o_orderkey as request_no", "o_custkey as requested_by"
+    )
+
+
+def flight_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of each current flight: as it is, and one step later."""
+    current = flights_current(spark, sf_dir).select("flight_id", "status", "available_seats")
+    later = current.where("status in ('Scheduled', 'Boarding')").withColumn(
+        "status", F.when(F.col("status") == "Boarding", "Departed").otherwise("Boarding")
+    )
+    return current.withColumn("version", F.lit(1).cast("long")).unionByName(
+        later.withColumn("version", F.lit(2).cast("long"))
+    )
+
+
+def run_events_from(demands: DataFrame, allocations: DataFrame) -> DataFrame:
+    """Events of each allocation run: every run starts; by its day it is still half done, failed,
+    or completed."""
+    runs = demands.groupBy("allocation_id").agg(
+        F.count(F.lit(1)).alias("pairs_total"), F.min("request_time").alias("day")
+    )
+    made = allocations.groupBy("allocation_id").agg(F.count(F.lit(1)).alias("allocations"))
+    number, digit = F.col("sequence_number"), F.dayofmonth("day") % 10
+    return (
+        runs.join(made, "allocation_id", "left")
+        .withColumn("sequence_number", F.explode(F.sequence(F.lit(1), F.when(digit == 0, 1).otherwise(2))).cast("long"))
+        .select(
+            "allocation_id",
+            F.concat(F.lit("allocation-"), F.col("allocation_id")).alias("persistence_id"),
+            "sequence_number",
+            F.when(number == 1, "AllocationStarted")
+            .when(digit == 1, "AllocationFailed")
+            .otherwise("AllocationCompleted")
+            .alias("event_type"),
+            F.expr("timestampadd(HOUR, cast(sequence_number as int), day)").alias("event_ts"),
+            "pairs_total",
+            F.when(number == 2, F.col("pairs_total")).otherwise(F.expr("pairs_total div 2")).alias("pairs_done"),
+            F.when((number == 2) & (digit != 1), F.coalesce("allocations", F.lit(0))).alias("allocations"),
+            F.when((number == 2) & (digit == 1), "capacity feed unavailable").alias("reason"),
+        )
+    )
+
+
+def status_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every allocation id, and ids that were never started."""
+    known = allocation_demands(spark, sf_dir).select("allocation_id").distinct()
+    unknown = read(spark, sf_dir, "customer").selectExpr("concat('alloc-none-', c_custkey) as allocation_id")
+    return known.unionByName(unknown)
