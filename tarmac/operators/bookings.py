@@ -29,7 +29,7 @@ def booking_events(assigned: DataFrame) -> DataFrame:
     )
     number = F.col("sequence_number")
     return (
-        assigned.withColumn("sequence_number", F.explode(F.sequence(F.lit(1), steps)).cast("long"))
+        assigned.withColumn("sequence_number", F.explode(F.sequence(F.lit(1).cast("long"), steps.cast("long"))))
         .select(
             F.concat(F.lit("booking-"), F.col("request_id")).alias("persistence_id"),
             "sequence_number",

@@ -308,14 +308,13 @@ oracle(
     "export_allocation_results",
     "outcome allocations",
     """SELECT allocation_id, part, CAST(coalesce(given, 0) AS INTEGER) AS allocation_count,
-  CAST(missing AS INTEGER) AS unallocated_count, CAST(json_object('allocationId', allocation_id, 'runId', run_id,
-   'allocations', coalesce(allocations, CAST('[]' AS JSON)), 'unallocated', coalesce(unallocated, CAST('[]' AS JSON)))
-   AS VARCHAR) AS document
+  CAST(missing AS INTEGER) AS unallocated_count, '{"allocationId":"' || allocation_id || '","runId":"' || run_id
+   || '","allocations":[' || coalesce(allocations, '') || '],"unallocated":[' || coalesce(unallocated, '') || ']}' AS document
   FROM (SELECT allocation_id, request_id // 1000 AS part, run_id, count(*) FILTER (unallocated_seats > 0) AS missing,
-   json_group_array(json_object('odPair', origin || '-' || destination, 'seats', unallocated_seats) ORDER BY request_id)
-    FILTER (unallocated_seats > 0) AS unallocated FROM outcome GROUP BY allocation_id, part, run_id)
-  LEFT JOIN (SELECT allocation_id, request_id // 1000 AS part, count(*) AS given, json_group_array(json_object(
-    'odPair', origin || '-' || destination, 'flightId', flight_id, 'seatsAllocated', seats_allocated)
+   string_agg('{"odPair":"' || origin || '-' || destination || '","seats":' || unallocated_seats || '}', ','
+    ORDER BY request_id) FILTER (unallocated_seats > 0) AS unallocated FROM outcome GROUP BY allocation_id, part, run_id)
+  LEFT JOIN (SELECT allocation_id, request_id // 1000 AS part, count(*) AS given, string_agg('{"odPair":"' || origin
+    || '-' || destination || '","flightId":"' || flight_id || '","seatsAllocated":' || seats_allocated || '}', ','
     ORDER BY request_id, axis_start) AS allocations FROM allocations GROUP BY allocation_id, part)
   USING (allocation_id, part)""",
 )

@@ -298,7 +298,7 @@ def run_events_from(demands: DataFrame, allocations: DataFrame) -> DataFrame:
     number, digit = F.col("sequence_number"), F.dayofmonth("day") % 10
     return (
         runs.join(made, "allocation_id", "left")
-        .withColumn("sequence_number", F.explode(F.sequence(F.lit(1), F.when(digit == 0, 1).otherwise(2))).cast("long"))
+        .withColumn("sequence_number", F.explode(F.when(digit == 0, F.expr("array(1L)")).otherwise(F.expr("array(1L, 2L)"))))
         .select(
             "allocation_id",
             F.concat(F.lit("allocation-"), F.col("allocation_id")).alias("persistence_id"),

@@ -10,7 +10,7 @@ from tests.oracle import compare, connect
 if __name__ == "__main__":
     sf, names = (sys.argv[1] if len(sys.argv) > 1 else "0.01"), sys.argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session(**{"spark.master": "local[8]", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session(**{"spark.master": "local[8]", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles = connect(sf_dir), contract.oracle_sql()
     bad = 0
