@@ -13,6 +13,8 @@ from tarmac.operators import flights as registry
 from tarmac.sources import export, ingest, logs, tables
 from tarmac.sources import journal as event_log
 from tarmac.sources.store import stored
+from tarmac.session import scratch_path
+from tarmac.streaming import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -419,3 +421,77 @@ def run_trace(spark, sf_dir):
 @query
 def run_checkpoints(spark, sf_dir):
     return observability.run_checkpoints(logs.parse_logs(tables.log_lines(spark, sf_dir)))
+
+
+# --- streams -------------------------------------------------------------------------------
+# Each runs its stream over the table's files to the end and returns what was written. The
+# delays cover tables whose files are not in time order.
+
+
+def _flight_commands(spark, sf_dir):
+    raw = tables.read(spark, sf_dir, "events")
+    firsts = raw.groupBy("user_id").agg(F.min("event_id").alias("first_id"))
+    return pipelines.flight_commands(
+        pipelines.table_stream(spark, f"{sf_dir}/events.parquet"),
+        lambda rows: tables.commands_from(rows, firsts),
+        scratch_path(spark, "flight-commands"),
+    )
+
+
+@query
+def stream_flight_state(spark, sf_dir):
+    return _flight_commands(spark, sf_dir)[0].latest()
+
+
+@query
+def stream_journal_append(spark, sf_dir):
+    return _flight_commands(spark, sf_dir)[1].read()
+
+
+def _request_stream(spark, sf_dir):
+    orders = pipelines.table_stream(spark, f"{sf_dir}/orders.parquet")
+    return tables.booking_requests_from(orders, tables.read(spark, sf_dir, "customer"))
+
+
+@query
+def stream_od_demand(spark, sf_dir):
+    return pipelines.od_demand(_request_stream(spark, sf_dir), scratch_path(spark, "demand"), "4000 days")
+
+
+@query
+def stream_od_demand_sliding(spark, sf_dir):
+    return pipelines.od_demand(
+        _request_stream(spark, sf_dir), scratch_path(spark, "demand"), "4000 days", "28 days", "14 days"
+    )
+
+
+@query
+def stream_connections(spark, sf_dir):
+    path = f"{sf_dir}/part.parquet"
+    return pipelines.connections(
+        tables.flights_from(pipelines.table_stream(spark, path)),
+        tables.flights_from(pipelines.table_stream(spark, path)),
+        scratch_path(spark, "connections"),
+        "31 days",
+    )
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Every event sent twice comes out once."""
+    sent = pipelines.table_stream(spark, f"{sf_dir}/events.parquet")
+    again = pipelines.table_stream(spark, f"{sf_dir}/events.parquet")
+    return pipelines.without_duplicates(
+        sent.unionByName(again), ["event_id"], "ts", scratch_path(spark, "dedup"), "1 day"
+    )
+
+
+@query
+def stream_allocation(spark, sf_dir):
+    customer = tables.read(spark, sf_dir, "customer")
+    return pipelines.allocate(
+        pipelines.table_stream(spark, f"{sf_dir}/orders.parquet"),
+        lambda rows: tables.demands_of(tables.booking_requests_from(rows, customer)),
+        tables.flights(spark, sf_dir),
+        scratch_path(spark, "allocation"),
+    ).select("allocation_id", "run_id", "request_id", "origin", "destination", "flight_id", "seats_allocated")

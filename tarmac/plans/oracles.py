@@ -550,3 +550,23 @@ oracle(
     """SELECT run_id, message AS checkpoint, (epoch_us(reached_at) - epoch_us(min(reached_at) OVER (PARTITION BY run_id)))
   // 1000 AS offset_ms FROM (SELECT run_id, message, min(logged_at) AS reached_at FROM logs GROUP BY run_id, message)""",
 )
+
+# --- streams -------------------------------------------------------------------------------
+
+oracle("stream_flight_state", "seat_log", ORACLES["seat_commands_state"][1])
+oracle("stream_journal_append", "journal", "SELECT * FROM journal")
+# weeks and fortnights are counted from the epoch
+WINDOWED = f"""SELECT period_start, period_start + INTERVAL {{length}} DAY AS period_end, origin || '-' || destination AS od_key,
+  {DEMAND} FROM (SELECT *, TIMESTAMP '1970-01-01' + to_days(CAST((date_diff('day', TIMESTAMP '1970-01-01', request_time)
+   // {{step}}) * {{step}} - back AS INTEGER)) AS period_start FROM booking_requests, (SELECT unnest({{backs}}) AS back))
+  GROUP BY period_start, origin, destination"""
+oracle("stream_od_demand", "booking_requests", WINDOWED.format(length=7, step=7, backs="[0]"))
+oracle("stream_od_demand_sliding", "booking_requests", WINDOWED.format(length=28, step=14, backs="[0, 14]"))
+oracle(
+    "stream_connections",
+    "connections",
+    """SELECT origin, first_terminal, second_terminal, first_flight_id, second_flight_id, layover_seconds, total_seconds
+  FROM connections""",
+)
+oracle("stream_dedup", "", "SELECT * FROM events")
+oracle("stream_allocation", "allocations", ALLOCATION)

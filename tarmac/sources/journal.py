@@ -102,21 +102,31 @@ def events_by_tag(journal: DataFrame, tags: DataFrame, tag: str) -> DataFrame:
     return live_events(journal).join(wanted, SCAN_ORDER, "left_semi")
 
 
+def heads(journal: DataFrame) -> DataFrame:
+    """Last sequence number and last status of each entity."""
+    return journal.groupBy("persistence_id").agg(
+        F.max("sequence_number").alias("last_number"),
+        F.max_by("new_status", F.when(F.col("new_status").isNotNull(), F.col("sequence_number"))).alias("last_status"),
+    )
+
+
+def not_yet_journaled(decided: DataFrame, journal: DataFrame) -> DataFrame:
+    """Leave out events whose arrival number is journaled already, so that a retry adds nothing."""
+    return decided.join(journal.select("ordering"), "ordering", "left_anti")
+
+
 def new_events(
     decided: DataFrame,
-    journal: DataFrame | None = None,
+    known_heads: DataFrame | None = None,
     policy: SkewPolicy = DEFAULT,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Number accepted events per entity, continuing after what the journal holds, and note
-    the status each status event replaces.
+    """Number accepted events per entity, continuing after ``known_heads``, and note the status
+    each status event replaces.
 
     ``decided`` has the journal's columns but ``sequence_number`` and ``old_status``;
-    ``ordering`` is the arrival number. An event whose ordering is journaled already is left
-    out, so a retry adds nothing.
+    ``ordering`` is the arrival number.
     """
-    if journal is not None:
-        decided = decided.join(journal.select("ordering"), "ordering", "left_anti")
     numbered = ordered_scan(
         decided,
         ["persistence_id"],
@@ -127,12 +137,8 @@ def new_events(
         policy=policy,
         sized_by=sized_by,
     )
-    if journal is not None:
-        last = journal.groupBy("persistence_id").agg(
-            F.max("sequence_number").alias("last_number"),
-            F.max_by("new_status", F.when(F.col("new_status").isNotNull(), F.col("sequence_number"))).alias("last_status"),
-        )
-        numbered = join_facts(numbered, last, ["persistence_id"], "left", policy, sized_by).withColumns(
+    if known_heads is not None:
+        numbered = join_facts(numbered, known_heads, ["persistence_id"], "left", policy, sized_by).withColumns(
             {
                 "sequence_number": F.col("sequence_number") + F.coalesce("last_number", F.lit(0)),
                 "old_status": F.coalesce("old_status", "last_status"),

@@ -173,7 +173,11 @@ def allocation_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def allocation_demands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same demands as rows, without going through JSON."""
-    return booking_requests(spark, sf_dir).select(
+    return demands_of(booking_requests(spark, sf_dir))
+
+
+def demands_of(requests: DataFrame) -> DataFrame:
+    return requests.select(
         F.concat_ws(
             "-",
             F.lit("alloc"),
