@@ -33,7 +33,7 @@ def read_journal_jdbc(
 def decode_payloads(stored: DataFrame) -> DataFrame:
     """Stored rows with serialized JSON payloads to typed journal rows."""
     event = F.from_json(
-        F.decode("event_payload", F.lit("UTF-8")),
+        F.decode("event_payload", "UTF-8"),
         "seatsAllocated int, seatsReleased int, remainingSeats int, oldStatus string, newStatus string, reason string,"
         " timestamp string, flight struct<flightId:string,flightNumber:string,route:struct<origin:struct<code:string>,"
         "destination:struct<code:string>,distance:double,estimatedDuration:string>,scheduledDeparture:string,"
