@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 # The two text formats accepted on input.
 LOCAL_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}(:\d{2}(\.\d{0,9})?)?$"
+# The digit counts keep the total, in microseconds, inside 64 bits: about 27,000 years in days.
 DURATION = (
-    r"^([-+]?)[Pp](?:([-+]?\d+)[Dd])?"
-    r"(?:[Tt](?:([-+]?\d+)[Hh])?(?:([-+]?\d+)[Mm])?(?:([-+]?\d+)(?:[.,](\d{0,9}))?[Ss])?)?$"
+    r"^(?=.*\d[DdHhMmSs.,])(?!.*[Tt]$)([-+]?)[Pp](?:([-+]?\d{1,7})[Dd])?"
+    r"(?:[Tt](?:([-+]?\d{1,8})[Hh])?(?:([-+]?\d{1,10})[Mm])?(?:([-+]?\d{1,12})(?:[.,](\d{0,9}))?[Ss])?)?$"
 )
 
 MICROS = 1_000_000
@@ -32,27 +33,30 @@ def format_local_date_time(ts: Column) -> Column:
 def parse_duration_micros(text: Column) -> Column:
     """Length in microseconds of an ISO-8601 duration; null when the text is not one."""
 
-    def part(group: int) -> Column:
-        return F.coalesce(F.regexp_extract(text, DURATION, group).try_cast("long"), F.lit(0).cast("long"))
+    # sign, days, hours, minutes, seconds, fraction: matched once, then used by position
+    parts = F.split(F.regexp_replace(text, DURATION, "$1,$2,$3,$4,$5,$6"), ",")
 
-    whole_seconds = part(2) * 86_400 + part(3) * 3_600 + part(4) * 60 + part(5)
-    # the fraction takes the sign written on the seconds
-    fraction = F.rpad(F.regexp_extract(text, DURATION, 6), 6, "0").cast("long")
-    fraction = F.when(F.regexp_extract(text, DURATION, 5).startswith("-"), -fraction).otherwise(fraction)
-    sign = F.when(F.regexp_extract(text, DURATION, 1) == "-", -1).otherwise(1)
-    well_formed = text.rlike(DURATION) & text.rlike(r"\d[DdHhMmSs.,]") & ~text.rlike(r"[Tt]$")
-    return F.when(well_formed, sign * (whole_seconds * MICROS + fraction))
+    def total(part: Column) -> Column:
+        def amount(position: int) -> Column:
+            # absent parts are tested for: a failing cast is far slower than a comparison
+            return F.when(part[position] == "", F.lit(0).cast("long")).otherwise(part[position].cast("long"))
+
+        whole_seconds = amount(1) * 86_400 + amount(2) * 3_600 + amount(3) * 60 + amount(4)
+        # the fraction takes the sign written on the seconds
+        fraction = F.rpad(part[5], 6, "0").cast("long") * F.when(part[4].startswith("-"), -1).otherwise(1)
+        return F.when(part[0] == "-", -1).otherwise(1) * (whole_seconds * MICROS + fraction)
+
+    return F.when(text.rlike(DURATION), F.transform(F.array(parts), total)[0])
 
 
 def parse_duration(text: Column) -> Column:
     """ISO-8601 duration text to a day-time interval; null when the text is not one."""
-    micros = parse_duration_micros(text)
-    seconds = (micros % (60 * MICROS)).cast("decimal(18,6)") / MICROS
-    minutes = F.call_function("div", micros, F.lit(60 * MICROS).cast("long"))
-    return F.when(
-        micros.isNotNull(),
-        F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"), seconds.cast("decimal(18,6)")),
-    )
+    return interval_of(parse_duration_micros(text))
+
+
+def interval_of(micros: Column) -> Column:
+    zero = F.lit(0)
+    return F.make_dt_interval(zero, zero, zero, (micros.cast("decimal(18,0)") / MICROS).cast("decimal(18,6)"))
 
 
 def format_duration(seconds: Column) -> Column:

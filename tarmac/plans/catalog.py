@@ -91,10 +91,7 @@ def flight_demand(spark, sf_dir):
 def ingest_flights(spark, sf_dir):
     parsed = ingest.parse_flight_requests(tables.flight_request_lines(spark, sf_dir))
     flights = ingest.to_flights(ingest.accepted(parsed), F.col("flight_id"))
-    return ingest.flatten_flights(flights).withColumn(
-        "estimated_seconds",
-        F.timestamp_diff("SECOND", "scheduled_departure", "scheduled_arrival"),
-    )
+    return ingest.flatten_flights(flights)
 
 
 @query
@@ -149,9 +146,8 @@ def export_flights_json(spark, sf_dir):
 
 @query
 def export_allocation_results(spark, sf_dir):
-    demands, flights = tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir)
-    outcome = allocation.with_outcome(demands, flights).withColumn("position", F.col("request_id"))
-    given = allocation.allocate_greedy(demands, flights).withColumn("position", F.col("request_id"))
+    outcome = outcome_table(spark, sf_dir).withColumn("position", F.col("request_id"))
+    given = allocation_table(spark, sf_dir).withColumn("position", F.col("request_id"))
     return export.allocation_documents(outcome, given)
 
 
@@ -335,10 +331,9 @@ def booking_details(spark, sf_dir):
 
 @query
 def seat_reconciliation(spark, sf_dir):
-    flights = tables.flights(spark, sf_dir)
     return bookings.seat_reconciliation(
         bookings.seat_effects(bookings.booking_events(_assigned(spark, sf_dir))),
-        allocation.allocate_greedy(tables.allocation_demands(spark, sf_dir), flights),
+        allocation_table(spark, sf_dir),
         tables.flights_current(spark, sf_dir),
     )
 
@@ -384,9 +379,28 @@ def allocation_events(spark, sf_dir):
     )
 
 
+def allocation_table(spark, sf_dir):
+    """Allocations of all runs, written once per application as a finished run's result is."""
+    return stored(
+        spark,
+        sf_dir,
+        "allocations",
+        lambda: allocation.allocate_greedy(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir)),
+    )
+
+
+def outcome_table(spark, sf_dir):
+    """What each demand got and did not get, kept likewise."""
+    return stored(
+        spark,
+        sf_dir,
+        "outcome",
+        lambda: allocation.with_outcome(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir)),
+    )
+
+
 def _run_events(spark, sf_dir):
-    demands = tables.allocation_demands(spark, sf_dir)
-    return tables.run_events_from(demands, allocation.allocate_greedy(demands, tables.flights(spark, sf_dir)))
+    return tables.run_events_from(tables.allocation_demands(spark, sf_dir), allocation_table(spark, sf_dir))
 
 
 @query
@@ -398,9 +412,7 @@ def allocation_status(spark, sf_dir):
 @query
 def allocation_result(spark, sf_dir):
     states = allocation.run_states(_run_events(spark, sf_dir))
-    summary = allocation.run_summary(
-        allocation.with_outcome(tables.allocation_demands(spark, sf_dir), tables.flights(spark, sf_dir))
-    )
+    summary = allocation.run_summary(outcome_table(spark, sf_dir))
     return allocation.allocation_result(tables.status_requests(spark, sf_dir), states, summary)
 
 

@@ -266,7 +266,7 @@ oracle(
 oracle(
     "ingest_flights",
     "flights request_faults",
-    f"""SELECT {FLIGHT}, date_diff('second', scheduled_departure, scheduled_arrival) AS estimated_seconds FROM flights
+    f"""SELECT {FLIGHT} FROM flights
   WHERE flight_id IN (SELECT flight_id FROM request_faults WHERE reason IS NULL)""",
 )
 oracle(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.capacity import priority_rank
-from tarmac.functions.durations import parse_duration, parse_duration_micros, parse_local_date_time
+from tarmac.functions.durations import interval_of, parse_duration_micros, parse_local_date_time
 from tarmac.schemas import (
     ALLOCATION_REQUEST,
     CREATE_FLIGHT_REQUEST,
@@ -24,39 +24,43 @@ def read_request_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_flight_requests(lines: DataFrame, body: str = "body") -> DataFrame:
-    """Parse create-flight bodies into ``request`` and list what is wrong with each in ``reason``.
-
-    ``reason`` is null for a good record. Every field is required.
-    """
-    parsed = lines.withColumn(
-        "request",
-        F.from_json(
-            F.col(body),
-            CREATE_FLIGHT_REQUEST.simpleString().removesuffix(">") + f",{CORRUPT}:string>",
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
-        ),
+    """Parse create-flight bodies into ``request``, with times in ``parsed``, and say what is wrong
+    with each in ``reason``, which is null for a good record. Every field is required."""
+    request = F.from_json(
+        F.col(body),
+        CREATE_FLIGHT_REQUEST.simpleString().removesuffix(">") + f",{CORRUPT}:string>",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    field = F.col("request").getField
+    times = F.struct(
+        parse_local_date_time(field("scheduledDeparture")).alias("departure"),
+        parse_local_date_time(field("scheduledArrival")).alias("arrival"),
+        parse_duration_micros(field("estimatedDuration")).alias("duration_micros"),
     )
+    parsed = _once(_once(lines, request, "request"), times, "parsed")
     return parsed.withColumn("reason", _flight_request_problem()).withColumn(
         "request", F.col("request").dropFields(CORRUPT)
     )
 
 
-def _flight_request_problem(seat_limit: bool = False) -> Column:
-    field = F.col("request").getField
-    missing = None
-    for name in CREATE_FLIGHT_REQUEST.names:
-        test, text = field(name).isNull(), F.lit(f"missing {name}")
-        missing = F.when(test, text) if missing is None else missing.when(test, text)
-    checks = [
+def _once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column through a one-element explode: rules and filters that use its fields then
+    cannot be rewritten to parse the text again for each of them."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _flight_request_problem() -> Column:
+    field, parsed = F.col("request").getField, F.col("parsed").getField
+    missing = F.coalesce(
+        *[F.when(field(name).isNull(), F.lit(f"missing {name}")) for name in CREATE_FLIGHT_REQUEST.names]
+    )
+    return F.coalesce(
         F.when(F.col("request").isNull() | field(CORRUPT).isNotNull(), F.lit("malformed JSON")),
         missing,
-        F.when(parse_local_date_time(field("scheduledDeparture")).isNull(), F.lit("bad scheduledDeparture")),
-        F.when(parse_local_date_time(field("scheduledArrival")).isNull(), F.lit("bad scheduledArrival")),
-        F.when(parse_duration_micros(field("estimatedDuration")).isNull(), F.lit("bad estimatedDuration")),
-    ]
-    if seat_limit:
-        checks.append(F.when(~field("totalSeats").between(1, MAX_SEATS_PER_FLIGHT), F.lit("bad totalSeats")))
-    return F.coalesce(*checks)
+        F.when(parsed("departure").isNull(), F.lit("bad scheduledDeparture")),
+        F.when(parsed("arrival").isNull(), F.lit("bad scheduledArrival")),
+        F.when(parsed("duration_micros").isNull(), F.lit("bad estimatedDuration")),
+    )
 
 
 def flag_seat_limit(parsed: DataFrame) -> DataFrame:
@@ -75,7 +79,7 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNotNull()).drop("request")
+    return parsed.where(F.col("reason").isNotNull()).drop("request", "parsed")
 
 
 def to_flights(good: DataFrame, flight_id: Column | None = None) -> DataFrame:
@@ -95,10 +99,10 @@ def to_flights(good: DataFrame, flight_id: Column | None = None) -> DataFrame:
             airport("origin").alias("origin"),
             airport("destination").alias("destination"),
             r("distance").alias("distance"),
-            parse_duration(r("estimatedDuration")).alias("estimatedDuration"),
+            interval_of(F.col("parsed.duration_micros")).alias("estimatedDuration"),
         ).alias("route"),
-        parse_local_date_time(r("scheduledDeparture")).alias("scheduledDeparture"),
-        parse_local_date_time(r("scheduledArrival")).alias("scheduledArrival"),
+        F.col("parsed.departure").alias("scheduledDeparture"),
+        F.col("parsed.arrival").alias("scheduledArrival"),
         r("totalSeats").alias("totalSeats"),
         r("totalSeats").alias("availableSeats"),
         F.lit(FLIGHT_STATUSES[0]).alias("status"),
@@ -123,7 +127,7 @@ def flatten_flights(flights: DataFrame) -> DataFrame:
 
 def parse_allocation_requests(lines: DataFrame, body: str = "body") -> DataFrame:
     """Parse allocation-request bodies; ``reason`` is null for a good record."""
-    parsed = lines.withColumn("request", F.from_json(F.col(body), ALLOCATION_REQUEST))
+    parsed = _once(lines, F.from_json(F.col(body), ALLOCATION_REQUEST), "request")
     r = F.col("request").getField
     complete = F.forall(
         r("odPairs"),

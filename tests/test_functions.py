@@ -33,6 +33,7 @@ def one(spark, value, fn, type_="string"):
         ("PT1H2H", None),
         ("P1Y", None),
         ("P1M", None),
+        ("P99999999D", None),
         ("", None),
         (None, None),
     ],
