@@ -23,11 +23,8 @@ def parse_local_date_time(text: Column) -> Column:
 
 
 def format_local_date_time(ts: Column) -> Column:
-    """Text with the fraction left out when it is zero, and the seconds too when both are."""
-    return (
-        F.when(F.date_format(ts, "SSSSSS") != "000000", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-        .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
-    )
+    """Text with seconds, and with as many digits of the fraction as it needs."""
+    return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
 
 
 def parse_duration_micros(text: Column) -> Column:
@@ -71,8 +68,3 @@ def format_duration(seconds: Column) -> Column:
     return F.when(seconds == 0, "PT0S").otherwise(
         F.concat(F.lit("PT"), part(hours, "H"), part(minutes, "M"), part(rest, "S"))
     )
-
-
-def seconds_between(start: Column, end: Column) -> Column:
-    """Whole seconds from ``start`` to ``end``, rounded toward zero."""
-    return F.timestamp_diff("SECOND", start, end)

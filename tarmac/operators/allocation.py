@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.functions.clock import floor_div
 from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts, ordered_scan
 
 OD = ["origin", "destination"]
@@ -62,7 +63,7 @@ def order_flights(flights: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame
 
 
 def _blocks(start: str, end: Column, block: int) -> Column:
-    return F.explode(F.sequence(F.floor(F.col(start) / block), F.floor((end - 1) / block)))
+    return F.explode(F.sequence(floor_div(F.col(start), block), floor_div(end - 1, block)))
 
 
 def allocate_greedy(
@@ -86,7 +87,7 @@ def allocate_greedy(
     return (
         taking.join(giving, [*OD, "_block"])
         # each overlap is reported by the block it starts in
-        .where((start < end) & (F.floor(start / block) == F.col("_block")))
+        .where((start < end) & (floor_div(start, block) == F.col("_block")))
         .select(
             "allocation_id",
             "run_id",

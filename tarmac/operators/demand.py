@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.capacity import od_key
+from tarmac.functions.clock import period_start
 
 OD = ["origin", "destination"]
 
@@ -31,9 +32,10 @@ def od_demand(requests: DataFrame) -> DataFrame:
 
 
 def od_demand_by_period(requests: DataFrame, period: str = "month") -> DataFrame:
-    """Demand per calendar period; ``period`` is a ``date_trunc`` unit. The end shown is the
+    """Demand per calendar period; ``period`` is year, quarter, month, week or
+    day. The end shown is the
     last second inside the half-open period."""
-    start = F.date_trunc(period, F.col("request_time")).cast("timestamp_ntz")
+    start = period_start(period, F.col("request_time"))
     return (
         requests.groupBy(start.alias("period_start"), *OD)
         .agg(*_demand_totals())
@@ -53,7 +55,7 @@ def top_routes(requests: DataFrame, k: int = 10) -> DataFrame:
 
 def flight_demand(bookings: DataFrame) -> DataFrame:
     """Requests per flight, over the days from the first request to the last."""
-    day = F.date_trunc("day", F.col("request_time")).cast("timestamp_ntz")
+    day = period_start("day", F.col("request_time"))
     return (
         bookings.where(F.col("flight_id").isNotNull())
         .groupBy("flight_id")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.clock import millis_between
+
 
 def metrics_summary(metrics: DataFrame, operations: DataFrame | None = None) -> DataFrame:
     """Count, mean, extremes and total per operation. Listed operations with no record get zeros."""
@@ -42,7 +44,7 @@ def run_trace(logs: DataFrame) -> DataFrame:
             F.count_if(F.col("level") == "ERROR").alias("errors"),
             F.count_if(F.col("level") == "WARN").alias("warnings"),
         )
-        .withColumn("span_ms", F.timestamp_diff("MILLISECOND", "first_at", "last_at"))
+        .withColumn("span_ms", millis_between(F.col("first_at"), F.col("last_at")))
     )
 
 
@@ -54,5 +56,5 @@ def run_checkpoints(logs: DataFrame) -> DataFrame:
     return seen.join(began, "run_id").select(
         "run_id",
         F.col("message").alias("checkpoint"),
-        F.timestamp_diff("MILLISECOND", "began_at", "reached_at").alias("offset_ms"),
+        millis_between(F.col("began_at"), F.col("reached_at")).alias("offset_ms"),
     )

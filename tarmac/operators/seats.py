@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.clock import floor_div
 from tarmac.operators.skew import DEFAULT, SkewPolicy, heavy_keys, split_rows
 from tarmac.schemas import FLIGHT_EXISTS, INSUFFICIENT_SEATS
 
@@ -53,7 +54,7 @@ def seat_command_log(
     if heavy is None:
         return _fold(_with_starts(rows, starts, ["flight_id"]), ["flight_id"])
     hot, cold = split_rows(rows, ["flight_id"], heavy)
-    hot = hot.withColumn("slice", F.floor(F.col("ordering") / policy.chunk))
+    hot = hot.withColumn("slice", floor_div(F.col("ordering"), policy.chunk))
     hot_starts = None if starts is None else split_rows(starts, ["flight_id"], heavy)[0]
     sliced = hot.join(_slice_starts(hot, hot_starts), ["flight_id", "slice"], "left")
     return _fold(sliced, ["flight_id", "slice"]).unionByName(

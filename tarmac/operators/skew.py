@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.functions.clock import floor_div
 from tarmac.session import shared_folder
 
 
@@ -130,7 +131,7 @@ def ordered_scan(
     if ordinal is not None:
         marked = df.join(F.broadcast(heavy.select(*keys, F.lit(True).alias("_heavy"))), keys, "left")
         marked = marked.withColumn(
-            "_slice", F.when(F.col("_heavy"), F.floor(F.col(ordinal) / policy.chunk)).otherwise(F.lit(0))
+            "_slice", F.when(F.col("_heavy"), floor_div(F.col(ordinal), policy.chunk)).otherwise(F.lit(0))
         ).withColumn("_heavy", F.coalesce("_heavy", F.lit(False)))
     else:
         marked = _range_slices(df, keys, order, heavy, policy)

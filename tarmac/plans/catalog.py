@@ -109,6 +109,11 @@ def quarantine_requests(spark, sf_dir):
     return ingest.quarantined(parsed).select("flight_id", "reason")
 
 
+@query
+def ingest_status_updates(spark, sf_dir):
+    return ingest.parse_updates(tables.update_lines(spark, sf_dir)).select("update_id", "status", "seats", "reason")
+
+
 @query
 def ingest_allocation_requests(spark, sf_dir):
     parsed = ingest.parse_allocation_requests(tables.allocation_request_lines(spark, sf_dir))
@@ -148,7 +153,8 @@ def export_flights_json(spark, sf_dir):
 def export_allocation_results(spark, sf_dir):
     outcome = outcome_table(spark, sf_dir).withColumn("position", F.col("request_id"))
     given = allocation_table(spark, sf_dir).withColumn("position", F.col("request_id"))
-    return export.allocation_documents(outcome, given)
+    flights = export.flight_documents(tables.flights(spark, sf_dir), tables.airports(spark, sf_dir))
+    return export.allocation_documents(outcome, given, flights)
 
 
 # --- flights -------------------------------------------------------------------------------

@@ -275,6 +275,14 @@ oracle(
     "SELECT coalesce(reason, 'accepted') AS verdict, count(*) AS requests FROM request_faults GROUP BY 1",
 )
 oracle("quarantine_requests", "request_faults", "SELECT * FROM request_faults WHERE reason IS NOT NULL")
+oracle(
+    "ingest_status_updates",
+    "",
+    """SELECT event_id AS update_id, status, CASE WHEN status IS NULL THEN CAST(1 + CAST(floor(value) AS BIGINT) % 40
+  AS INTEGER) END AS seats, CASE WHEN status IN ('boarding', 'Landed') THEN 'bad status' END AS reason
+  FROM (SELECT *, CASE WHEN event_type IN ('signup', 'error') THEN ['Scheduled', 'Boarding', 'boarding', 'Departed',
+   'Arrived', 'Landed', 'Cancelled', 'Delayed'][event_id % 8 + 1] END AS status FROM events)""",
+)
 oracle(
     "ingest_allocation_requests",
     "demands",
@@ -290,10 +298,10 @@ oracle(
     """SELECT ordering, persistence_id, sequence_number, event_type FROM journal
   WHERE event_type IN ('SeatsAllocated', 'SeatsReleased')""",
 )
-oracle(
-    "export_flights_json",
-    "flights_current airports",
-    """SELECT flight_id, CAST(json_object('flightId', flight_id, 'flightNumber', flight_number, 'route', json_object(
+
+
+def _flight_document(table: str) -> str:
+    return f"""SELECT flight_id, CAST(json_object('flightId', flight_id, 'flightNumber', flight_number, 'route', json_object(
    'origin', json_object('code', o.code, 'name', o.name, 'city', o.city, 'country', o.country),
    'destination', json_object('code', d.code, 'name', d.name, 'city', d.city, 'country', d.country),
    'distance', distance, 'estimatedDuration', 'PT' || CASE WHEN minutes // 60 > 0 THEN (minutes // 60) || 'H' ELSE '' END
@@ -301,21 +309,29 @@ oracle(
    'scheduledDeparture', strftime(scheduled_departure, '%Y-%m-%dT%H:%M:%S'),
    'scheduledArrival', strftime(scheduled_arrival, '%Y-%m-%dT%H:%M:%S'), 'totalSeats', total_seats,
    'availableSeats', available_seats, 'status', status) AS VARCHAR) AS document
-  FROM (SELECT *, date_diff('minute', scheduled_departure, scheduled_arrival) AS minutes FROM flights_current)
-  JOIN airports o ON origin = o.code JOIN airports d ON destination = d.code""",
-)
+  FROM (SELECT *, date_diff('minute', scheduled_departure, scheduled_arrival) AS minutes FROM {table})
+  JOIN airports o ON origin = o.code JOIN airports d ON destination = d.code"""
+
+
+CTES["flight_docs"] = _flight_document("flights")
+NEEDS["flight_docs"] = ["flights", "airports"]
+oracle("export_flights_json", "flights_current airports", _flight_document("flights_current"))
+
+AIRPORT = """'{{"code":"' || {0} || '","name":"","city":"","country":""}}'"""
+PAIR = f"""'{{"origin":' || {AIRPORT.format('origin')} || ',"destination":' || {AIRPORT.format('destination')} || '}}'"""
 oracle(
     "export_allocation_results",
-    "outcome allocations",
-    """SELECT allocation_id, part, CAST(coalesce(given, 0) AS INTEGER) AS allocation_count,
-  CAST(missing AS INTEGER) AS unallocated_count, '{"allocationId":"' || allocation_id || '","runId":"' || run_id
-   || '","allocations":[' || coalesce(allocations, '') || '],"unallocated":[' || coalesce(unallocated, '') || ']}' AS document
+    "outcome allocations flight_docs",
+    f"""SELECT allocation_id, part, coalesce(given, 0) AS allocation_count, missing AS unallocated_count,
+  '{{"allocationId":"' || allocation_id || '","runId":"' || run_id || '","allocations":[' || coalesce(allocations, '')
+  || '],"unallocated":[' || coalesce(unallocated, '') || '],"processingTimeMs":0,"completedAt":"'
+  || strftime(completed, '%Y-%m-%dT%H:%M:%S') || '"}}' AS document
   FROM (SELECT allocation_id, request_id // 1000 AS part, run_id, count(*) FILTER (unallocated_seats > 0) AS missing,
-   string_agg('{"odPair":"' || origin || '-' || destination || '","seats":' || unallocated_seats || '}', ','
-    ORDER BY request_id) FILTER (unallocated_seats > 0) AS unallocated FROM outcome GROUP BY allocation_id, part, run_id)
-  LEFT JOIN (SELECT allocation_id, request_id // 1000 AS part, count(*) AS given, string_agg('{"odPair":"' || origin
-    || '-' || destination || '","flightId":"' || flight_id || '","seatsAllocated":' || seats_allocated || '}', ','
-    ORDER BY request_id, axis_start) AS allocations FROM allocations GROUP BY allocation_id, part)
+   max(request_time) AS completed, string_agg('[' || {PAIR} || ',' || unallocated_seats || ']', ',' ORDER BY request_id)
+    FILTER (unallocated_seats > 0) AS unallocated FROM outcome GROUP BY allocation_id, part, run_id)
+  LEFT JOIN (SELECT allocation_id, request_id // 1000 AS part, count(*) AS given, string_agg('{{"odPair":' || {PAIR}
+    || ',"flight":' || document || ',"seatsAllocated":' || seats_allocated || '}}', ',' ORDER BY request_id, axis_start)
+   AS allocations FROM allocations JOIN flight_docs USING (flight_id) GROUP BY allocation_id, part)
   USING (allocation_id, part)""",
 )
 

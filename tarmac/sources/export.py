@@ -9,17 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.durations import format_duration, format_local_date_time, seconds_between
+from tarmac.functions.clock import floor_div, seconds_between
+from tarmac.functions.durations import format_duration, format_local_date_time
 from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts
 
 PART = 1_000  # demands per part of an allocation document
 
 
-def _airport(prefix: str, code: str) -> Column:
-    return F.struct(
-        F.col(code).alias("code"),
-        *[F.coalesce(f"{prefix}_{c}", F.lit("")).alias(c) for c in ("name", "city", "country")],
-    ).alias(code)
+def _airport(code: str, prefix: str | None = None) -> Column:
+    """An airport object; without a ``prefix`` only the code is known."""
+    details = [
+        (F.lit("") if prefix is None else F.coalesce(f"{prefix}_{name}", F.lit(""))).alias(name)
+        for name in ("name", "city", "country")
+    ]
+    return F.struct(F.col(code).alias("code"), *details).alias(code)
 
 
 def flight_documents(flights: DataFrame, airports: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -47,46 +50,101 @@ def flight_documents(flights: DataFrame, airports: DataFrame, policy: SkewPolicy
     return flights.select("flight_id", F.to_json(document).alias("document"))
 
 
-def allocation_documents(outcome: DataFrame, allocations: DataFrame, part: int = PART) -> DataFrame:
+def _listed(position: list[str], text: Column, keep: Column | None = None) -> Column:
+    """Elements of a JSON array, in order, as one text."""
+    element = F.struct(*position, text.alias("text"))
+    elements = F.collect_list(element if keep is None else F.when(keep, element))
+    return F.array_join(F.transform(F.array_sort(elements), lambda e: e["text"]), ",")
+
+
+def allocation_documents(
+    outcome: DataFrame,
+    allocations: DataFrame,
+    flight_docs: DataFrame,
+    processing_ms: Column | None = None,
+    part: int = PART,
+    policy: SkewPolicy = DEFAULT,
+) -> DataFrame:
     """Results per allocation id and part. ``outcome`` and ``allocations`` carry ``position``,
-    the place of the demand in its request."""
-    pair = F.concat_ws("-", "origin", "destination").alias("odPair")
-    where = [F.col("allocation_id"), F.floor(F.col("position") / part).alias("part")]
-    given = allocations.groupBy(*where).agg(
-        F.transform(
-            F.array_sort(
-                F.collect_list(F.struct("position", "axis_start", pair, "flight_id", "seats_allocated"))
-            ),
-            lambda a: F.struct(
-                a.odPair.alias("odPair"), a.flight_id.alias("flightId"), a.seats_allocated.alias("seatsAllocated")
+    the place of the demand in its request; ``flight_docs`` comes from ``flight_documents``.
+
+    Each allocation shows its O&D pair, flight and seats; unallocated demand is listed as
+    [pair, seats]. A run is completed at its last request.
+    """
+    pair = F.to_json(F.struct(_airport("origin"), _airport("destination")))
+    where = [F.col("allocation_id"), floor_div(F.col("position"), part).alias("part")]
+
+    shown = join_facts(allocations, flight_docs, ["flight_id"], "left", policy)
+    given = shown.groupBy(*where).agg(
+        F.count(F.lit(1)).alias("allocation_count"),
+        _listed(
+            ["position", "axis_start"],
+            F.concat(
+                F.lit('{"odPair":'), pair, F.lit(',"flight":'), F.col("document"),
+                F.lit(',"seatsAllocated":'), F.col("seats_allocated").cast("string"), F.lit("}"),
             ),
-        ).alias("allocations")
+        ).alias("allocations"),
     )
+    short = F.col("unallocated_seats") > 0
     left = outcome.groupBy(*where, "run_id").agg(
-        F.transform(
-            F.array_sort(
-                F.collect_list(
-                    F.when(
-                        F.col("unallocated_seats") > 0, F.struct("position", pair, F.col("unallocated_seats").alias("seats"))
-                    )
-                )
-            ),
-            lambda u: F.struct(u.odPair.alias("odPair"), u.seats.alias("seats")),
-        ).alias("unallocated")
+        F.count_if(short).alias("unallocated_count"),
+        F.max("request_time").alias("completed_at"),
+        _listed(
+            ["position"],
+            F.concat(F.lit("["), pair, F.lit(","), F.col("unallocated_seats").cast("string"), F.lit("]")),
+            short,
+        ).alias("unallocated"),
     )
-    joined = left.join(given, ["allocation_id", "part"], "left").withColumn(
-        "allocations", F.coalesce("allocations", F.array())
+    header = F.to_json(F.struct(F.col("allocation_id").alias("allocationId"), F.col("run_id").alias("runId")))
+    footer = F.to_json(
+        F.struct(
+            (F.lit(0) if processing_ms is None else processing_ms).cast("long").alias("processingTimeMs"),
+            format_local_date_time(F.col("completed_at")).alias("completedAt"),
+        )
     )
-    document = F.struct(
-        F.col("allocation_id").alias("allocationId"), F.col("run_id").alias("runId"), "allocations", "unallocated"
+    document = F.concat(
+        F.rtrim(header, F.lit("}")), F.lit(',"allocations":['), F.coalesce("allocations", F.lit("")),
+        F.lit('],"unallocated":['), F.col("unallocated"), F.lit("],"), F.ltrim(footer, F.lit("{")),
     )
-    return joined.select(
+    return left.join(given, ["allocation_id", "part"], "left").select(
         "allocation_id",
         "part",
-        F.size("allocations").alias("allocation_count"),
-        F.size("unallocated").alias("unallocated_count"),
-        F.to_json(document).alias("document"),
+        F.coalesce("allocation_count", F.lit(0)).cast("long").alias("allocation_count"),
+        "unallocated_count",
+        document.alias("document"),
+    )
+
+
+def parse_allocation_documents(lines: DataFrame, column: str = "document") -> DataFrame:
+    """Read result documents back: one row per allocation and per unallocated pair."""
+    read = lines.select(
+        F.from_json(
+            column,
+            "allocationId string, runId string, allocations array<struct<odPair:struct<origin:struct<code:string>,"
+            "destination:struct<code:string>>,flight:struct<flightId:string>,seatsAllocated:long>>,"
+            # a pair and a number in one array: read as text, then parse the pair
+            "unallocated array<array<string>>",
+        ).alias("d")
+    ).select("d.*")
+    ids = [F.col("allocationId").alias("allocation_id"), F.col("runId").alias("run_id")]
+    given = read.select(*ids, F.explode("allocations").alias("a")).select(
+        "allocation_id",
+        "run_id",
+        F.col("a.odPair.origin.code").alias("origin"),
+        F.col("a.odPair.destination.code").alias("destination"),
+        F.col("a.flight.flightId").alias("flight_id"),
+        F.col("a.seatsAllocated").alias("seats"),
+    )
+    pair = F.from_json(F.col("u")[0], "origin struct<code:string>, destination struct<code:string>")
+    left = read.select(*ids, F.explode("unallocated").alias("u")).select(
+        "allocation_id",
+        "run_id",
+        pair["origin"]["code"].alias("origin"),
+        pair["destination"]["code"].alias("destination"),
+        F.lit(None).cast("string").alias("flight_id"),
+        F.col("u")[1].cast("long").alias("seats"),
     )
+    return given.unionByName(left)
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
@@ -104,10 +162,10 @@ def write_listing(documents: DataFrame, path: str, files: int | None = None) ->
 
         opened = False
         for batch in batches:
-            if len(batch):
-                text = batch["document"].tolist()
-                yield pd.DataFrame({"value": [('{"flights":[' if not opened else ",") + text[0], *["," + t for t in text[1:]]]})
+            lines = [("," if i or opened else '{"flights":[') + text for i, text in enumerate(batch["document"])]
+            if lines:
                 opened = True
+                yield pd.DataFrame({"value": lines})
         if opened:
             yield pd.DataFrame({"value": ["]}"]})
 

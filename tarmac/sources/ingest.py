@@ -125,6 +125,17 @@ def flatten_flights(flights: DataFrame) -> DataFrame:
     )
 
 
+def parse_updates(lines: DataFrame, body: str = "body") -> DataFrame:
+    """Parse update bodies, ``{"status": name}`` or ``{"seats": n}``; status names are exact."""
+    parsed = _once(lines, F.from_json(F.col(body), "status string, seats int"), "update")
+    status, seats = F.col("update.status"), F.col("update.seats")
+    reason = F.coalesce(
+        F.when(F.col("update").isNull() | (status.isNull() & seats.isNull()), F.lit("malformed JSON")),
+        F.when(status.isNotNull() & ~status.isin(FLIGHT_STATUSES), F.lit("bad status")),
+    )
+    return parsed.withColumns({"status": status, "seats": seats, "reason": reason}).drop("update")
+
+
 def parse_allocation_requests(lines: DataFrame, body: str = "body") -> DataFrame:
     """Parse allocation-request bodies; ``reason`` is null for a good record."""
     parsed = _once(lines, F.from_json(F.col(body), ALLOCATION_REQUEST), "request")

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.functions.clock import day_text, floor_div, seconds_between
+from tarmac.functions.durations import format_local_date_time
 from tarmac.operators.skew import join_facts
 
 HUBS = 25  # airports are the nations
@@ -109,7 +111,8 @@ def flight_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         return places.select(F.col("code").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("name", "city", "country")])
 
     fault = F.col("flight_no") % 19
-    minutes = F.expr("timestampdiff(MINUTE, scheduled_departure, scheduled_arrival)")
+    leaves, lands = F.col("scheduled_departure"), F.col("scheduled_arrival")
+    minutes = floor_div(seconds_between(leaves, lands), 60)
     body = F.to_json(
         F.struct(
             F.col("flight_number").alias("flightNumber"),
@@ -122,12 +125,12 @@ def flight_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(fault == 1, F.lit("2 hours"))
             .otherwise(F.concat(F.lit("PT"), minutes.cast("string"), F.lit("M")))
             .alias("estimatedDuration"),
-            F.when(fault == 2, F.date_format("scheduled_departure", "yyyy-MM-dd HH:mm:ss"))
-            .when(fault == 3, F.date_format("scheduled_departure", "yyyy-MM-dd'T'HH:mm"))
-            .otherwise(F.date_format("scheduled_departure", "yyyy-MM-dd'T'HH:mm:ss"))
+            F.when(fault == 2, leaves.cast("string"))
+            .when(fault == 3, F.substring(format_local_date_time(leaves), 1, 16))
+            .otherwise(format_local_date_time(leaves))
             .alias("scheduledDeparture"),
             F.when(fault == 4, F.lit("2024-02-30T10:00:00"))
-            .otherwise(F.date_format("scheduled_arrival", "yyyy-MM-dd'T'HH:mm:ss"))
+            .otherwise(format_local_date_time(lands))
             .alias("scheduledArrival"),
             F.when(fault != 5, F.col("total_seats")).alias("totalSeats"),
         )
@@ -153,7 +156,7 @@ def allocation_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         asked.groupBy(
-            F.date_format("request_time", "yyyy-MM-dd").alias("day"),
+            day_text(F.col("request_time")).alias("day"),
             "priority",
             F.expr(f"request_id div {REQUEST_SPAN}").alias("span"),
         )
@@ -181,11 +184,11 @@ def demands_of(requests: DataFrame) -> DataFrame:
         F.concat_ws(
             "-",
             F.lit("alloc"),
-            F.date_format("request_time", "yyyy-MM-dd"),
+            day_text(F.col("request_time")),
             "priority",
             F.expr(f"request_id div {REQUEST_SPAN}"),
         ).alias("allocation_id"),
-        F.concat(F.lit("run-"), F.date_format("request_time", "yyyy-MM-dd")).alias("run_id"),
+        F.concat(F.lit("run-"), day_text(F.col("request_time"))).alias("run_id"),
         "request_id",
         "origin",
         "destination",
@@ -262,11 +265,11 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(
         F.to_json(
             F.struct(
-                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+                format_local_date_time(F.col("ts")).alias("timestamp"),
                 F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"),
                 F.col("event_type").alias("message"),
                 F.col("user_id").cast("string").alias("correlationId"),
-                F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd")).alias("runId"),
+                F.concat(F.lit("run-"), day_text(F.col("ts"))).alias("runId"),
                 (F.get_json_object("props", "$.k").cast("int") % HUBS).cast("string").alias("odGroup"),
             )
         ).alias("line")
@@ -325,3 +328,21 @@ def status_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = allocation_demands(spark, sf_dir).select("allocation_id").distinct()
     unknown = read(spark, sf_dir, "customer").selectExpr("concat('alloc-none-', c_custkey) as allocation_id")
     return known.unionByName(unknown)
+
+
+def update_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status and seat updates as JSON text; some status names are misspelt."""
+    status = F.expr(
+        "element_at(array('Scheduled', 'Boarding', 'boarding', 'Departed', 'Arrived', 'Landed', 'Cancelled', 'Delayed'),"
+        " cast(event_id % 8 as int) + 1)"
+    )
+    is_status = F.col("event_type").isin("signup", "error")
+    return read(spark, sf_dir, "events").select(
+        F.col("event_id").alias("update_id"),
+        F.to_json(
+            F.struct(
+                F.when(is_status, status).alias("status"),
+                F.when(~is_status, 1 + F.floor("value") % 40).cast("int").alias("seats"),
+            )
+        ).alias("body"),
+    )

@@ -248,3 +248,45 @@ def test_listing_files_hold_every_flight(spark, three, tmp_path):
     assert one["route"]["origin"] == {"code": "HAN", "name": AIRPORTS["HAN"][0], "city": "Hanoi", "country": "Vietnam"}
     export.write_documents(documents, str(tmp_path / "lines"))
     assert spark.read.json(str(tmp_path / "lines")).count() == 3
+
+
+def test_allocation_documents_read_back(spark, three):
+    asked = [("a1", "r", n, "HAN", "SGN", 100, 4, n) for n in range(3)] + [("a2", "r", 7, "SGN", "DAD", 20, 1, 7)]
+    demands = spark.createDataFrame(
+        asked,
+        "allocation_id string, run_id string, request_id long, origin string, destination string, seats int,"
+        " priority_rank int, position long",
+    ).withColumn("request_time", F.expr("timestamp_ntz'2026-04-01 07:35:00'"))
+    given = allocation.allocate_greedy(demands, three).withColumn("position", F.col("request_id"))
+    airports = spark.createDataFrame([("HAN", "x", "y", "z")], "code string, name string, city string, country string")
+    documents = export.allocation_documents(
+        allocation.with_outcome(demands, three), given, export.flight_documents(three, airports), F.lit(42), part=2
+    )
+    assert {(r.allocation_id, r.part) for r in documents.collect()} == {("a1", 0), ("a1", 1), ("a2", 3)}
+    one = json.loads(documents.where("allocation_id = 'a1' and part = 0").first().document)
+    assert list(one) == ["allocationId", "runId", "allocations", "unallocated", "processingTimeMs", "completedAt"]
+    assert one["allocations"][0]["flight"]["flightNumber"] == "VN201"
+    assert one["unallocated"] == [
+        [{s: {"code": c, "name": "", "city": "", "country": ""} for s, c in (("origin", "HAN"), ("destination", "SGN"))}, 20]
+    ]
+    assert (one["processingTimeMs"], one["completedAt"]) == (42, "2026-04-01T07:35:00")
+    read = export.parse_allocation_documents(documents)
+    assert read.where("flight_id is not null").agg(F.sum("seats")).first()[0] == 200
+    assert read.where("flight_id is null").agg(F.sum("seats")).first()[0] == 120
+
+
+def test_files_of_requests_and_logs(spark, tmp_path):
+    from tarmac.sources import logs
+
+    (tmp_path / "requests.jsonl").write_text(body(*VN201) + "\n{oops\n")
+    parsed = ingest.parse_flight_requests(ingest.read_request_lines(spark, str(tmp_path / "requests.jsonl")))
+    assert ingest.accepted(parsed).count() == 1 and ingest.quarantined(parsed).first().body == "{oops"
+    line = {"timestamp": "2026-03-16T10:30:45.123Z", "level": "INFO", "message": "m", "correlationId": "550e"}
+    (tmp_path / "app.log").write_text(json.dumps(line) + "\n")
+    row = observability.run_trace(logs.read_logs(spark, str(tmp_path / "app.log"))).first()
+    assert (row.correlation_id, row.run_id, row.lines, str(row.first_at)) == ("550e", None, 1, "2026-03-16 10:30:45.123000")
+
+
+def test_status_names_are_exact(spark):
+    lines = spark.createDataFrame([('{"status": "Boarding"}',), ('{"status": "boarding"}',), ('{"seats": 5}',), ("{}",)], "body string")
+    assert [r.reason for r in ingest.parse_updates(lines).collect()] == [None, "bad status", None, "malformed JSON"]
