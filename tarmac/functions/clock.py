@@ -32,8 +32,12 @@ def millis_between(start: Column, end: Column) -> Column:
     return F.call_function("div", (length * MICROS).cast("long"), F.lit(1_000).cast("long"))
 
 
-def epoch_seconds(ts: Column) -> Column:
-    return floor_div((_since_epoch(ts) * MICROS).cast("long"), MICROS)
+def epoch_micros(ts: Column) -> Column:
+    return (_since_epoch(ts) * MICROS).cast("long")
+
+
+def whole_seconds(micros: Column) -> Column:
+    return F.call_function("div", micros, F.lit(MICROS).cast("long"))
 
 
 def _since_epoch(ts: Column) -> Column:
@@ -42,7 +46,7 @@ def _since_epoch(ts: Column) -> Column:
 
 def to_instant(ts: Column) -> Column:
     """The wall clock read as UTC: the zoned timestamp that watermarks and event-time windows need."""
-    return F.timestamp_micros((_since_epoch(ts) * MICROS).cast("long"))
+    return F.timestamp_micros(epoch_micros(ts))
 
 
 def to_wall_clock(instant: Column) -> Column:

@@ -28,7 +28,7 @@ def query(fn: Query) -> Query:
 
 def journal_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flight journal, written once per application and then scanned."""
-    return stored(spark, sf_dir, "journal", lambda: built_journal(spark, sf_dir))
+    return stored(spark, sf_dir, "journal", lambda: built_journal(spark, sf_dir), event_log.append)
 
 
 def built_journal(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,11 +11,15 @@ from tarmac.session import scratch_path
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def write_parquet(rows: DataFrame, path: str) -> None:
+    rows.write.parquet(path)
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], write=write_parquet) -> DataFrame:
     """The table ``name``, written on first use. A failed write leaves no entry behind."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         path = scratch_path(spark, name)
-        build().write.parquet(path)
+        write(build(), path)
         _written[key] = path
     return spark.read.parquet(_written[key])

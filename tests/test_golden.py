@@ -186,7 +186,7 @@ def test_layover_bounds(spark):
         start = dt.datetime(2026, 1, 1)
         return (name, name, o, d, start + dt.timedelta(seconds=dep), start + dt.timedelta(seconds=arr), "Scheduled")
 
-    gaps = {"44:59": 2_699, "45:00": 2_700, "360:59": 21_659, "361:00": 21_660}
+    gaps = {"44:59": 2_699, "44:59.9": 2_699.9, "45:00": 2_700, "360:59": 21_659, "360:59.9": 21_659.9, "361:00": 21_660}
     rows = [leg("in", "A", "B", 0, 3_600)] + [leg(n, "B", "C", 3_600 + s, 9_000 + s) for n, s in gaps.items()]
     flights_df = spark.createDataFrame(
         rows,
@@ -194,7 +194,7 @@ def test_layover_bounds(spark):
         " scheduled_departure timestamp_ntz, scheduled_arrival timestamp_ntz, status string",
     )
     found = connections.connections(flights_df).collect()
-    assert {r.second_flight_id for r in found} == {"45:00", "360:59"}
+    assert {r.second_flight_id for r in found} == {"45:00", "360:59", "360:59.9"}
 
 
 def test_demand(spark):

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from tarmac.functions.clock import MICROS
 from tarmac.operators import allocation, connections, events, seats
 from tarmac.operators.skew import SkewPolicy, heavy_keys, join_facts, ordered_scan
 
@@ -135,7 +136,7 @@ def flights_like(spark, seed, n=400):
 
 
 @pytest.mark.parametrize("policy", [SkewPolicy(floor=5, share=0.0), KEEP_PLAIN])
-@pytest.mark.parametrize("bucket", [1_000, 10_800, 86_400])
+@pytest.mark.parametrize("bucket", [1_000 * MICROS, 10_800 * MICROS, 86_400 * MICROS])
 def test_connections_equal_a_plain_pairing(spark, policy, bucket):
     flights = flights_like(spark, 11)
     found = connections.connections(flights, bucket=bucket, policy=policy)
