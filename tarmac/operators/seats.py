@@ -13,10 +13,13 @@ counter. All slices are then folded like ordinary flights.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +27,13 @@ from tarmac.functions.clock import floor_div
 from tarmac.operators.skew import DEFAULT, SkewPolicy, heavy_keys, split_rows
 from tarmac.schemas import FLIGHT_EXISTS, INSUFFICIENT_SEATS
 
+# functions of this module travel to the executors whole, so these need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NOT_FOUND = "Flight not found"
 RELEASE_TOO_LARGE = "Release exceeds total seats"
 
+_START = "start"
 _DECISION = "accepted boolean, reason string, total_seats int, remaining_seats int"
 
 
@@ -43,22 +50,19 @@ def seat_command_log(
     flights start; others start uncreated. ``sized_by``: rows to measure flights on, when
     ``commands`` is costly.
     """
-    rows = commands
-    if state is None:
-        starts = None
-    else:
+    starts = None
+    if state is not None:
         starts = state.select(
             "flight_id", F.col("total_seats").alias("start_total"), F.col("remaining_seats").alias("start_free")
         )
-    heavy = heavy_keys(rows if sized_by is None else sized_by, ["flight_id"], policy)
+    heavy = heavy_keys(commands if sized_by is None else sized_by, ["flight_id"], policy)
     if heavy is None:
-        return _fold(_with_starts(rows, starts, ["flight_id"]), ["flight_id"])
-    hot, cold = split_rows(rows, ["flight_id"], heavy)
+        return _fold(commands, starts, ["flight_id"])
+    hot, cold = split_rows(commands, ["flight_id"], heavy)
     hot = hot.withColumn("slice", floor_div(F.col("ordering"), policy.chunk))
     hot_starts = None if starts is None else split_rows(starts, ["flight_id"], heavy)[0]
-    sliced = hot.join(_slice_starts(hot, hot_starts), ["flight_id", "slice"], "left")
-    return _fold(sliced, ["flight_id", "slice"]).unionByName(
-        _fold(_with_starts(cold, starts, ["flight_id"]), ["flight_id"])
+    return _fold(hot, _slice_starts(hot, hot_starts), ["flight_id", "slice"]).unionByName(
+        _fold(cold, starts, ["flight_id"])
     )
 
 
@@ -73,21 +77,26 @@ def seat_state(log: DataFrame) -> DataFrame:
     )
 
 
-def _with_starts(rows: DataFrame, starts: DataFrame | None, keys: list[str]) -> DataFrame:
-    if starts is None:
-        nothing = F.lit(None).cast("int")
-        return rows.withColumns({"start_total": nothing, "start_free": nothing})
-    return rows.join(starts, keys, "left")
+def _gathered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows of a key side by side in one partition, in order.
+
+    The partitioning is on a hash of the keys, not on the keys: were the rows already
+    partitioned by them, by a join say, Spark would drop this shuffle, and the join could then
+    still split a large partition at run time.
+    """
+    return rows.repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)
 
 
-def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
-    kept = [name for name in rows.columns if name not in ("slice", "start_total", "start_free")]
-    fields = [f"{name} {rows.schema[name].dataType.simpleString()}" for name in kept]
-    return (
-        rows.repartition(*keys)
-        .sortWithinPartitions(*keys, "ordering")
-        .mapInArrow(_folder(keys, kept), ", ".join([*fields, _DECISION]))
-    )
+def _fold(commands: DataFrame, starts: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Fold each key's commands. Where a key starts from is a row of its own, sorted in front of
+    the commands by its null ordering, so no join is needed."""
+    kept = [name for name in commands.columns if name != "slice"]
+    fields = [f"{name} {commands.schema[name].dataType.simpleString()}" for name in kept]
+    nothing = F.lit(None).cast("int")
+    rows = commands.withColumns({"start_total": nothing, "start_free": nothing})
+    if starts is not None:
+        rows = rows.unionByName(starts.withColumn("command", F.lit(_START)), allowMissingColumns=True)
+    return _gathered(rows, keys, ["ordering"]).mapInArrow(_folder(keys, kept), ", ".join([*fields, _DECISION]))
 
 
 def _folder(keys: list[str], kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -99,7 +108,10 @@ def _folder(keys: list[str], kept: list[str]) -> Callable[[Iterator[pa.RecordBat
             accepted, reasons, totals, frees = [], [], [], []
             for key, command, seats, start_total, start_free in zip(owner, *read):
                 if key != current:
-                    current, total, free = key, start_total, start_free
+                    current, total, free = key, None, None
+                if command == _START:
+                    total, free = start_total, start_free
+                    continue
                 reason = None
                 if total is None:
                     if command == "create":
@@ -122,9 +134,10 @@ def _folder(keys: list[str], kept: list[str]) -> Callable[[Iterator[pa.RecordBat
                 reasons.append(reason)
                 totals.append(total)
                 frees.append(free)
+            decided = batch.filter(pc.not_equal(batch.column("command"), _START))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(n) for n in kept],
+                    *[decided.column(n) for n in kept],
                     pa.array(accepted, pa.bool_()),
                     pa.array(reasons, pa.string()),
                     pa.array(totals, pa.int32()),
@@ -163,22 +176,16 @@ def _slice_starts(hot: DataFrame, starts: DataFrame | None) -> DataFrame:
     )
     # at most one row per heavy flight, so the size bound of the heavy keys carries over
     rows = hot.join(F.broadcast(flights), "flight_id").where(F.col("capacity").isNotNull())
-    maps = (
-        rows.repartition("flight_id", "slice")
-        .sortWithinPartitions("flight_id", "slice", "ordering")
-        .select(
-            "flight_id", "slice", "ordering", "command", "seats", "created_at", "capacity", "start_total", "start_free"
-        )
-        .mapInArrow(
-            _slice_maps,
-            "flight_id string, slice long, created boolean, capacity int, start_total int, start_free int,"
-            " left_after array<int>",
-        )
+    needed = rows.select(
+        "flight_id", "slice", "ordering", "command", "seats", "created_at", "capacity", "start_total", "start_free"
+    )
+    maps = _gathered(needed, ["flight_id", "slice"], ["ordering"]).mapInArrow(
+        _slice_maps,
+        "flight_id string, slice long, created boolean, capacity int, start_total int, start_free int,"
+        " left_after array<int>",
     )
-    return (
-        maps.repartition("flight_id")
-        .sortWithinPartitions("flight_id", "slice")
-        .mapInArrow(_chain_maps, "flight_id string, slice long, start_total int, start_free int")
+    return _gathered(maps, ["flight_id"], ["slice"]).mapInArrow(
+        _chain_maps, "flight_id string, slice long, start_total int, start_free int"
     )
 
 

@@ -117,6 +117,36 @@ def test_seat_commands_continue_from_state(spark, policy):
     assert rows_of(got) == decide(rows, start)
 
 
+@pytest.mark.parametrize("policy", [SkewPolicy(floor=2_000, share=0.0, chunk=4_000), KEEP_PLAIN])
+def test_seat_commands_with_splitting_joins(spark, policy):
+    """Many input partitions, several Arrow batches per flight, and joins split at run time."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    rng = random.Random(9)
+    rows = [("1" if rng.random() < 0.4 else str(rng.randrange(2, 40)), n, rng.choice(["allocate", "release"]), rng.randrange(1, 40)) for n in range(20_000)]
+    rows[:40] = [(str(n + 1), n, "create", 300) for n in range(40)]
+    start = {str(n): (200, n) for n in range(1, 40, 3)}
+    df = spark.createDataFrame(rows, "flight_id string, ordering long, command string, seats int")
+    df = df.repartitionByRange(12, "ordering")
+    state = spark.createDataFrame([(k, *v) for k, v in start.items()], "flight_id string, total_seats int, remaining_seats int")
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        log = seats.seat_command_log(df.join(state.select("flight_id"), "flight_id", "left"), state, policy)
+        got = rows_of(log.select("flight_id", "ordering", "accepted", "total_seats", "remaining_seats"))
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert got == decide(rows, start)
+
+
 def flights_like(spark, seed, n=400):
     rng = random.Random(seed)
     rows = []
