@@ -99,47 +99,75 @@ def _fold(commands: DataFrame, starts: DataFrame | None, keys: list[str]) -> Dat
     return _gathered(rows, keys, ["ordering"]).mapInArrow(_folder(keys, kept), ", ".join([*fields, _DECISION]))
 
 
+def _ints(column: pa.Array) -> list[int]:
+    """Integers with -1 for null, as a plain list."""
+    return pc.fill_null(column, -1).to_numpy(zero_copy_only=False).tolist()
+
+
+def _new_keys(batch: pa.RecordBatch, keys: list[str], last: tuple | None) -> list[bool]:
+    """For each row, whether its key differs from the row before; ``last`` precedes the batch."""
+    changed = np.zeros(batch.num_rows, dtype=bool)
+    for name in keys:
+        column = batch.column(name)
+        changed[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    changed[0] = tuple(batch.column(name)[0].as_py() for name in keys) != last
+    return changed.tolist()
+
+
 def _folder(keys: list[str], kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, total, free = None, None, None
+        kinds = pa.array([_START, "create", "allocate", "release"])
+        start, create, allocate, release = range(4)
+        reasons = pa.array([None, NOT_FOUND, FLIGHT_EXISTS, INSUFFICIENT_SEATS, RELEASE_TOO_LARGE])
+        accepted, not_found, exists, insufficient, too_large = range(5)
+        last, total, free = None, None, None  # total is None while the flight does not exist
         for batch in batches:
-            read = [batch.column(n).to_pylist() for n in ("command", "seats", "start_total", "start_free")]
-            owner = zip(*[batch.column(n).to_pylist() for n in keys])
-            accepted, reasons, totals, frees = [], [], [], []
-            for key, command, seats, start_total, start_free in zip(owner, *read):
-                if key != current:
-                    current, total, free = key, None, None
-                if command == _START:
-                    total, free = start_total, start_free
+            if not batch.num_rows:
+                continue
+            verdicts, totals, frees = [], [], []
+            kind_of = pc.index_in(batch.column("command"), kinds)
+            for new, kind, seats, start_total, start_free in zip(
+                _new_keys(batch, keys, last),
+                _ints(kind_of),
+                _ints(batch.column("seats")),
+                _ints(batch.column("start_total")),
+                _ints(batch.column("start_free")),
+            ):
+                if new:
+                    total, free = None, None
+                verdict = accepted
+                if kind == start:
+                    if start_total >= 0:
+                        total, free = start_total, start_free
                     continue
-                reason = None
                 if total is None:
-                    if command == "create":
+                    if kind == create:
                         total = free = seats
                     else:
-                        reason = NOT_FOUND
-                elif command == "create":
-                    reason = FLIGHT_EXISTS
-                elif command == "allocate":
+                        verdict = not_found
+                elif kind == create:
+                    verdict = exists
+                elif kind == allocate:
                     if free >= seats:
                         free -= seats
                     else:
-                        reason = INSUFFICIENT_SEATS
-                elif command == "release":
+                        verdict = insufficient
+                elif kind == release:
                     if free + seats <= total:
                         free += seats
                     else:
-                        reason = RELEASE_TOO_LARGE
-                accepted.append(reason is None)
-                reasons.append(reason)
+                        verdict = too_large
+                verdicts.append(verdict)
                 totals.append(total)
                 frees.append(free)
+            last = tuple(batch.column(name)[batch.num_rows - 1].as_py() for name in keys)
+            codes = pa.array(verdicts, pa.int8())
             decided = batch.filter(pc.not_equal(batch.column("command"), _START))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[decided.column(n) for n in kept],
-                    pa.array(accepted, pa.bool_()),
-                    pa.array(reasons, pa.string()),
+                    pc.equal(codes, accepted),
+                    pc.take(reasons, codes),
                     pa.array(totals, pa.int32()),
                     pa.array(frees, pa.int32()),
                 ],
@@ -192,6 +220,7 @@ def _slice_starts(hot: DataFrame, starts: DataFrame | None) -> DataFrame:
 def _slice_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per (flight, slice): free seats after the slice, for each number of free seats before it."""
     current, state, about, created = None, None, None, False
+    created_at, capacity = None, None
 
     def emit() -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(
@@ -206,22 +235,32 @@ def _slice_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             }
         )
 
+    kinds = pa.array(["allocate", "release"])
     for batch in batches:
-        column = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-        for flight, piece, ordering, command, seats, *rest in zip(*column):
-            if (flight, piece) != current:
+        if not batch.num_rows:
+            continue
+        column = {name: batch.column(name) for name in batch.schema.names}
+        rows = zip(
+            _new_keys(batch, ["flight_id", "slice"], current),
+            _ints(column["ordering"]),
+            _ints(pc.index_in(column["command"], kinds)),
+            _ints(column["seats"]),
+        )
+        for i, (new, ordering, kind, seats) in enumerate(rows):
+            if new:
                 if current is not None:
                     yield emit()
-                current, about, created = (flight, piece), rest, False
-                state = np.arange(rest[1] + 1, dtype=np.int32)
-            created_at, capacity = about[0], about[1]
+                current = column["flight_id"][i].as_py(), column["slice"][i].as_py()
+                about = [column[n][i].as_py() for n in ("created_at", "capacity", "start_total", "start_free")]
+                created_at, capacity = about[0], about[1]
+                state, created = np.arange(capacity + 1, dtype=np.int32), False
             if created_at is not None and ordering <= created_at:
                 if ordering == created_at:
                     state[:] = capacity
                     created = True
-            elif command == "allocate":
+            elif kind == 0:
                 state = np.where(state >= seats, state - seats, state)
-            elif command == "release":
+            elif kind == 1:
                 state = np.where(state + seats <= capacity, state + seats, state)
     if current is not None:
         yield emit()
