@@ -14,7 +14,7 @@ from tarmac.sources import export, ingest, logs, tables
 from tarmac.sources import journal as event_log
 from tarmac.sources.store import stored
 from tarmac.session import scratch_path
-from tarmac.streaming import pipelines
+from tarmac.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -449,8 +449,8 @@ def run_checkpoints(spark, sf_dir):
 def _flight_commands(spark, sf_dir):
     raw = tables.read(spark, sf_dir, "events")
     firsts = raw.groupBy("user_id").agg(F.min("event_id").alias("first_id"))
-    return pipelines.flight_commands(
-        pipelines.table_stream(spark, f"{sf_dir}/events.parquet"),
+    return jobs.flight_commands(
+        jobs.table_stream(spark, f"{sf_dir}/events.parquet"),
         lambda rows: tables.commands_from(rows, firsts),
         scratch_path(spark, "flight-commands"),
     )
@@ -467,18 +467,18 @@ def stream_journal_append(spark, sf_dir):
 
 
 def _request_stream(spark, sf_dir):
-    orders = pipelines.table_stream(spark, f"{sf_dir}/orders.parquet")
+    orders = jobs.table_stream(spark, f"{sf_dir}/orders.parquet")
     return tables.booking_requests_from(orders, tables.read(spark, sf_dir, "customer"))
 
 
 @query
 def stream_od_demand(spark, sf_dir):
-    return pipelines.od_demand(_request_stream(spark, sf_dir), scratch_path(spark, "demand"), "4000 days")
+    return jobs.od_demand(_request_stream(spark, sf_dir), scratch_path(spark, "demand"), "4000 days")
 
 
 @query
 def stream_od_demand_sliding(spark, sf_dir):
-    return pipelines.od_demand(
+    return jobs.od_demand(
         _request_stream(spark, sf_dir), scratch_path(spark, "demand"), "4000 days", "28 days", "14 days"
     )
 
@@ -486,9 +486,9 @@ def stream_od_demand_sliding(spark, sf_dir):
 @query
 def stream_connections(spark, sf_dir):
     path = f"{sf_dir}/part.parquet"
-    return pipelines.connections(
-        tables.flights_from(pipelines.table_stream(spark, path)),
-        tables.flights_from(pipelines.table_stream(spark, path)),
+    return jobs.connections(
+        tables.flights_from(jobs.table_stream(spark, path)),
+        tables.flights_from(jobs.table_stream(spark, path)),
         scratch_path(spark, "connections"),
         "31 days",
     )
@@ -497,9 +497,9 @@ def stream_connections(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     """Every event sent twice comes out once."""
-    sent = pipelines.table_stream(spark, f"{sf_dir}/events.parquet")
-    again = pipelines.table_stream(spark, f"{sf_dir}/events.parquet")
-    return pipelines.without_duplicates(
+    sent = jobs.table_stream(spark, f"{sf_dir}/events.parquet")
+    again = jobs.table_stream(spark, f"{sf_dir}/events.parquet")
+    return jobs.without_duplicates(
         sent.unionByName(again), ["event_id"], "ts", scratch_path(spark, "dedup"), "1 day"
     )
 
@@ -507,8 +507,8 @@ def stream_dedup(spark, sf_dir):
 @query
 def stream_allocation(spark, sf_dir):
     customer = tables.read(spark, sf_dir, "customer")
-    return pipelines.allocate(
-        pipelines.table_stream(spark, f"{sf_dir}/orders.parquet"),
+    return jobs.allocate(
+        jobs.table_stream(spark, f"{sf_dir}/orders.parquet"),
         lambda rows: tables.demands_of(tables.booking_requests_from(rows, customer)),
         tables.flights(spark, sf_dir),
         scratch_path(spark, "allocation"),

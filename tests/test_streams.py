@@ -7,7 +7,7 @@ from tarmac.operators import allocation, connections, seats
 from tarmac.operators.skew import DEFAULT, SkewPolicy
 from tarmac.plans.catalog import built_journal
 from tarmac.sources import tables
-from tarmac.streaming import pipelines
+from tarmac.streaming import jobs
 from tarmac.streaming.versioned import VersionedTable
 from tests.test_skew import rows_of
 
@@ -31,8 +31,8 @@ def event_files(spark, small, tmp_path_factory):
 def test_flight_commands(spark, small, event_files, tmp_path, policy):
     raw = tables.read(spark, small, "events")
     firsts = raw.groupBy("user_id").agg(F.min("event_id").alias("first_id"))
-    state, journal = pipelines.flight_commands(
-        pipelines.table_stream(spark, event_files, 1),
+    state, journal = jobs.flight_commands(
+        jobs.table_stream(spark, event_files, 1),
         lambda rows: tables.commands_from(rows, firsts),
         str(tmp_path),
         policy,
@@ -49,8 +49,8 @@ def test_od_demand_windows(spark, tmp_path):
         "cast(t as timestamp_ntz) as request_time", "origin", "'Z' as destination", "seats"
     )
     path = in_files(asked, str(tmp_path / "asked"), "request_time", 4)
-    got = pipelines.od_demand(pipelines.table_stream(spark, path, 1), str(tmp_path / "out"), "2 days", "5 days")
-    expected = pipelines.windowed_demand(asked, F.window("requested_at", "5 days"), "2 days")
+    got = jobs.od_demand(jobs.table_stream(spark, path, 1), str(tmp_path / "out"), "2 days", "5 days")
+    expected = jobs.windowed_demand(asked, F.window("requested_at", "5 days"), "2 days")
     assert rows_of(got.select(expected.columns)) == rows_of(expected)
 
 
@@ -60,10 +60,10 @@ def test_session_windows_close(spark, tmp_path):
         "cast(t as timestamp_ntz) as request_time", "'A' as origin", "'Z' as destination", "seats"
     )
     path = in_files(asked, str(tmp_path / "asked"), "request_time", 1)
-    demand = pipelines.windowed_demand(
-        pipelines.table_stream(spark, path), F.session_window("requested_at", "30 minutes"), "1 day"
+    demand = jobs.windowed_demand(
+        jobs.table_stream(spark, path), F.session_window("requested_at", "30 minutes"), "1 day"
     )
-    out = pipelines._to_files(demand, str(tmp_path / "out"))
+    out = jobs._to_files(demand, str(tmp_path / "out"))
     # the last session is still open
     assert sorted(r.total_seats_requested for r in out.collect()) == [3, 4]
 
@@ -71,16 +71,16 @@ def test_session_windows_close(spark, tmp_path):
 def test_connections(spark, small, tmp_path):
     flights = tables.flights(spark, small)
     path = in_files(flights, str(tmp_path / "flights"), "scheduled_departure", 3)
-    stream = pipelines.table_stream(spark, path, 1)
-    again = pipelines.table_stream(spark, path, 1)
-    got = pipelines.connections(stream, again, str(tmp_path / "out"), "12 hours")
+    stream = jobs.table_stream(spark, path, 1)
+    again = jobs.table_stream(spark, path, 1)
+    got = jobs.connections(stream, again, str(tmp_path / "out"), "12 hours")
     assert rows_of(got) == rows_of(connections.connections(flights).select(got.columns))
 
 
 def test_duplicates_across_batches(spark, small, event_files, tmp_path):
-    sent = pipelines.table_stream(spark, event_files, 1)
-    again = pipelines.table_stream(spark, event_files, 2)
-    got = pipelines.without_duplicates(sent.unionByName(again), ["event_id"], "ts", str(tmp_path), "40 days")
+    sent = jobs.table_stream(spark, event_files, 1)
+    again = jobs.table_stream(spark, event_files, 2)
+    got = jobs.without_duplicates(sent.unionByName(again), ["event_id"], "ts", str(tmp_path), "40 days")
     assert rows_of(got) == rows_of(tables.read(spark, small, "events"))
 
 
@@ -88,8 +88,8 @@ def test_allocation_spends_seats_once(spark, small, tmp_path):
     requests = tables.booking_requests(spark, small)
     path = in_files(requests, str(tmp_path / "asked"), "request_id", 3)
     flights = tables.flights(spark, small)
-    given = pipelines.allocate(
-        pipelines.table_stream(spark, path, 1), tables.demands_of, flights, str(tmp_path / "out")
+    given = jobs.allocate(
+        jobs.table_stream(spark, path, 1), tables.demands_of, flights, str(tmp_path / "out")
     )
     # with one priority the order of arrival is the order of processing
     per_flight = {r.flight_id: r.s for r in given.groupBy("flight_id").agg(F.sum("seats_allocated").alias("s")).collect()}
