@@ -72,15 +72,20 @@ def seat_effects(events: DataFrame) -> DataFrame:
 
 
 def booking_details(
-    states: DataFrame, requests: DataFrame, flights: DataFrame, policy: SkewPolicy = DEFAULT
+    states: DataFrame,
+    requests: DataFrame,
+    flights: DataFrame,
+    policy: SkewPolicy = DEFAULT,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Bookings with their passenger and flight number."""
+    """Bookings with their passenger and flight number. ``sized_by``: rows to measure flights on,
+    when ``states`` is costly."""
     who = requests.select(
         F.concat(F.lit("bk-"), F.col("request_id")).alias("booking_id"), "passenger_id", "passenger_name"
     )
     named = states.join(who, "booking_id")
     numbers = flights.select("flight_id", "flight_number")
-    return join_facts(named, numbers, ["flight_id"], "left", policy, sized_by=states).select(
+    return join_facts(named, numbers, ["flight_id"], "left", policy, sized_by).select(
         "booking_id",
         "passenger_id",
         "passenger_name",
