@@ -9,6 +9,7 @@ never the verdict: a document is kept when no rule rejects it.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -22,23 +23,8 @@ PLACE_BITS = 24
 
 class Rule(NamedTuple):
     name: str
-    rejects: Column
-
-
-def word_count(text: Column) -> Column:
-    return F.size(words(text)).cast("bigint")
-
-
-def word_chars(text: Column) -> Column:
-    return F.length(F.array_join(words(text), "")).cast("bigint")
-
-
-def symbol_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("bigint")
-
-
-def capital_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, "[^A-Z]+", "")).cast("bigint")
+    #: "Reject", from the measures by name.
+    rejects: Callable[[dict[str, Column]], Column]
 
 
 def _lines(text: Column) -> Column:
@@ -46,13 +32,9 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{SPACES}]"))
 
 
-def line_count(text: Column) -> Column:
-    return F.size(_lines(text)).cast("bigint")
-
-
-def repeated_lines(text: Column) -> Column:
+def _repeated_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    return let(_lines(text), lambda lines: (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint"))
+    return let(_lines(text), lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
 
 
 def _covered(places: Column) -> Column:
@@ -83,9 +65,9 @@ def _repeated_by_text(found: Column) -> Column:
 def _repeated_by_hash(found: Column, place_bits: int) -> Column:
     """Repeated windows by sorting packed (hash, place) integers; where two different windows share a hash, by text."""
     mask = F.lit((1 << place_bits) - 1).cast("bigint")
-    packed = F.transform(
-        F.sequence(F.lit(0), F.size(found) - 3),
-        lambda i: F.shiftleft(F.xxhash64(F.get(found, i), F.get(found, i + 1), F.get(found, i + 2)), place_bits).bitwiseOR(i.cast("bigint")),
+    hashed = lambda w, i: F.xxhash64(w, F.get(found, i + 1), F.get(found, i + 2))
+    packed = F.slice(
+        F.transform(found, lambda w, i: F.shiftleft(hashed(w, i), place_bits).bitwiseOR(i.cast("bigint"))), F.lit(1), F.size(found) - 2
     )
     key = lambda x: F.shiftright(x, place_bits)
     place = lambda x: x.bitwiseAND(mask).cast("int")
@@ -98,69 +80,79 @@ def _repeated_by_hash(found: Column, place_bits: int) -> Column:
             F.sequence(F.lit(1), F.size(twice) - 1),
             lambda j: (key(F.get(twice, j)) == key(F.get(twice, j - 1))) & differ(place(F.get(twice, j)), place(F.get(twice, j - 1))),
         )
-        by_place = _covered(F.sort_array(F.transform(twice, place)))
-        return F.when(F.size(twice) == 0, F.lit(0).cast("bigint")).when(clash, _repeated_by_text(found)).otherwise(by_place)
+        return F.when(clash, _repeated_by_text(found)).otherwise(_covered(F.sort_array(F.transform(twice, place))))
 
-    return let(
-        F.sort_array(packed),
-        lambda s: let(F.filter(s, lambda x, j: (key(x) == key(F.get(s, j - 1))) | (key(x) == key(F.get(s, j + 1)))), counted),
-    )
+    def of_sorted(s: Column) -> Column:
+        again = F.filter(s, lambda x, j: key(x) == key(F.get(s, j - 1)))
+        twice = F.filter(s, lambda x, j: (key(x) == key(F.get(s, j - 1))) | (key(x) == key(F.get(s, j + 1))))
+        return F.when(F.size(again) == 0, F.lit(0).cast("bigint")).otherwise(let(twice, counted))
 
+    return let(F.sort_array(packed), of_sorted)
 
-def repeated_words(text: Column, place_bits: int = PLACE_BITS) -> Column:
-    """Words inside three-word windows found twice or more in the text, the first one included."""
-    return let(
-        words(text),
-        lambda found: F.when(F.size(found) < 3, F.lit(0).cast("bigint"))
+
+def repeated_words(found: Column, place_bits: int = PLACE_BITS) -> Column:
+    """Words inside three-word windows found twice or more among these words, the first one included."""
+    return (
+        F.when(F.size(found) < 3, F.lit(0).cast("bigint"))
         .when(F.size(found) >= 1 << place_bits, _repeated_by_text(found))
-        .otherwise(_repeated_by_hash(found, place_bits)),
+        .otherwise(_repeated_by_hash(found, place_bits))
     )
 
 
-def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
-    return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
-
-
-def rules(text: Column) -> list[Rule]:
-    """The production rules: the two of the base, then symbols, capitals and repeated lines."""
-    return [
-        Rule("few_words", word_count(text) < 50),
-        Rule("repeated_words", let(words(text), lambda w: 100 * repeated_words(text) > 50 * F.size(w))),
-        Rule("symbols", 10 * symbol_count(text) > word_count(text)),
-        Rule("capitals", 10 * capital_count(text) > 4 * word_chars(text)),
-        Rule("repeated_lines", 2 * repeated_lines(text) > line_count(text)),
-    ]
-
-
-def ordered(docs: DataFrame, of: list[Rule], sample_rows: int = 1_000) -> list[Rule]:
+def features(text: Column, found: Column) -> dict[str, Column]:
+    """Every measure of a text with these words, as unevaluated expressions."""
+    counts = {
+        "n_words": F.size(found),
+        "word_chars": F.length(F.array_join(found, "")),
+        "n_symbols": F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")),
+        "n_capitals": F.length(F.regexp_replace(text, "[^A-Z]+", "")),
+        "n_lines": F.size(_lines(text)),
+        "n_dup_lines": _repeated_lines(text),
+        "n_repeat_words": repeated_words(found),
+    }
+    return {name: value.cast("bigint") for name, value in counts.items()}
+
+
+#: The two rules of the base, then symbols, capitals and repeated lines.
+RULES = [
+    Rule("few_words", lambda m: m["n_words"] < 50),
+    Rule("repeated_words", lambda m: 100 * m["n_repeat_words"] > 50 * m["n_words"]),
+    Rule("symbols", lambda m: 10 * m["n_symbols"] > m["n_words"]),
+    Rule("capitals", lambda m: 10 * m["n_capitals"] > 4 * m["word_chars"]),
+    Rule("repeated_lines", lambda m: 2 * m["n_dup_lines"] > m["n_lines"]),
+]
+BASE, BEYOND = RULES[:2], RULES[2:]
+
+
+def ordered(docs: DataFrame, rules: list[Rule], sample_rows: int = 1_000) -> list[Rule]:
     """Rules by rejections per second, most first, measured on about ``sample_rows`` rows spread by hash.
 
     The sample decides the order alone, so any sample, even an empty one, gives the same verdicts.
     """
-    total = docs.count()
-    if total == 0:
-        return of
-    every = max(1, total // sample_rows)
-    sample = cut(docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text"))
+    every = max(1, docs.count() // sample_rows)
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
+    sample = cut(chosen.select(whole("text").alias("text")).select("text", words(F.col("text")).alias("words")))
+    of = features(F.col("text"), F.col("words"))
     measured = []
-    for rule in of:
+    for rule in rules:
         start = time.perf_counter()
-        rejected = sample.agg(F.avg(F.when(rule.rejects, 1.0).otherwise(0.0))).first()[0] or 0.0
-        measured.append((rejected / max(time.perf_counter() - start, 1e-6), rule))
+        rejected = sample.agg(F.avg(rule.rejects(of).cast("double"))).first()[0] or 0.0
+        measured.append((rejected / (time.perf_counter() - start), rule))
     return [rule for _, rule in sorted(measured, key=lambda m: -m[0])]
 
 
-def first_rejection(of: list[Rule]) -> Column:
-    """Name of the first rule that rejects, null when none does; later rules are not computed then."""
+def first_rejection(rules: list[Rule], of: dict[str, Column]) -> Column:
+    """Name of the first rule that rejects, null when none does; the rules after it are not computed."""
     verdict = F
-    for rule in of:
-        verdict = verdict.when(rule.rejects, F.lit(rule.name))
+    for rule in rules:
+        verdict = verdict.when(rule.rejects(of), F.lit(rule.name))
     return verdict.otherwise(F.lit(None).cast("string"))
 
 
-def kept(docs: DataFrame, sample_rows: int = 1_000) -> DataFrame:
+def kept(docs: DataFrame, rules: list[Rule] = RULES, sample_rows: int = 1_000) -> DataFrame:
     """The rows, all columns, that no rule rejects. Null and empty texts go: they have too few words."""
-    return docs.where(first_rejection(ordered(docs, rules(whole("text")), sample_rows)).isNull())
+    order, text = ordered(docs, rules, sample_rows), whole("text")
+    return docs.where(let(words(text), lambda found: first_rejection(order, features(text, found))).isNull())
 
 
 def measures(docs: DataFrame, sample_rows: int = 1_000) -> DataFrame:
@@ -170,30 +162,14 @@ def measures(docs: DataFrame, sample_rows: int = 1_000) -> DataFrame:
     whatever their names; an empty table gives no rows. The base counts are wanted for every row, so only the rules
     beyond the base are left to the cascade.
     """
-    text = F.col("__text")
-    beyond = [r for r in rules(text) if r.name not in ("few_words", "repeated_words")]
-    rest = ordered(docs, [Rule(r.name, r.rejects) for r in rules(whole("text")) if r.name not in ("few_words", "repeated_words")], sample_rows)
-    by_name = {r.name: r for r in beyond}
-    verdict = first_rejection([by_name[r.name] for r in rest])
-    counts = docs.select("doc_id", whole("text").alias("__text")).withColumns(
-        {
-            "n_words": word_count(text),
-            "word_chars": word_chars(text),
-            "n_symbols": symbol_count(text),
-            "n_dup_lines": repeated_lines(text),
-            "n_repeat_words": repeated_words(text),
-        }
-    )
-    return counts.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words"))).select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        F.when(F.col("base_failed"), F.lit(False)).otherwise(verdict.isNull()).alias("kept"),
-    )
+    split = docs.select("doc_id", whole("text").alias("text")).withColumn("words", words(F.col("text")))
+    inline = features(F.col("text"), F.col("words"))
+    asked = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    counts = split.withColumns({name: inline[name] for name in asked})
+    known = inline | {name: F.col(name) for name in asked}
+    failed = BASE[0].rejects(known) | BASE[1].rejects(known)
+    verdict = first_rejection([Rule("base", lambda m: failed), *ordered(docs, BEYOND, sample_rows)], known)
+    return counts.select("doc_id", *asked, failed.alias("base_failed"), verdict.isNull().alias("kept"))
 
 
 SQL = r"""

@@ -12,7 +12,6 @@ from tarmac.session import shared_folder
 #: Characters that separate words, as the inside of a character class.
 SPACES = r"\x20\x09-\x0D"
 SPACE_RUN = f"[{SPACES}]+"
-TRIMMED = "' \\t\\n\\u000b\\f\\r'"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,8 +30,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """Runs of characters other than white space, in order."""
-    trimmed = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
+    for space in "\t\n\x0b\f\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def bucket(doc_id: str | Column, buckets: int) -> Column:
