@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import exact_dedup, quality
+from tarmac.llm import exact_dedup, pii, quality, simhash
 from tarmac.llm.text import read
 
 
@@ -12,10 +12,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measures(read(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.decisions(read(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.located(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_simhash, op7_pii, op8_exact_dedup)}
 
 ORACLES = {"op3_quality_rules": quality.SQL, "op8_exact_dedup": exact_dedup.SQL}
