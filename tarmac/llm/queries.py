@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import exact_dedup, pii, quality, simhash
+from tarmac.llm import exact_dedup, packing, pii, quality, simhash, token_files
 from tarmac.llm.text import read
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packing.packed(found)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measures(read(spark, sf_dir, "documents"))
 
@@ -16,6 +22,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.decisions(read(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    return token_files.read(*token_files.write(documents, public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.located(read(spark, sf_dir, "documents"))
 
@@ -24,6 +35,6 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_simhash, op7_pii, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_simhash, op6_token_files, op7_pii, op8_exact_dedup)}
 
 ORACLES = {"op3_quality_rules": quality.SQL, "op8_exact_dedup": exact_dedup.SQL}
