@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import exact_dedup, packing, pii, quality, simhash, token_files
+from tarmac.llm import exact_dedup, packing, pii, quality, simhash, token_files, toxicity
 from tarmac.llm.text import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    return toxicity.assessed(documents, toxicity.learned(documents, read(spark, sf_dir, "labels")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pieces(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return packing.packed(found)
@@ -35,6 +40,6 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_simhash, op6_token_files, op7_pii, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_simhash, op6_token_files, op7_pii, op8_exact_dedup)}
 
 ORACLES = {"op3_quality_rules": quality.SQL, "op8_exact_dedup": exact_dedup.SQL}
