@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import exact_dedup, language_model, packing, pii, quality, simhash, token_files, toxicity
+from tarmac.llm import exact_dedup, language_model, packing, pii, quality, sentence_pieces, simhash, token_files, toxicity
 from tarmac.llm.text import read
 
 
@@ -27,6 +27,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.decisions(read(spark, sf_dir, "documents"))
 
 
+def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     return token_files.read(*token_files.write(documents, public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
@@ -45,6 +49,6 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(documents, language_model.learned(language_model.training(documents)))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_simhash, op6_token_files, op7_pii, op8_exact_dedup, op10_lm_scores)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_simhash, op5_sentence_pieces, op6_token_files, op7_pii, op8_exact_dedup, op10_lm_scores)}
 
 ORACLES = {"op3_quality_rules": quality.SQL, "op8_exact_dedup": exact_dedup.SQL}
