@@ -30,6 +30,9 @@ from tarmac.llm.text import whole
 BAR = chr(0x2581)
 #: Parts and pairs a worker remembers, and the longest part it does.
 REMEMBERED, REMEMBERED_PAIRS, LONGEST = 300_000, 1_000_000, 64
+#: What a run of characters is in the lattice, and the score of a merge that does not exist.
+PIECE, BEGINNING = 1, 2
+NEVER = float("-inf")
 #: Characters between two looks for a common boundary.
 LOOK = 64
 
@@ -58,44 +61,75 @@ class Pieces:
         self.parts = re.compile(f"{BAR}*[^{BAR}\n]+|{BAR}+|\n")
         if any("\n" in p or (BAR in p.lstrip(BAR)) for p in self.ids):
             self.parts = re.compile(r"(?s).+")
+        self.arcs = dict.fromkeys(self.ids, PIECE)
+        for beginning in {p[:n] for p in self.ids for n in range(1, len(p))}:
+            self.arcs[beginning] = self.arcs.get(beginning, 0) | BEGINNING
+        self.met = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.known: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.built: dict[str, list] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """Best merge first, leftmost of equals, until none is left. For the few characters of a pair."""
-        symbols = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                score = self.scores.get(symbols[i] + symbols[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                return symbols
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-
-    def fits(self, left: str, right: str) -> bool:
-        key = (left, right)
-        found = self.pairs.get(key)
+    def merges(self, piece: str) -> list[tuple[float, str, str]]:
+        """The merges that build a piece, best first and leftmost of equals: score, then first and last symbol after it."""
+        found = self.built.get(piece)
         if found is None:
-            found = self.merged(left + right) == ([left, right] if left else [right])
-            if len(self.pairs) >= REMEMBERED_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = found
+            symbols, found = list(piece), [(0.0, piece[0], piece[-1])] if piece else []
+            while len(symbols) > 1:
+                scores = [self.scores.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+                at = scores.index(max(scores))
+                if scores[at] == NEVER:
+                    break
+                symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+                found.append((scores[at], symbols[0], symbols[-1]))
+            if len(symbols) > 1:
+                found = []  # the piece never comes about
+            self.built[piece] = found
         return found
 
+    def fits(self, left: str, right: str) -> bool:
+        """Merging the two together, best first, never joins a symbol of one to a symbol of the other."""
+        ours, theirs = self.merges(left), self.merges(right)
+        if not theirs or (left and not ours):
+            return False
+        i = j = 0
+        while left:
+            across = self.scores.get(ours[i][2] + theirs[j][1], NEVER)
+            before = ours[i + 1][0] if i + 1 < len(ours) else NEVER
+            after = theirs[j + 1][0] if j + 1 < len(theirs) else NEVER
+            if across > before and across >= after and across > NEVER:
+                return False
+            if before == NEVER == after:
+                break
+            if before >= after:
+                i += 1
+            else:
+                j += 1
+        return True
+
     def stream(self, text: str, look: int = LOOK) -> Iterator[str]:
         """Pieces of the text in order, each as soon as it is certain. A character without a piece is one by itself."""
+        arcs, pairs = self.arcs, self.pairs
         first = 0  # the boundary all paths run through
         last = {0: ""}  # piece that ends at each boundary of the window
         for end in range(1, len(text) + 1):
-            for start in range(max(first, end - self.longest), end):
-                piece = text[start:end]
-                if (piece in self.ids or end - start == 1) and self.fits(last[start], piece):
-                    last[end] = piece
-                    break
-            else:
+            start = end - 1
+            before = last.get(start)
+            if before is None:
                 raise ValueError("no path: the pieces of this model are not built by merges")
+            for stop in range(end, min(len(text), start + self.longest) + 1):
+                piece = text[start:stop]
+                kind = arcs.get(piece, 0)
+                if stop not in last and (kind & PIECE or stop == end):
+                    good = pairs.get((before, piece))
+                    if good is None:
+                        if len(pairs) >= REMEMBERED_PAIRS:
+                            pairs.clear()
+                        good = pairs[before, piece] = self.fits(before, piece)
+                    if good:
+                        last[stop] = piece
+                if not kind & BEGINNING:
+                    break
+            # arcs into ``end`` are all known now, those beyond it are not
             if end == len(text) or end % look == 0:
                 ends = [end] if end == len(text) else range(max(first, end - self.longest + 1), end + 1)
                 path, shared = self._path(last, ends, first)
@@ -125,18 +159,22 @@ class Pieces:
             out += [found] if found is not None else [self.bytes[b] for b in piece.encode()]
         return np.array(out, "<u4").tobytes()
 
+    def _searched(self, part: str) -> bytes:
+        if len(part) > 1 and part[-2:] not in self.met:  # no piece holds the last character and the one before it
+            found = (self.known.get(part[:-1]) or self._searched(part[:-1])) + (self.known.get(part[-1]) or self._searched(part[-1]))
+        else:
+            found = self._part(part)
+        if len(part) <= LONGEST and len(self.known) < REMEMBERED:
+            self.known[part] = found
+        return found
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers. The text gets a space in front, unless it is empty."""
         if not text:
             return b""
         out = []
         for part in self.parts.findall(BAR + text.replace(" ", BAR)):
-            found = self.known.get(part)
-            if found is None:
-                found = self._part(part)
-                if len(part) <= LONGEST and len(self.known) < REMEMBERED:
-                    self.known[part] = found
-            out.append(found)
+            out.append(self.known.get(part) or self._searched(part))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
