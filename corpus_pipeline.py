@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import exact_dedup, quality
+from tarmac.llm import exact_dedup, packing, pii, quality, simhash
 from tarmac.llm.text import read
 from tarmac.session import scratch_path
 
@@ -19,7 +20,28 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.deduplicated(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("exact dedup", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by SimHash, the one with the smallest id."""
+    return simhash.representatives(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in their texts replaced by its kind."""
+    return pii.without(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as token pieces placed in sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.packed(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("exact dedup", exact_copies),
+    ("SimHash near-dedup", near_copies),
+    ("personal data", personal_data),
+    ("best-fit packing", best_fit_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
