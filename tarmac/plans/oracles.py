@@ -186,7 +186,7 @@ CTES |= {
   WHEN order_status = 'F' THEN 2 WHEN order_status = 'P' THEN 3 ELSE 1 END""",
     "booking_states": """SELECT booking_id, replace(arg_max(event_type, sequence_number), 'Booking', '') AS status,
   max(flight_id) AS flight_id, max(seats) AS seats, min(event_ts) AS created_at FROM booking_events GROUP BY booking_id""",
-    "demands": """SELECT 'alloc-' || strftime(request_time, '%Y-%m-%d') || '-' || priority || '-' || (request_id // 10000)
+    "demands": """SELECT 'alloc-' || strftime(request_time, '%Y-%m-%d') || '-' || priority
   AS allocation_id, 'run-' || strftime(request_time, '%Y-%m-%d') AS run_id, request_id, origin, destination, seats,
   priority, priority_rank, request_time FROM booking_requests""",
     "demand_axis": """SELECT *, sum(seats) OVER (PARTITION BY origin, destination
@@ -322,17 +322,17 @@ PAIR = f"""'{{"origin":' || {AIRPORT.format('origin')} || ',"destination":' || {
 oracle(
     "export_allocation_results",
     "outcome allocations flight_docs",
-    f"""SELECT allocation_id, part, coalesce(given, 0) AS allocation_count, missing AS unallocated_count,
+    f"""SELECT allocation_id, coalesce(given, 0) AS allocation_count, missing AS unallocated_count,
   '{{"allocationId":"' || allocation_id || '","runId":"' || run_id || '","allocations":[' || coalesce(allocations, '')
   || '],"unallocated":[' || coalesce(unallocated, '') || '],"processingTimeMs":0,"completedAt":"'
   || strftime(completed, '%Y-%m-%dT%H:%M:%S') || '"}}' AS document
-  FROM (SELECT allocation_id, request_id // 1000 AS part, run_id, count(*) FILTER (unallocated_seats > 0) AS missing,
+  FROM (SELECT allocation_id, run_id, count(*) FILTER (unallocated_seats > 0) AS missing,
    max(request_time) AS completed, string_agg('[' || {PAIR} || ',' || unallocated_seats || ']', ',' ORDER BY request_id)
-    FILTER (unallocated_seats > 0) AS unallocated FROM outcome GROUP BY allocation_id, part, run_id)
-  LEFT JOIN (SELECT allocation_id, request_id // 1000 AS part, count(*) AS given, string_agg('{{"odPair":' || {PAIR}
+    FILTER (unallocated_seats > 0) AS unallocated FROM outcome GROUP BY allocation_id, run_id)
+  LEFT JOIN (SELECT allocation_id, count(*) AS given, string_agg('{{"odPair":' || {PAIR}
     || ',"flight":' || document || ',"seatsAllocated":' || seats_allocated || '}}', ',' ORDER BY request_id, axis_start)
-   AS allocations FROM allocations JOIN flight_docs USING (flight_id) GROUP BY allocation_id, part)
-  USING (allocation_id, part)""",
+   AS allocations FROM allocations JOIN flight_docs USING (flight_id) GROUP BY allocation_id)
+  USING (allocation_id)""",
 )
 
 oracle("list_flights", "flights_current", f"SELECT {FLIGHT} FROM flights_current")

@@ -1,7 +1,7 @@
 """Result documents as JSON text, one per line.
 
-A document never grows with the data: flights are one document each, and the document of an
-allocation is split into parts of a fixed number of demands.
+Flights are one document each, and so are allocation runs. For runs too large for one document, parts of
+a number of demands can be asked for; a part says which one it is and of how many.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from tarmac.functions.clock import floor_div, seconds_between
 from tarmac.functions.durations import format_duration, format_local_date_time
 from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts
 
-PART = 1_000  # demands per part of an allocation document
-
 
 def _airport(code: str, prefix: str | None = None) -> Column:
     """An airport object; without a ``prefix`` only the code is known."""
@@ -62,17 +60,20 @@ def allocation_documents(
     allocations: DataFrame,
     flight_docs: DataFrame,
     processing_ms: Column | None = None,
-    part: int = PART,
+    part: int | None = None,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Results per allocation id and part. ``outcome`` and ``allocations`` carry ``position``,
-    the place of the demand in its request; ``flight_docs`` comes from ``flight_documents``.
+    """Results per allocation id. ``outcome`` and ``allocations`` carry ``position``, which orders the
+    demands of a run; ``flight_docs`` comes from ``flight_documents``.
 
     Each allocation shows its O&D pair, flight and seats; unallocated demand is listed as
-    [pair, seats]. A run is completed at its last request.
+    [pair, seats]. A run is completed at its last request. With ``part``, ``position`` must be the place
+    of the demand in its run, from 0, and a document holds that many places; it then names its part, and
+    every part has the run's number of parts and its time of completion.
     """
     pair = F.to_json(F.struct(_airport("origin"), _airport("destination")))
-    where = [F.col("allocation_id"), floor_div(F.col("position"), part).alias("part")]
+    number = F.lit(0) if part is None else floor_div(F.col("position"), part)
+    where = [F.col("allocation_id"), number.alias("part")]
 
     shown = join_facts(allocations, flight_docs, ["flight_id"], "left", policy)
     given = shown.groupBy(*where).agg(
@@ -95,7 +96,12 @@ def allocation_documents(
             short,
         ).alias("unallocated"),
     )
-    header = F.to_json(F.struct(F.col("allocation_id").alias("allocationId"), F.col("run_id").alias("runId")))
+    named = [F.col("allocation_id").alias("allocationId"), F.col("run_id").alias("runId")]
+    if part is not None:
+        runs = left.groupBy("allocation_id").agg(F.max("completed_at").alias("completed_at"), F.max("part").alias("last"))
+        left = left.drop("completed_at").join(runs, "allocation_id")
+        named += [F.col("part"), (F.col("last") + 1).alias("parts")]
+    header = F.to_json(F.struct(*named))
     footer = F.to_json(
         F.struct(
             (F.lit(0) if processing_ms is None else processing_ms).cast("long").alias("processingTimeMs"),
@@ -108,7 +114,7 @@ def allocation_documents(
     )
     return left.join(given, ["allocation_id", "part"], "left").select(
         "allocation_id",
-        "part",
+        *([] if part is None else ["part"]),
         F.coalesce("allocation_count", F.lit(0)).cast("long").alias("allocation_count"),
         "unallocated_count",
         document.alias("document"),

@@ -142,11 +142,8 @@ def flight_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-REQUEST_SPAN = 10_000  # order keys per allocation request, hence its most pairs
-
-
 def allocation_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Allocation-request bodies as JSON text, one per day, priority and span of order keys."""
+    """Allocation-request bodies as JSON text, one per day and priority."""
     asked = booking_requests(spark, sf_dir)
     pair = F.struct(
         "request_id",
@@ -155,14 +152,10 @@ def allocation_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("seats").alias("demand"),
     )
     return (
-        asked.groupBy(
-            day_text(F.col("request_time")).alias("day"),
-            "priority",
-            F.expr(f"request_id div {REQUEST_SPAN}").alias("span"),
-        )
+        asked.groupBy(day_text(F.col("request_time")).alias("day"), "priority")
         .agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
         .select(
-            F.concat_ws("-", F.lit("alloc"), "day", "priority", "span").alias("allocation_id"),
+            F.concat_ws("-", F.lit("alloc"), "day", "priority").alias("allocation_id"),
             F.to_json(
                 F.struct(
                     F.concat(F.lit("run-"), F.col("day")).alias("runId"),
@@ -181,13 +174,7 @@ def allocation_demands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def demands_of(requests: DataFrame) -> DataFrame:
     return requests.select(
-        F.concat_ws(
-            "-",
-            F.lit("alloc"),
-            day_text(F.col("request_time")),
-            "priority",
-            F.expr(f"request_id div {REQUEST_SPAN}"),
-        ).alias("allocation_id"),
+        F.concat_ws("-", F.lit("alloc"), day_text(F.col("request_time")), "priority").alias("allocation_id"),
         F.concat(F.lit("run-"), day_text(F.col("request_time"))).alias("run_id"),
         "request_id",
         "origin",

@@ -251,23 +251,28 @@ def test_listing_files_hold_every_flight(spark, three, tmp_path):
 
 
 def test_allocation_documents_read_back(spark, three):
-    asked = [("a1", "r", n, "HAN", "SGN", 100, 4, n) for n in range(3)] + [("a2", "r", 7, "SGN", "DAD", 20, 1, 7)]
+    asked = [("a1", "r", n, "HAN", "SGN", 100, 4, n) for n in range(3)] + [("a2", "r", 7, "SGN", "DAD", 20, 1, 0)]
     demands = spark.createDataFrame(
         asked,
         "allocation_id string, run_id string, request_id long, origin string, destination string, seats int,"
         " priority_rank int, position long",
     ).withColumn("request_time", F.expr("timestamp_ntz'2026-04-01 07:35:00'"))
-    given = allocation.allocate_greedy(demands, three).withColumn("position", F.col("request_id"))
+    place = demands.select("request_id", "position")
+    given = allocation.allocate_greedy(demands, three).join(place, "request_id")
     airports = spark.createDataFrame([("HAN", "x", "y", "z")], "code string, name string, city string, country string")
-    documents = export.allocation_documents(
-        allocation.with_outcome(demands, three), given, export.flight_documents(three, airports), F.lit(42), part=2
-    )
-    assert {(r.allocation_id, r.part) for r in documents.collect()} == {("a1", 0), ("a1", 1), ("a2", 3)}
-    one = json.loads(documents.where("allocation_id = 'a1' and part = 0").first().document)
+    inputs = (allocation.with_outcome(demands, three), given, export.flight_documents(three, airports), F.lit(42))
+    parts = export.allocation_documents(*inputs, part=2)
+    assert {(r.allocation_id, r.part) for r in parts.collect()} == {("a1", 0), ("a1", 1), ("a2", 0)}
+    last = json.loads(parts.where("allocation_id = 'a1' and part = 1").first().document)
+    assert list(last)[:4] == ["allocationId", "runId", "part", "parts"] and (last["part"], last["parts"]) == (1, 2)
+    documents = export.allocation_documents(*inputs)
+    assert documents.count() == 2
+    one = json.loads(documents.where("allocation_id = 'a1'").first().document)
     assert list(one) == ["allocationId", "runId", "allocations", "unallocated", "processingTimeMs", "completedAt"]
     assert one["allocations"][0]["flight"]["flightNumber"] == "VN201"
     assert one["unallocated"] == [
-        [{s: {"code": c, "name": "", "city": "", "country": ""} for s, c in (("origin", "HAN"), ("destination", "SGN"))}, 20]
+        [{s: {"code": c, "name": "", "city": "", "country": ""} for s, c in (("origin", "HAN"), ("destination", "SGN"))}, n]
+        for n in (20, 100)
     ]
     assert (one["processingTimeMs"], one["completedAt"]) == (42, "2026-04-01T07:35:00")
     read = export.parse_allocation_documents(documents)
