@@ -25,6 +25,19 @@ SPACED = re.compile(r"\s*\S+|\s+")
 REMEMBERED, LONGEST = 300_000, 64
 
 
+#: A letter run with at most one space or line end before it and one mark after it; tokens cross neither border.
+PLAIN = re.compile(r"([\x20\n]?)([^\W\d_]+)([.,!?;:]?)")
+#: Letters from here on go the whole way through the tokenizer's normalizer.
+BEYOND_LATIN = chr(0x250)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-in that byte-level vocabularies use for each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + n) for n, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers, special tokens in a text being ordinary text."""
 
@@ -32,24 +45,49 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.drops_space = drops_space
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _remember(self, piece: str, ids: bytes) -> bytes:
+        if len(self.known) < REMEMBERED and len(piece) <= LONGEST:
+            self.known[piece] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """One token run of the vocabulary's model, without the normalizer and the splitter it needs none of."""
+        ids = self.known.get(word)
+        if ids is None:
+            spelt = word.encode().decode("latin-1").translate(self.letters)
+            found = [token.id for token in self.tokenizer.model.tokenize(spelt)]
+            ids = self._remember(word, np.array(found, "<u4").tobytes())
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        plain = PLAIN.fullmatch(piece)
+        if plain is None or not plain[2].isalpha() or max(plain[2]) >= BEYOND_LATIN or (self.drops_space and chr(0x130) in plain[2]):
+            return self._remember(piece, self._encoded([piece])[0])
+        before, word, mark = plain.groups()
+        if self.drops_space:
+            ids = self._word(word.lower())
+        elif before == "\n":
+            ids = self.known.get(before) or self._remember(before, self._encoded([before])[0])
+            ids += self._word(word)
+        else:
+            ids = self._word(before + word)
+        if mark:
+            ids += self.known.get(mark) or self._remember(mark, self._encoded([mark])[0])
+        return self._remember(piece, ids)
+
     def ids(self, text: str) -> bytes:
         if RARE.search(text):
             return self._encoded([text])[0]
         pieces = text.split() if self.drops_space else SPACED.findall(text)
-        got = list(map(self.known.get, pieces))
-        if None in got:
-            new = list(dict.fromkeys(p for p, g in zip(pieces, got) if g is None))
-            encoded = dict(zip(new, self._encoded(new)))
-            got = [encoded[p] if g is None else g for p, g in zip(pieces, got)]
-            if len(self.known) < REMEMBERED:
-                self.known.update((p, e) for p, e in encoded.items() if len(p) <= LONGEST)
-        return b"".join(got)
+        known, piece = self.known.get, self._piece
+        return b"".join([known(p) or piece(p) for p in pieces])
 
 
 @cache

@@ -38,3 +38,10 @@ def test_documents(both, spark, small):
     whole, pieces = both
     for row in spark.read.parquet(f"{small}/documents.parquet").select("text").collect():
         assert np.frombuffer(pieces.ids(row.text), "<u4").tolist() == whole.encode(row.text, add_special_tokens=False).ids
+
+
+def test_every_latin_character(both):
+    whole, pieces = both
+    for c in map(chr, range(0x21, 0x300)):
+        for text in (c, f"a{c}b", f" {c}x,", f"\n{c}.", f"A{c}"):
+            assert np.frombuffer(pieces.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
