@@ -38,7 +38,7 @@ def route_capacity(flights: DataFrame) -> DataFrame:
 
 def order_demands(demands: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Demands with the end of their interval on the route's seat axis, in processing order:
-    priority, then request time, then id."""
+    priority, then request time, then id. Rows without a positive number of seats take no place."""
     keyed = demands.where(F.col("seats") > 0).withColumn("turn", -F.col("priority_rank"))
     placed = ordered_scan(
         keyed,
@@ -76,7 +76,7 @@ def allocate_greedy(
         .where(F.col("demand_start") < F.col("route_seats"))
         .withColumn("_block", _blocks("demand_start", F.least("demand_end", "route_seats"), block))
     )
-    wanted = demands.groupBy(*OD).agg(F.sum("seats").cast("long").alias("route_demand"))
+    wanted = demands.where(F.col("seats") > 0).groupBy(*OD).agg(F.sum("seats").cast("long").alias("route_demand"))
     giving = (
         join_facts(order_flights(flights, policy), wanted, OD, "inner", policy, sized_by=flights)
         .where(F.col("flight_start") < F.col("route_demand"))
@@ -103,7 +103,11 @@ def allocate_greedy(
 
 
 def with_outcome(demands: DataFrame, flights: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    """Each demand with the seats it gets and does not get, without listing flights."""
+    """Each demand with the seats it gets and does not get, without listing flights.
+
+    A demand of no seats gets none and misses none. Null and negative seats are no demand: ingest
+    quarantines them, and here they have no row.
+    """
     placed = join_facts(
         order_demands(demands, policy), route_capacity(flights), OD, "left", policy, sized_by=demands
     )
@@ -111,9 +115,12 @@ def with_outcome(demands: DataFrame, flights: DataFrame, policy: SkewPolicy = DE
         F.lit(0).cast("long"),
         F.least(F.col("demand_end"), F.coalesce("route_seats", F.lit(0))) - F.col("demand_start"),
     )
-    return placed.withColumn("allocated_seats", got).withColumn(
+    asked = placed.withColumn("allocated_seats", got).withColumn(
         "unallocated_seats", F.col("seats") - F.col("allocated_seats")
     )
+    nothing = F.lit(0).cast("long")
+    idle = demands.where(F.col("seats") == 0).withColumns({"allocated_seats": nothing, "unallocated_seats": nothing})
+    return asked.unionByName(idle, allowMissingColumns=True)
 
 
 def unallocated(outcome: DataFrame) -> DataFrame:
@@ -138,7 +145,7 @@ def demand_candidates(demands: DataFrame, flights: DataFrame, policy: SkewPolicy
 
     Demand is summed per route first: a flight comes out once, not once per request.
     """
-    wanted = demands.groupBy(*OD).agg(
+    wanted = demands.where(F.col("seats") > 0).groupBy(*OD).agg(
         F.count(F.lit(1)).alias("requests"), F.sum("seats").cast("long").alias("seats_wanted")
     )
     return join_facts(order_flights(flights, policy), wanted, OD, "inner", policy, sized_by=flights).select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarmac.functions.capacity import entity_type
 from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts, ordered_scan
 from tarmac.schemas import FLIGHT_EXISTS, FLIGHT_ID_PREFIX, FLIGHT_LIFECYCLE, SNAPSHOT_INTERVAL, SNAPSHOTS_KEPT
+from tarmac.sources.journal import live_events
 
 ENTITY = "persistence_id"
 
@@ -82,11 +83,23 @@ def _sequenced(value: str) -> Column:
     return F.when(F.col(value).isNotNull(), F.col("sequence_number"))
 
 
+def effective(journal: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+    """The events that count: an entity begins with its first create that is not deleted; events before
+    it, further creates and deleted events change nothing."""
+    live = live_events(journal)
+    is_create = F.col("event_type") == "FlightCreated"
+    born = live.where(is_create).groupBy(ENTITY).agg(F.min("sequence_number").alias("_born"))
+    known = join_facts(live, born, [ENTITY], "inner", policy)
+    first = F.col("sequence_number") == F.col("_born")
+    return known.where(first | ((F.col("sequence_number") > F.col("_born")) & ~is_create)).drop("_born")
+
+
 def replay(journal: DataFrame) -> DataFrame:
     """Current state of each entity. Every fact folds associatively, so the aggregation is
     combined before the shuffle and a long history is no harder than a short one."""
     return (
-        journal.groupBy(ENTITY)
+        effective(journal)
+        .groupBy(ENTITY)
         .agg(
             F.max("total_seats").alias("total_seats"),
             F.sum(seat_change()).alias("available_seats"),
@@ -100,7 +113,8 @@ def replay(journal: DataFrame) -> DataFrame:
 def seat_mismatches(journal: DataFrame) -> DataFrame:
     """Entities whose summed seat changes differ from the seats stored with their last seat event."""
     return (
-        journal.groupBy(ENTITY)
+        effective(journal)
+        .groupBy(ENTITY)
         .agg(
             F.sum(seat_change()).alias("summed"),
             F.max_by("remaining_seats", _sequenced("remaining_seats")).cast("long").alias("stored"),
@@ -125,7 +139,7 @@ def unrecovered(ids: DataFrame, states: DataFrame) -> DataFrame:
 
 def _blocks(journal: DataFrame, interval: int) -> DataFrame:
     """Facts summed per entity and block of ``interval`` sequence numbers."""
-    return journal.groupBy(ENTITY, F.expr(f"(sequence_number - 1) div {interval}").alias("block")).agg(
+    return effective(journal).groupBy(ENTITY, F.expr(f"(sequence_number - 1) div {interval}").alias("block")).agg(
         F.max("total_seats").alias("total_seats"),
         F.sum(seat_change()).alias("seat_change"),
         F.max_by("new_status", _sequenced("new_status")).alias("status"),
@@ -208,7 +222,7 @@ def replay_from_snapshots(
 
 def status_transitions(journal: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Each status change with the status before it."""
-    changes = journal.where(F.col("new_status").isNotNull()).select(
+    changes = effective(journal, policy).where(F.col("new_status").isNotNull()).select(
         ENTITY, "sequence_number", "event_ts", "event_type", "new_status"
     )
     return ordered_scan(
@@ -252,8 +266,8 @@ def cancelled(states: DataFrame) -> DataFrame:
 
 
 def audit_trail(*journals: DataFrame) -> DataFrame:
-    """Events of several entity families as one ordered history."""
-    first, *rest = journals
+    """Events of several entity families as one ordered history, deleted events left out."""
+    first, *rest = (live_events(journal) if "deleted" in journal.columns else journal for journal in journals)
     for other in rest:
         first = first.unionByName(other, allowMissingColumns=True)
     return first.orderBy("event_ts", ENTITY, "sequence_number")

@@ -32,6 +32,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NOT_FOUND = "Flight not found"
 RELEASE_TOO_LARGE = "Release exceeds total seats"
+BAD_SEATS = "Invalid number of seats"
+UNKNOWN = "Unknown command"
+
+COMMANDS = ("create", "allocate", "release", "status", "cancel")
+#: The most seats a command may name. A heavy flight's slices carry a number per seat, so capacity needs a bound.
+MAX_SEATS = 100_000
 
 _START = "start"
 _DECISION = "accepted boolean, reason string, total_seats int, remaining_seats int"
@@ -45,7 +51,9 @@ def seat_command_log(
 ) -> DataFrame:
     """Decide every command, in ``ordering`` within its flight.
 
-    ``commands``: flight_id, ordering (unique), command, seats; other columns are kept.
+    ``commands``: flight_id, ordering (unique), command, seats; other columns are kept. Commands other
+    than ``COMMANDS``, and creates, allocations and releases whose seats are null, below 1 or above
+    ``MAX_SEATS``, are rejected and change nothing.
     ``state`` (flight_id, total_seats, remaining_seats, one row per flight) is where known
     flights start; others start uncreated. ``sized_by``: rows to measure flights on, when
     ``commands`` is costly.
@@ -116,10 +124,10 @@ def _new_keys(batch: pa.RecordBatch, keys: list[str], last: tuple | None) -> lis
 
 def _folder(keys: list[str], kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.array([_START, "create", "allocate", "release"])
+        kinds = pa.array([_START, *COMMANDS])
         start, create, allocate, release = range(4)
-        reasons = pa.array([None, NOT_FOUND, FLIGHT_EXISTS, INSUFFICIENT_SEATS, RELEASE_TOO_LARGE])
-        accepted, not_found, exists, insufficient, too_large = range(5)
+        reasons = pa.array([None, NOT_FOUND, FLIGHT_EXISTS, INSUFFICIENT_SEATS, RELEASE_TOO_LARGE, BAD_SEATS, UNKNOWN])
+        accepted, not_found, exists, insufficient, too_large, bad_seats, unknown = range(7)
         last, total, free = None, None, None  # total is None while the flight does not exist
         for batch in batches:
             if not batch.num_rows:
@@ -140,7 +148,11 @@ def _folder(keys: list[str], kept: list[str]) -> Callable[[Iterator[pa.RecordBat
                     if start_total >= 0:
                         total, free = start_total, start_free
                     continue
-                if total is None:
+                if kind < 0:
+                    verdict = unknown
+                elif kind <= release and not 0 < seats <= MAX_SEATS:
+                    verdict = bad_seats
+                elif total is None:
                     if kind == create:
                         total = free = seats
                     else:
@@ -162,7 +174,7 @@ def _folder(keys: list[str], kept: list[str]) -> Callable[[Iterator[pa.RecordBat
                 frees.append(free)
             last = tuple(batch.column(name)[batch.num_rows - 1].as_py() for name in keys)
             codes = pa.array(verdicts, pa.int8())
-            decided = batch.filter(pc.not_equal(batch.column("command"), _START))
+            decided = batch.filter(pc.not_equal(pc.fill_null(batch.column("command"), ""), _START))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[decided.column(n) for n in kept],
@@ -183,7 +195,7 @@ def _folder(keys: list[str], kept: list[str]) -> Callable[[Iterator[pa.RecordBat
 def _slice_starts(hot: DataFrame, starts: DataFrame | None) -> DataFrame:
     """(flight_id, slice) -> start_total, start_free for the slices of heavy flights."""
     created = (
-        hot.where(F.col("command") == "create")
+        hot.where((F.col("command") == "create") & F.col("seats").between(1, MAX_SEATS))
         .groupBy("flight_id")
         .agg(F.min("ordering").alias("created_at"), F.min_by("seats", "ordering").alias("created_seats"))
     )
@@ -258,6 +270,8 @@ def _slice_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if ordering == created_at:
                     state[:] = capacity
                     created = True
+            elif not 0 < seats <= MAX_SEATS:
+                pass
             elif kind == 0:
                 state = np.where(state >= seats, state - seats, state)
             elif kind == 1:

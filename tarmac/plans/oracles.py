@@ -399,7 +399,7 @@ oracle(
     CASE event_type WHEN 'signup' THEN 'create' ELSE 'get' END AS command,
     count(*) FILTER (event_type = 'signup') OVER (PARTITION BY user_id ORDER BY event_id
      ROWS UNBOUNDED PRECEDING) - CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS before
-    FROM events WHERE event_type IN ('signup', 'view')))""",
+    FROM events))""",
 )
 SEAT_LOG = "flight_id, ordering, command, seats, accepted, reason, total_seats, remaining_seats"
 oracle("seat_command_log", "seat_log", f"SELECT {SEAT_LOG} FROM seat_log")

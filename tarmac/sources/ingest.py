@@ -151,6 +151,7 @@ def parse_allocation_requests(lines: DataFrame, body: str = "body") -> DataFrame
             F.when(r("runId").isNull(), F.lit("missing runId")),
             F.when(r("odPairs").isNull(), F.lit("missing odPairs")),
             F.when(~F.coalesce(complete, F.lit(False)), F.lit("bad odPairs")),
+            F.when(F.exists(r("odPairs"), lambda pair: pair.demand < 0), F.lit("negative demand")),
             F.when(F.coalesce(~r("priority").isin(PRIORITIES), F.lit(True)), F.lit("bad priority")),
         ),
     )
