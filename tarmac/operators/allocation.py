@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.clock import floor_div
-from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts, ordered_scan
+from tarmac.operators.skew import DEFAULT, SkewPolicy, ordered_scan
 
 OD = ["origin", "destination"]
 BLOCK = 512  # seats per block of the axis
@@ -71,14 +71,14 @@ def allocate_greedy(
 ) -> DataFrame:
     """One row per demand and flight that share seats."""
     taking = (
-        join_facts(order_demands(demands, policy), route_capacity(flights), OD, "inner", policy, sized_by=demands)
+        order_demands(demands, policy).join(route_capacity(flights), OD, "inner")
         # what lies beyond the route's last seat cannot meet a flight
         .where(F.col("demand_start") < F.col("route_seats"))
         .withColumn("_block", _blocks("demand_start", F.least("demand_end", "route_seats"), block))
     )
     wanted = demands.where(F.col("seats") > 0).groupBy(*OD).agg(F.sum("seats").cast("long").alias("route_demand"))
     giving = (
-        join_facts(order_flights(flights, policy), wanted, OD, "inner", policy, sized_by=flights)
+        order_flights(flights, policy).join(wanted, OD, "inner")
         .where(F.col("flight_start") < F.col("route_demand"))
         .withColumn("_block", _blocks("flight_start", F.least("flight_end", "route_demand"), block))
     )
@@ -108,9 +108,7 @@ def with_outcome(demands: DataFrame, flights: DataFrame, policy: SkewPolicy = DE
     A demand of no seats gets none and misses none. Null and negative seats are no demand: ingest
     quarantines them, and here they have no row.
     """
-    placed = join_facts(
-        order_demands(demands, policy), route_capacity(flights), OD, "left", policy, sized_by=demands
-    )
+    placed = order_demands(demands, policy).join(route_capacity(flights), OD, "left")
     got = F.greatest(
         F.lit(0).cast("long"),
         F.least(F.col("demand_end"), F.coalesce("route_seats", F.lit(0))) - F.col("demand_start"),
@@ -148,7 +146,7 @@ def demand_candidates(demands: DataFrame, flights: DataFrame, policy: SkewPolicy
     wanted = demands.where(F.col("seats") > 0).groupBy(*OD).agg(
         F.count(F.lit(1)).alias("requests"), F.sum("seats").cast("long").alias("seats_wanted")
     )
-    return join_facts(order_flights(flights, policy), wanted, OD, "inner", policy, sized_by=flights).select(
+    return order_flights(flights, policy).join(wanted, OD, "inner").select(
         *OD, "flight_id", "available_seats", "flight_start", "requests", "seats_wanted"
     )
 
@@ -195,8 +193,8 @@ def progress(states: DataFrame) -> Column:
     return F.coalesce(F.col("pairs_done") / F.nullif(F.col("pairs_total"), F.lit(0)), F.lit(0.0))
 
 
-def _reply(requests: DataFrame, states: DataFrame, in_progress_text: str, policy: SkewPolicy) -> DataFrame:
-    found = join_facts(requests, states, ["allocation_id"], "left", policy)
+def _reply(requests: DataFrame, states: DataFrame, in_progress_text: str) -> DataFrame:
+    found = requests.join(states, ["allocation_id"], "left")
     state = F.coalesce("state", F.lit("not-found"))
     message = (
         F.when(
@@ -210,18 +208,18 @@ def _reply(requests: DataFrame, states: DataFrame, in_progress_text: str, policy
     return found.select("allocation_id", state.alias("status"), message.alias("message"))
 
 
-def allocation_status(requests: DataFrame, states: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
-    return _reply(requests, states, "%.1f%% complete", policy)
+def allocation_status(requests: DataFrame, states: DataFrame) -> DataFrame:
+    return _reply(requests, states, "%.1f%% complete")
 
 
 def allocation_result(
-    requests: DataFrame, states: DataFrame, summary: DataFrame, policy: SkewPolicy = DEFAULT
+    requests: DataFrame, states: DataFrame, summary: DataFrame
 ) -> DataFrame:
     """The reply to a result request: totals once the run is completed, else a status message."""
-    reply = _reply(requests, states, "Allocation is %.1f%% complete", policy)
+    reply = _reply(requests, states, "Allocation is %.1f%% complete")
     totals = summary.select("allocation_id", "allocated_seats", "unallocated_seats")
     done = F.col("status") == "completed"
-    return join_facts(reply, totals, ["allocation_id"], "left", policy, sized_by=requests).select(
+    return reply.join(totals, ["allocation_id"], "left").select(
         "allocation_id",
         "status",
         F.when(~done, F.col("message")).alias("message"),

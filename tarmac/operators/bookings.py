@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts
 
 OD = ["origin", "destination"]
 
 
-def assign_flights(requests: DataFrame, flights: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def assign_flights(requests: DataFrame, flights: DataFrame) -> DataFrame:
     """Each request with the first flight of its route."""
     first = flights.groupBy(*OD).agg(
         F.min_by("flight_id", F.struct("scheduled_departure", "flight_id")).alias("flight_id")
     )
-    return join_facts(requests, first, OD, "left", policy)
+    return requests.join(first, OD, "left")
 
 
 def booking_events(assigned: DataFrame) -> DataFrame:
@@ -71,21 +70,14 @@ def seat_effects(events: DataFrame) -> DataFrame:
     )
 
 
-def booking_details(
-    states: DataFrame,
-    requests: DataFrame,
-    flights: DataFrame,
-    policy: SkewPolicy = DEFAULT,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
-    """Bookings with their passenger and flight number. ``sized_by``: rows to measure flights on,
-    when ``states`` is costly."""
+def booking_details(states: DataFrame, requests: DataFrame, flights: DataFrame) -> DataFrame:
+    """Bookings with their passenger and flight number."""
     who = requests.select(
         F.concat(F.lit("bk-"), F.col("request_id")).alias("booking_id"), "passenger_id", "passenger_name"
     )
     named = states.join(who, "booking_id")
     numbers = flights.select("flight_id", "flight_number")
-    return join_facts(named, numbers, ["flight_id"], "left", policy, sized_by).select(
+    return named.join(numbers, ["flight_id"], "left").select(
         "booking_id",
         "passenger_id",
         "passenger_name",

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.capacity import entity_type
-from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts, ordered_scan
+from tarmac.operators.skew import DEFAULT, SkewPolicy, ordered_scan
 from tarmac.schemas import FLIGHT_EXISTS, FLIGHT_ID_PREFIX, FLIGHT_LIFECYCLE, SNAPSHOT_INTERVAL, SNAPSHOTS_KEPT
 from tarmac.sources.journal import live_events
 
 ENTITY = "persistence_id"
 
 
-def create_outcomes(commands: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def create_outcomes(commands: DataFrame) -> DataFrame:
     """Reply to each create or get command, per flight in ``ordering``: the first create wins."""
     created = (
         commands.where(F.col("command") == "create")
@@ -28,7 +28,7 @@ def create_outcomes(commands: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFr
         .when(before, "FlightNotFound")
         .otherwise("FlightInfo")
     )
-    return join_facts(commands, created, ["flight_id"], "left", policy).select(
+    return commands.join(created, ["flight_id"], "left").select(
         "flight_id",
         "ordering",
         "command",
@@ -83,13 +83,13 @@ def _sequenced(value: str) -> Column:
     return F.when(F.col(value).isNotNull(), F.col("sequence_number"))
 
 
-def effective(journal: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def effective(journal: DataFrame) -> DataFrame:
     """The events that count: an entity begins with its first create that is not deleted; events before
     it, further creates and deleted events change nothing."""
     live = live_events(journal)
     is_create = F.col("event_type") == "FlightCreated"
     born = live.where(is_create).groupBy(ENTITY).agg(F.min("sequence_number").alias("_born"))
-    known = join_facts(live, born, [ENTITY], "inner", policy)
+    known = live.join(born, [ENTITY], "inner")
     first = F.col("sequence_number") == F.col("_born")
     return known.where(first | ((F.col("sequence_number") > F.col("_born")) & ~is_create)).drop("_born")
 
@@ -170,7 +170,7 @@ def snapshots(
     newest = blocks.groupBy(ENTITY).agg(F.expr(f"max(last_number) div {interval}").alias("complete"))
     due = (F.col("block") < F.col("complete")) & (F.col("block") >= F.col("complete") - keep)
     return (
-        join_facts(running, newest, [ENTITY], "inner", policy)
+        running.join(newest, [ENTITY], "inner")
         .where(due)
         .select(
             ENTITY,
@@ -182,9 +182,7 @@ def snapshots(
     )
 
 
-def replay_from_snapshots(
-    journal: DataFrame, saved: DataFrame, interval: int = SNAPSHOT_INTERVAL, policy: SkewPolicy = DEFAULT
-) -> DataFrame:
+def replay_from_snapshots(journal: DataFrame, saved: DataFrame, interval: int = SNAPSHOT_INTERVAL) -> DataFrame:
     """Latest snapshot plus the events after it; equals a full replay.
 
     Snapshots fall on block ends, so the tail is whole blocks and the join is on summed blocks.
@@ -195,9 +193,11 @@ def replay_from_snapshots(
         F.max_by("available_seats", "sequence_number").alias("saved_available"),
         F.max_by("status", "sequence_number").alias("saved_status"),
     )
-    tail = join_facts(
-        _blocks(journal, interval), latest.select(ENTITY, "saved_at"), [ENTITY], "left", policy
-    ).where(F.col("saved_at").isNull() | (F.col("last_number") > F.col("saved_at")))
+    tail = (
+        _blocks(journal, interval)
+        .join(latest.select(ENTITY, "saved_at"), [ENTITY], "left")
+        .where(F.col("saved_at").isNull() | (F.col("last_number") > F.col("saved_at")))
+    )
     folded = tail.groupBy(ENTITY).agg(
         F.max("total_seats").alias("total_seats"),
         F.sum("seat_change").alias("seat_change"),
@@ -222,7 +222,7 @@ def replay_from_snapshots(
 
 def status_transitions(journal: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Each status change with the status before it."""
-    changes = effective(journal, policy).where(F.col("new_status").isNotNull()).select(
+    changes = effective(journal).where(F.col("new_status").isNotNull()).select(
         ENTITY, "sequence_number", "event_ts", "event_type", "new_status"
     )
     return ordered_scan(

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.capacity import has_capacity, is_fully_booked, occupied_seats
-from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts
 from tarmac.schemas import FLIGHT_EXISTS
 
 FLIGHT_COLUMNS = [
@@ -29,10 +28,10 @@ def list_flights(flights: DataFrame) -> DataFrame:
     return flights.select(*FLIGHT_COLUMNS)
 
 
-def lookup_flights(requests: DataFrame, flights: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def lookup_flights(requests: DataFrame, flights: DataFrame) -> DataFrame:
     """Each requested ``flight_id`` with its flight, or with a not-found message."""
     known = flights.select("flight_id", "flight_number", "available_seats", "status", F.lit(True).alias("found"))
-    return join_facts(requests, known, ["flight_id"], "left", policy).withColumns(
+    return requests.join(known, ["flight_id"], "left").withColumns(
         {
             "found": F.coalesce("found", F.lit(False)),
             "message": F.when(
@@ -97,13 +96,13 @@ def register_flights(requests: DataFrame, flights: DataFrame) -> DataFrame:
     return winners.join(flights.select("flight_id"), "flight_id", "left_anti").select("won.*")
 
 
-def register_rejects(requests: DataFrame, flights: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def register_rejects(requests: DataFrame, flights: DataFrame) -> DataFrame:
     """Requests for an id that is already taken, by the table or by an earlier request."""
     taken = _first_requests(requests).join(
         flights.select("flight_id", F.lit(True).alias("exists")), "flight_id", "left"
     )
     return (
-        join_facts(requests, taken, ["flight_id"], "left", policy)
+        requests.join(taken, ["flight_id"], "left")
         .where(F.col("exists") | (F.col("request_no") > F.col("first_no")))
         .drop("exists", "first_no")
         .withColumn("reason", F.lit(FLIGHT_EXISTS))

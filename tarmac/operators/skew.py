@@ -71,28 +71,6 @@ def split_rows(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> tuple[Da
     return df.join(small, list(keys), "left_semi"), df.join(small, list(keys), "left_anti")
 
 
-def join_facts(
-    df: DataFrame,
-    facts: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    policy: SkewPolicy = DEFAULT,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
-    """Join ``df`` to ``facts``, which has at most one row per key.
-
-    Rows of heavy keys meet a broadcast of just those keys' facts, so they are never moved.
-    ``sized_by``: rows to measure keys on, when ``df`` itself is costly.
-    """
-    keys = list(keys)
-    heavy = heavy_keys(df if sized_by is None else sized_by, keys, policy)
-    if heavy is None:
-        return df.join(facts, keys, how)
-    hot, cold = split_rows(df, keys, heavy)
-    hot_facts, _ = split_rows(facts, keys, heavy)
-    return hot.join(F.broadcast(hot_facts), keys, how).unionByName(cold.join(facts, keys, how))
-
-
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],

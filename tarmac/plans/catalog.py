@@ -334,7 +334,7 @@ def booking_details(spark, sf_dir):
     assigned = _assigned(spark, sf_dir)
     states = bookings.booking_state(bookings.booking_events(assigned))
     return bookings.booking_details(
-        states, tables.booking_requests(spark, sf_dir), tables.flights(spark, sf_dir), sized_by=assigned
+        states, tables.booking_requests(spark, sf_dir), tables.flights(spark, sf_dir)
     )
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.clock import floor_div, seconds_between
 from tarmac.functions.durations import format_duration, format_local_date_time
-from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts
 
 
 def _airport(code: str, prefix: str | None = None) -> Column:
@@ -23,12 +22,12 @@ def _airport(code: str, prefix: str | None = None) -> Column:
     return F.struct(F.col(code).alias("code"), *details).alias(code)
 
 
-def flight_documents(flights: DataFrame, airports: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def flight_documents(flights: DataFrame, airports: DataFrame) -> DataFrame:
     for end in ("origin", "destination"):
         names = airports.select(
             F.col("code").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in ("name", "city", "country")]
         )
-        flights = join_facts(flights, names, [end], "left", policy)
+        flights = flights.join(names, [end], "left")
     length = seconds_between(F.col("scheduled_departure"), F.col("scheduled_arrival"))
     document = F.struct(
         F.col("flight_id").alias("flightId"),
@@ -61,7 +60,6 @@ def allocation_documents(
     flight_docs: DataFrame,
     processing_ms: Column | None = None,
     part: int | None = None,
-    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Results per allocation id. ``outcome`` and ``allocations`` carry ``position``, which orders the
     demands of a run; ``flight_docs`` comes from ``flight_documents``.
@@ -75,7 +73,7 @@ def allocation_documents(
     number = F.lit(0) if part is None else floor_div(F.col("position"), part)
     where = [F.col("allocation_id"), number.alias("part")]
 
-    shown = join_facts(allocations, flight_docs, ["flight_id"], "left", policy)
+    shown = allocations.join(flight_docs, ["flight_id"], "left")
     given = shown.groupBy(*where).agg(
         F.count(F.lit(1)).alias("allocation_count"),
         _listed(

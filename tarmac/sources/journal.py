@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.durations import parse_duration_micros, parse_local_date_time
-from tarmac.operators.skew import DEFAULT, SkewPolicy, join_facts, ordered_scan
+from tarmac.operators.skew import DEFAULT, SkewPolicy, ordered_scan
 from tarmac.schemas import FLIGHT_ID_PREFIX, JOURNAL
 
 SCAN_ORDER = ["persistence_id", "sequence_number"]
@@ -138,7 +138,7 @@ def new_events(
         sized_by=sized_by,
     )
     if known_heads is not None:
-        numbered = join_facts(numbered, known_heads, ["persistence_id"], "left", policy, sized_by).withColumns(
+        numbered = numbered.join(known_heads, ["persistence_id"], "left").withColumns(
             {
                 "sequence_number": F.col("sequence_number") + F.coalesce("last_number", F.lit(0)),
                 "old_status": F.coalesce("old_status", "last_status"),

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.clock import day_text, floor_div, seconds_between
 from tarmac.functions.durations import format_local_date_time
-from tarmac.operators.skew import join_facts
 
 HUBS = 25  # airports are the nations
 
@@ -196,7 +195,7 @@ def commands_from(events: DataFrame, firsts: DataFrame) -> DataFrame:
         .otherwise("status")
     )
     return (
-        join_facts(events, firsts, ["user_id"], "inner")
+        events.join(firsts, ["user_id"], "inner")
         .withColumn("command", kind)
         .select(
             F.col("user_id").cast("string").alias("flight_id"),

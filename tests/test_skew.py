@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.clock import MICROS
 from tarmac.operators import allocation, connections, events, seats
-from tarmac.operators.skew import SkewPolicy, heavy_keys, join_facts, ordered_scan
+from tarmac.operators.skew import SkewPolicy, heavy_keys, ordered_scan
 
 TINY = SkewPolicy(floor=40, share=0.0, chunk=16)
 KEEP_PLAIN = SkewPolicy(floor=10**9)
@@ -54,12 +54,6 @@ def test_ordered_scan(hot_rows, ordinal):
     assert {r.n: r.total for r in sliced.collect()} == expected
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_join_facts(spark, hot_rows, how):
-    facts = spark.createDataFrame([("hot", 1), ("k3", 2), ("k4", 3)], "key string, fact int")
-    assert rows_of(join_facts(hot_rows, facts, ["key"], how, TINY)) == rows_of(hot_rows.join(facts, "key", how))
-
-
 def commands_like(spark, seed, creates=True):
     rng = random.Random(seed)
     rows = []
@@ -233,7 +227,7 @@ def test_snapshot_and_tail_equal_full_replay(spark, small, policy, interval, kee
     per_key = {r[0]: r[1] for r in saved.groupBy("persistence_id").count().collect()}
     assert all(n <= keep for n in per_key.values())
     full = events.replay(journal)
-    assert rows_of(events.replay_from_snapshots(journal, saved, interval, policy).select(full.columns)) == rows_of(full)
+    assert rows_of(events.replay_from_snapshots(journal, saved, interval).select(full.columns)) == rows_of(full)
 
 
 def test_transitions_of_a_heavy_entity(spark, small):
