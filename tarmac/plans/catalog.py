@@ -74,6 +74,26 @@ def od_demand_monthly(spark, sf_dir):
     return demand.od_demand_by_period(tables.booking_requests(spark, sf_dir), "month")
 
 
+@query
+def od_demand_daily(spark, sf_dir):
+    return demand.od_demand_by_period(tables.booking_requests(spark, sf_dir), "day")
+
+
+@query
+def od_demand_weekly(spark, sf_dir):
+    return demand.od_demand_by_period(tables.booking_requests(spark, sf_dir), "week")
+
+
+@query
+def od_demand_quarterly(spark, sf_dir):
+    return demand.od_demand_by_period(tables.booking_requests(spark, sf_dir), "quarter")
+
+
+@query
+def od_demand_yearly(spark, sf_dir):
+    return demand.od_demand_by_period(tables.booking_requests(spark, sf_dir), "year")
+
+
 @query
 def top_routes(spark, sf_dir):
     return demand.top_routes(tables.booking_requests(spark, sf_dir), 10)
@@ -253,6 +273,27 @@ def recover_flights(spark, sf_dir):
     return events.recovered(event_log.entity_ids(journal), events.replay(journal))
 
 
+@query
+def unrecovered_flights(spark, sf_dir):
+    """Ids asked for whose journal gives no state: customers that never sent a command."""
+    asked = tables.read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("entity_id"))
+    return events.unrecovered(asked, events.replay(journal_table(spark, sf_dir)))
+
+
+@query
+def replay_planted_flights(spark, sf_dir):
+    """Events that must not count, planted around every flight's own: one before its create, a second
+    create, and a deleted allocation. The states are those of the journal without them."""
+    journal = journal_table(spark, sf_dir)
+    fields = "sequence_number long, event_type string, total_seats int, seats int, deleted boolean"
+    planted = [("0", "SeatsReleased", "null", "5", "false"), ("last_number + 1", "FlightCreated", "50", "null", "false")]
+    planted.append(("last_number + 2", "SeatsAllocated", "null", "30", "true"))
+    rows = ", ".join(f"struct(cast({n} as long), '{t}', cast({a} as int), cast({b} as int), {d})" for n, t, a, b, d in planted)
+    names = [f.split()[0] for f in fields.split(", ")]
+    found = event_log.heads(journal).select("persistence_id", F.expr(f"inline(array({rows}))").alias(*names))
+    return events.replay(journal.unionByName(found, allowMissingColumns=True))
+
+
 @query
 def snapshots_keep2(spark, sf_dir):
     return events.snapshots(journal_table(spark, sf_dir), interval=25, keep=2)

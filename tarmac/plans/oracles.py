@@ -117,13 +117,17 @@ oracle(
     f"""SELECT origin || '-' || destination AS od_key, origin, destination, {DEMAND},
   min(request_time) AS period_start, max(request_time) AS period_end FROM booking_requests GROUP BY origin, destination""",
 )
-oracle(
-    "od_demand_monthly",
-    "booking_requests",
-    f"""SELECT CAST(date_trunc('month', request_time) AS TIMESTAMP) AS period_start, origin, destination, {DEMAND},
-  CAST(date_trunc('month', request_time) AS TIMESTAMP) + INTERVAL 1 MONTH - INTERVAL 1 SECOND AS period_end
+for _name, _period, _length in (
+    ("daily", "day", "1 DAY"), ("weekly", "week", "7 DAY"), ("monthly", "month", "1 MONTH"),
+    ("quarterly", "quarter", "3 MONTH"), ("yearly", "year", "1 YEAR"),
+):
+    oracle(
+        f"od_demand_{_name}",
+        "booking_requests",
+        f"""SELECT CAST(date_trunc('{_period}', request_time) AS TIMESTAMP) AS period_start, origin, destination, {DEMAND},
+  CAST(date_trunc('{_period}', request_time) AS TIMESTAMP) + INTERVAL {_length} - INTERVAL 1 SECOND AS period_end
   FROM booking_requests GROUP BY 1, origin, destination""",
-)
+    )
 oracle(
     "top_routes",
     "booking_requests",
@@ -412,6 +416,13 @@ oracle(
 )
 oracle("replay_flights", "states", "SELECT * FROM states")
 oracle("recover_flights", "states", "SELECT * FROM states")
+oracle("replay_planted_flights", "states", "SELECT * FROM states")
+oracle(
+    "unrecovered_flights",
+    "",
+    """SELECT 'flight-' || c_custkey AS persistence_id FROM customer
+  WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""",
+)
 oracle("replay_from_snapshot", "states", "SELECT * FROM states")
 oracle(
     "snapshots_keep2",
