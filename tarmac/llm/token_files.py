@@ -37,6 +37,8 @@ SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2_000, 1 << 14, 1 << 16
 #: Compressed bytes a file holds on average.
 FILE_BYTES = 8 << 20
 LEVEL = 3
+#: Stands for a null doc_id in an index, and sorts first as nulls do.
+NO_ID = -(1 << 63)
 
 
 def _codec(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
@@ -101,7 +103,7 @@ def _writer(folder: str, width: int, hashed: bytes):
                     out.write(MAGIC + _number(width) + hashed)
                 out.write(packed)
                 at += len(packed)
-                ids.append(doc_id)
+                ids.append(NO_ID if doc_id is None else doc_id)
                 tokens.append(n)
                 ends.append(at)
         if out is not None:
@@ -145,7 +147,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     """Writes ``docs`` to ``folder``; gives one row per file (file, path, docs, tokens), the folder and the dictionary.
 
     Files are numbered in ascending doc_id order, and documents ascend inside them. Null text counts as empty and is the
-    end id alone; a null doc_id cannot be indexed and is an error; rows that repeat an id are all written, in any order.
+    end id alone; documents without an id come first; rows that repeat an id are all written, in any order. Other columns
+    are never read, whatever their names.
     """
     folder = folder or scratch_path(docs.sparkSession, "ids")
     dictionary = trained(docs, tokenizer, end_id, width)
@@ -171,7 +174,7 @@ def read(files: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
                 file = IdFile(folder, path, dictionary)
                 starts = start + np.cumsum(file.tokens) - file.tokens
                 crc = [zlib.crc32(file.ids(i).tobytes()) for i in range(len(file.doc_ids))]
-                columns = [pa.array(file.doc_ids), pa.array(starts), pa.array(file.tokens), pa.array(crc, pa.int64())]
+                columns = [pa.array(file.doc_ids, mask=file.doc_ids == NO_ID), pa.array(starts), pa.array(file.tokens), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"

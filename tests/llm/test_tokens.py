@@ -59,6 +59,15 @@ def test_files_round_trip(spark, odd, small, monkeypatch):
     assert packed < plain
 
 
+def test_documents_without_an_id(spark):
+    docs = spark.createDataFrame([(None, "a b"), (4, "a"), (4, "a"), (None, None)], "doc_id bigint, text string")
+    rows = token_files.read(*token_files.write(docs, BYTES, 2)).collect()
+    assert sorted((r.doc_id or -1, r.n_tokens) for r in rows) == [(-1, 1), (-1, 3), (4, 2), (4, 2)]
+    assert max(r.start for r in rows if r.doc_id is None) < min(r.start for r in rows if r.doc_id == 4)
+    packed = packing.packed(packing.pieces(docs, WORDS, 1)).collect()
+    assert sorted((r.doc_id or -1, r.length) for r in packed) == [(-1, 1), (-1, 3), (4, 2), (4, 2)]
+
+
 def test_no_files(spark, odd):
     files, folder, dictionary = token_files.write(odd.where("false"), BYTES, 2)
     assert files.count() == 0 == token_files.read(files, folder, dictionary).count()
