@@ -31,9 +31,11 @@ FOLDS, HELD_OUT = 7, 2
 #: The end of a document; no word holds white space.
 END = b"\n"
 #: Words with broadcast counts; distinct words a task counts, and pairs it gathers, before it passes them on.
-HEAD, FLUSH_WORDS, FLUSH_PAIRS = 50_000, 300_000, 2_000_000
+HEAD, FLUSH_WORDS, FLUSH_PAIRS = 50_000, 300_000, 3_000_000
 #: Word pairs of the corpus to a segment, filter bits to an entry, and probes to an entry.
 SEGMENT_PAIRS, BITS, PROBES = 2_000_000, 6, 4
+#: Bytes of a pair's hash that tasks pass on beside its segment; two of a segment's pairs share them once in a million.
+LOW_BYTES = 5
 BROADCAST_BYTES = 256 << 20
 WEIGHT = 20.0
 #: Words a scoring worker remembers, and tokens it scores at once.
@@ -58,8 +60,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray, cut_bits: int) -> np.ndarray:
-    """The segment in the top bits and 48 bits below it; tasks pass on the latter alone."""
-    kept = ((1 << cut_bits) - 1) << (64 - cut_bits) | ((1 << 48) - 1)
+    """The segment in the top bits, and the low bytes; tasks pass on the latter alone."""
+    kept = ((1 << cut_bits) - 1) << (64 - cut_bits) | ((1 << 8 * LOW_BYTES) - 1)
     return _mixed(first * _STEP + second) & np.uint64(kept)
 
 
@@ -157,24 +159,24 @@ class _Hashes(dict):
         return value
 
 
-def _six_bytes(hashes: np.ndarray) -> bytes:
-    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _low_bytes(hashes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES]).tobytes()
 
 
-def _eight_bytes(packed: bytes) -> np.ndarray:
-    low = np.frombuffer(packed, np.uint8).reshape(-1, 6)
-    return np.concatenate([low, np.zeros((len(low), 2), np.uint8)], axis=1).view("<u8").ravel().astype(np.uint64)
+def _from_low_bytes(packed: bytes) -> np.ndarray:
+    low = np.frombuffer(packed, np.uint8).reshape(-1, LOW_BYTES)
+    return np.concatenate([low, np.zeros((len(low), 8 - LOW_BYTES), np.uint8)], axis=1).view("<u8").ravel().astype(np.uint64)
 
 
 def _pair_counts(cut_bits: int):
-    """Pairs of a task, summed and sorted, as one row per segment: low 48 bits of the hashes, and counts."""
+    """Pairs of a task, summed and sorted, as one row per segment: low bytes of the hashes, and counts."""
 
     def out(arrays: list[np.ndarray]) -> pa.RecordBatch:
         hashes, n = np.unique(np.concatenate(arrays), return_counts=True)
         segment = (hashes >> np.uint64(64 - cut_bits)).astype(np.int64) if cut_bits else np.zeros(len(hashes), np.int64)
         some, starts = np.unique(segment, return_index=True)
         ends = [*starts[1:], len(hashes)]
-        packed = [_six_bytes(hashes[a:b]) for a, b in zip(starts, ends)]
+        packed = [_low_bytes(hashes[a:b]) for a, b in zip(starts, ends)]
         counts = [n[a:b].astype("<u4").tobytes() for a, b in zip(starts, ends)]
         columns = [pa.array(some), pa.array(packed, pa.binary()), pa.array(counts, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["segment", "hashes", "counts"])
@@ -203,7 +205,7 @@ def _part(kind: int, segment: int, hashes: np.ndarray, counts: np.ndarray) -> pa
 def _pair_filter(cut_bits: int):
     def run(table: pa.Table) -> pa.Table:
         segment = table.column("segment")[0].as_py()
-        low = np.concatenate([_eight_bytes(v.as_py()) for v in table.column("hashes")])
+        low = np.concatenate([_from_low_bytes(v.as_py()) for v in table.column("hashes")])
         counts = np.concatenate([np.frombuffer(v.as_py(), "<u4") for v in table.column("counts")])
         low, where = np.unique(low, return_inverse=True)
         top = np.uint64(segment << (64 - cut_bits) if cut_bits else 0)
