@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from functools import cache
+from struct import pack
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -22,7 +23,7 @@ RARE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in RARE_RANGES) +
 #: White space with the word after it: byte-level tokens start with the space, and none has white space after a letter.
 SPACED = re.compile(r"\s*\S+|\s+")
 #: Pieces remembered by a worker, and their greatest length; the others are encoded each time they come.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 800_000, 64
 
 
 #: A letter run with at most one space or line end before it and one mark after it; tokens cross neither border.
@@ -45,6 +46,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.drops_space = drops_space
+        self.split = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
@@ -61,16 +63,21 @@ class Encoder:
         """One token run of the vocabulary's model, without the normalizer and the splitter it needs none of."""
         ids = self.known.get(word)
         if ids is None:
-            spelt = word.encode().decode("latin-1").translate(self.letters)
-            found = [token.id for token in self.tokenizer.model.tokenize(spelt)]
-            ids = self._remember(word, np.array(found, "<u4").tobytes())
+            if word.isascii():
+                spelt = self.letters[32] + word[1:] if word[0] == " " else word
+            else:
+                spelt = word.encode().decode("latin-1").translate(self.letters)
+            found = [token.id for token in self.split(spelt)]
+            ids = self._remember(word, pack(f"<{len(found)}I", *found))
         return ids
 
     def _piece(self, piece: str) -> bytes:
         plain = PLAIN.fullmatch(piece)
-        if plain is None or not plain[2].isalpha() or max(plain[2]) >= BEYOND_LATIN or (self.drops_space and chr(0x130) in plain[2]):
+        if plain is None:
             return self._remember(piece, self._encoded([piece])[0])
         before, word, mark = plain.groups()
+        if not word.isascii() and (not word.isalpha() or max(word) >= BEYOND_LATIN or (self.drops_space and chr(0x130) in word)):
+            return self._remember(piece, self._encoded([piece])[0])
         if self.drops_space:
             ids = self._word(word.lower())
         elif before == "\n":
