@@ -29,7 +29,7 @@ from tarmac.llm.text import whole
 
 BAR = chr(0x2581)
 #: Parts and pairs a worker remembers, and the longest part it does.
-REMEMBERED, REMEMBERED_PAIRS, LONGEST = 300_000, 1_000_000, 64
+REMEMBERED, REMEMBERED_PAIRS, LONGEST = 300_000, 400_000, 64
 #: What a run of characters is in the lattice, and the score of a merge that does not exist.
 PIECE, BEGINNING = 1, 2
 NEVER = float("-inf")
@@ -219,19 +219,19 @@ def decoded(rows: DataFrame, model: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, and SHA-256 and length of the text decoded from the ids."""
+    """doc_id, n_tokens, ids_crc32, and SHA-256 and length of the text decoded from the ids, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = pieces(model)
         for batch in batches:
-            ids, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            columns = [
-                batch.column(0),
-                pa.array([len(i) // 4 for i in ids], pa.int64()),
-                pa.array([zlib.crc32(i) for i in ids], pa.int64()),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
-                pa.array([len(t) for t in texts], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "decoded_chars"])
-
-    schema = "doc_id bigint, n_tokens bigint, ids_crc32 bigint, decoded_sha256 string, decoded_chars bigint"
-    return decoded(encoded(docs, model), model).mapInArrow(run, schema)
+            rows = []
+            for text in batch.column(1):
+                ids = coder.encode(text.as_py())
+                back = coder.decode(ids)
+                rows.append((len(ids) // 4, zlib.crc32(ids), hashlib.sha256(back.encode()).hexdigest(), len(back)))
+            types = [pa.int64(), pa.int64(), pa.string(), pa.int64()]
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256", "decoded_chars"])
+
+    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").alias("text"))
+    return chosen.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_crc32 bigint, decoded_sha256 string, decoded_chars bigint")

@@ -77,4 +77,6 @@ def test_rows_of_any_kind(spark):
     docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (2, "", 0), (None, "x" * 30_000, 0)], "doc_id bigint, text string, ids int")
     rows = sp.digests(docs, PATH).collect()
     assert sorted((r.doc_id or 0, r.decoded_chars) for r in rows) == [(0, 30_000), (1, 0), (2, 0), (2, 0)]
+    back = {(r.doc_id or 0, r.text) for r in sp.decoded(sp.encoded(docs, PATH), PATH).collect()}
+    assert back == {(0, "x" * 30_000), (1, ""), (2, "")}
     assert sp.digests(docs.where("false"), PATH).count() == 0
