@@ -160,10 +160,17 @@ class Pieces:
         return np.array(out, "<u4").tobytes()
 
     def _searched(self, part: str) -> bytes:
-        if len(part) > 1 and part[-2:] not in self.met:  # no piece holds the last character and the one before it
-            found = (self.known.get(part[:-1]) or self._searched(part[:-1])) + (self.known.get(part[-1]) or self._searched(part[-1]))
-        else:
+        """Ids of a part, cut wherever no piece holds both neighbours; each cut piece is searched by itself."""
+        met = self.met
+        cuts = [0, *[i for i in range(1, len(part)) if part[i - 1 : i + 1] not in met], len(part)]
+        if len(cuts) == 2:
             found = self._part(part)
+        else:
+            pieces = map(part.__getitem__, map(slice, cuts, cuts[1:]))
+            found = b"".join([self.known.get(p) or self._remembered(p, self._part(p)) for p in pieces])
+        return self._remembered(part, found)
+
+    def _remembered(self, part: str, found: bytes) -> bytes:
         if len(part) <= LONGEST and len(self.known) < REMEMBERED:
             self.known[part] = found
         return found

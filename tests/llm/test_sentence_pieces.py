@@ -44,6 +44,14 @@ def test_runs_of_one_character(model, library):
             assert ids(model, unit * n) == library.encode(unit * n), (unit, n)
 
 
+def test_long_parts_of_pairs_in_no_piece(model, library):
+    """Long runs without a space where hardly any two neighbours share a piece: digits and CJK paragraphs."""
+    digits = "".join(str(i * 7919 % 10007) for i in range(13_000))[:50_000]
+    ideographs = "".join(chr(0x4E00 + i * 7919 % 20_000) for i in range(50_000))
+    for text in (digits, "0" * 50_000, "12" * 25_000, "zq" * 25_000, ideographs, "abc" + ideographs + "the" + digits):
+        assert ids(model, text) == library.encode(text)
+
+
 def test_window_stays_small(model, library):
     """Ids come out long before the end of a text without a single space, and are the same whenever they are looked for."""
     text = "internationalization" * 500
