@@ -34,7 +34,9 @@ IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 URL = re.compile(r"(?:[a-z]+://|www\.)(?:[A-Za-z0-9-]++\.)+[A-Za-z0-9-]++(?::[0-9]++)?(?:[/?#][^\s<>\"']*+)?")
-VALUE = re.compile(r"[\x20\t]*(?:number|no\.?|id)?[\x20\t]*[:=#]?[\x20\t]*[\"']?([A-Za-z0-9](?:[\x20-]?[A-Za-z0-9_]){7,63})")
+#: What stands between a cue and its value, which has eight characters or more; and a group of the value.
+HEAD = re.compile(r"[\x20\t]*(?:number|no\.?|id)?[\x20\t]*[:=#]?[\x20\t]*[\"']?(?=[A-Za-z0-9](?:[\x20-]?[A-Za-z0-9_]){7})")
+GROUP = re.compile(r"[A-Za-z0-9_](?:-?[A-Za-z0-9_])*+")
 
 SCHEMES = ("http://", "https://", "ftp://", "www.")
 CUES = ("token", "account", "iban", "passport", "ssn", "secret", "password", "api_key", "apikey", "api key")
@@ -86,27 +88,35 @@ def _phone_valid(match: re.Match) -> bool:
     return 9 <= sum(c in DIGITS for c in match.group()) <= 15
 
 
-def _account(text: str, cue_start: int, cue_end: int) -> tuple[int, int] | None:
-    """The identifier that a cue announces: a value of eight characters or more with at least three digits."""
+def _account(text: str, cue_start: int, cue_end: int, dead: int) -> tuple[tuple[int, int] | None, int]:
+    """The identifier that a cue announces, of any length: eight characters or more with at least three digits.
+
+    The first group is taken whole, and further ones, each after one space, while they hold a digit. Values that begin
+    before ``dead`` are tails of one that failed, and fail as well; the new ``dead`` is returned, so no run of characters
+    is read more than a few times.
+    """
     if cue_start and (text[cue_start - 1].isalnum() or text[cue_start - 1] == "_"):
-        return None
-    found = VALUE.match(text, cue_end)
-    if not found:
-        return None
-    value = found.group(1).split(" ")
-    start, end = found.start(1), found.start(1)
-    for part in value:  # words after the identifier are not part of it
-        if not any(c in DIGITS for c in part):
+        return None, dead
+    head = HEAD.match(text, cue_end)
+    if not head or head.end() < dead:
+        return None, dead
+    start = end = head.end()
+    digits, group = 0, GROUP.match(text, start)
+    while group:
+        held = sum(map(group.group().count, DIGITS))
+        if not held:  # words after the identifier are not part of it
             break
-        end += len(part) + (end > start)
-    kept = text[start:end]
-    return (start, end) if end - start >= 8 and sum(c in DIGITS for c in kept) >= 3 else None
+        digits, end = digits + held, group.end()
+        group = GROUP.match(text, end + 1) if text.startswith(" ", end) else None
+    if end - start >= 8 and digits >= 3:
+        return (start, end), dead
+    return None, max(dead, end, group.end() if group and end == start else 0)
 
 
 def spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by kind and then start."""
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
-    free = dict.fromkeys(KINDS, 0)
+    free, dead = dict.fromkeys(KINDS, 0), 0
 
     def take(kind: str, span: tuple[int, int] | None, valid: bool = True) -> None:
         if span:
@@ -130,7 +140,8 @@ def spans(text: str) -> list[tuple[str, int, int]]:
             if start >= free["url"] and (match := URL.match(text, start)):
                 take("url", (start, start + len(match.group().rstrip(".,;:!?)"))))
         elif start >= free["account"]:
-            take("account", _account(text, start, last + 1))
+            span, dead = _account(text, start, last + 1, dead)
+            take("account", span)
     return [(kind, start, end) for kind in KINDS for start, end in found[kind]]
 
 

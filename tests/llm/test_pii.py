@@ -53,6 +53,18 @@ def test_added_kinds():
     assert pii.redacted(text) == 'see [URL], token = "[ACCOUNT]" TOKEN 12 tokens are fine'
 
 
+def test_identifiers_of_any_length():
+    key = "aZ9_" * 50
+    for value in (key, f"{key}-{key}", f"{key} {key} 12", "7" * 65):
+        text = f"secret: {value} and more words follow here"
+        assert [(k, text[a:b]) for k, a, b in pii.spans(text) if k == "account"] == [("account", value)]
+        assert pii.redacted(text) == "secret: [ACCOUNT] and more words follow here"
+    text = "token secret: 12345678, password api_key abcdefgh12"
+    assert [text[a:b] for k, a, b in pii.spans(text) if k == "account"] == ["12345678"]
+    for unit in ("-tokenab", " tokenab1", "token=a-", "token 1 "):
+        pii.spans(unit * (400_000 // len(unit)))
+
+
 def test_long_texts_take_linear_time():
     for unit in ("1", "a@", "+1", "1.", "1 ", "+(", "@a.", "token "):
         text = unit * (400_000 // len(unit))
