@@ -3,14 +3,22 @@
 A page is a stream of block tags and text slots; inline markup belongs to the slot around it. Neighbouring copies of a
 group fold into ``(group)+``. Streams of one host are then aligned two at a time: what both have stays, a group that one
 has once and the other repeatedly becomes repeated, and what only one has becomes ``(group)?``. The result accepts the
-pages of the host, and its slots, by their place in the element tree, are either main text or not: inside the container
-the wrapper has for the article, and under no element that is a menu, header, footer, sidebar, notice, advert, form or
-comments by its tag, role or class. Without such a container, slots whose text never changes are template text, and the
-container is the deepest element with most of the remaining text.
+pages of the host, and says so in ``matched``. Words of a class or id are part of a stream only if they are hints (below),
+so pages whose elements carry words of their own have no wrappers of their own.
+
+A host's slots, by their place in the element tree, are classified by what the host's pages have there. Text that stands
+unchanged on several pages is template text. The rest is summed by the container it is in (article, main, an element
+named like one, or none) and by the number of hints above it: elements that look like a menu, sidebar, notice, advert,
+form or comments by tag, role or class. Hints inside a container rule text out. Hints around it do not: the article is
+under the fewest hints that leave a fair share of the changing text, so a layout element with a telling class is passed
+over, and comments or teasers deeper in hints are not. Without a container, template slots go, and the container is the
+deepest element with most of the changing text.
 
 All pages take part. Streams and slot statistics are combined per host in each task and again after the shuffle, so a host
 with a third of all pages sends its few different streams; alignment works on at most ``FOLD`` streams to a task and is
-repeated until a host has one wrapper. Pages are never moved to their host: the small table of wrappers comes to them.
+repeated until a host has one wrapper. Slot statistics are summed by Spark, and what a host keeps of them is bounded: a
+template slot stands on a share of its pages. Pages are never moved to their host: the small table of wrappers comes to
+them.
 """
 
 from __future__ import annotations
@@ -26,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarmac.llm.text import cut, whole
 from tarmac.session import scratch_path
@@ -50,8 +59,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table select body article main section div".split())
 
-#: What is not main text, by tag, by role and by word of a class or id.
-BOILERPLATE_TAGS = frozenset("head nav footer aside form button select menu dialog object".split())
+#: What is not main text, by tag and by role; and what hints at it, by tag and by word of a class or id.
+BOILERPLATE_TAGS = frozenset("head nav footer aside button select menu dialog object".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
@@ -59,10 +68,15 @@ BOILERPLATE_WORDS = frozenset(
     "breadcrumb breadcrumbs footer masthead toolbar share sharing social related recommended comment comments disqus reply "
     "replies respond widget login search pagination pager skip".split()
 )
+HINT_TAGS = frozenset(("form",))
 HEADER_WORDS = frozenset(("header", "topbar"))
 ARTICLE_WORDS = frozenset("article post entry story content main maincontent articlebody".split())
+HINTS = BOILERPLATE_WORDS | HEADER_WORDS | ARTICLE_WORDS
 #: Containers of the article, best first.
 CONTAINERS = ("article", "main", "named")
+#: Of the changing text, the share of what is under more hints that text under fewer must have; and the share of a host's
+#: pages on which a template text stands.
+FAIR, TEMPLATE = 0.1, 0.1
 #: Streams aligned in one task, longest repeated group, and share of the text that the container of the rest must hold.
 FOLD, LONGEST_GROUP, MOST = 64, 24, 0.6
 #: Streams and slots a task combines before it passes them on.
@@ -77,33 +91,33 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 @lru_cache(maxsize=50_000)
-def _element(tag: str, attributes: str) -> tuple[str, bool, str | None]:
-    """Label, whether it is boilerplate, and which kind of article container it is."""
+def _element(tag: str, attributes: str) -> tuple[str, str, bool, bool, str | None]:
+    """Labels in streams and in places, whether it is boilerplate, a hint, and which kind of article container it is."""
     found = _attributes(attributes) if attributes.strip() else {}
-    names = f"{found.get('class', '')} {found.get('id', '')}".lower()
-    words = set(re.split(r"[\s_-]+", names)) - {""}
+    words = set(re.split(r"[\s_-]+", f"{found.get('class', '')} {found.get('id', '')}".lower())) - {""}
     role = found.get("role", "").lower()
-    boilerplate = (
-        tag in BOILERPLATE_TAGS
-        or role in BOILERPLATE_ROLES
-        or bool(words & BOILERPLATE_WORDS)
-        or "hidden" in found
-        or found.get("aria-hidden") == "true"
-    )
+    boilerplate = tag in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
+    own = tag in ("html", "body", "article", "main")
+    hint = tag in HINT_TAGS or bool(words & BOILERPLATE_WORDS)
     container = "article" if tag == "article" else "main" if tag == "main" or role == "main" else "named" if words & ARTICLE_WORDS else None
     container = None if tag in ("html", "body") else container
-    header = tag == "header" or bool(words & HEADER_WORDS)
-    label = ".".join([tag, *sorted(words)])
-    return f"^{label}" if header else label, boilerplate and tag not in ("html", "body", "article", "main"), container
+    header = "^" if tag == "header" or words & HEADER_WORDS else ""
+    # ids and words with digits are mostly those of one page
+    classes = {w for w in re.split(r"[\s_-]+", found.get("class", "").lower()) if w and not any(map(str.isdigit, w))}
+    label, place = (header + ".".join([tag, *sorted(w)]) for w in (words, words))
+    return label, place, boilerplate and not own, hint and not own, container
 
 
 class Page:
-    """Text blocks of a page with their places, and its stream of block tags and slots."""
+    """Text blocks of a page with their candidacies and places, and its stream of block tags and slots.
+
+    A candidacy is a container the block is in, "" for none, and the number of hints around that container.
+    """
 
     def __init__(self, html: str) -> None:
         self.stream: list[str] = []
-        self.blocks: list[tuple[tuple[str, ...], bool, frozenset[str], str]] = []
-        self.path: list[tuple[str, str, bool, str | None]] = []  # tag, label, boilerplate, container
+        self.blocks: list[tuple[tuple[tuple[str, int], ...], tuple[str, ...], str]] = []
+        self.path: list[tuple[str, str, str, bool, bool, str | None]] = []  # tag, then as _element
         self.text: list[str] = []
         for token in TOKEN.finditer(html):
             piece = token.group()
@@ -129,9 +143,24 @@ class Page:
         self.text.clear()
         if joined:
             self.stream.append("#")
-            inside = frozenset(c for *_, c in self.path if c)
-            off = any(b or (label[0] == "^" and "article" not in inside) for _, label, b, _ in self.path)
-            self.blocks.append((tuple(label for _, label, _, _ in self.path), off, inside, joined))
+            candidacies = self._candidacies()
+            if candidacies:
+                self.blocks.append((candidacies, tuple(p[2] for p in self.path), joined))
+
+    def _candidacies(self) -> tuple[tuple[str, int], ...]:
+        """None for a block in boilerplate, or in a header outside an article."""
+        found: dict[str, int] = {}
+        hints, header = 0, False
+        for _, label, _, boilerplate, hint, container in self.path:
+            if boilerplate:
+                return ()
+            hints += hint
+            header |= label[0] == "^"
+            if container:
+                found[container] = hints  # the innermost
+        if header and "article" not in found:
+            return ()
+        return (*((c, n) for c, n in found.items() if n == hints), ("", hints))
 
     def _pop(self) -> None:
         self.stream.append(f"/{self.path.pop()[0]}")
@@ -147,10 +176,10 @@ class Page:
                     self._pop()
             elif self.path[at][0] in SCOPES:
                 break
-        label, boilerplate, container = _element(tag, attributes.rstrip("/"))
-        self.stream.append(label)
+        element = _element(tag, attributes.rstrip("/"))
+        self.stream.append(element[0])
         if tag not in VOID:
-            self.path.append((tag, label, boilerplate, container))
+            self.path.append((tag, *element))
 
     def _close(self, tag: str) -> None:
         self._flush()
@@ -267,13 +296,24 @@ def host(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-SEEN = "host string, kind string, item string, chars bigint, least bigint, most bigint"
-_SEEN_TYPES = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+SEEN = "host string, kind string, item string, chars bigint, pages bigint, least bigint, most bigint, from bigint, to bigint"
+_SEEN_TYPES = [pa.string()] * 3 + [pa.int64()] * 6
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) >> 1
+
+
+def _slot(candidacies: tuple[tuple[str, int], ...], path: tuple[str, ...]) -> str:
+    return "\t".join([",".join(f"{c}:{n}" for c, n in candidacies), *path])
 
 
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams (kind s) and slots (kind t: text length, smallest and largest text hash) of pages, combined per task."""
-    held: dict[tuple[str, str, str], tuple[int, int, int]] = {}
+    """Streams (kind s), slots (kind t) and pages (kind n), combined per task.
+
+    Slots have the text length, the number of pages, and the smallest and largest hash of the text and of the page.
+    """
+    held: dict[tuple[str, str, str], tuple[int, ...]] = {}
 
     def out() -> pa.RecordBatch:
         columns = zip(*[(*key, *value) for key, value in held.items()])
@@ -281,13 +321,17 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for url, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-            page, at = Page(html.as_py()), host(url)
-            held[at, "s", written(folded(page.stream))] = (0, 0, 0)
-            for path, off, _, text in page.blocks:
-                if not off:
-                    key, hashed = (at, "t", "\t".join(path)), xxhash.xxh64_intdigest(text) >> 1
-                    chars, least, most = held.get(key, (0, hashed, hashed))
-                    held[key] = (chars + len(text), min(least, hashed), max(most, hashed))
+            text = html.as_py()
+            page, at, whole_page = Page(text), host(url), _hash(text)
+            held[at, "s", written(folded(page.stream))] = (0,) * 6
+            held[at, "n", ""] = (0, held.get((at, "n", ""), (0, 0))[1] + 1, 0, 0, 0, 0)
+            met = set()
+            for candidacies, path, block in page.blocks:
+                key, hashed = (at, "t", _slot(candidacies, path)), _hash(block)
+                chars, pages, least, most, first, last = held.get(key, (0, 0, hashed, hashed, whole_page, whole_page))
+                pages += key not in met
+                met.add(key)
+                held[key] = (chars + len(block), pages, min(least, hashed), max(most, hashed), min(first, whole_page), max(last, whole_page))
             if len(held) > HELD:
                 yield out()
                 held.clear()
@@ -303,33 +347,80 @@ def _align(table: pa.Table) -> pa.Table:
     return pa.table({"host": table.column("host")[:1], "item": pa.array([written(wrapper)])})
 
 
-def _container(table: pa.Table) -> pa.Table:
-    """The deepest element of a host with most of its changing text, as a path."""
-    rows = [
-        (tuple(item.split("\t")), chars)
-        for item, chars, least, most in zip(*[table.column(c).to_pylist() for c in ("item", "chars", "least", "most")])
-        if least != most
-    ]
-    total, best = sum(chars for _, chars in rows), ()
-    sums: dict[tuple, int] = {}
-    for path, chars in rows:
-        for n in range(len(path)):  # not the element of the text itself
-            sums[path[:n]] = sums.get(path[:n], 0) + chars
-    for path, chars in sums.items():
-        if chars >= MOST * total and len(path) > len(best):
-            best = path
-    constant = sorted(i for i, a, b in zip(*[table.column(c).to_pylist() for c in ("item", "least", "most")]) if a == b)
-    found = json.dumps([list(best), constant], ensure_ascii=False)
-    return pa.table({"host": table.column("host")[:1], "rest": pa.array([found])})
+SUMS = "host string, kind string, hints int, depth int, hashed bigint, chars bigint"
+
+
+def _prefixes(path) -> Iterator[int]:
+    """A hash of each path from the root, without the element of the text itself."""
+    so_far = xxhash.xxh64()
+    for label in path[:-1]:
+        yield so_far.intdigest() >> 1
+        so_far.update(label + "\t")
+    if path:
+        yield so_far.intdigest() >> 1
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Changing text by candidacy (depth -1), and under each element (kind p), combined per task."""
+    names = [c.split()[0] for c in SUMS.split(", ")]
+    types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    held: dict[tuple, int] = {}
+
+    def out() -> pa.RecordBatch:
+        columns = zip(*[(*key, chars) for key, chars in held.items()])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    for batch in batches:
+        for at, item, chars in zip(*(c.to_pylist() for c in batch.columns)):
+            candidacies, *path = item.split("\t")
+            keys = []
+            for candidacy in candidacies.split(","):
+                kind, hints = candidacy.split(":")
+                keys.append((at, kind, int(hints), -1, 0))
+            keys += [(at, "p", int(hints), depth, hashed) for depth, hashed in enumerate(_prefixes(path))]  # the last is ""
+            for key in keys:
+                held[key] = held.get(key, 0) + chars
+            if len(held) > HELD:
+                yield out()
+                held.clear()
+    if held:
+        yield out()
+
+
+def chosen(sums: dict[tuple[str, int], int]) -> tuple[str, int] | None:
+    """The container and number of hints for text lengths by candidacy; None if there is no container.
+
+    The fewest hints, unless more of them leave over ten times the text; at equal hints the best container. A container
+    under hints must hold more than what stands free of them outside any container.
+    """
+    inside = {k: n for k, n in sums.items() if k[0]}
+    for kind, hints in sorted(inside, key=lambda k: (k[1], CONTAINERS.index(k[0]))):
+        here = inside[kind, hints]
+        if here >= FAIR * max((n for (_, h), n in inside.items() if h > hints), default=0):
+            free = sum(n for (k, h), n in sums.items() if not k and h < hints)
+            return (kind, hints) if here > free or not hints else None
+    return None
+
+
+def free_hints(sums: dict[tuple[str, int], int]) -> int:
+    """The number of hints under which text outside containers still counts."""
+    levels = {h: n for (k, h), n in sums.items() if not k}
+    return next((h for h in sorted(levels) if levels[h] >= FAIR * max((n for g, n in levels.items() if g > h), default=0)), 0)
+
+
+@F.udf(StructType().add("container", "string").add("hints", "integer").add("free", "integer"))
+def _chosen(rows):
+    sums = {(kind, hints): chars for kind, hints, chars in rows}
+    return *(chosen(sums) or (None, None)), free_hints(sums)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper, and for pages without an article container: the path of the text's and the slots that never change."""
-    chosen = pages.select("url", whole("html").alias("html"))
+    """host, wrapper, and rest: where the text of the host is, and which slots never change."""
+    read = pages.select("url", whole("html").alias("html"))
     seen = cut(
-        chosen.mapInArrow(_observed, SEEN)
+        read.mapInArrow(_observed, SEEN)
         .groupBy("host", "kind", "item")
-        .agg(F.sum("chars").alias("chars"), F.min("least").alias("least"), F.max("most").alias("most"))
+        .agg(*(F.sum(c).alias(c) for c in ("chars", "pages")), *(F.min(c).alias(c) for c in ("least", "from")), *(F.max(c).alias(c) for c in ("most", "to")))
     )
     now = seen.where("kind = 's'").select("host", "item")
     while True:
@@ -338,34 +429,54 @@ def wrappers(pages: DataFrame) -> DataFrame:
             break
         sliced = now.join(counts, "host").withColumn("slice", F.pmod(F.xxhash64("item"), F.ceil(F.col("n") / FOLD)))
         now = cut(sliced.select("host", "slice", "item").groupBy("host", "slice").applyInArrow(_align, "host string, item string"))
-    rest = seen.where("kind = 't'").groupBy("host").applyInArrow(_container, "host string, rest string")
+
+    total = seen.where("kind = 'n'").select("host", F.col("pages").alias("all"))
+    # the same text on several pages that are not copies of each other
+    fixed = F.col("least") == F.col("most")
+    slots = cut(seen.where("kind = 't'").join(total, "host").select("host", "item", "chars", fixed.alias("fixed")))
+    summed = slots.where("NOT fixed").select("host", "item", "chars").mapInArrow(_summed, SUMS)
+    summed = cut(summed.groupBy("host", "kind", "hints", "depth", "hashed").agg(F.sum("chars").alias("chars")))
+    levels = summed.where("depth < 0").groupBy("host").agg(F.collect_list(F.struct("kind", "hints", "chars")).alias("rows"))
+    choice = cut(levels.select("host", _chosen("rows").alias("c")).select("host", "c.*"))
+    under = summed.where("depth >= 0").join(choice.select("host", "free"), "host").where("hints <= free")
+    under = under.groupBy("host", "depth", "hashed").agg(F.sum("chars").alias("chars"))
+    # at most one element of a depth has most of the text; every changing text is under the root, at depth 0
+    most = under.join(under.where("depth = 0").select("host", F.col("chars").alias("of")), "host").where(F.col("chars") >= MOST * F.col("of"))
+    deepest = most.groupBy("host").agg(F.max(F.struct("depth", "hashed")).alias("at"))
+    constant = slots.where("fixed").groupBy("host").agg(F.sort_array(F.collect_set("item")).alias("constant"))
+    rest = total.join(choice, "host", "left").join(deepest, "host", "left").join(constant, "host", "left")
+    rest = rest.select("host", F.to_json(F.struct("container", "hints", "free", "at.depth", "at.hashed", "constant")).alias("rest"))
     return now.select("host", F.col("item").alias("wrapper")).join(rest, "host", "left")
 
 
 @lru_cache(maxsize=10_000)
-def _wrapper(text: str, rest: str | None) -> tuple[list[Node], str | None, tuple[str, ...], frozenset[str]]:
-    nodes = loaded(text)
-    kinds = set()
-    for label in labels(nodes):
-        tag, *words = label.lstrip("^").split(".")
-        kinds |= {"article"} & {tag} | {"main"} & {tag} | ({"named"} if set(words) & ARTICLE_WORDS else set())
-    path, constant = json.loads(rest) if rest else ([], [])
-    return nodes, next((c for c in CONTAINERS if c in kinds), None), tuple(path), frozenset(constant)
+def _wrapper(text: str, rest: str | None) -> tuple[list[Node], tuple[str, int] | None, int, tuple[int, int] | None, frozenset[str]]:
+    found = json.loads(rest) if rest else {}
+    container = (found["container"], found["hints"]) if "container" in found else None
+    deepest = (found["depth"], found["hashed"]) if "depth" in found else None
+    return loaded(text), container, found.get("free", 0), deepest, frozenset(found.get("constant", ()))
 
 
 def main_text(html: str, wrapper: str, rest: str | None = None) -> tuple[str, bool]:
-    """Text of the wrapper's main slots on a page, and whether the wrapper accepts the page's tags."""
+    """Text of the host's main slots on a page, and whether the wrapper accepts the page's tags."""
     page = Page(html)
-    nodes, container, path, constant = _wrapper(wrapper, rest)
-    on_page = frozenset().union(*(inside for _, _, inside, _ in page.blocks))
-    if container not in on_page:  # the wrapper has it as optional, or not at all
-        container = next((c for c in CONTAINERS if c in on_page), None)
-    blocks = [(where, text, inside) for where, off, inside, text in page.blocks if not off]
-    if container is not None:
-        kept = [text for _, text, inside in blocks if container in inside]
-    else:
-        changing = [(w, t) for w, t, _ in blocks if "\t".join(w) not in constant] or [(w, t) for w, t, _ in blocks]
-        kept = [t for w, t in changing if w[: len(path)] == path] or [t for _, t in changing]
+    nodes, container, free, deepest, constant = _wrapper(wrapper, rest)
+
+    def inside(kind: str, most: int) -> list[str]:
+        return [text for candidacies, _, text in page.blocks if any(c == kind and n <= most for c, n in candidacies)]
+
+    kept = inside(*container) if container else []
+    if not kept:  # the host has it on other pages only, or not at all
+        sums: dict[tuple[str, int], int] = {}
+        for candidacies, _, text in page.blocks:
+            for key in candidacies:
+                sums[key] = sums.get(key, 0) + len(text)
+        own = chosen(sums)
+        kept = inside(*own) if own else []
+    if not kept:
+        blocks = [(_slot(c, path), path, text) for c, path, text in page.blocks if c[-1][1] <= free]
+        changing = [b for b in blocks if b[0] not in constant] or blocks
+        kept = [t for _, path, t in changing if deepest and deepest in enumerate(_prefixes(path))] or [t for *_, t in changing]
     return "\n\n".join(kept), accepts(nodes, page.stream)
 
 

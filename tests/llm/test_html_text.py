@@ -33,6 +33,20 @@ def test_without_a_container_text_that_never_changes_is_template(spark):
     assert [got[n].text for n in range(6)] == [f"Head {n}\n\nBody {n}\n\nMore {n}" for n in range(6)]
 
 
+def test_layout_elements_with_telling_names_lose_nothing(spark):
+    """Hints around the article, with and without a container; comments and teasers deeper in hints stay out."""
+    layouts = {
+        "a.example.com": '<div class="content-sidebar-wrap"><article><h1>Head {n}</h1><p>Body {n}</p></article><div id="comments"><article class="comment-body"><p>First {n}!</p></article></div></div>',
+        "b.example.com": '<form id="aspnetForm"><main><h1>Head {n}</h1><p>Body {n}</p></main></form>',
+        "c.example.com": '<div id="page-{n}" class="has-sidebar"><div><h1>Head {n}</h1><p>Body {n}</p></div><div class="sidebar"><p>More {n}</p></div></div>',
+        "d.example.com": '<div class="sidebar"><article class="teaser"><p>T{n}</p></article></div><div class="entry"><h1>Head {n}</h1><p>Body {n}</p></div>',
+        "e.example.com": '<div class="sidebar"><article><p>Other {n}</p></article></div><article><h1>Head {n}</h1><p>Body {n}</p></article>',
+    }
+    rows = [page(10 * i + n, f"<html><body>{html.format(n=n)}</body></html>", host) for i, (host, html) in enumerate(layouts.items()) for n in range(5)]
+    got = run(spark, rows)
+    assert {i: r.text for i, r in got.items()} == {10 * i + n: f"Head {n}\n\nBody {n}" for i in range(5) for n in range(5)}
+
+
 def test_alignment():
     a = ["div", "#", "/div", "p", "#", "/p"]
     b = ["p", "#", "/p", "p", "#", "/p", "ul", "li", "#", "/li", "li", "#", "/li", "/ul"]
