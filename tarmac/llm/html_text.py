@@ -432,7 +432,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
     total = seen.where("kind = 'n'").select("host", F.col("pages").alias("all"))
     # the same text on several pages that are not copies of each other
-    fixed = F.col("least") == F.col("most")
+    fixed = (F.col("least") == F.col("most")) & (F.col("from") != F.col("to")) & (F.col("pages") >= TEMPLATE * F.col("all"))
     slots = cut(seen.where("kind = 't'").join(total, "host").select("host", "item", "chars", fixed.alias("fixed")))
     summed = slots.where("NOT fixed").select("host", "item", "chars").mapInArrow(_summed, SUMS)
     summed = cut(summed.groupBy("host", "kind", "hints", "depth", "hashed").agg(F.sum("chars").alias("chars")))

@@ -47,6 +47,16 @@ def test_layout_elements_with_telling_names_lose_nothing(spark):
     assert {i: r.text for i, r in got.items()} == {10 * i + n: f"Head {n}\n\nBody {n}" for i in range(5) for n in range(5)}
 
 
+def test_a_slot_met_once_is_no_template(spark):
+    extra = {1: "<blockquote>Quote</blockquote>", 2: "<pre>Code</pre>", 3: "<h3>Sub</h3>", 4: "<table><tr><td>Cell</td></tr></table>"}
+    body = "<html><body><div><p>Menu</p></div><div><div><h1>Head {n}</h1><p>Body {n} and so on</p>{extra}</div></div></body></html>"
+    rows = [page(n, body.format(n=n, extra=extra.get(n, ""))) for n in range(6)]
+    got = run(spark, [*rows, (11, *rows[1][1:])])  # a copy of a page is no second page
+    more = {1: "Quote", 2: "Code", 3: "Sub", 4: "Cell"}
+    for n in (*range(6), 11):
+        assert got[n].text.split("\n\n") == [f"Head {n % 10}", f"Body {n % 10} and so on", *([more[n % 10]] if n % 10 in more else [])]
+
+
 def test_alignment():
     a = ["div", "#", "/div", "p", "#", "/p"]
     b = ["p", "#", "/p", "p", "#", "/p", "ul", "li", "#", "/li", "li", "#", "/li", "/ul"]
