@@ -104,7 +104,7 @@ def _element(tag: str, attributes: str) -> tuple[str, str, bool, bool, str | Non
     header = "^" if tag == "header" or words & HEADER_WORDS else ""
     # ids and words with digits are mostly those of one page
     classes = {w for w in re.split(r"[\s_-]+", found.get("class", "").lower()) if w and not any(map(str.isdigit, w))}
-    label, place = (header + ".".join([tag, *sorted(w)]) for w in (words, words))
+    label, place = (header + ".".join([tag, *sorted(w)]) for w in (words & HINTS, classes | words & HINTS))
     return label, place, boilerplate and not own, hint and not own, container
 
 

@@ -57,6 +57,19 @@ def test_a_slot_met_once_is_no_template(spark):
         assert got[n].text.split("\n\n") == [f"Head {n % 10}", f"Body {n % 10} and so on", *([more[n % 10]] if n % 10 in more else [])]
 
 
+def test_names_of_single_pages_make_no_streams(spark):
+    """Words of one page's class or id: one stream a host, and one slot a place where they have digits."""
+    body = '<html><body class="page slug-{w} postid-{n}"><div id="post-{n}"><article id="post-{n}" class="post tag-{w}"><p>Text {n}</p></article></div></body></html>'
+    rows = [page(n, body.format(n=n, w="abcdefghij"[n % 10] * (n + 1))) for n in range(200)]
+    docs = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("url", "html")
+    streams = {h.written(h.folded(h.Page(r[2]).stream)) for r in rows}
+    assert len(streams) == 1
+    (wrapper,) = h.wrappers(docs).collect()
+    assert wrapper.wrapper == streams.pop()
+    assert all(r.text == f"Text {n}" and r.matched for n, r in run(spark, rows).items())
+    assert len({h.Page(body.format(n=n, w="x")).blocks[0][1] for n in range(9)}) == 1
+
+
 def test_alignment():
     a = ["div", "#", "/div", "p", "#", "/p"]
     b = ["p", "#", "/p", "p", "#", "/p", "ul", "li", "#", "/li", "li", "#", "/li", "/ul"]
