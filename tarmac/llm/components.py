@@ -28,11 +28,14 @@ def _small(edges: DataFrame) -> DataFrame:
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum("b")).first())
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root for every node with an edge; the root is the smallest node of its component. Edges a-b, any order."""
+    """node, root for every node with an edge; the root is the smallest node of its component. Edges a-b, any order.
+
+    Nodes are of any type that has an order.
+    """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
     while state[0]:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.components import components
 from tarmac.llm.text import cut, whole
+from tarmac.session import scratch_path
 
 SEED = 42
 SEGMENTS, SEGMENT_BITS, DISTANCE = 4, 16, 3
@@ -46,16 +47,16 @@ def fingerprint(text: bytes) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = [fingerprint(text.as_py().encode()) for text in batch.column(1)]
+        values = [fingerprint(text.as_py().encode()) for text in batch.column(0)]
         signed = np.array(values, np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], ["doc_id", "fingerprint"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(signed)], ["doc_id", "row", "fingerprint"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and its fingerprint as a signed 64-bit integer."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").alias("text")).mapInArrow(
-        _fingerprints, "doc_id bigint, fingerprint bigint"
-    )
+def fingerprints(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """doc_id, a number for the row, 0 unless given, and the fingerprint as a signed 64-bit integer."""
+    row = F.lit(0) if row is None else row
+    chosen = docs.select(whole("text").alias("text"), F.col("doc_id").cast("bigint").alias("doc_id"), row.cast("bigint").alias("row"))
+    return chosen.mapInArrow(_fingerprints, "doc_id bigint, row bigint, fingerprint bigint")
 
 
 def _segment(i: int) -> Column:
@@ -91,15 +92,14 @@ def links(distinct: DataFrame) -> DataFrame:
     return met.select("fingerprint", "other").distinct()
 
 
-def labelled(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, fingerprint (signed) and component_id, the smallest doc_id it is linked to.
+def _named(prints: DataFrame) -> DataFrame:
+    """fingerprint and the first row of its component (missing id or not, doc_id, row), where that has several rows.
 
-    Null text counts as empty; all texts without a word have fingerprint zero and are linked like any other. Rows that
-    repeat an id are labelled alike; a null doc_id never names a component unless nothing else does. Other columns are
-    ignored, whatever their names; an empty table gives no rows.
+    Components are those of fingerprints. A node is a fingerprint behind its first row, so the smallest node of a
+    component holds the component's first row, and ids that repeat or are null join and cut nothing.
     """
-    prints = cut(fingerprints(docs))
-    classes = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size")))
+    row = F.struct(F.isnull("doc_id").alias("missing"), "doc_id", "row", "fingerprint")
+    classes = cut(prints.groupBy("fingerprint").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("size")))
     pairs = cut(links(classes.select("fingerprint")))
     first = classes.select("fingerprint", "first")
     edges = (
@@ -108,11 +108,21 @@ def labelled(docs: DataFrame) -> DataFrame:
         .join(first.select(F.col("fingerprint").alias("other"), F.col("first").alias("b")), "other")
         .select("a", "b")
     )
-    roots = components(edges).select(F.col("node").alias("first"), "root")
-    named = classes.join(roots, "first", "left").where("size > 1 OR root IS NOT NULL")
-    named = named.select("fingerprint", F.coalesce("root", "first").alias("named"))
-    return prints.join(named, "fingerprint", "left").select(
-        "doc_id", "fingerprint", F.coalesce("named", "doc_id").alias("component_id")
+    roots = components(edges).select(F.col("node.fingerprint").alias("fingerprint"), "root")
+    named = classes.join(roots, "fingerprint", "left").where("size > 1 OR root IS NOT NULL")
+    return named.select("fingerprint", F.coalesce("root", "first").alias("named"))
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, fingerprint (signed) and component_id, the smallest doc_id it is linked to.
+
+    Null text counts as empty; all texts without a word have fingerprint zero and are linked like any other. Rows that
+    repeat an id are labelled one by one, by their texts; a null doc_id never names a component unless nothing else does.
+    Other columns are ignored, whatever their names; an empty table gives no rows.
+    """
+    prints = cut(fingerprints(docs))
+    return prints.join(_named(prints), "fingerprint", "left").select(
+        "doc_id", "fingerprint", F.coalesce("named.doc_id", "doc_id").alias("component_id")
     )
 
 
@@ -123,6 +133,15 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each component, the one with the smallest id."""
-    gone = labelled(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """The rows of ``docs``, all columns, with one row of each component, the one with the smallest id.
+
+    Of several rows with that id, or if no row of the component has an id, one stays. Rows of other components stay
+    whatever their ids.
+    """
+    place = scratch_path(docs.sparkSession, "numbered")
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(place)  # a row keeps its number
+    rows = docs.sparkSession.read.parquet(place)
+    prints = cut(fingerprints(rows, F.col("__row")))
+    gone = prints.join(_named(prints), "fingerprint").where("row <> named.row").select(F.col("row").alias("__gone"))
+    kept = rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti")
+    return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -141,3 +141,17 @@ def test_simhash_of_odd_rows(odd):
     assert by_id[2] == by_id[3] == 1 and by_id[5] == by_id[7] == by_id[-1] == 4
     assert simhash.decisions(odd.where("false")).count() == 0
     assert simhash.representatives(odd).columns == odd.columns
+
+
+def test_simhash_components_are_of_texts_not_ids(spark):
+    """One id on different texts, and null ids: one row of each component stays and no text is lost."""
+    a, b = (" ".join(f"{w}{i}" for i in range(400)) for w in "ab")
+    near = lambda text: text.replace("7 ", "7  ", 1)  # noqa: E731  same words, so the same fingerprint
+    rows = [(3, a), (5, near(a)), (5, b), (9, near(b)), (None, "q r s t"), (None, "q  r s t"), (None, "q r  s t"), (2, "u v w"), (2, "u v w")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted((r.doc_id or 0, r.text.split()[0]) for r in simhash.representatives(docs).collect())
+    assert kept == [(0, "q"), (2, "u"), (3, "a0"), (5, "b0")]
+    assert sorted((r.doc_id, r.component_id) for r in simhash.labelled(docs).where("doc_id > 2").collect()) == [(3, 3), (5, 3), (5, 5), (9, 5)]
+    chain = [[0b0, None], [0b11, None], [0b1111, 4], [0b111111, 8]]  # a link through classes without ids
+    prints = spark.createDataFrame([(doc, i, print_) for i, (print_, doc) in enumerate(chain)], "doc_id bigint, row bigint, fingerprint bigint")
+    assert {r.named.doc_id for r in simhash._named(prints).collect()} == {4} and simhash._named(prints).count() == 4
