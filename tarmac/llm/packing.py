@@ -1,6 +1,6 @@
 """Bound-certified best-fit packing of documents into sequences of a fixed number of tokens.
 
-Pieces are dealt to partitions by hash, each small enough for one task, and packed by best-fit decreasing. Dual feasible
+Pieces are dealt to partitions by a hash of their row number, so that rows without an id or with one id spread, each small enough for one task, and packed by best-fit decreasing. Dual feasible
 functions give a lower bound for the same pieces; where it equals the number of sequences the partition is certified
 optimal. A partition with a gap gives up its worst-filled sequences; what all such partitions give up is dealt anew, so
 they exchange documents, and packed again, until every partition is certified or one is left alone with its gap.
@@ -117,17 +117,17 @@ def packed(found: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_
     gives no rows.
     """
     names = [f.name for f in found.schema]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema) + ", `group` int, `sequence` bigint, `offset` bigint, `given` boolean"
-    open_, done = cut(found), None
+    open_, done = cut(found.withColumn("__row", F.monotonically_increasing_id())), None
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in open_.schema) + ", `group` int, `sequence` bigint, `offset` bigint, `given` boolean"
     for turn in range(rounds):
         groups = max(1, -(-open_.count() // per_partition))
-        dealt = open_.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", F.lit(turn)), F.lit(groups)).cast("int"))
+        dealt = open_.withColumn("group", F.pmod(F.xxhash64("__row", F.lit(turn)), F.lit(groups)).cast("int"))
         last = turn == rounds - 1 or (turn > 0 and groups == 1)
         result = cut(dealt.groupBy("group").applyInArrow(_packer(capacity, last), schema))
         number = F.lit(turn << 56).cast("bigint") + F.shiftleft(F.col("group").cast("bigint"), 28) + F.col("sequence")
         settled = result.where("NOT given").select(*[f"`{n}`" for n in names], number.alias("sequence_id"), "offset")
         done = settled if done is None else done.unionByName(settled)
-        open_ = result.where("given").select(*[f"`{n}`" for n in names])
+        open_ = result.where("given").select(*[f"`{n}`" for n in names], "__row")
         if last or open_.isEmpty():
             break
     return done

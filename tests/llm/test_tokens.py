@@ -113,6 +113,26 @@ def test_exchange_closes_gaps(spark):
     assert bound <= used <= alone and used - bound <= 0.01 * bound
 
 
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    """Null and repeated ids go to tasks of about the size asked for."""
+    packer = packing._packer
+
+    def watched(capacity, last):
+        run = packer(capacity, last)
+
+        def checked(table):
+            assert len(table) < 400, len(table)
+            return run(table)
+
+        return checked
+
+    monkeypatch.setattr(packing, "_packer", watched)
+    df = spark.range(4_000).selectExpr("if(id % 2 = 0, null, 7L) AS doc_id", "0 AS piece", "id % 4000 + 1 AS length")
+    rows = packing.packed(df, per_partition=200).collect()
+    assert sorted(r.length for r in rows) == list(range(1, 4_001))
+    check_packing(rows, 4096)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(1, 12), max_size=9))
 def test_bound_is_never_above_the_optimum(lengths):
