@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 # The two text formats accepted on input.
 LOCAL_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}(:\d{2}(\.\d{0,9})?)?$"
-# The digit counts keep the total, in microseconds, inside 64 bits: about 27,000 years in days.
 DURATION = (
-    r"^(?=.*\d[DdHhMmSs.,])(?!.*[Tt]$)([-+]?)[Pp](?:([-+]?\d{1,7})[Dd])?"
-    r"(?:[Tt](?:([-+]?\d{1,8})[Hh])?(?:([-+]?\d{1,10})[Mm])?(?:([-+]?\d{1,12})(?:[.,](\d{0,9}))?[Ss])?)?$"
+    r"^(?=.*\d[DdHhMmSs.,])(?!.*[Tt]$)([-+]?)[Pp](?:([-+]?\d+)[Dd])?"
+    r"(?:[Tt](?:([-+]?\d+)[Hh])?(?:([-+]?\d+)[Mm])?(?:([-+]?\d+)(?:[.,](\d{0,9}))?[Ss])?)?$"
 )
+# Totals are below this many microseconds, which an interval holds: about 31,700 years.
+LONGEST = 10**18
 
 MICROS = 1_000_000
 
@@ -28,7 +29,7 @@ def format_local_date_time(ts: Column) -> Column:
 
 
 def parse_duration_micros(text: Column) -> Column:
-    """Length in microseconds of an ISO-8601 duration; null when the text is not one."""
+    """Length in microseconds of an ISO-8601 duration; null when the text is not one, or its total reaches ``LONGEST``."""
 
     # sign, days, hours, minutes, seconds, fraction: matched once, then used by position
     parts = F.split(F.regexp_replace(text, DURATION, "$1,$2,$3,$4,$5,$6"), ",")
@@ -36,14 +37,24 @@ def parse_duration_micros(text: Column) -> Column:
     def total(part: Column) -> Column:
         def amount(position: int) -> Column:
             # absent parts are tested for: a failing cast is far slower than a comparison
-            return F.when(part[position] == "", F.lit(0).cast("long")).otherwise(part[position].cast("long"))
+            return F.when(part[position] == "", F.lit(0).cast("long")).otherwise(part[position].try_cast("long"))
 
-        whole_seconds = amount(1) * 86_400 + amount(2) * 3_600 + amount(3) * 60 + amount(4)
+        def times(position: int, unit: int) -> Column:
+            return F.try_multiply(amount(position), F.lit(unit * MICROS))
+
+        # null where a part or a sum is beyond 64 bits
+        whole_micros = F.try_add(F.try_add(times(1, 86_400), times(2, 3_600)), F.try_add(times(3, 60), times(4, 1)))
         # the fraction takes the sign written on the seconds
         fraction = F.rpad(part[5], 6, "0").cast("long") * F.when(part[4].startswith("-"), -1).otherwise(1)
-        return F.when(part[0] == "-", -1).otherwise(1) * (whole_seconds * MICROS + fraction)
+        return F.when(part[0] == "-", -1).otherwise(1) * F.try_add(whole_micros, fraction)
+
+    micros = F.transform(F.array(parts), lambda part: F.transform(F.array(total(part)), lambda n: F.when(n.between(1 - LONGEST, LONGEST - 1), n))[0])[0]
+    return F.when(text.rlike(DURATION), micros)
+
 
-    return F.when(text.rlike(DURATION), F.transform(F.array(parts), total)[0])
+def is_duration(text: Column) -> Column:
+    """The text is an ISO-8601 duration, however long."""
+    return text.rlike(DURATION)
 
 
 def parse_duration(text: Column) -> Column:

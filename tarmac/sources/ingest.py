@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.capacity import priority_rank
-from tarmac.functions.durations import interval_of, parse_duration_micros, parse_local_date_time
+from tarmac.functions.durations import interval_of, is_duration, parse_duration_micros, parse_local_date_time
 from tarmac.schemas import (
     ALLOCATION_REQUEST,
     CREATE_FLIGHT_REQUEST,
@@ -59,7 +59,10 @@ def _flight_request_problem() -> Column:
         missing,
         F.when(parsed("departure").isNull(), F.lit("bad scheduledDeparture")),
         F.when(parsed("arrival").isNull(), F.lit("bad scheduledArrival")),
-        F.when(parsed("duration_micros").isNull(), F.lit("bad estimatedDuration")),
+        F.when(
+            parsed("duration_micros").isNull(),
+            F.when(is_duration(field("estimatedDuration")), F.lit("estimatedDuration too long")).otherwise("bad estimatedDuration"),
+        ),
     )
 
 

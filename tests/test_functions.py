@@ -45,6 +45,27 @@ def test_duration_text(spark, text, seconds):
     assert interval == (None if seconds is None else dt.timedelta(seconds=seconds))
 
 
+@pytest.mark.parametrize(
+    "text,seconds",
+    [
+        ("PT000000001H", 3_600),
+        ("PT123456789H", 123_456_789 * 3_600),
+        ("P" + "0" * 40 + "1DT-0000000000000001.5S", 86_398.5),
+        ("PT000000000012345678901S", 12_345_678_901),
+        ("P9999999D", 9_999_999 * 86_400),
+        ("PT9999999999999999999999S", None),
+        ("P999999999999D", None),
+        ("PT1000000000000S", None),
+    ],
+)
+def test_durations_of_any_digits(spark, text, seconds):
+    micros = one(spark, text, d.parse_duration_micros)
+    assert micros == (None if seconds is None else round(seconds * 1_000_000))
+    assert one(spark, text, d.is_duration)
+    as_text = one(spark, text, lambda c: d.parse_duration(c).cast("string"))
+    assert (as_text is None) == (seconds is None)
+
+
 @pytest.mark.parametrize(
     "seconds,text",
     [(0, "PT0S"), (7_200, "PT2H"), (4_800, "PT1H20M"), (93_600, "PT26H"), (61, "PT1M1S"), (-5_400, "PT-1H-30M")],
