@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import exact_dedup, html_text, language_model, packing, pii, quality, sentence_pieces, simhash, token_files, toxicity
+from tarmac.llm import conversations, exact_dedup, html_text, language_model, packing, pii, quality, sentence_pieces, simhash, token_files, toxicity
 from tarmac.llm.text import read
 
 
@@ -53,6 +53,11 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(documents, language_model.learned(language_model.training(documents)))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_simhash, op5_sentence_pieces, op6_token_files, op7_pii, op8_exact_dedup, op9_html_text, op10_lm_scores)}
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    return conversations.audited(conversations.damaged(rows), rows)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_simhash, op5_sentence_pieces, op6_token_files, op7_pii, op8_exact_dedup, op9_html_text, op10_lm_scores, op11_conversations)}
 
 ORACLES = {"op3_quality_rules": quality.SQL, "op8_exact_dedup": exact_dedup.SQL}
