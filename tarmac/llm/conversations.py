@@ -34,6 +34,8 @@ KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
 #: Symbols of a block; the table has 8^BLOCK columns.
 BLOCK = 4
 CHUNK_BITS = 11
+#: Edits and audit letters sent back at once.
+OUTPUT_EDITS = 1 << 16
 
 SPACE = " \t\n\x0b\f\r"
 INITIALS = "sua"
@@ -296,12 +298,15 @@ def _traced(conv_type: pa.DataType):
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found, held = [], 0
             names = ("conv_id", "at", "behind", "closes", "opens", "seam")
             for codes, copies, (conv, at, behind, closes, opens, seam) in zip(
                 _lists(batch.column("codes")), _lists(batch.column("copies")), zip(*(batch.column(n).to_pylist() for n in names))
             ):
                 symbols, counted = _symbols(codes), _counted(codes, copies, seam)
-                found = []
+                if held > OUTPUT_EDITS:
+                    yield pa.RecordBatch.from_pylist(found, schema)
+                    found, held = [], 0
                 for entry in [EMPTY] if opens else range(4):
                     letters, state = tables().trace(symbols, behind, entry)
                     audit, cost, edits = _edits(codes.tolist(), copies.tolist(), letters, at, entry)
@@ -311,7 +316,8 @@ def _traced(conv_type: pa.DataType):
                             edits.append({"place": last, "part": 3 + len(edits), "role": ROLE[state], "kept": False})
                             audit, cost, state = audit + "I", cost + INSERT, NEXT[state]
                     found.append(dict(zip(schema.names, (conv, at, entry, state, audit, cost, *counted, edits))))
-                yield pa.RecordBatch.from_pylist(found, schema)
+                    held += len(edits) + len(audit)
+            yield pa.RecordBatch.from_pylist(found, schema)
 
     return trace
 
@@ -379,7 +385,8 @@ def solved(places: DataFrame) -> DataFrame:
     maps = parts.select("conv_id", "at", "codes").mapInArrow(_maps, f"conv_id {kind}, at bigint, map binary, first int, last int")
     chained = _by_conversation(maps, F.col("at").desc()).mapInArrow(_chained, "at bigint, behind int, closes boolean, opens boolean, seam bigint")
     arrow = pa.null() if kind == "void" else _arrow_type(places)
-    traced = cut(parts.join(chained, "at").mapInArrow(_traced(arrow), f"conv_id {kind}, {_TRACED}"))
+    spread = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # tracing costs time, not bytes
+    traced = cut(parts.join(chained, "at").repartition(spread, "at").mapInArrow(_traced(arrow), f"conv_id {kind}, {_TRACED}"))
     steps = traced.select("conv_id", "at", "entry", "exit")
     entered = _by_conversation(steps, F.col("at"), F.col("entry")).mapInArrow(_entered, "at bigint, entry int")
     return cut(traced.join(entered, ["at", "entry"]))

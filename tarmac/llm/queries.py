@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import conversations, exact_dedup, html_text, language_model, packing, pii, quality, sentence_pieces, simhash, token_files, toxicity
+from tarmac.llm import (
+    conversations,
+    exact_dedup,
+    hard_negatives,
+    html_text,
+    language_model,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    sentence_pieces,
+    simhash,
+    token_files,
+    toxicity,
+)
 from tarmac.llm.text import read
 
 
@@ -58,6 +72,31 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.audited(conversations.damaged(rows), rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_quality_rules, op4_simhash, op5_sentence_pieces, op6_token_files, op7_pii, op8_exact_dedup, op9_html_text, op10_lm_scores, op11_conversations)}
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.where("vec_id % 50 = 0"))
 
-ORACLES = {"op3_quality_rules": quality.SQL, "op8_exact_dedup": exact_dedup.SQL}
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.relabelled(read(spark, sf_dir, "embeddings"))
+    return hard_negatives.mined(rows, rows.where("vec_id % 100 = 0"))
+
+
+_ALL = (
+    op1_toxicity,
+    op2_packing,
+    op3_quality_rules,
+    op4_simhash,
+    op5_sentence_pieces,
+    op6_token_files,
+    op7_pii,
+    op8_exact_dedup,
+    op9_html_text,
+    op10_lm_scores,
+    op11_conversations,
+    op12_neighbours,
+    op13_hard_negatives,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+
+ORACLES = {"op3_quality_rules": quality.SQL, "op8_exact_dedup": exact_dedup.SQL, "op13_hard_negatives": hard_negatives.SQL}
