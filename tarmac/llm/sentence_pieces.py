@@ -8,7 +8,9 @@ backpointer paths of all of them run through one boundary, the ids before it are
 a text of any length needs a window of a few pieces, and its ids equal the library's.
 
 Words repeat, so a text is first cut where no piece can cross (before spaces and around characters without a piece of
-their own), and each worker searches a distinct part once.
+their own), and each worker remembers the parts met last. A part no longer than the window needs no commits on the way:
+its paths converge at its end. Such parts are searched in the same way over numbers, the pieces being walked down a tree of
+their characters: the new parts of many texts together, boundary by boundary, as arrays.
 """
 
 from __future__ import annotations
@@ -16,8 +18,9 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterable, Iterator
+from functools import cache, cached_property
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +31,22 @@ from pyspark.sql import functions as F
 from tarmac.llm.text import whole
 
 BAR = chr(0x2581)
-#: Parts and pairs a worker remembers, and the longest part it does.
+#: Parts and pairs a worker remembers, and the longest part it does. Of the parts, those met since half as many others
+#: were new stay.
 REMEMBERED, REMEMBERED_PAIRS, LONGEST = 300_000, 400_000, 64
 #: What a run of characters is in the lattice, and the score of a merge that does not exist.
 PIECE, BEGINNING = 1, 2
 NEVER = float("-inf")
-#: Characters between two looks for a common boundary.
+#: Characters between two looks for a common boundary; a part of as many has none on the way.
 LOOK = 64
+#: Above all numbers of pieces and of characters without one.
+OUTSIDE = (1 << 22) - 1
+#: Parts are searched together from so many on, and up to this length; characters of the texts taken at once.
+TOGETHER, WIDTH, AT_ONCE = 64, 32, 1 << 21
+#: Characters with a column in the tree's table, and places of the table of pairs.
+COMMON, PAIR_PLACES = 0x250, 1 << 20
+#: What the tree of pieces has for a character that does not go on: no branch and no piece.
+NOTHING: list = [{}, -1]
 
 
 class Pieces:
@@ -65,9 +77,22 @@ class Pieces:
         for beginning in {p[:n] for p in self.ids for n in range(1, len(p))}:
             self.arcs[beginning] = self.arcs.get(beginning, 0) | BEGINNING
         self.met = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # parts met lately, and those met before them
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.built: dict[str, list] = {}
+        # pieces by number: those of the model, then characters without a piece, then nothing
+        self.named = [model.id_to_piece(i) for i in range(size)]
+        self.lengths = [len(p) for p in self.named]
+        self.alone: dict[str, int] = {}
+        self.fitting: dict[int, bool] = {}
+        self.tree: dict = {}
+        for piece, i in self.ids.items():
+            node, entry = self.tree, []
+            for character in piece:
+                entry = node.setdefault(character, [{}, -1])
+                node = entry[0]
+            entry[1] = i
 
     def merges(self, piece: str) -> list[tuple[float, str, str]]:
         """The merges that build a piece, best first and leftmost of equals: score, then first and last symbol after it."""
@@ -152,37 +177,119 @@ class Pieces:
             at -= len(last[at])
         return pieces[::-1], shared
 
+    def _number(self, character: str) -> int:
+        """Number of a character without a piece."""
+        number = self.alone.get(character)
+        if number is None:
+            if len(self.named) >= OUTSIDE:
+                raise ValueError("more characters than a model can leave out")
+            number = self.alone[character] = len(self.named)
+            self.named.append(character)
+            self.lengths.append(1)
+        return number
+
+    def _fit(self, key: int) -> bool:
+        """``fits`` for two numbers in one; OUTSIDE stands for the beginning."""
+        left, right = divmod(key, OUTSIDE + 1)
+        good = self.fits("" if left == OUTSIDE else self.named[left], self.named[right])
+        if len(self.fitting) >= REMEMBERED_PAIRS:
+            self.fitting.clear()
+        self.fitting[key] = good
+        return good
+
+    def short(self, part: str) -> list[int]:
+        """Numbers of the pieces of a part that a window holds whole; the same pieces that ``stream`` gives."""
+        size, tree, fitting = len(part), self.tree, self.fitting.get
+        last = [-1] * (size + 1)  # piece that ends at each boundary
+        before = OUTSIDE
+        for start in range(size):
+            if start:
+                before = last[start]
+                if before < 0:
+                    raise ValueError("no path: the pieces of this model are not built by merges")
+            base, node = before * (OUTSIDE + 1), tree
+            for stop in range(start, size):
+                node, piece = node.get(part[stop], NOTHING)
+                if piece < 0 and stop == start:
+                    piece = self._number(part[stop])
+                if piece >= 0 and last[stop + 1] < 0:
+                    good = fitting(base + piece)
+                    if good or (good is None and self._fit(base + piece)):
+                        last[stop + 1] = piece
+                if not node:
+                    break
+        out, at, lengths = [], size, self.lengths
+        while at:
+            piece = last[at]
+            out.append(piece)
+            at -= lengths[piece]
+        out.reverse()
+        return out
+
     def _part(self, part: str) -> bytes:
+        if len(part) <= LOOK:
+            found = self.short(part)
+            if max(found, default=0) >= len(self.texts):
+                found = [i for n in found for i in ([n] if n < len(self.texts) else [self.bytes[b] for b in self.named[n].encode()])]
+            return pack(f"<{len(found)}I", *found)
         out: list[int] = []
         for piece in self.stream(part):
-            found = self.ids.get(piece)
-            out += [found] if found is not None else [self.bytes[b] for b in piece.encode()]
+            number = self.ids.get(piece)
+            out += [number] if number is not None else [self.bytes[b] for b in piece.encode()]
         return np.array(out, "<u4").tobytes()
 
+    @cached_property
+    def grid(self) -> Grid:
+        return Grid(self)
+
     def _searched(self, part: str) -> bytes:
-        """Ids of a part, cut wherever no piece holds both neighbours; each cut piece is searched by itself."""
+        """Ids of a part; a long one is cut wherever no piece holds both neighbours, and each cut piece searched by itself."""
+        if len(part) <= LOOK:
+            return self._part(part)
         met = self.met
         cuts = [0, *[i for i in range(1, len(part)) if part[i - 1 : i + 1] not in met], len(part)]
-        if len(cuts) == 2:
-            found = self._part(part)
-        else:
-            pieces = map(part.__getitem__, map(slice, cuts, cuts[1:]))
-            found = b"".join([self.known.get(p) or self._remembered(p, self._part(p)) for p in pieces])
-        return self._remembered(part, found)
-
-    def _remembered(self, part: str, found: bytes) -> bytes:
-        if len(part) <= LONGEST and len(self.known) < REMEMBERED:
-            self.known[part] = found
-        return found
+        return b"".join(map(self._part, map(part.__getitem__, map(slice, cuts, cuts[1:]))))
+
+    def _learn(self, parts: set[str]) -> None:
+        """Remember the ids of all these parts."""
+        known, older = self.known, self.older
+        new = []
+        for part in parts:
+            if part in older:
+                known[part] = older[part]
+            else:
+                new.append(part)
+        grid = self.grid if len(new) >= TOGETHER else None
+        together = [p for p in new if len(p) <= WIDTH and grid.covers(p)] if grid else []
+        if together:
+            known.update(zip(together, grid.search(together)))
+        for part in new:
+            if part not in known:
+                known[part] = self._searched(part)
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers. A text gets a space in front, unless it is empty."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            held.append(self.parts.findall(BAR + text.replace(" ", BAR)) if text else [])
+            size += len(text or "")
+            if size >= AT_ONCE:
+                yield from self._ids(held)
+                held, size = [], 0
+        yield from self._ids(held)
+
+    def _ids(self, held: list[list[str]]) -> Iterator[bytes]:
+        self._learn({p for parts in held for p in parts} - self.known.keys())
+        for parts in held:
+            yield b"".join(map(self.known.__getitem__, parts))
+        for part in {p for parts in held for p in parts if len(p) > LONGEST}:
+            del self.known[part]
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers. The text gets a space in front, unless it is empty."""
-        if not text:
-            return b""
-        out = []
-        for part in self.parts.findall(BAR + text.replace(" ", BAR)):
-            out.append(self.known.get(part) or self._searched(part))
-        return b"".join(out)
+        return next(self.encode_all([text]))
 
     def decode(self, ids: bytes) -> str:
         """The text again; a bar in a text comes back as the space it stands for."""
@@ -190,6 +297,105 @@ class Pieces:
         return text.decode("utf-8", "replace").removeprefix(" ")
 
 
+class Grid:
+    """The search of many short parts together, for parts of common characters that are pieces by themselves."""
+
+    def __init__(self, of: Pieces) -> None:
+        self.of = of
+        self.codes = np.zeros(ord(BAR) + 1, np.int32)
+        common = sorted(c for c in of.ids if len(c) == 1 and (ord(c) < COMMON or c == BAR))
+        self.codes[[ord(c) for c in common]] = np.arange(1, len(common) + 1)
+        self.outside = re.compile(f"[^{re.escape(''.join(common))}]")
+        rows, self.piece, trees = [], [], [of.tree]
+        for tree in trees:  # grows while it is read; the first is the root, and none
+            row = np.zeros(len(common) + 1, np.int32)
+            for character, (below, _) in tree.items():
+                if ord(character) <= ord(BAR) and self.codes[ord(character)]:
+                    row[self.codes[ord(character)]] = len(trees)
+                    trees.append(below)
+            rows.append(row)
+        self.next = np.stack(rows)
+        self.piece = np.full(len(trees), -1, np.int64)
+        number = 1
+        for tree in trees:
+            for character, (_, piece) in tree.items():
+                if ord(character) <= ord(BAR) and self.codes[ord(character)]:
+                    self.piece[number] = piece
+                    number += 1
+        self.leaf = ~self.next.any(axis=1)
+        self.pairs = np.full(PAIR_PLACES, -1, np.int64)
+        self.fits = np.zeros(PAIR_PLACES, bool)
+
+    def covers(self, part: str) -> bool:
+        return not self.outside.search(part)
+
+    def fitting(self, keys: np.ndarray) -> np.ndarray:
+        """``fits`` of each pair. The table holds the pairs met last at each place, the others are worked out."""
+        at = (keys * 0x9E3779B97F4A7C1 >> 24) % PAIR_PLACES
+        good, unknown = self.fits[at], np.flatnonzero(self.pairs[at] != keys)
+        if len(unknown):
+            some, where = np.unique(keys[unknown], return_inverse=True)
+            held, fit = self.of.fitting.get, self.of._fit
+            found = np.array([fit(k) if (known := held(k)) is None else known for k in some.tolist()], bool)
+            good[unknown] = found[where]
+            self.pairs[at[unknown]], self.fits[at[unknown]] = keys[unknown], good[unknown]
+        return good
+
+    def search(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part, all of its characters common ones and at most ``WIDTH`` of them."""
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        order = np.argsort(-lengths, kind="stable")  # longest first, so parts that reach a boundary come first
+        size = lengths[order]
+        width, count = int(size[0]), len(parts)
+        text = np.frombuffer("".join(map(parts.__getitem__, order.tolist())).encode("utf-32-le"), "<u4")
+        grid = np.zeros((count, width), np.int32)
+        grid[np.arange(width) < size[:, None]] = self.codes[text]
+        grid = np.ascontiguousarray(grid.T)
+        last = np.full((width + 1, count), -1, np.int64)  # piece that ends at each boundary
+        last[0] = OUTSIDE
+        for start in range(width):
+            word = np.arange(np.searchsorted(-size, -start))  # parts longer than ``start``
+            before = last[start, word]
+            if (before < 0).any():
+                raise ValueError("no path: the pieces of this model are not built by merges")
+            base, node = before * (OUTSIDE + 1), np.zeros(len(word), np.int32)
+            for stop in range(start, width):
+                node = self.next[node, grid[stop, word]]
+                on = node > 0
+                if not on.all():
+                    word, node, base = word[on], node[on], base[on]
+                if not len(word):
+                    break
+                piece = self.piece[node]
+                asked = np.flatnonzero((piece >= 0) & (last[stop + 1, word] < 0))
+                if len(asked):
+                    asked = asked[self.fitting(base[asked] + piece[asked])]
+                    last[stop + 1, word[asked]] = piece[asked]
+                further = ~self.leaf[node]
+                if not further.all():
+                    word, node, base = word[further], node[further], base[further]
+        return self._read_back(last, size, order)
+
+    def _read_back(self, last: np.ndarray, size: np.ndarray, order: np.ndarray) -> list[bytes]:
+        lengths, at, steps = np.array(self.of.lengths[: len(self.of.texts)]), size.copy(), []
+        word = np.arange(len(size))
+        while len(word):
+            piece = last[at[word], word]
+            steps.append((word, piece))
+            at[word] -= lengths[piece]
+            word = word[at[word] > 0]
+        words, found = np.concatenate([w for w, _ in steps]), np.concatenate([p for _, p in steps])
+        turn = np.concatenate([np.full(len(w), -n) for n, (w, _) in enumerate(steps)])
+        by = np.lexsort((turn, words))
+        ids, ends = found[by].astype("<u4").tobytes(), 4 * np.cumsum(np.bincount(words, minlength=len(size)))
+        out: list[bytes] = [b""] * len(size)
+        start = 0
+        for place, end in zip(order.tolist(), ends.tolist()):
+            out[place] = ids[start:end]
+            start = end
+        return out
+
+
 @cache
 def pieces(path: str) -> Pieces:
     """One per worker and file."""
@@ -204,9 +410,9 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = pieces(model).encode
+        encode = pieces(model).encode_all
         for batch in batches:
-            ids = pa.array([encode(t.as_py()) for t in batch.column(1)], pa.binary())
+            ids = pa.array(encode(t.as_py() for t in batch.column(1)), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").alias("text"))
@@ -232,8 +438,7 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
         coder = pieces(model)
         for batch in batches:
             rows = []
-            for text in batch.column(1):
-                ids = coder.encode(text.as_py())
+            for ids in coder.encode_all(text.as_py() for text in batch.column(1)):
                 back = coder.decode(ids)
                 rows.append((len(ids) // 4, zlib.crc32(ids), hashlib.sha256(back.encode()).hexdigest(), len(back)))
             types = [pa.int64(), pa.int64(), pa.string(), pa.int64()]

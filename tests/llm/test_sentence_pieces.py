@@ -1,6 +1,7 @@
 import hashlib
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -52,6 +53,29 @@ def test_long_parts_of_pairs_in_no_piece(model, library):
         assert ids(model, text) == library.encode(text)
 
 
+def test_parts_together_and_alone(model, library, small):
+    """New parts of many texts are searched as arrays, one part at a time otherwise; the pieces are the same."""
+    texts = [r[0] for r in duckdb.sql(f"SELECT text FROM '{small}/documents.parquet'").fetchall()]
+    parts = sorted({p for t in texts for p in model.parts.findall(sp.BAR + t.replace(" ", sp.BAR))})
+    grid = sp.Pieces(PATH).grid
+    together = [p for p in parts if len(p) <= sp.WIDTH and grid.covers(p)]
+    assert len(together) > 5_000
+    assert grid.search(together) == [model._part(p) for p in together]
+    few = sp.Pieces(PATH)
+    odd = ["", None, "a", texts[0], "\u4e2d" * 70 + " x", "y" * 200, texts[1]]
+    assert [np.frombuffer(i, "<u4").tolist() for i in few.encode_all(odd)] == [library.encode(t or "") for t in odd]
+
+
+def test_memory_is_bounded(library, small, monkeypatch):
+    monkeypatch.setattr(sp, "REMEMBERED", 2_000)
+    monkeypatch.setattr(sp, "AT_ONCE", 5_000)
+    model = sp.Pieces(PATH)
+    texts = [r[0] for r in duckdb.sql(f"SELECT text FROM '{small}/documents.parquet' LIMIT 150").fetchall()]
+    for text, found in zip(texts, model.encode_all(texts)):
+        assert np.frombuffer(found, "<u4").tolist() == library.encode(text)
+        assert len(model.older) < 8_000 and len(model.known) < 8_000
+
+
 def test_window_stays_small(model, library):
     """Ids come out long before the end of a text without a single space, and are the same whenever they are looked for."""
     text = "internationalization" * 500
