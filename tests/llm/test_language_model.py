@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyarrow import fs
 
 from tarmac.llm import language_model as lm
 
@@ -54,14 +55,79 @@ def test_held_out_text_is_likelier_than_by_the_base(scores):
     assert all(r.score < 0 for r in scores)
 
 
-def test_waves_add_up(docs, scores, corpus):
+def test_segments_do_not_change_what_is_known(docs, scores):
+    """More segments hold the same counts; scores differ by the filter's errors alone."""
     finer = lm.learned(lm.training(docs), segment_pairs=8_000)
     assert finer.cut_bits >= 2
-    sizes = [r[0] for r in finer.parts.where("kind = 2").selectExpr("length(bits)").collect()]
-    one = lm.scored(docs, finer).select("doc_id", "n_tokens", "n_known", "base_score", "score")
-    many = lm.scored(docs, finer, broadcast_bytes=max(sizes) + 1).select("doc_id", "n_tokens", "n_known", "base_score", "score")
-    key = lambda r: (r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6))
-    assert sorted(map(key, one.collect())) == sorted(map(key, many.collect()))
+    key = lambda r: (r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6))
+    found = lm.scored(docs, finer).collect()
+    assert sorted(map(key, found)) == sorted(map(key, scores))
+    assert abs(sum(r.score for r in found) / sum(r.score for r in scores) - 1) < 0.02
+
+
+def plain_scores(rows, training):
+    """Log10 probabilities from exact counts of words and pairs, quantised as the filter does."""
+    words, pairs = Counter(), Counter()
+    for text in training:
+        found = [None, *plain_tokens(text)]
+        words.update(found[1:])
+        pairs.update(zip(found, found[1:]))
+    n, v = sum(words.values()), len(words)
+
+    def taken(count):
+        return (2 ** (count.bit_length() - 1) + 2 ** count.bit_length() - 1) / 2 if count else 0.0
+
+    def probability(a, b):
+        context, alone = taken(words[a]), (taken(words[b]) + 1) / (n + v + 1)
+        return (min(taken(pairs[a, b]), context) + lm.WEIGHT * alone) / (context + lm.WEIGHT)
+
+    out = []
+    for r in rows:
+        found = [None, *plain_tokens(r.text)]
+        out.append((r.doc_id or -1, sum(math.log10(probability(a, b)) for a, b in zip(found, found[1:]))))
+    return out
+
+
+def test_score_against_brute_force(docs, scores):
+    """With bits to spare the filter hardly errs and scores are those of the exact model; else they are close."""
+    rows = docs.collect()
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    want = plain_scores(rows, [r.text for r in rows if not held(r.doc_id)])
+    wide = lm.scored(docs, lm.learned(lm.training(docs), bits=400)).collect()
+    got = sorted((r.doc_id or -1, r.score) for r in wide)
+    off = [abs(a[1] - b[1]) for a, b in zip(got, sorted(want))]
+    assert [a[0] for a in got] == [b[0] for b in sorted(want)] and sum(o > 1e-6 for o in off) <= 0.1 * len(off)
+    assert all(o <= 0.01 * abs(b[1]) for o, b in zip(off, sorted(want)))
+    close = sorted((r.doc_id or -1, r.score) for r in scores)
+    assert all(abs(a[1] - b[1]) <= 0.12 * abs(b[1]) + 1 for a, b in zip(close, sorted(want)))
+
+
+def test_filter_of_any_budget(docs, scores):
+    """A file that is far too small is as large as allowed, still known to every word, and only less exact."""
+    small = lm.learned(lm.training(docs), segment_pairs=20_000, filter_bytes=12_000)
+    size = fs_size(small.folder)
+    assert size <= 12_000 + 8 * (1 + 8 * 2**small.cut_bits) + 16 * 2**small.cut_bits
+    found = lm.scored(docs, small).collect()
+    key = lambda r: (r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6))
+    assert sorted(map(key, found)) == sorted(map(key, scores)) and all(r.score < 0 for r in found)
+
+
+def fs_size(folder):
+    system, place = fs.FileSystem.from_uri(folder)
+    return system.get_file_info(f"{place}/filter").size
+
+
+@pytest.mark.parametrize("bits,wrong", [(7, 1 / 16), (5, 1 / 8), (3, 1 / 3), (2, 1 / 2)])
+def test_stated_errors(bits, wrong):
+    rng = np.random.default_rng(2)
+    hashes = np.unique(rng.integers(0, 2**63, 50_000, dtype=np.uint64))
+    counts = rng.zipf(2.2, len(hashes)).clip(1, 10**9)
+    part = lm.filter_part(hashes, counts, bits * int(lm.level(counts, 1).sum()))
+    found = lm.LogFilter([part], 0)
+    assert (found.levels(hashes) >= lm.level(counts, part.step)).all()
+    strangers = rng.integers(2**63, 2**64, 50_000, dtype=np.uint64)
+    assert (found.levels(strangers) > 0).mean() < wrong
+    assert (found.counts(hashes) >= counts / 2**part.step).all()
 
 
 def test_filter_never_forgets():
