@@ -46,6 +46,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.drops_space = drops_space
+        self.size = self.tokenizer.get_vocab_size()
         self.split = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}

@@ -34,8 +34,8 @@ from tarmac.session import scratch_path
 MAGIC = b"IDFILE01"
 #: Documents the dictionary is trained on, bytes taken of each, and its size.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2_000, 1 << 14, 1 << 16
-#: Compressed bytes a file holds on average.
-FILE_BYTES = 8 << 20
+#: Compressed bytes a file holds on average; of a corpus that would take more files than ``MOST_FILES``, as many more.
+FILE_BYTES, MOST_FILES = 8 << 20, 1 << 16
 LEVEL = 3
 #: Stands for a null doc_id in an index, and sorts first as nulls do.
 NO_ID = -(1 << 63)
@@ -69,6 +69,11 @@ def trained(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> bytes:
         return b""
 
 
+def id_width(tokenizer: str, end_id: int) -> int:
+    """Bytes that hold every id of the tokenizer, and the end id: 2 or 4."""
+    return 2 if max(encoder(tokenizer, drops_space=False).size - 1, end_id) < 1 << 16 else 4
+
+
 def _compressed(docs: DataFrame, tokenizer: str, end_id: int, width: int, dictionary: bytes) -> DataFrame:
     end = np.array([end_id], "<u4").tobytes()
 
@@ -143,30 +148,41 @@ class IdFile:
         return self.ids(i) if i < len(self.doc_ids) and self.doc_ids[i] == doc_id else None
 
 
-def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, width: int = 2) -> tuple[DataFrame, str, bytes]:
+def write(
+    docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, width: int | None = None
+) -> tuple[DataFrame, str, bytes]:
     """Writes ``docs`` to ``folder``; gives one row per file (file, path, docs, tokens), the folder and the dictionary.
 
     Files are numbered in ascending doc_id order, and documents ascend inside them. Null text counts as empty and is the
-    end id alone; documents without an id come first; rows that repeat an id are all written, in any order. Other columns
-    are never read, whatever their names.
+    end id alone; documents without an id come first; rows that repeat an id are all written, in any order, and may go
+    over several files. Ids take the bytes that the tokenizer's vocabulary needs, unless ``width`` says how many; too
+    small a width is an error. Other columns are never read, whatever their names.
     """
+    needed = id_width(tokenizer, end_id)
+    if width is None:
+        width = needed
+    elif width < needed:
+        raise ValueError(f"ids of this tokenizer take {needed} bytes")
     folder = folder or scratch_path(docs.sparkSession, "ids")
     dictionary = trained(docs, tokenizer, end_id, width)
     system, place = fs.FileSystem.from_uri(folder)
     system.create_dir(place, recursive=True)
     with system.open_output_stream(f"{place}/dictionary.zdict") as out:
         out.write(dictionary)
-    rows = cut(_compressed(docs, tokenizer, end_id, width, dictionary))
+    rows = cut(_compressed(docs, tokenizer, end_id, width, dictionary).withColumn("row", F.monotonically_increasing_id()))
     size = rows.agg(F.sum(F.length("packed"))).first()[0] or 0
-    files = rows.repartitionByRange(max(1, size // FILE_BYTES), "doc_id").sortWithinPartitions("doc_id")
+    count = max(1, min(MOST_FILES, size // FILE_BYTES))
+    # the row number spreads an id that many rows repeat, or lack
+    files = rows.repartitionByRange(count, "doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
     writer = _writer(folder, width, hashlib.sha256(dictionary).digest())
     return cut(files.mapInArrow(writer, "file bigint, path string, docs bigint, tokens bigint")), folder, dictionary
 
 
 def read(files: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
-    """One row per document, from the files: doc_id, start, n_tokens, ids_crc32."""
+    """One row per document, from the files: doc_id, start, n_tokens, ids_crc32. There are as many tasks as files."""
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    placed = files.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))  # a row per file, not per document
+    placed = files.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))  # of MOST_FILES rows at most
+    tasks = max(1, files.count())  # a number, or re-planning at run time would put all these short rows into one task
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,4 +194,4 @@ def read(files: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    return placed.select("path", "start", "file").repartition("file").select("path", "start").mapInArrow(run, schema)
+    return placed.select("path", "start", "file").repartition(tasks, "file").select("path", "start").mapInArrow(run, schema)

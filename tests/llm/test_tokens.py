@@ -68,6 +68,29 @@ def test_documents_without_an_id(spark):
     assert sorted((r.doc_id or -1, r.length) for r in packed) == [(-1, 1), (-1, 3), (4, 2), (4, 2)]
 
 
+def test_one_id_on_a_third_of_the_rows(spark, monkeypatch):
+    """Rows without an id, or with the same one, go over as many files as others, and every file is read in its own task."""
+    monkeypatch.setattr(token_files, "FILE_BYTES", 2_000)
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, " ".join(map(str, rng.integers(0, 10**6, 12)))) for i in range(900)]
+    files, folder, dictionary = token_files.write(spark.createDataFrame(rows, "doc_id bigint, text string"), BYTES, 2)
+    sizes = [r.docs for r in files.collect()]
+    assert len(sizes) > 8 and max(sizes) <= 3 * sum(sizes) / len(sizes)
+    back = token_files.read(files, folder, dictionary)
+    assert back.rdd.getNumPartitions() == len(sizes)
+    found = sorted(back.collect(), key=lambda r: r.start)
+    assert [r.start for r in found] == np.cumsum([0, *[r.n_tokens for r in found[:-1]]]).tolist()
+    assert [r.doc_id for r in found] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+
+
+def test_width_follows_the_vocabulary(spark, odd, monkeypatch):
+    assert token_files.id_width(BYTES, 2) == 2 and token_files.id_width(BYTES, 70_000) == 4
+    with pytest.raises(ValueError, match="4 bytes"):
+        token_files.write(odd, BYTES, 70_000, width=2)
+    rows = token_files.read(*token_files.write(odd, BYTES, 70_000)).collect()
+    assert all(zlib.crc32(np.array(ids(BYTES, r.text, 70_000), "<u4").tobytes()) in {f.ids_crc32 for f in rows if f.doc_id == r.doc_id} for r in odd.collect())
+
+
 def test_no_files(spark, odd):
     files, folder, dictionary = token_files.write(odd.where("false"), BYTES, 2)
     assert files.count() == 0 == token_files.read(files, folder, dictionary).count()
