@@ -51,7 +51,12 @@ def to_instant(ts: Column) -> Column:
 
 def to_wall_clock(instant: Column) -> Column:
     """Undoes ``to_instant``."""
-    seconds = (F.unix_micros(instant).cast("decimal(24,0)") / MICROS).cast("decimal(18,6)")
+    return wall_clock(F.unix_micros(instant))
+
+
+def wall_clock(micros: Column) -> Column:
+    """Undoes ``epoch_micros``."""
+    seconds = (micros.cast("decimal(24,0)") / MICROS).cast("decimal(18,6)")
     zero = F.lit(0)
     return _epoch() + F.make_dt_interval(zero, zero, zero, seconds)
 

@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.capacity import entity_type
 from tarmac.operators.skew import DEFAULT, SkewPolicy, ordered_scan
-from tarmac.schemas import FLIGHT_EXISTS, FLIGHT_ID_PREFIX, FLIGHT_LIFECYCLE, SNAPSHOT_INTERVAL, SNAPSHOTS_KEPT
-from tarmac.sources.journal import live_events
+from tarmac.schemas import (
+    FLIGHT_EXISTS,
+    FLIGHT_ID_PREFIX,
+    FLIGHT_LIFECYCLE,
+    FLIGHT_RECORD,
+    SNAPSHOT_INTERVAL,
+    SNAPSHOTS_KEPT,
+)
+from tarmac.session import shared_folder
+from tarmac.sources.journal import flattened, live_events
 
 ENTITY = "persistence_id"
 
@@ -39,8 +47,8 @@ def create_outcomes(commands: DataFrame) -> DataFrame:
     )
 
 
-def facts_from_log(log: DataFrame) -> DataFrame:
-    """Accepted commands as typed events, not yet numbered."""
+def facts_from_log(log: DataFrame, *carried: str) -> DataFrame:
+    """Accepted commands as typed events, not yet numbered, with other columns that are to be ``carried`` on."""
     event_type = (
         F.when(F.col("command") == "create", "FlightCreated")
         .when(F.col("command") == "allocate", "SeatsAllocated")
@@ -49,6 +57,7 @@ def facts_from_log(log: DataFrame) -> DataFrame:
         .otherwise("FlightStatusChanged")
     )
     is_create = F.col("command") == "create"
+    flight = F.when(is_create, F.col("flight")) if "flight" in log.columns else F.lit(None).cast(FLIGHT_RECORD)
     return log.where("accepted").select(
         "ordering",
         F.concat(F.lit(FLIGHT_ID_PREFIX), F.col("flight_id")).alias(ENTITY),
@@ -62,6 +71,8 @@ def facts_from_log(log: DataFrame) -> DataFrame:
         F.when(F.col("command") == "cancel", "Cancelled by operator").alias("reason"),
         F.lit(None).cast("string").alias("booking_id"),
         F.lit(None).cast("string").alias("allocation_id"),
+        flight.alias("flight"),
+        *carried,
     )
 
 
@@ -83,33 +94,64 @@ def _sequenced(value: str) -> Column:
     return F.when(F.col(value).isNotNull(), F.col("sequence_number"))
 
 
+#: Shares that the events of an irregular entity are dealt into for its join.
+SALTS = 16
+
+
 def effective(journal: DataFrame) -> DataFrame:
     """The events that count: an entity begins with its first create that is not deleted; events before
-    it, further creates and deleted events change nothing."""
+    it, further creates and deleted events change nothing.
+
+    An entity is regular when its only create is its first event: then all its events count, and no join is
+    needed. A count per entity, combined before the shuffle, finds the others; their events alone are joined
+    to the entity's birth, dealt over salts.
+    """
+    shared_folder(journal.sparkSession)  # makes sure checkpoints have a place
     live = live_events(journal)
-    is_create = F.col("event_type") == "FlightCreated"
-    born = live.where(is_create).groupBy(ENTITY).agg(F.min("sequence_number").alias("_born"))
-    known = live.join(born, [ENTITY], "inner")
-    first = F.col("sequence_number") == F.col("_born")
-    return known.where(first | ((F.col("sequence_number") > F.col("_born")) & ~is_create)).drop("_born")
+    is_create, number = F.col("event_type") == "FlightCreated", F.col("sequence_number")
+    births = live.groupBy(ENTITY).agg(
+        F.min(F.when(is_create, number)).alias("_born"), F.count_if(is_create).alias("_creates"), F.min(number).alias("_first")
+    )
+    irregular = births.where((F.col("_creates") != 1) | (F.col("_born") != F.col("_first"))).checkpoint()
+    if irregular.isEmpty():
+        return live
+    salts = F.explode(F.array(*[F.lit(n).cast("long") for n in range(SALTS)]))
+    born = irregular.where(F.col("_born").isNotNull()).select(ENTITY, "_born", salts.alias("_salt"))
+    known = live.withColumn("_salt", F.pmod(number, F.lit(SALTS))).join(born, [ENTITY, "_salt"])
+    counted = known.where((number == F.col("_born")) | ((number > F.col("_born")) & ~is_create))
+    regular = live.join(irregular.select(ENTITY), ENTITY, "left_anti")
+    return regular.unionByName(counted.select(*live.columns))
+
+
+def _flight(events: DataFrame) -> Column:
+    """The flight as its create describes it; null in journals that do not say."""
+    if "flight" not in events.columns:
+        return F.first(F.lit(None).cast(FLIGHT_RECORD))
+    return F.min_by("flight", F.when(F.col("event_type") == "FlightCreated", F.col("sequence_number")))
 
 
 def replay(journal: DataFrame) -> DataFrame:
-    """Current state of each entity. Every fact folds associatively, so the aggregation is
-    combined before the shuffle and a long history is no harder than a short one."""
+    """Current state of each entity, with the ``flight`` its create describes. Every fact folds associatively,
+    so the aggregation is combined before the shuffle and a long history is no harder than a short one."""
+    counted = effective(journal)
     return (
-        effective(journal)
-        .groupBy(ENTITY)
+        counted.groupBy(ENTITY)
         .agg(
             F.max("total_seats").alias("total_seats"),
             F.sum(seat_change()).alias("available_seats"),
             F.max_by("new_status", _sequenced("new_status")).alias("status"),
             F.max("sequence_number").alias("sequence_number"),
+            _flight(counted).alias("flight"),
         )
         .where(F.col("total_seats").isNotNull())
     )
 
 
+def as_flights(states: DataFrame) -> DataFrame:
+    """States as rows of the table of current flights, so that listing, lookup and filters apply to them."""
+    return flattened(states).withColumn("flight_id", F.regexp_replace(ENTITY, f"^{FLIGHT_ID_PREFIX}", ""))
+
+
 def seat_mismatches(journal: DataFrame) -> DataFrame:
     """Entities whose summed seat changes differ from the seats stored with their last seat event."""
     return (
@@ -137,13 +179,27 @@ def unrecovered(ids: DataFrame, states: DataFrame) -> DataFrame:
 # --- snapshots -----------------------------------------------------------------------------
 
 
-def _blocks(journal: DataFrame, interval: int) -> DataFrame:
-    """Facts summed per entity and block of ``interval`` sequence numbers."""
-    return effective(journal).groupBy(ENTITY, F.expr(f"(sequence_number - 1) div {interval}").alias("block")).agg(
+def blocks(events: DataFrame, interval: int) -> DataFrame:
+    """Facts of events that count, summed per entity and block of ``interval`` sequence numbers."""
+    return events.groupBy(ENTITY, F.expr(f"(sequence_number - 1) div {interval}").alias("block")).agg(
         F.max("total_seats").alias("total_seats"),
         F.sum(seat_change()).alias("seat_change"),
         F.max_by("new_status", _sequenced("new_status")).alias("status"),
         F.max("sequence_number").alias("last_number"),
+        _flight(events).alias("flight"),
+    )
+
+
+def running_blocks(summed: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+    """Blocks with the state after each: seats_then, available_seats, status_then and flight_then."""
+    return ordered_scan(
+        summed,
+        [ENTITY],
+        ["block"],
+        sums={"available_seats": F.col("seat_change")},
+        latest={"status_then": F.col("status"), "seats_then": F.col("total_seats"), "flight_then": F.col("flight")},
+        ordinal="block",
+        policy=policy,
     )
 
 
@@ -157,20 +213,12 @@ def snapshots(
 
     The journal is summed per block first; the running state is over blocks only.
     """
-    blocks = _blocks(journal, interval)
-    running = ordered_scan(
-        blocks,
-        [ENTITY],
-        ["block"],
-        sums={"available_seats": F.col("seat_change")},
-        latest={"status_then": F.col("status"), "seats_then": F.col("total_seats")},
-        ordinal="block",
-        policy=policy,
-    )
-    newest = blocks.groupBy(ENTITY).agg(F.expr(f"max(last_number) div {interval}").alias("complete"))
+    summed = blocks(effective(journal), interval)
+    newest = summed.groupBy(ENTITY).agg(F.expr(f"max(last_number) div {interval}").alias("complete"))
     due = (F.col("block") < F.col("complete")) & (F.col("block") >= F.col("complete") - keep)
     return (
-        running.join(newest, [ENTITY], "inner")
+        running_blocks(summed, policy)
+        .join(newest, [ENTITY], "inner")
         .where(due)
         .select(
             ENTITY,
@@ -178,6 +226,7 @@ def snapshots(
             F.col("seats_then").alias("total_seats"),
             "available_seats",
             F.col("status_then").alias("status"),
+            F.col("flight_then").alias("flight"),
         )
     )
 
@@ -187,14 +236,13 @@ def replay_from_snapshots(journal: DataFrame, saved: DataFrame, interval: int =
 
     Snapshots fall on block ends, so the tail is whole blocks and the join is on summed blocks.
     """
+    facts = ["total_seats", "available_seats", "status", "flight"]
     latest = saved.groupBy(ENTITY).agg(
         F.max("sequence_number").alias("saved_at"),
-        F.max_by("total_seats", "sequence_number").alias("saved_total"),
-        F.max_by("available_seats", "sequence_number").alias("saved_available"),
-        F.max_by("status", "sequence_number").alias("saved_status"),
+        *[F.max_by(name, "sequence_number").alias(f"saved_{name}") for name in facts],
     )
     tail = (
-        _blocks(journal, interval)
+        blocks(effective(journal), interval)
         .join(latest.select(ENTITY, "saved_at"), [ENTITY], "left")
         .where(F.col("saved_at").isNull() | (F.col("last_number") > F.col("saved_at")))
     )
@@ -203,15 +251,17 @@ def replay_from_snapshots(journal: DataFrame, saved: DataFrame, interval: int =
         F.sum("seat_change").alias("seat_change"),
         F.max_by("status", F.when(F.col("status").isNotNull(), F.col("block"))).alias("status"),
         F.max("last_number").alias("last_number"),
+        F.min_by("flight", F.when(F.col("flight").isNotNull(), F.col("block"))).alias("flight"),
     )
     return (
         folded.join(latest, ENTITY, "full_outer")
         .select(
             ENTITY,
-            F.coalesce("saved_total", "total_seats").alias("total_seats"),
-            (F.coalesce("saved_available", F.lit(0)) + F.coalesce("seat_change", F.lit(0))).alias("available_seats"),
+            F.coalesce("saved_total_seats", "total_seats").alias("total_seats"),
+            (F.coalesce("saved_available_seats", F.lit(0)) + F.coalesce("seat_change", F.lit(0))).alias("available_seats"),
             F.coalesce("status", "saved_status").alias("status"),
             F.coalesce("last_number", "saved_at").alias("sequence_number"),
+            F.coalesce("saved_flight", "flight").alias("flight"),
         )
         .where(F.col("total_seats").isNotNull())
     )
@@ -267,7 +317,7 @@ def cancelled(states: DataFrame) -> DataFrame:
 
 def audit_trail(*journals: DataFrame) -> DataFrame:
     """Events of several entity families as one ordered history, deleted events left out."""
-    first, *rest = (live_events(journal) if "deleted" in journal.columns else journal for journal in journals)
+    first, *rest = map(live_events, journals)
     for other in rest:
         first = first.unionByName(other, allowMissingColumns=True)
     return first.orderBy("event_ts", ENTITY, "sequence_number")

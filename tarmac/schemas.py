@@ -21,6 +21,7 @@ FLIGHT_EXISTS = "Flight already exists"
 INSUFFICIENT_SEATS = "Insufficient seats available"
 
 FLIGHT_ID_PREFIX = "flight-"
+BOOKING_ID_PREFIX = "booking-"
 
 
 def _strings(*names: str) -> list[T.StructField]:
@@ -83,8 +84,30 @@ ALLOCATION_REQUEST = T.StructType(
     ]
 )
 
+PASSENGER = T.StructType(_strings("passengerId", "firstName", "lastName", "email"))
+
+BOOKING_REQUEST = T.StructType(
+    [
+        T.StructField("passenger", PASSENGER),
+        T.StructField("flightId", T.StringType()),
+        T.StructField("requestedSeats", T.IntegerType()),
+    ]
+)
+
 LOG_LINE = T.StructType(_strings("timestamp", "level", "message", "correlationId", "runId", "odGroup"))
 
+# What a create event says about its flight, beside its seats and status.
+FLIGHT_RECORD = T.StructType(
+    [
+        *_strings("flight_number", "origin", "origin_name", "origin_city", "origin_country"),
+        *_strings("destination", "destination_name", "destination_city", "destination_country"),
+        T.StructField("distance", T.DoubleType()),
+        T.StructField("seconds", T.LongType()),
+        T.StructField("scheduled_departure", T.TimestampNTZType()),
+        T.StructField("scheduled_arrival", T.TimestampNTZType()),
+    ]
+)
+
 # The event log: one wide typed row per event; columns an event does not carry are null.
 JOURNAL = T.StructType(
     [
@@ -102,5 +125,6 @@ JOURNAL = T.StructType(
         T.StructField("reason", T.StringType()),
         T.StructField("booking_id", T.StringType()),
         T.StructField("allocation_id", T.StringType()),
+        T.StructField("flight", FLIGHT_RECORD),
     ]
 )

@@ -1,19 +1,32 @@
-"""The event journal: reading, appending, tags, and the stored-blob form."""
+"""The event journal: reading, appending and tags. ``payloads`` has its stored-blob form."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tarmac.functions.durations import parse_duration_micros, parse_local_date_time
+from tarmac.functions.capacity import entity_type
+from tarmac.functions.clock import floor_div
 from tarmac.operators.skew import DEFAULT, SkewPolicy, ordered_scan
 from tarmac.schemas import FLIGHT_ID_PREFIX, JOURNAL
+from tarmac.sources.payloads import decode_flight_events as decode_payloads  # noqa: F401  the stored-blob form
 
 SCAN_ORDER = ["persistence_id", "sequence_number"]
+#: Orderings that share a folder of the stored journal, so that a range of them is found without reading the rest.
+SPAN = 1 << 24
 
 
-def read_journal(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(JOURNAL).parquet(path)
+def read_journal(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """The stored journal, or the events from ordering ``first`` to ``last`` of it, out of the folders that can hold them."""
+    rows = spark.read.schema(StructType([*JOURNAL.fields, StructField("span", LongType())])).parquet(path)
+    if first is not None:
+        rows = rows.where(F.col("span") >= first // SPAN).where(F.col("ordering") >= first)
+    if last is not None:
+        rows = rows.where(F.col("span") <= last // SPAN).where(F.col("ordering") <= last)
+    return rows.select(*JOURNAL.names)
 
 
 def read_journal_jdbc(
@@ -30,45 +43,14 @@ def read_journal_jdbc(
     )
 
 
-def decode_payloads(stored: DataFrame) -> DataFrame:
-    """Stored rows with serialized JSON payloads to typed journal rows."""
-    event = F.from_json(
-        F.decode("event_payload", "UTF-8"),
-        "seatsAllocated int, seatsReleased int, remainingSeats int, oldStatus string, newStatus string, reason string,"
-        " timestamp string, flight struct<flightId:string,flightNumber:string,route:struct<origin:struct<code:string>,"
-        "destination:struct<code:string>,distance:double,estimatedDuration:string>,scheduledDeparture:string,"
-        "scheduledArrival:string,totalSeats:int,availableSeats:int,status:string>",
-    )
-    rows = stored.withColumn("e", event)
-    return rows.select(
-        "ordering",
-        "persistence_id",
-        "sequence_number",
-        "deleted",
-        F.regexp_extract("event_ser_manifest", r"([A-Za-z]+)$", 1).alias("event_type"),
-        parse_local_date_time(F.col("e.timestamp")).alias("event_ts"),
-        F.col("e.flight.totalSeats").alias("total_seats"),
-        F.coalesce("e.seatsAllocated", "e.seatsReleased").alias("seats"),
-        F.coalesce("e.remainingSeats", "e.flight.availableSeats").alias("remaining_seats"),
-        F.col("e.oldStatus").alias("old_status"),
-        F.coalesce("e.newStatus", "e.flight.status").alias("new_status"),
-        F.col("e.reason").alias("reason"),
-        F.lit(None).cast("string").alias("booking_id"),
-        F.lit(None).cast("string").alias("allocation_id"),
-        F.struct(
-            F.col("e.flight.flightNumber").alias("flight_number"),
-            F.col("e.flight.route.origin.code").alias("origin"),
-            F.col("e.flight.route.destination.code").alias("destination"),
-            F.col("e.flight.route.distance").alias("distance"),
-            (parse_duration_micros(F.col("e.flight.route.estimatedDuration")) / 1_000_000).cast("long").alias("seconds"),
-            parse_local_date_time(F.col("e.flight.scheduledDeparture")).alias("scheduled_departure"),
-            parse_local_date_time(F.col("e.flight.scheduledArrival")).alias("scheduled_arrival"),
-        ).alias("flight"),
-    )
+def flattened(rows: DataFrame) -> DataFrame:
+    """The flight's own columns in place of the nested ``flight``."""
+    return rows.select(*[f"`{name}`" for name in rows.columns if name != "flight"], "flight.*")
 
 
 def live_events(journal: DataFrame) -> DataFrame:
-    return journal.where(~F.col("deleted"))
+    """Events that are not marked deleted; a null mark, and a journal without marks, mean they are not."""
+    return journal.where(~F.coalesce("deleted", F.lit(False))) if "deleted" in journal.columns else journal
 
 
 def scan(journal: DataFrame) -> DataFrame:
@@ -90,16 +72,38 @@ def history(journal: DataFrame, persistence_id: str) -> DataFrame:
     return scan(journal.where(F.col("persistence_id") == persistence_id))
 
 
-def tag_events(journal: DataFrame) -> DataFrame:
-    """The tag side table: every event is tagged with its family, seat or status."""
-    tag = F.when(F.col("event_type").isin("SeatsAllocated", "SeatsReleased"), "seats").otherwise("lifecycle")
-    return journal.select("persistence_id", "sequence_number", tag.alias("tag"))
+def tags() -> Column:
+    """The tags of an event: its family, what it is about, and whether it is a create or an end."""
+    kind = F.col("event_type")
+    return F.array_compact(
+        F.array(
+            entity_type(F.col("persistence_id")),
+            F.when(kind.isin("SeatsAllocated", "SeatsReleased"), "seats").otherwise("lifecycle"),
+            F.when(kind.endswith("Created"), "created").when(kind.endswith("Cancelled"), "cancelled"),
+        )
+    )
+
+
+def write_tag_index(journal: DataFrame, path: str) -> None:
+    """Live events once for each of their tags, in one folder per tag, sorted by ordering.
+
+    A tag's events are range partitioned, so a tag that most events carry is many files.
+    """
+    tagged = live_events(journal).withColumn("tag", F.explode(tags()))
+    tagged.repartitionByRange("tag", "ordering").sortWithinPartitions("tag", "ordering").write.partitionBy("tag").parquet(path)
+
 
+def events_by_tag(index: DataFrame, tag: str) -> DataFrame:
+    """Events carrying a tag, read from the tag's own folder of the index."""
+    return index.where(F.col("tag") == tag).drop("tag")
 
-def events_by_tag(journal: DataFrame, tags: DataFrame, tag: str) -> DataFrame:
-    """Events carrying a tag, through the side table."""
-    wanted = tags.where(F.col("tag") == tag).select(*SCAN_ORDER)
-    return live_events(journal).join(wanted, SCAN_ORDER, "left_semi")
+
+def events_by_tags(index: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """Events that carry all the tags, read from these tags' folders alone."""
+    held = index.where(F.col("tag").isin(*wanted)).groupBy(*SCAN_ORDER).agg(
+        F.count_distinct("tag").alias("held"), F.first("ordering").alias("ordering"), F.first("event_type").alias("event_type")
+    )
+    return held.where(F.col("held") == len(set(wanted))).drop("held")
 
 
 def heads(journal: DataFrame) -> DataFrame:
@@ -133,7 +137,6 @@ def new_events(
         ["ordering"],
         sums={"sequence_number": F.lit(1).cast("long")},
         previous={"old_status": F.col("new_status")},
-        ordinal="ordering",
         policy=policy,
         sized_by=sized_by,
     )
@@ -149,7 +152,33 @@ def new_events(
 
 
 def append(events: DataFrame, path: str) -> None:
-    """Add events to the parquet journal, laid out so that scans of one entity prune row groups."""
-    events.repartitionByRange(*[F.col(c) for c in SCAN_ORDER]).sortWithinPartitions(*SCAN_ORDER).write.mode(
+    """Add events to the parquet journal: folders by range of ordering, and in each file events of an entity together,
+    so that scans of one entity prune row groups."""
+    spanned = events.select(*JOURNAL.names, floor_div(F.col("ordering"), SPAN).alias("span"))
+    order = ["span", *SCAN_ORDER]
+    spanned.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).write.partitionBy("span").mode(
         "append"
     ).parquet(path)
+
+
+def append_new(decided: DataFrame, path: str, policy: SkewPolicy = DEFAULT) -> None:
+    """Add a batch of accepted events to the stored journal, however often the batch is sent.
+
+    ``decided`` has the journal's columns but ``sequence_number`` and ``old_status``. Both keys of the journal stay unique:
+    an event whose ``ordering`` is stored already, or comes twice in the batch, is not added again, and an entity's numbers
+    go on behind the events that are not of this batch. The whole batch is numbered before the stored part of it is left
+    out, so a batch of which a crash stored only some files is completed with the numbers it would have had. Stored
+    events are compared within the batch's range of ordering, from that range's folders.
+    """
+    spark = decided.sparkSession
+    sent = decided.dropDuplicates(["ordering"])
+    first, last = sent.agg(F.min("ordering"), F.max("ordering")).first()
+    if first is None:
+        return
+    spark.createDataFrame([], JOURNAL).withColumn("span", F.lit(0).cast("long")).write.partitionBy("span").mode("ignore").parquet(path)
+    # stored before this batch, and so what its entities' numbers go on from
+    touched = sent.select("persistence_id").distinct()
+    earlier = read_journal(spark, path).join(touched, "persistence_id", "left_semi")
+    others = earlier.join(sent.select("ordering"), "ordering", "left_anti")
+    numbered = new_events(sent, heads(others), policy)
+    append(not_yet_journaled(numbered, read_journal(spark, path, first, last)), path)

@@ -8,16 +8,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.clock import day_text, floor_div, seconds_between
+from tarmac.functions.clock import day_text, epoch_micros, floor_div, seconds_between
 from tarmac.functions.durations import format_local_date_time
+from tarmac.schemas import FLIGHT_RECORD
 
 HUBS = 25  # airports are the nations
+OPENING_SEATS = 300
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def in_ordered_files(rows: DataFrame, path: str, order: str, files: int) -> str:
+    """Write rows in batches of files that follow the integer expression ``order``, one batch after the other as a feed
+    would drop them."""
+    place = F.expr(order)
+    first, last = rows.agg(F.min(place), F.max(place)).first()
+    step = max(1, -(-(last - first + 1) // files)) if first is not None else 1
+    for n in range(files if first is not None else 1):
+        part = rows if first is None else rows.where(place.between(first + n * step, first + (n + 1) * step - 1))
+        part.write.mode("append").parquet(path)
+    return path
+
+
 def _code(number: str) -> str:
     return f"concat('N', lpad(cast({number} as string), 2, '0'))"
 
@@ -70,6 +84,16 @@ def flights_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flight_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights by number, each as the nested record that its create event carries."""
+    flown, places = flights(spark, sf_dir), airports(spark, sf_dir)
+    for end in ("origin", "destination"):
+        names = places.select(F.col("code").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in ("name", "city", "country")])
+        flown = flown.join(names, end)
+    flown = flown.withColumn("seconds", seconds_between(F.col("scheduled_departure"), F.col("scheduled_arrival")))
+    return flown.select("flight_no", F.struct(*FLIGHT_RECORD.names).alias("flight"))
+
+
 def booking_requests_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
     asked = orders.selectExpr(
         "o_orderkey as request_id",
@@ -171,6 +195,62 @@ def allocation_demands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return demands_of(booking_requests(spark, sf_dir))
 
 
+def booking_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Booking bodies as JSON text, one per request; some break one of the input rules."""
+    fault = F.col("request_id") % 23
+    passenger = F.struct(
+        F.concat(F.lit("pax-"), F.col("passenger_id")).alias("passengerId"),
+        F.split_part("passenger_name", F.lit("#"), F.lit(1)).alias("firstName"),
+        F.when(fault != 1, F.split_part("passenger_name", F.lit("#"), F.lit(2))).alias("lastName"),
+        F.concat(F.lit("p"), F.col("passenger_id"), F.when(fault == 2, ".example").otherwise("@mail.example")).alias("email"),
+    )
+    body = F.to_json(
+        F.struct(
+            F.when(fault != 3, passenger).alias("passenger"),
+            F.when(fault != 4, F.concat(F.lit("F"), F.col("request_id") % 100)).alias("flightId"),
+            F.when(fault == 5, 0).otherwise(F.col("seats")).alias("requestedSeats"),
+        )
+    )
+    text = F.when(fault == 6, F.substring(body, 1, 30)).otherwise(body)
+    return booking_requests(spark, sf_dir).select(F.concat(F.lit("bk-"), "request_id").alias("booking_id"), text.alias("body"))
+
+
+#: Steps of a booking: its command and the hours after the request.
+BOOKING_STEPS = [("create", 0), ("confirm", 1), ("cancel", 2), ("confirm", 3), ("cancel", 4), ("create", 5), ("confirm", -1)]
+
+
+def booking_commands_of(assigned: DataFrame) -> DataFrame:
+    """Booking commands from requests and their order status: F is confirmed, P confirmed and then cancelled. Some are
+    confirmed again or late, cancelled twice or after all, created twice, or confirmed before they are created."""
+    number = F.col("request_id")
+    wanted = [
+        F.lit(True),
+        F.col("order_status").isin("F", "P"),
+        (F.col("order_status") == "P") | ((F.col("order_status") == "F") & (number % 11 == 0)),
+        number % 7 == 0,
+        number % 17 == 0,
+        number % 13 == 0,
+        number % 19 == 0,
+    ]
+    step = F.explode(F.array_compact(F.array(*[F.when(sent, F.lit(n)) for n, sent in enumerate(wanted)]))).alias("step")
+    hours = F.element_at(F.array(*[F.lit(h) for _, h in BOOKING_STEPS]), F.col("step") + 1)
+    kind = F.element_at(F.array(*[F.lit(c) for c, _ in BOOKING_STEPS]), F.col("step") + 1)
+    sent = assigned.select("*", step).withColumn("hours", hours).withColumn(
+        "command_ts", F.expr("timestampadd(HOUR, hours, request_time)")
+    )
+    is_create = kind == "create"
+    # by time, then request, then step, in one number
+    hour = floor_div(epoch_micros(F.col("command_ts")), 3_600_000_000)
+    return sent.select(
+        F.concat(F.lit("bk-"), "request_id").alias("booking_id"),
+        (hour * 10**11 + number * 8 + F.col("step")).alias("ordering"),
+        kind.alias("command"),
+        "command_ts",
+        F.when(is_create, F.col("flight_id")).alias("flight_id"),
+        F.when(is_create, F.col("seats")).alias("seats"),
+    )
+
+
 def demands_of(requests: DataFrame) -> DataFrame:
     return requests.select(
         F.concat_ws("-", F.lit("alloc"), day_text(F.col("request_time")), "priority").alias("allocation_id"),
@@ -185,8 +265,15 @@ def demands_of(requests: DataFrame) -> DataFrame:
     )
 
 
-def commands_from(events: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Flight commands read off the event stream: a user is a flight, its first event creates it."""
+def commands_from(events: DataFrame, firsts: DataFrame | None) -> DataFrame:
+    """Flight commands read off the event stream: a user is a flight, its first event creates it.
+
+    ``firsts`` has a row for each user: its first event and the ``flight`` to create. Without it nothing is a create.
+    """
+    if firsts is None:
+        events = events.withColumns({"first_id": F.lit(None).cast("long"), "flight": F.lit(None).cast(FLIGHT_RECORD)})
+    else:
+        events = events.join(firsts, ["user_id"], "inner")
     kind = (
         F.when(F.col("event_id") == F.col("first_id"), "create")
         .when((F.col("event_type") == "error") & (F.col("event_id") % 50 == 0), "cancel")
@@ -195,14 +282,13 @@ def commands_from(events: DataFrame, firsts: DataFrame) -> DataFrame:
         .otherwise("status")
     )
     return (
-        events.join(firsts, ["user_id"], "inner")
-        .withColumn("command", kind)
+        events.withColumn("command", kind)
         .select(
             F.col("user_id").cast("string").alias("flight_id"),
             (F.col("event_id") + 1).alias("ordering"),
             F.col("ts").alias("command_ts"),
             "command",
-            F.when(F.col("command") == "create", 300)
+            F.when(F.col("command") == "create", OPENING_SEATS)
             .when(F.col("command").isin("allocate", "release"), 1 + F.floor("value") % 40)
             .cast("int")
             .alias("seats"),
@@ -215,14 +301,26 @@ def commands_from(events: DataFrame, firsts: DataFrame) -> DataFrame:
             )
             .when(F.col("command") == "cancel", "Cancelled")
             .alias("new_status"),
+            F.when(F.col("command") == "create", F.col("flight")).alias("flight"),
         )
     )
 
 
+def first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's first event, and the flight it creates: the one whose number is the user's."""
+    firsts = read(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_id").alias("first_id"))
+    records = flight_records(spark, sf_dir).withColumnRenamed("flight_no", "user_id")
+    return firsts.join(records, ["user_id"], "left")
+
+
+def raw_commands_from(events: DataFrame) -> DataFrame:
+    """Flight commands as they arrive, with no look at other events. ``opening_seats`` are those of the flight that the
+    command would create, were it the first of its flight."""
+    return commands_from(events, None).withColumn("opening_seats", F.lit(OPENING_SEATS))
+
+
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read(spark, sf_dir, "events")
-    firsts = events.groupBy("user_id").agg(F.min("event_id").alias("first_id"))
-    return commands_from(events, firsts)
+    return commands_from(read(spark, sf_dir, "events"), first_events(spark, sf_dir))
 
 
 def create_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,6 +343,25 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def metadata_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operations note about themselves: a few named values per event, some of them missing."""
+    value = F.floor("value").cast("string")
+    entries = F.map_from_arrays(
+        F.array(F.lit("k"), F.col("event_type"), F.lit("user")),
+        F.array(
+            F.get_json_object("props", "$.k"),
+            F.when(F.col("event_id") % 3 != 0, value),
+            F.col("user_id").cast("string"),
+        ),
+    )
+    return read(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("correlation_id"),
+        F.concat(F.lit("run-"), day_text(F.col("ts"))).alias("run_id"),
+        F.col("event_id").alias("record_no"),
+        F.when(F.col("event_id") % 10 != 0, entries).alias("metadata"),
+    )
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured log lines as JSON text."""
     return read(spark, sf_dir, "events").select(

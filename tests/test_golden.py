@@ -123,23 +123,27 @@ def test_seat_updates(spark):
 
 def journal_rows(spark, *rows):
     return spark.createDataFrame(
-        rows, "persistence_id string, sequence_number long, event_type string, total_seats int, seats int, new_status string"
+        rows,
+        "persistence_id string, sequence_number long, event_type string, total_seats int, seats int, new_status string,"
+        " deleted boolean",
     )
 
 
 def test_recovery_and_cancel(spark):
     journal = journal_rows(
         spark,
-        ("flight-a", 1, "FlightCreated", 100, None, "Scheduled"),
-        ("flight-a", 2, "SeatsAllocated", None, 30, None),
-        ("flight-a", 3, "FlightStatusChanged", None, None, "Boarding"),
-        ("flight-b", 1, "FlightCreated", 50, None, "Scheduled"),
-        ("flight-b", 2, "FlightCancelled", None, None, "Cancelled"),
+        ("flight-a", 1, "FlightCreated", 100, None, "Scheduled", False),
+        ("flight-a", 2, "SeatsAllocated", None, 30, None, None),
+        ("flight-a", 3, "FlightStatusChanged", None, None, "Boarding", False),
+        ("flight-b", 1, "FlightCreated", 50, None, "Scheduled", None),
+        ("flight-b", 2, "FlightCancelled", None, None, "Cancelled", None),
         # an event before any create leaves the entity empty
-        ("flight-c", 1, "SeatsReleased", None, 5, None),
+        ("flight-c", 1, "SeatsReleased", None, 5, None, False),
     )
     states = {r.persistence_id: (r.available_seats, r.status) for r in events.replay(journal).collect()}
     assert states == {"flight-a": (70, "Boarding"), "flight-b": (50, "Cancelled")}
+    # without marks no event is deleted
+    assert events.replay(journal.drop("deleted")).count() == 2
     assert [r.persistence_id for r in events.cancelled(events.replay(journal)).collect()] == ["flight-b"]
 
 
