@@ -89,23 +89,25 @@ def booking_details(states: DataFrame, requests: DataFrame, flights: DataFrame)
     )
 
 
-def seat_reconciliation(effects: DataFrame, allocations: DataFrame, flights: DataFrame) -> DataFrame:
-    """Flights whose occupied seats differ from seats booked plus seats allocated."""
-    booked = effects.groupBy("flight_id").agg(F.sum("seats_taken").alias("booked_seats"))
-    allocated = allocations.groupBy("flight_id").agg(F.sum("seats_allocated").alias("allocated_seats"))
-    ledger = booked.join(allocated, "flight_id", "full_outer")
-    shown = flights.select(
-        "flight_id", (F.col("total_seats") - F.col("available_seats")).cast("long").alias("occupied_seats")
-    )
+def seat_reconciliation(effects: DataFrame, allocations: DataFrame, released: DataFrame, flights: DataFrame) -> DataFrame:
+    """Flights whose occupied seats differ from seats booked plus seats allocated less seats released.
+
+    All four are entries of one ledger, summed per flight in one aggregate, so no two of them are joined.
+    """
     none = F.lit(0).cast("long")
-    return (
-        ledger.join(shown, "flight_id", "full_outer")
-        .select(
-            "flight_id",
-            F.coalesce("booked_seats", none).alias("booked_seats"),
-            F.coalesce("allocated_seats", none).alias("allocated_seats"),
-            F.coalesce("occupied_seats", none).alias("occupied_seats"),
-        )
-        .withColumn("difference", F.col("occupied_seats") - F.col("booked_seats") - F.col("allocated_seats"))
-        .where(F.col("difference") != 0)
+
+    def entries(rows: DataFrame, kind: str, seats: str) -> DataFrame:
+        amount = {k: F.expr(seats).cast("long") if k == kind else none for k in ("booked", "allocated", "released", "occupied")}
+        return rows.select("flight_id", *[value.alias(f"{k}_seats") for k, value in amount.items()])
+
+    ledger = (
+        entries(effects, "booked", "seats_taken")
+        .unionByName(entries(allocations, "allocated", "seats_allocated"))
+        .unionByName(entries(released, "released", "seats"))
+        .unionByName(entries(flights, "occupied", "total_seats - available_seats"))
+    )
+    summed = ledger.groupBy("flight_id").agg(
+        *[F.coalesce(F.sum(f"{k}_seats"), none).alias(f"{k}_seats") for k in ("booked", "allocated", "released", "occupied")]
     )
+    expected = F.col("booked_seats") + F.col("allocated_seats") - F.col("released_seats")
+    return summed.withColumn("difference", F.col("occupied_seats") - expected).where(F.col("difference") != 0)

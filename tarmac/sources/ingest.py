@@ -9,9 +9,11 @@ from tarmac.functions.capacity import priority_rank
 from tarmac.functions.durations import interval_of, is_duration, parse_duration_micros, parse_local_date_time
 from tarmac.schemas import (
     ALLOCATION_REQUEST,
+    BOOKING_REQUEST,
     CREATE_FLIGHT_REQUEST,
     FLIGHT_STATUSES,
     MAX_SEATS_PER_FLIGHT,
+    PASSENGER,
     PRIORITIES,
 )
 
@@ -139,6 +141,45 @@ def parse_updates(lines: DataFrame, body: str = "body") -> DataFrame:
     return parsed.withColumns({"status": status, "seats": seats, "reason": reason}).drop("update")
 
 
+def parse_booking_requests(lines: DataFrame, body: str = "body") -> DataFrame:
+    """Parse booking bodies: a passenger, a flight and a positive number of seats. ``reason`` is null for a good record.
+
+    Every field is required; an e-mail address needs text on both sides of its only ``@``.
+    """
+    schema = BOOKING_REQUEST.simpleString().removesuffix(">") + f",{CORRUPT}:string>"
+    request = F.from_json(F.col(body), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = _once(lines, request, "request")
+    r = F.col("request").getField
+    who = r("passenger")
+    missing = F.coalesce(
+        F.when(who.isNull(), F.lit("missing passenger")),
+        *[F.when(who.getField(name).isNull(), F.lit(f"missing {name}")) for name in PASSENGER.names],
+        *[F.when(r(name).isNull(), F.lit(f"missing {name}")) for name in ("flightId", "requestedSeats")],
+    )
+    return parsed.withColumn(
+        "reason",
+        F.coalesce(
+            F.when(F.col("request").isNull() | r(CORRUPT).isNotNull(), F.lit("malformed JSON")),
+            missing,
+            F.when(~who.getField("email").rlike("^[^@\\s]+@[^@\\s]+$"), F.lit("bad email")),
+            F.when(r("requestedSeats") < 1, F.lit("bad requestedSeats")),
+        ),
+    ).withColumn("request", F.col("request").dropFields(CORRUPT))
+
+
+def to_bookings(good: DataFrame, booking_id: Column | None = None) -> DataFrame:
+    """Accepted booking requests as flat rows; without a ``booking_id`` column a random UUID is drawn."""
+    r = F.col("request").getField
+    return good.select(
+        (F.expr("uuid()") if booking_id is None else booking_id).alias("booking_id"),
+        r("passenger").getField("passengerId").alias("passenger_id"),
+        F.concat_ws(" ", r("passenger").getField("firstName"), r("passenger").getField("lastName")).alias("passenger_name"),
+        r("passenger").getField("email").alias("email"),
+        r("flightId").alias("flight_id"),
+        r("requestedSeats").alias("seats"),
+    )
+
+
 def parse_allocation_requests(lines: DataFrame, body: str = "body") -> DataFrame:
     """Parse allocation-request bodies; ``reason`` is null for a good record."""
     parsed = _once(lines, F.from_json(F.col(body), ALLOCATION_REQUEST), "request")
