@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.clock import floor_div
 from tarmac.operators.skew import DEFAULT, SkewPolicy, ordered_scan
+from tarmac.schemas import FLIGHT_ID_PREFIX
 
 OD = ["origin", "destination"]
 BLOCK = 512  # seats per block of the axis
@@ -151,15 +152,16 @@ def demand_candidates(demands: DataFrame, flights: DataFrame, policy: SkewPolicy
     )
 
 
-def allocation_events(allocations: DataFrame) -> DataFrame:
+def allocation_events(allocations: DataFrame, heads: DataFrame) -> DataFrame:
     """Each allocation as a SeatsAllocated event with the seats then left on the flight.
 
-    A flight has no more allocations than seats, so the window per flight is small.
+    Numbers go on behind ``heads`` (persistence_id, last_number), the newest event of each flight's journal. A flight has
+    no more allocations than seats, so the window per flight is small.
     """
     turn = Window.partitionBy("flight_id").orderBy("axis_start")
-    return allocations.select(
-        F.concat(F.lit("flight-"), F.col("flight_id")).alias("persistence_id"),
-        F.row_number().over(turn).cast("long").alias("sequence_number"),
+    made = allocations.select(
+        F.concat(F.lit(FLIGHT_ID_PREFIX), F.col("flight_id")).alias("persistence_id"),
+        F.row_number().over(turn).cast("long").alias("turn"),
         F.lit("SeatsAllocated").alias("event_type"),
         F.col("request_time").alias("event_ts"),
         F.col("seats_allocated").alias("seats"),
@@ -167,6 +169,9 @@ def allocation_events(allocations: DataFrame) -> DataFrame:
         "allocation_id",
         "request_id",
     )
+    known = heads.select("persistence_id", "last_number")
+    number = F.col("turn") + F.coalesce("last_number", F.lit(0))
+    return made.join(known, ["persistence_id"], "left").withColumn("sequence_number", number).drop("turn", "last_number")
 
 
 # --- run states ----------------------------------------------------------------------------

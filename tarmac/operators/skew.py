@@ -1,4 +1,4 @@
-"""Joins and ordered scans that hold up when one key owns a large share of the rows.
+"""Ordered scans that hold up when one key owns a large share of the rows.
 
 A key is *heavy* when it has more than ``max(floor, share * rows)`` rows. Fewer than
 ``1 / share`` keys can pass that test whatever the data, so the list of heavy keys has a
@@ -9,22 +9,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tarmac.functions.clock import floor_div
+from tarmac.functions.clock import epoch_micros, floor_div
 from tarmac.session import shared_folder
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """``floor``: rows one task takes without trouble; ``share``: heavy-key threshold as a
-    fraction of all rows; ``chunk``: ordinals per slice of a heavy key."""
+    fraction of all rows; ``chunk``: rows per slice of a heavy key; ``pairs``: pairs of rows that
+    one cell of an interval join may compare."""
 
     floor: int = 1 << 20
     share: float = 1e-4
     chunk: int = 1 << 18
+    pairs: int = 1 << 26
 
 
 DEFAULT = SkewPolicy()
@@ -90,8 +95,8 @@ def ordered_scan(
 
     Heavy keys are cut into slices that follow the order, scanned slice by slice, and joined
     to what the earlier slices carry over. ``ordinal`` names an integer column that rises with
-    the order and is unique within a key: a slice then is a range of ``policy.chunk`` ordinals
-    and cannot hold more rows than that. Without one, slices are sampled range partitions.
+    the order, is unique within a key and leaves few numbers out: a slice then is a range of
+    ``policy.chunk`` ordinals and nothing is measured. Otherwise slices come from ``row_slices``.
     """
     keys, order = list(keys), list(order)
     sums, latest, previous = sums or {}, latest or {}, previous or {}
@@ -112,7 +117,10 @@ def ordered_scan(
             "_slice", F.when(F.col("_heavy"), floor_div(F.col(ordinal), policy.chunk)).otherwise(F.lit(0))
         ).withColumn("_heavy", F.coalesce("_heavy", F.lit(False)))
     else:
-        marked = _range_slices(df, keys, order, heavy, policy)
+        hot, cold = split_rows(df, keys, heavy)
+        sliced = row_slices(hot, keys, order, policy.chunk).withColumn("_heavy", F.lit(True))
+        rest = cold.withColumns({"_slice": F.array().cast(PATH), "_heavy": F.lit(False)})
+        marked = sliced.unionByName(rest)
 
     rows = Window.partitionBy(*keys, "_slice").orderBy(*order)
     so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -160,21 +168,67 @@ def ordered_scan(
     return joined.select(*df.columns, *[value.alias(name) for name, value in carry.items()])
 
 
-def _range_slices(
-    df: DataFrame, keys: list[str], order: list[str], heavy: DataFrame, policy: SkewPolicy
-) -> DataFrame:
-    """Slices for an order with no ordinal: heavy rows are range-partitioned by key and order.
+PATH = "array<bigint>"
+#: Parts a slice is cut into at once.
+MOST_PARTS = 1 << 16
+
+
+def _coordinates(df: DataFrame, order: list[str]) -> list[Column]:
+    """The order as integers below 2^33, two for each column, up to the first column that is not a number or a time.
 
-    The slice number is read off the partition, so the rows are checkpointed before it is
-    used twice.
+    Nulls come first.
+    """
+    found: list[Column] = []
+    for name in order:
+        kind = df.schema[name].dataType
+        column = F.col(name)
+        if isinstance(kind, T.TimestampNTZType):
+            column = epoch_micros(column)
+        elif isinstance(kind, T.TimestampType):
+            column = F.unix_micros(column)
+        elif isinstance(kind, T.DateType):
+            column = F.unix_date(column)
+        elif not isinstance(kind, T.IntegralType):
+            break
+        column = column.cast("long")
+        low = column.bitwiseAND(F.lit((1 << 32) - 1).cast("long"))
+        found += [F.coalesce(F.shiftright(column, 32), F.lit(-(1 << 32))), F.coalesce(low, F.lit(0).cast("long"))]
+    return found
+
+
+def row_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: int) -> DataFrame:
+    """``df`` with a column ``_slice`` that follows the order inside each key, at most ``chunk`` rows to a slice.
+
+    A slice is cut where it holds more: its rows are counted with the least and greatest value of each
+    ordering column, and the first column that differs is cut into equal widths, twice as many as the
+    rows need. Crowded parts are cut again. ``_slice`` is the path of these cuts. Only counts per slice
+    are kept between rounds, so nothing is gathered and no order is sampled. Rows alike in all numeric
+    and time columns of the order stay in one slice.
     """
     shared_folder(df.sparkSession)  # makes sure checkpoints have a place
-    hot, cold = split_rows(df, keys, heavy)
-    hot_rows = heavy.agg(F.sum("_rows")).first()[0]
-    parts = int(-(-hot_rows // policy.chunk)) + 1
-    sliced = (
-        hot.repartitionByRange(parts, *keys, *order).withColumn("_slice", F.spark_partition_id().cast("long")).checkpoint()
-    )
-    return sliced.withColumn("_heavy", F.lit(True)).unionByName(
-        cold.withColumn("_slice", F.lit(0).cast("long")).withColumn("_heavy", F.lit(False))
-    )
+    keys, order = list(keys), list(order)
+    places = _coordinates(df, order)
+    names = [f"_c{i}" for i in range(len(places))]
+    rows = df.withColumns(dict(zip(names, places)) | {"_slice": F.array().cast(PATH)})
+    differs = [F.col(f"_least{n}") < F.col(f"_most{n}") for n in names]
+    while names:
+        counted = rows.groupBy(*keys, "_slice").agg(
+            F.count(F.lit(1)).alias("_rows"), *[f(n).alias(f"{side}{n}") for n in names for f, side in ((F.min, "_least"), (F.max, "_most"))]
+        )
+        crowded = counted.where((F.col("_rows") > chunk) & reduce(or_, differs))
+        first = F.coalesce(*[F.when(d, F.lit(i)) for i, d in enumerate(differs)])
+        least = F.coalesce(*[F.when(d, F.col(f"_least{n}")) for n, d in zip(names, differs)])
+        most = F.coalesce(*[F.when(d, F.col(f"_most{n}")) for n, d in zip(names, differs)])
+        parts = F.least(F.lit(MOST_PARTS), F.ceil(2 * F.col("_rows") / chunk))
+        width = F.greatest(F.lit(1), F.ceil((most - least + 1) / parts)).cast("long")
+        cuts = crowded.select(*keys, "_slice", first.alias("_by"), least.alias("_from"), width.alias("_width")).checkpoint()
+        if cuts.isEmpty():
+            break
+        by = F.element_at(F.array(*names), F.col("_by") + 1)
+        deeper = F.concat("_slice", F.array(F.call_function("div", by - F.col("_from"), F.col("_width"))))
+        rows = (
+            rows.join(cuts, [*keys, "_slice"], "left")
+            .withColumn("_slice", F.when(F.col("_by").isNotNull(), deeper).otherwise(F.col("_slice")))
+            .drop("_by", "_from", "_width")
+        )
+    return rows.select(*df.columns, "_slice")

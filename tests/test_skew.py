@@ -4,11 +4,13 @@ import random
 from collections import defaultdict
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tarmac.functions.clock import MICROS
 from tarmac.operators import allocation, connections, events, seats
-from tarmac.operators.skew import SkewPolicy, heavy_keys, ordered_scan
+from tarmac.operators.skew import SkewPolicy, heavy_keys, ordered_scan, row_slices
 
 TINY = SkewPolicy(floor=40, share=0.0, chunk=16)
 KEEP_PLAIN = SkewPolicy(floor=10**9)
@@ -236,3 +238,121 @@ def test_transitions_of_a_heavy_entity(spark, small):
     journal = journal_table(spark, small)
     tiny = SkewPolicy(floor=3, share=0.0, chunk=5)
     assert rows_of(events.status_transitions(journal, tiny)) == rows_of(events.status_transitions(journal))
+
+
+# --- slices, cells and maps of bounded size ----------------------------------------------------
+
+
+def crowded_times(spark):
+    """Three quarters of the rows in one second, some of them in one instant, the rest over years; nulls among them."""
+    rng = random.Random(4)
+    rows = []
+    for n in range(3_000):
+        micros = None if n % 50 == 0 else 10**15 if n % 4 == 0 else 10**15 + rng.randrange(10**6) if n % 4 < 3 else rng.randrange(-(10**16), 10**16)
+        rows.append(("hot" if n % 10 else None if n % 20 else "cold", micros, n * (-1) ** n * 2 ** (n % 40), rng.randrange(9)))
+    return spark.createDataFrame(rows, "key string, micros long, id long, v int").selectExpr(
+        "key", "case when micros is not null then timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, micros / 1000000.0d) end as at", "id", "v"
+    ).repartition(6)
+
+
+def test_slices_are_bounded_and_follow_the_order(spark):
+    rows = crowded_times(spark).where("key = 'hot'")
+    sliced = row_slices(rows, ["key"], ["at", "id"], chunk=40)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert max(sizes) <= 40 and sum(sizes) == rows.count() and len(sizes) < rows.count() / 4
+    ordered = sliced.orderBy(F.col("at").asc_nulls_first(), "id").collect()
+    paths = [tuple(r._slice) for r in ordered]
+    assert paths == sorted(paths)
+
+
+def test_slices_of_equal_rows_end(spark):
+    rows = spark.createDataFrame([("k", 5, "x")] * 200 + [("k", 6, "y")], "key string, n int, s string")
+    assert sorted(r["count"] for r in row_slices(rows, ["key"], ["n"], 10).groupBy("_slice").count().collect()) == [1, 200]
+    assert {len(r._slice) for r in row_slices(rows, ["key"], ["s"], 10).collect()} == {0}
+
+
+def test_scan_over_crowded_times(spark):
+    rows = crowded_times(spark)
+    asked = dict(sums={"total": F.col("v")}, latest={"last": F.col("v")}, previous={"before": F.col("v")})
+    sliced = ordered_scan(rows, ["key"], ["at", "id"], policy=SkewPolicy(floor=40, share=0.0, chunk=30), **asked)
+    assert rows_of(sliced) == rows_of(ordered_scan(rows, ["key"], ["at", "id"], policy=KEEP_PLAIN, **asked))
+
+
+@pytest.mark.parametrize("shape", ["arrivals", "departures", "both"])
+def test_no_cell_of_a_connection_join_is_crowded(spark, shape):
+    arrivals, departures = {"arrivals": (2_000, 5), "departures": (5, 2_000), "both": (300, 300)}[shape]
+    begin = "timestamp_ntz'2026-01-01 00:00:00'"
+    leg = "concat('{0}', id) as flight_id, concat('{0}', id) as flight_number, '{1}' as origin, '{2}' as destination, {3} as scheduled_departure, {4} as scheduled_arrival, 'Scheduled' as status"
+    hours = lambda text: f"timestampadd(SECOND, cast({text} as int), {begin})"
+    into = spark.range(arrivals).selectExpr(*split_columns(leg.format("a", "X", "HUB", hours("id % 60"), hours("3600 + id % 900"))))
+    out = spark.range(departures).selectExpr(*split_columns(leg.format("d", "HUB", "Y", hours("10000 + id % 900"), hours("20000"))))
+    flights = into.unionByName(out)
+    policy = SkewPolicy(pairs=400)
+    legs = connections.legs(flights)
+    left = connections._first_legs(legs).withColumn("_bucket", F.lit(0))
+    right = connections._next_legs(legs).withColumn("_bucket", F.lit(0))
+    left, right, keys = connections.dealt(left, right, ["hub", "_bucket"], policy)
+    met = left.groupBy(*keys).count().join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)
+    cells = [r["count"] * r.n for r in met.collect()]
+    assert len(cells) > 10 and max(cells) <= 4 * policy.pairs
+    found = connections.connections(flights, policy=policy)
+    assert found.count() == connections.connections(flights, policy=KEEP_PLAIN).count() == arrivals * departures
+    assert found.select("first_flight_id", "second_flight_id").distinct().count() == arrivals * departures
+
+
+def split_columns(text):
+    """Column expressions of a select list whose commas inside brackets do not count."""
+    parts, depth, start = [], 0, 0
+    for i, c in enumerate(text):
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            parts.append(text[start:i].strip())
+            start = i + 1
+    parts.append(text[start:].strip())
+    return parts
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 30), st.lists(st.tuples(st.booleans(), st.integers(1, 35)), max_size=40), st.integers(0, 40))
+def test_seat_maps(total, commands, cut):
+    """What a run of commands does to every number of free seats, and two runs composed."""
+
+    def run(free, part):
+        for take, n in part:
+            if take and free >= n:
+                free -= n
+            elif not take and free + n <= total:
+                free += n
+        return free
+
+    maps = []
+    for part in (commands[:cut], commands[cut:], commands):
+        seat_map = seats.SeatMap.unchanged(total)
+        for take, n in part:
+            seat_map.allocate(n) if take else seat_map.release(n, total)
+        assert [seat_map(f) for f in range(total + 1)] == [run(f, part) for f in range(total + 1)]
+        maps.append(seat_map)
+    joined = maps[0].then(maps[1])
+    assert [joined(f) for f in range(total + 1)] == [maps[2](f) for f in range(total + 1)]
+    started = seats.SeatMap.constant(total).then(maps[2])
+    assert started(0) == run(total, commands)
+
+
+def test_a_map_does_not_grow_with_the_seats():
+    seat_map = seats.SeatMap.unchanged(2_000_000_000)
+    rng = random.Random(1)
+    for _ in range(2_000):
+        n = rng.randrange(1, 40)
+        seat_map.allocate(n) if rng.random() < 0.5 else seat_map.release(n, 2_000_000_000)
+    assert len(seat_map.starts) < 4_000
+
+
+@pytest.mark.parametrize("fan", [2, 64])
+def test_large_flights_are_sliced(spark, fan, monkeypatch):
+    monkeypatch.setattr(seats, "FAN", fan)
+    rng = random.Random(8)
+    rows = [("1", 10**12 + n * n, rng.choice(["allocate", "release"]), rng.randrange(1, 10**8)) for n in range(700)]
+    rows = [("1", 5, "create", 2_000_000_000)] + rows + [("2", n, "create" if n == 0 else "allocate", 50 if n == 0 else 1) for n in range(60)]
+    df = spark.createDataFrame(rows, "flight_id string, ordering long, command string, seats int").repartition(3)
+    log = seats.seat_command_log(df, policy=SkewPolicy(floor=40, share=0.0, chunk=16))
+    assert rows_of(log.select("flight_id", "ordering", "accepted", "total_seats", "remaining_seats")) == decide(sorted(rows, key=lambda r: r[1]))
