@@ -36,11 +36,13 @@ class VersionedTable:
 
     def before(self, batch_id: int) -> DataFrame:
         """The table as it was before ``batch_id``."""
-        last_whole = (batch_id - 1) // self.compact_every * self.compact_every if batch_id > 0 else -1
+        last_whole = max(-1, (batch_id - 1) // self.compact_every * self.compact_every if batch_id > 0 else -1)
         return self._latest(self.batches().where((F.col(BATCH) < batch_id) & (F.col(BATCH) >= last_whole)))
 
     def latest(self) -> DataFrame:
-        return self._latest(self.batches())
+        """The table as it is now, from its last whole folder on."""
+        newest = self.batches().agg(F.max(BATCH)).first()[0]  # of folder names
+        return self.before(newest + 1)
 
     def _latest(self, rows: DataFrame) -> DataFrame:
         values = [name for name in rows.columns if name not in [*self.keys, BATCH]]
