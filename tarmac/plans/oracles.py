@@ -173,7 +173,14 @@ CTES |= {
   FROM facts WHERE new_status IS NOT NULL""",
     "journal": """SELECT f.*, s.old_status, CAST(NULL AS VARCHAR) AS booking_id, CAST(NULL AS VARCHAR) AS allocation_id
   FROM facts f LEFT JOIN status_changes s ON s.ordering = f.ordering""",
-    "states": """SELECT persistence_id, max(total_seats) AS total_seats,
+    "records": """SELECT 'flight-' || flight_no AS persistence_id, flight_number, origin, o.name AS origin_name,
+  o.city AS origin_city, o.country AS origin_country, destination, d.name AS destination_name, d.city AS destination_city,
+  d.country AS destination_country, distance, date_diff('second', scheduled_departure, scheduled_arrival) AS seconds,
+  scheduled_departure, scheduled_arrival FROM flights JOIN airports o ON origin = o.code JOIN airports d ON destination = d.code""",
+    "journal_records": """SELECT j.*, r.* EXCLUDE (persistence_id) FROM journal j
+  LEFT JOIN records r ON r.persistence_id = j.persistence_id AND j.event_type = 'FlightCreated'""",
+    "states": """SELECT * FROM plain_states LEFT JOIN records USING (persistence_id)""",
+    "plain_states": """SELECT persistence_id, max(total_seats) AS total_seats,
   CAST(sum(CASE event_type WHEN 'FlightCreated' THEN total_seats WHEN 'SeatsAllocated' THEN -seats
    WHEN 'SeatsReleased' THEN seats ELSE 0 END) AS BIGINT) AS available_seats,
   arg_max(new_status, CASE WHEN new_status IS NOT NULL THEN sequence_number END) AS status,
@@ -236,7 +243,10 @@ NEEDS |= {
     "facts": ["seat_log"],
     "status_changes": ["facts"],
     "journal": ["status_changes"],
-    "states": ["journal"],
+    "records": ["flights", "airports"],
+    "journal_records": ["journal", "records"],
+    "plain_states": ["journal"],
+    "states": ["plain_states", "records"],
     "first_flights": ["flights"],
     "assigned": ["first_flights", "booking_requests"],
     "booking_events": ["assigned"],
@@ -293,8 +303,9 @@ oracle(
     """SELECT allocation_id, run_id, priority, priority_rank, CAST(row_number() OVER (PARTITION BY allocation_id
   ORDER BY request_id) - 1 AS INTEGER) AS position, origin, destination, seats FROM demands""",
 )
-oracle("journal_scan", "journal", "SELECT * FROM journal ORDER BY persistence_id, sequence_number")
-oracle("journal_append", "journal", "SELECT * FROM journal")
+oracle("journal_scan", "journal_records", "SELECT * FROM journal_records ORDER BY persistence_id, sequence_number")
+oracle("journal_append", "journal_records", "SELECT * FROM journal_records")
+oracle("journal_resend", "journal_records", "SELECT * FROM journal_records")
 oracle("journal_entity_ids", "journal", "SELECT DISTINCT substr(persistence_id, 8) AS entity_id FROM journal")
 oracle(
     "events_by_tag",
@@ -302,6 +313,11 @@ oracle(
     """SELECT ordering, persistence_id, sequence_number, event_type FROM journal
   WHERE event_type IN ('SeatsAllocated', 'SeatsReleased')""",
 )
+oracle(
+    "events_by_tags",
+    "journal",
+    """SELECT persistence_id, sequence_number, ordering, event_type FROM journal WHERE event_type = 'FlightCancelled'""",
+)
 
 
 def _flight_document(table: str) -> str:
@@ -320,6 +336,7 @@ def _flight_document(table: str) -> str:
 CTES["flight_docs"] = _flight_document("flights")
 NEEDS["flight_docs"] = ["flights", "airports"]
 oracle("export_flights_json", "flights_current airports", _flight_document("flights_current"))
+oracle("export_flight_listing", "flights_current airports", _flight_document("flights_current"))
 
 AIRPORT = """'{{"code":"' || {0} || '","name":"","city":"","country":""}}'"""
 PAIR = f"""'{{"origin":' || {AIRPORT.format('origin')} || ',"destination":' || {AIRPORT.format('destination')} || '}}'"""
@@ -416,6 +433,9 @@ oracle(
 )
 oracle("replay_flights", "states", "SELECT * FROM states")
 oracle("recover_flights", "states", "SELECT * FROM states")
+RECOVERED = f"""SELECT {FLIGHT} FROM (SELECT *, substr(persistence_id, 8) AS flight_id FROM states)"""
+oracle("list_recovered", "states", RECOVERED)
+oracle("recovered_by_route", "states", f"{RECOVERED} WHERE origin = 'N03' AND destination = 'N04'")
 oracle("replay_planted_flights", "states", "SELECT * FROM states")
 oracle(
     "unrecovered_flights",
@@ -426,15 +446,15 @@ oracle(
 oracle("replay_from_snapshot", "states", "SELECT * FROM states")
 oracle(
     "snapshots_keep2",
-    "journal",
-    """SELECT persistence_id, sequence_number, 300 AS total_seats, available_seats, status FROM (
+    "journal records",
+    """SELECT * FROM (SELECT persistence_id, sequence_number, 300 AS total_seats, available_seats, status FROM (
   SELECT persistence_id, sequence_number, row_number() OVER (PARTITION BY persistence_id ORDER BY sequence_number DESC)
    AS newest, available_seats, status FROM (SELECT persistence_id, sequence_number,
     CAST(sum(CASE event_type WHEN 'FlightCreated' THEN total_seats WHEN 'SeatsAllocated' THEN -seats
      WHEN 'SeatsReleased' THEN seats ELSE 0 END) OVER past AS BIGINT) AS available_seats,
     last_value(new_status IGNORE NULLS) OVER past AS status FROM journal
     WINDOW past AS (PARTITION BY persistence_id ORDER BY sequence_number ROWS UNBOUNDED PRECEDING))
-  WHERE sequence_number % 25 = 0) WHERE newest <= 2""",
+  WHERE sequence_number % 25 = 0) WHERE newest <= 2) LEFT JOIN records USING (persistence_id)""",
 )
 oracle(
     "flight_history",
@@ -446,7 +466,8 @@ oracle(
     "seat_mismatches",
     "states seat_log",
     """SELECT persistence_id, available_seats AS summed, CAST(stored AS BIGINT) AS stored FROM states
-  JOIN (SELECT 'flight-' || flight_id AS persistence_id, arg_max(remaining_seats, ordering) AS stored FROM seat_log
+  JOIN (SELECT 'flight-' || flight_id AS persistence_id, arg_max(remaining_seats, ordering)
+    + CASE WHEN CAST(flight_id AS BIGINT) % 5 = 0 THEN 1 ELSE 0 END AS stored FROM seat_log
    WHERE accepted AND seats IS NOT NULL GROUP BY flight_id) USING (persistence_id) WHERE available_seats <> stored""",
 )
 oracle(
@@ -492,15 +513,16 @@ oracle(
 )
 oracle(
     "seat_reconciliation",
-    "booking_events allocations flights_current",
-    """SELECT flight_id, CAST(coalesce(booked, 0) AS BIGINT) AS booked_seats, CAST(coalesce(given, 0) AS BIGINT)
-  AS allocated_seats, CAST(total_seats - available_seats AS BIGINT) AS occupied_seats,
-  CAST(total_seats - available_seats - coalesce(booked, 0) - coalesce(given, 0) AS BIGINT) AS difference
-  FROM flights_current
-  LEFT JOIN (SELECT flight_id, sum(CASE event_type WHEN 'BookingConfirmed' THEN seats WHEN 'BookingCancelled' THEN -seats
-   END) AS booked FROM booking_events GROUP BY flight_id) USING (flight_id)
-  LEFT JOIN (SELECT flight_id, sum(seats_allocated) AS given FROM allocations GROUP BY flight_id) USING (flight_id)
-  WHERE total_seats - available_seats <> coalesce(booked, 0) + coalesce(given, 0)""",
+    "booking_events allocations flights_current journal",
+    """SELECT flight_id, CAST(sum(booked) AS BIGINT) AS booked_seats, CAST(sum(given) AS BIGINT) AS allocated_seats,
+  CAST(sum(back) AS BIGINT) AS released_seats, CAST(sum(taken) AS BIGINT) AS occupied_seats,
+  CAST(sum(taken) - sum(booked) - sum(given) + sum(back) AS BIGINT) AS difference FROM (
+  SELECT flight_id, 0 AS booked, 0 AS given, 0 AS back, total_seats - available_seats AS taken FROM flights_current
+  UNION ALL SELECT flight_id, CASE event_type WHEN 'BookingConfirmed' THEN seats ELSE -seats END, 0, 0, 0
+   FROM booking_events WHERE event_type <> 'BookingCreated'
+  UNION ALL SELECT flight_id, 0, seats_allocated, 0, 0 FROM allocations
+  UNION ALL SELECT 'F' || substr(persistence_id, 8), 0, 0, seats, 0 FROM journal WHERE event_type = 'SeatsReleased')
+  GROUP BY flight_id HAVING difference <> 0""",
 )
 
 oracle(
@@ -530,7 +552,7 @@ oracle("run_summary", "outcome", SUMMARY)
 oracle(
     "allocation_events",
     "allocations",
-    """SELECT 'flight-' || flight_id AS persistence_id, row_number() OVER (PARTITION BY flight_id ORDER BY axis_start)
+    """SELECT 'flight-' || flight_id AS persistence_id, 1 + row_number() OVER (PARTITION BY flight_id ORDER BY axis_start)
   AS sequence_number, 'SeatsAllocated' AS event_type, request_time AS event_ts, seats_allocated AS seats,
   flight_seats_left AS remaining_seats, allocation_id, request_id FROM allocations""",
 )
@@ -564,6 +586,33 @@ oracle(
    CAST(sum(ms) AS BIGINT) AS total FROM (SELECT event_type, CAST(floor(value * 10) AS BIGINT) AS ms FROM events)
    GROUP BY event_type) FULL JOIN (SELECT unnest(['click', 'allocation']) AS operation) USING (operation)""",
 )
+CTES |= {
+    "notes": """SELECT CAST(user_id AS VARCHAR) AS correlation_id, 'run-' || strftime(ts, '%Y-%m-%d') AS run_id, event_id,
+  unnest(['k', event_type, 'user']) AS name, unnest([json_extract_string(props, '$.k'),
+   CASE WHEN event_id % 3 <> 0 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END, CAST(user_id AS VARCHAR)]) AS value
+  FROM events WHERE event_id % 10 <> 0""",
+    "run_notes": """SELECT run_id, name, arg_max(value, event_id) AS value FROM notes WHERE value IS NOT NULL GROUP BY run_id, name""",
+    "run_steps": """SELECT run_id, 'checkpoint_' || (row_number() OVER (PARTITION BY run_id ORDER BY ms, message) - 1) || '_'
+  || message AS name, ms || 'ms' AS value FROM (SELECT run_id, message, (epoch_us(reached_at)
+   - epoch_us(min(reached_at) OVER (PARTITION BY run_id))) // 1000 AS ms
+   FROM (SELECT run_id, message, min(logged_at) AS reached_at FROM logs GROUP BY run_id, message))""",
+}
+NEEDS |= {"run_notes": ["notes"], "run_steps": ["logs"]}
+oracle(
+    "metrics_metadata",
+    "notes",
+    """SELECT correlation_id, CAST(count(*) AS INTEGER) AS entries, string_agg(name || '=' || value, ', ' ORDER BY name) AS metadata
+  FROM (SELECT correlation_id, name, arg_max(value, event_id) AS value FROM notes WHERE value IS NOT NULL
+   GROUP BY correlation_id, name) GROUP BY correlation_id""",
+)
+oracle(
+    "run_metrics",
+    "run_notes run_steps logs",
+    """SELECT run_id AS operation, (epoch_us(max(logged_at)) - epoch_us(min(logged_at))) // 1000 AS duration_ms,
+  TIMESTAMP '2024-02-01' AS timestamp, any_value(metadata) AS metadata
+  FROM logs JOIN (SELECT run_id, string_agg(name || '=' || value, ', ' ORDER BY name) AS metadata
+   FROM (SELECT * FROM run_notes UNION ALL SELECT * FROM run_steps) GROUP BY run_id) USING (run_id) GROUP BY run_id""",
+)
 oracle(
     "run_trace",
     "logs",
@@ -578,10 +627,132 @@ oracle(
   // 1000 AS offset_ms FROM (SELECT run_id, message, min(logged_at) AS reached_at FROM logs GROUP BY run_id, message)""",
 )
 
+oracle(
+    "flight_payloads",
+    "journal_records",
+    """SELECT * REPLACE (CASE WHEN event_type = 'FlightCancelled' THEN NULL ELSE old_status END AS old_status)
+  FROM journal_records""",
+)
+oracle(
+    "booking_payloads",
+    "booking_events booking_requests",
+    """SELECT persistence_id, n AS sequence_number, event_type, event_ts, booking_id, CASE WHEN n = 1 THEN id END AS request_id,
+  CASE WHEN n = 1 THEN 'pax-' || passenger_id END AS passenger_id,
+  CASE WHEN n = 1 THEN replace(passenger_name, '#', ' ') ELSE '' END AS passenger_name, CASE WHEN n = 1 THEN origin END AS origin,
+  CASE WHEN n = 1 THEN destination END AS destination, CASE WHEN n = 1 THEN request_time END AS request_time,
+  CASE WHEN n < 3 THEN seats END AS seats, CASE WHEN n = 2 THEN flight_id END AS flight_id, reason
+  FROM (SELECT e.*, e.sequence_number AS n, CAST(r.request_id AS VARCHAR) AS id, r.passenger_id, r.passenger_name, r.origin,
+   r.destination, r.request_time FROM booking_events e JOIN booking_requests r ON e.booking_id = 'bk-' || r.request_id)""",
+)
+oracle(
+    "allocation_payloads",
+    "run_events allocations",
+    """SELECT persistence_id, sequence_number, allocation_id, 'run-' || substr(allocation_id, 7, 10) AS run_id, event_type,
+  event_ts, NULL AS origin, NULL AS destination, NULL AS flight_id, CAST(NULL AS INTEGER) AS seats, reason FROM run_events
+  UNION ALL SELECT 'allocation-' || allocation_id, CAST(request_id * 1000 + axis_start % 1000 AS BIGINT), allocation_id, run_id,
+   'SeatAllocationMade', request_time, origin, destination, flight_id, CAST(seats_allocated AS INTEGER), NULL FROM allocations""",
+)
+
+# --- bookings against seats ----------------------------------------------------------------
+
+CTES |= {
+    "booking_commands": """SELECT 'bk-' || request_id AS booking_id, request_time + to_hours(h) AS command_ts, command,
+  CAST(epoch(request_time + to_hours(h)) // 3600 AS BIGINT) * 100000000000 + request_id * 8 + step AS ordering,
+  CASE WHEN command = 'create' THEN flight_id END AS flight_id, CASE WHEN command = 'create' THEN seats END AS seats
+  FROM assigned JOIN (VALUES (0, 'create', 0), (1, 'confirm', 1), (2, 'cancel', 2), (3, 'confirm', 3), (4, 'cancel', 4),
+   (5, 'create', 5), (6, 'confirm', -1)) AS s(step, command, h) ON step = 0
+   OR (step = 1 AND order_status IN ('F', 'P')) OR (step = 3 AND request_id % 7 = 0) OR (step = 4 AND request_id % 17 = 0)
+   OR (step = 2 AND (order_status = 'P' OR (order_status = 'F' AND request_id % 11 = 0)))
+   OR (step = 5 AND request_id % 13 = 0) OR (step = 6 AND request_id % 19 = 0)""",
+    "births": """SELECT booking_id, min(ordering) AS born, arg_min(flight_id, ordering) AS on_flight,
+  arg_min(seats, ordering) AS held FROM booking_commands WHERE command = 'create' GROUP BY booking_id""",
+    "lives": """SELECT b.*, min(c.ordering) AS ended FROM births b LEFT JOIN booking_commands c
+  ON c.booking_id = b.booking_id AND c.command = 'cancel' AND c.ordering > b.born GROUP BY ALL""",
+    "judged": """SELECT c.*, l.on_flight, l.held, CASE WHEN command = 'create' AND ordering <> born THEN 'Booking already exists'
+   WHEN command <> 'create' AND ordering < born THEN 'Booking not found'
+   WHEN command <> 'create' AND ordering > ended THEN 'Booking already cancelled' END AS refusal
+  FROM booking_commands c JOIN lives l USING (booking_id)""",
+    "seat_turns": """SELECT *, row_number() OVER (PARTITION BY on_flight ORDER BY ordering) AS turn FROM judged
+  WHERE refusal IS NULL AND command <> 'create'""",
+    "sold": """SELECT flight_id AS on_flight, CAST(0 AS BIGINT) AS turn, CAST(0 AS BIGINT) AS ordering, available_seats AS free,
+  CAST([] AS VARCHAR[]) AS holders, CAST(1 AS BIGINT) AS number, CAST(NULL AS VARCHAR) AS why, CAST(0 AS BIGINT) AS moved FROM flights
+  UNION ALL
+  SELECT on_flight, turn, ordering, CAST(free - step AS INTEGER), CASE WHEN step > 0 THEN list_append(holders, booking_id)
+   WHEN step < 0 THEN list_filter(holders, lambda x: x <> booking_id) ELSE holders END,
+   number + CASE WHEN step <> 0 THEN 1 ELSE 0 END, why, step
+  FROM (SELECT s.on_flight, t.turn, t.ordering, t.booking_id, s.free, s.holders, s.number,
+    CASE WHEN t.command = 'confirm' AND list_contains(s.holders, t.booking_id) THEN 'Booking already confirmed'
+     WHEN t.command = 'confirm' AND s.free < t.held THEN 'Insufficient seats available' END AS why,
+    CAST(CASE WHEN t.command = 'confirm' THEN CASE WHEN list_contains(s.holders, t.booking_id) OR s.free < t.held THEN 0
+      ELSE t.held END WHEN list_contains(s.holders, t.booking_id) THEN -t.held ELSE 0 END AS BIGINT) AS step
+   FROM sold s JOIN seat_turns t ON t.on_flight = s.on_flight AND t.turn = s.turn + 1)""",
+    "booking_log": """SELECT j.booking_id, j.ordering, j.command, j.command_ts, j.on_flight, j.held,
+  coalesce(refusal, s.why, CASE WHEN command = 'confirm' AND on_flight IS NULL THEN 'Flight not found' END) AS reason,
+  CASE WHEN s.moved <> 0 THEN s.moved END AS seats_taken, CASE WHEN s.moved <> 0 THEN s.free END AS remaining_seats,
+  CASE WHEN s.moved <> 0 THEN s.number END AS flight_sequence_number
+  FROM judged j LEFT JOIN (SELECT * FROM sold WHERE turn > 0) s USING (on_flight, ordering)""",
+    "booking_decisions": """SELECT *, reason IS NULL AS accepted, CAST(CASE WHEN reason IS NOT NULL THEN NULL
+  WHEN command = 'create' THEN 1 WHEN seats_taken < 0 THEN 3 ELSE 2 END AS BIGINT) AS sequence_number FROM booking_log""",
+}
+NEEDS |= {
+    "booking_commands": ["assigned"],
+    "births": ["booking_commands"],
+    "lives": ["births"],
+    "judged": ["lives"],
+    "seat_turns": ["judged"],
+    "sold": ["seat_turns", "flights"],
+    "booking_log": ["sold", "judged"],
+    "booking_decisions": ["booking_log"],
+}
+oracle(
+    "booking_commands",
+    "booking_decisions",
+    """SELECT booking_id, ordering, command, accepted, reason, sequence_number, seats_taken, remaining_seats
+  FROM booking_decisions""",
+)
+oracle(
+    "booking_seat_events",
+    "booking_decisions",
+    """SELECT 'booking-' || booking_id AS persistence_id, sequence_number, CASE command WHEN 'create' THEN 'BookingCreated'
+   WHEN 'confirm' THEN 'BookingConfirmed' ELSE 'BookingCancelled' END AS event_type, command_ts AS event_ts, booking_id,
+  held AS seats, CAST(NULL AS INTEGER) AS remaining_seats FROM booking_decisions WHERE accepted
+  UNION ALL SELECT 'flight-' || on_flight, flight_sequence_number, CASE WHEN seats_taken > 0 THEN 'SeatsAllocated'
+   ELSE 'SeatsReleased' END, command_ts, booking_id, CAST(abs(seats_taken) AS INTEGER), remaining_seats
+  FROM booking_decisions WHERE seats_taken IS NOT NULL""",
+)
+oracle(
+    "booked_states",
+    "booking_decisions",
+    """SELECT booking_id, max(on_flight) AS flight_id, max(held) AS seats, CASE arg_max(command, sequence_number)
+  WHEN 'create' THEN 'Created' WHEN 'confirm' THEN 'Confirmed' ELSE 'Cancelled' END AS status,
+  CAST(coalesce(sum(seats_taken), 0) AS BIGINT) AS seats_held FROM booking_decisions WHERE accepted GROUP BY booking_id""",
+)
+oracle(
+    "flights_after_bookings",
+    "sold",
+    "SELECT on_flight AS flight_id, arg_max(free, turn) AS available_seats FROM sold GROUP BY on_flight",
+)
+oracle(
+    "ingest_booking_requests",
+    "booking_requests",
+    """SELECT 'bk-' || request_id AS booking_id, 'pax-' || passenger_id AS passenger_id,
+  replace(passenger_name, '#', ' ') AS passenger_name, 'p' || passenger_id || '@mail.example' AS email,
+  'F' || (request_id % 100) AS flight_id, seats FROM booking_requests WHERE request_id % 23 NOT BETWEEN 1 AND 6""",
+)
+oracle(
+    "quarantine_booking_requests",
+    "booking_requests",
+    """SELECT 'bk-' || request_id AS booking_id, ['missing lastName', 'bad email', 'missing passenger', 'missing flightId',
+  'bad requestedSeats', 'malformed JSON'][request_id % 23] AS reason FROM booking_requests WHERE request_id % 23 BETWEEN 1 AND 6""",
+)
+
 # --- streams -------------------------------------------------------------------------------
 
 oracle("stream_flight_state", "seat_log", ORACLES["seat_commands_state"][1])
-oracle("stream_journal_append", "journal", "SELECT * FROM journal")
+oracle("stream_flight_batches", "seat_log", ORACLES["seat_commands_state"][1])
+oracle("stream_snapshots", *[" ".join(ORACLES["snapshots_keep2"][0]), ORACLES["snapshots_keep2"][1]])
+oracle("stream_replay", "states", "SELECT * FROM states")
+oracle("stream_journal_append", "journal_records", "SELECT * FROM journal_records")
 # weeks and fortnights are counted from the epoch
 WINDOWED = f"""SELECT period_start, period_start + INTERVAL {{length}} DAY AS period_end, origin || '-' || destination AS od_key,
   {DEMAND} FROM (SELECT *, TIMESTAMP '1970-01-01' + to_days(CAST((date_diff('day', TIMESTAMP '1970-01-01', request_time)

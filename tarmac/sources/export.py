@@ -6,7 +6,7 @@ a number of demands can be asked for; a part says which one it is and of how man
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.clock import floor_div, seconds_between
@@ -175,3 +175,10 @@ def write_listing(documents: DataFrame, path: str, files: int | None = None) ->
 
     rows = documents.select("document")
     (rows if files is None else rows.repartition(files)).mapInPandas(wrap, "value string").write.text(path)
+
+
+def read_listing(spark: SparkSession, path: str) -> DataFrame:
+    """The flights of written listings: flight_id and the flight's document, with the listing around it taken off."""
+    lines = spark.read.text(path)
+    flight = F.regexp_replace("value", r'^(\{"flights":\[|,)', "")
+    return lines.where("value <> ']}'").select(F.get_json_object(flight, "$.flightId").alias("flight_id"), flight.alias("document"))

@@ -13,7 +13,7 @@ SLICED = SkewPolicy(floor=2, chunk=3)
 @pytest.mark.parametrize("policy", [DEFAULT, SLICED], ids=["plain", "sliced"])
 def test_bad_commands_are_rejected_and_change_nothing(spark, policy):
     rows = [
-        ("f", 1, "create", None), ("f", 2, "create", 2_000_000_000), ("f", 3, "create", 10), ("f", 4, "allocate", None),
+        ("f", 1, "create", None), ("f", 2, "create", -2_000_000_000), ("f", 3, "create", 10), ("f", 4, "allocate", None),
         ("f", 5, "allocate", -5), ("f", 6, "allocate", 0), ("f", 7, "release", -1), ("f", 8, "fly", 3), ("f", 9, None, 3),
         ("f", 10, "allocate", 4), ("f", 11, "status", None), ("f", 12, "release", 1), ("f", 13, "create", 0), ("g", 14, "create", 5),
     ]
@@ -83,3 +83,26 @@ def test_dedup_loses_nothing_in_many_batches(spark, small, tmp_path):
     arriving = jobs.table_stream(spark, f"{tmp_path}/in", files_per_batch=1)
     got = jobs.without_duplicates(arriving, ["event_id"], "ts", f"{tmp_path}/out", "1 day")
     assert sorted(r.event_id for r in got.collect()) == sorted(r.event_id for r in table.collect())
+
+
+def test_metadata_is_merged_last_write_wins(spark):
+    from tarmac.operators import observability
+
+    rows = [("a", 1, {"x": "1", "y": "2"}), ("a", 3, {"x": "3", "z": None}), ("a", 2, {"x": "2", "y": "5"}), ("a", 4, None), ("b", 1, {}), ("c", 1, {"k": "v"})]
+    records = spark.createDataFrame(rows, "operation string, n int, metadata map<string,string>")
+    merged = observability.merged_metadata(records, ["operation"], "metadata", F.col("n"))
+    texts = {r.operation: r.text for r in merged.select("operation", observability.metadata_text("metadata").alias("text")).collect()}
+    assert texts == {"a": "x=3, y=5", "c": "k=v"}
+
+
+def test_checkpoints_become_metadata(spark):
+    from tarmac.operators import observability
+
+    logs = spark.createDataFrame([("r", "load", 0), ("r", "save", 40), ("r", "check", 15), ("q", "load", 0)], "run_id string, message string, s int").withColumn(
+        "logged_at", F.expr("timestampadd(SECOND, s, timestamp_ntz'2026-01-01 00:00:00')")
+    )
+    notes = [("r", 1, {"rows": "7", "checkpoint_0_load": "own"})]
+    records = spark.createDataFrame(notes, "run_id string, n int, metadata map<string,string>")
+    found = {r.operation: r for r in observability.run_metrics(records, logs, F.col("n")).collect()}
+    assert found["r"].metadata == {"rows": "7", "checkpoint_0_load": "0ms", "checkpoint_1_check": "15000ms", "checkpoint_2_save": "40000ms"}
+    assert (found["r"].duration_ms, found["q"].metadata) == (40_000, {"checkpoint_0_load": "0ms"}) and found["q"].timestamp is not None
