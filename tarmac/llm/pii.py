@@ -1,9 +1,9 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick automaton finds the anchors of a text in a single pass: at-signs, plus signs before a digit, digits,
-web schemes and the words that announce an identifier. From each anchor a small parser with no state but the end of its
+web schemes and the words that announce an identifier or a secret, in any case. From each anchor a small parser with no state but the end of its
 last match expands to both sides and validates what it found. The base kinds come out as the leftmost non-overlapping
-matches of their patterns; urls and announced identifiers are added to them. Texts are handled one at a time, in time
+matches of their patterns; urls, announced identifiers and secrets are added to them. Texts are handled one at a time, in time
 linear in their length.
 """
 
@@ -33,13 +33,19 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-URL = re.compile(r"(?:[a-z]+://|www\.)(?:[A-Za-z0-9-]++\.)+[A-Za-z0-9-]++(?::[0-9]++)?(?:[/?#][^\s<>\"']*+)?")
-#: What stands between a cue and its value, which has eight characters or more; and a group of the value.
-HEAD = re.compile(r"[\x20\t]*(?:number|no\.?|id)?[\x20\t]*[:=#]?[\x20\t]*[\"']?(?=[A-Za-z0-9](?:[\x20-]?[A-Za-z0-9_]){7})")
+URL = re.compile(r"(?:[A-Za-z]+://|[wW]{3}\.)(?:[A-Za-z0-9-]++\.)+[A-Za-z0-9-]++(?::[0-9]++)?(?:[/?#][^\s<>\"']*+)?")
+#: What stands between a cue and its value; and a group of an identifier.
+HEAD = re.compile(r"[\x20\t]*(?:(?:number|no\.?|id)(?![a-z]))?[\x20\t]*([:=#]?)[\x20\t]*([\"']?)", re.IGNORECASE)
 GROUP = re.compile(r"[A-Za-z0-9_](?:-?[A-Za-z0-9_])*+")
+#: A secret goes on to white space, a bracket or a quote; marks at its end belong to the sentence.
+SECRET = re.compile(r"[^\s\"'<>\[\](){}]++")
+TRAILING = ".,;:!?"
+#: Characters of a value at least, and digits of one that no sign introduces.
+LEAST, LEAST_DIGITS = 8, 3
 
 SCHEMES = ("http://", "https://", "ftp://", "www.")
-CUES = ("token", "account", "iban", "passport", "ssn", "secret", "password", "api_key", "apikey", "api key")
+IDENTIFIERS = ("account", "iban", "passport", "ssn")
+SECRETS = ("token", "secret", "password", "api_key", "apikey", "api key")
 
 
 @cache
@@ -51,9 +57,9 @@ def _anchors() -> ahocorasick.Automaton:
         automaton.add_word("+" + digit, ("phone", 2))
     for scheme in SCHEMES:
         automaton.add_word(scheme, ("url", len(scheme)))
-    for cue in CUES:
-        for spelt in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-            automaton.add_word(spelt, ("cue", len(spelt)))
+    for kind, cues in (("identifier", IDENTIFIERS), ("secret", SECRETS)):
+        for cue in cues:
+            automaton.add_word(cue, (kind, len(cue)))
     automaton.make_automaton()
     return automaton
 
@@ -88,31 +94,70 @@ def _phone_valid(match: re.Match) -> bool:
     return 9 <= sum(c in DIGITS for c in match.group()) <= 15
 
 
-def _account(text: str, cue_start: int, cue_end: int, dead: int) -> tuple[tuple[int, int] | None, int]:
-    """The identifier that a cue announces, of any length: eight characters or more with at least three digits.
+def _announced(text: str, kind: str, cue_start: int, cue_end: int, dead: int) -> tuple[tuple[int, int] | None, int]:
+    """The value that a cue announces, of any length, and the new ``dead``.
 
-    The first group is taken whole, and further ones, each after one space, while they hold a digit. Values that begin
-    before ``dead`` are tails of one that failed, and fail as well; the new ``dead`` is returned, so no run of characters
-    is read more than a few times.
+    Values that begin before ``dead`` are tails of one that failed, and fail as well, so no run of characters is read more
+    than a few times.
     """
     if cue_start and (text[cue_start - 1].isalnum() or text[cue_start - 1] == "_"):
         return None, dead
     head = HEAD.match(text, cue_end)
-    if not head or head.end() < dead:
+    if head.end() == cue_end or head.end() < dead:
         return None, dead
+    return (_secret if kind == "secret" else _identifier)(text, head, dead)
+
+
+def _secret(text: str, head: re.Match, dead: int) -> tuple[tuple[int, int] | None, int]:
+    """Everything up to white space, a bracket or a quote, and further groups, each after one space, while they hold a digit.
+
+    After a sign or in quotes a digit is enough, or capitals and small letters around a mark; otherwise it takes three digits.
+    """
+    found = SECRET.match(text, head.end())
+    if not found:
+        return None, dead
+    start, end = found.start(), found.start() + len(found.group().rstrip(TRAILING))
+    digits = _digits(text[start:end])
+    while end >= found.end() and (group := GROUP.match(text, end + 1) if text.startswith(" ", end) else None):
+        held = _digits(group.group())
+        if not held:
+            break
+        digits, end = digits + held, group.end()
+    value = text[start:end]
+    mixed = any(c in value for c in "._-+/=!$%&@*~^|") and value != value.lower() and value != value.upper()
+    if len(value) >= LEAST and (digits >= LEAST_DIGITS or (head[1] or head[2]) and (digits or mixed)):
+        return (start, end), dead
+    return None, max(dead, found.end(), end)
+
+
+def _digits(value: str) -> int:
+    return sum(map(value.count, DIGITS))
+
+
+def _identifier(text: str, head: re.Match, dead: int) -> tuple[tuple[int, int] | None, int]:
+    """Eight characters or more with at least three digits. The first group is taken whole, and further ones, each after one
+    space, while they hold a digit."""
     start = end = head.end()
     digits, group = 0, GROUP.match(text, start)
     while group:
-        held = sum(map(group.group().count, DIGITS))
+        held = _digits(group.group())
         if not held:  # words after the identifier are not part of it
             break
         digits, end = digits + held, group.end()
         group = GROUP.match(text, end + 1) if text.startswith(" ", end) else None
-    if end - start >= 8 and digits >= 3:
+    if end - start >= LEAST and digits >= LEAST_DIGITS:
         return (start, end), dead
     return None, max(dead, end, group.end() if group and end == start else 0)
 
 
+def _lowered(text: str) -> str:
+    """The text with A-Z in small letters and every place kept, in which anchors are found."""
+    return text.translate(_SMALL)
+
+
+_SMALL = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
 def spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by kind and then start."""
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
@@ -124,7 +169,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
             if valid:
                 found[kind].append(span)
 
-    for last, (anchor, length) in _anchors().iter(text):
+    for last, (anchor, length) in _anchors().iter(text.lower() if text.isascii() else _lowered(text)):
         start = last - length + 1
         if anchor == "digit":
             first = start == 0 or text[start - 1] not in DIGITS
@@ -140,7 +185,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
             if start >= free["url"] and (match := URL.match(text, start)):
                 take("url", (start, start + len(match.group().rstrip(".,;:!?)"))))
         elif start >= free["account"]:
-            span, dead = _account(text, start, last + 1, dead)
+            span, dead = _announced(text, anchor, start, last + 1, dead)
             take("account", span)
     return [(kind, start, end) for kind in KINDS for start, end in found[kind]]
 
@@ -196,7 +241,9 @@ def _redact(texts: pd.Series) -> pd.Series:
 def without(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with personal data replaced in ``text`` and ``n_chars`` kept in step.
 
-    Null texts stay null; a text without personal data is unchanged.
+    Null texts stay null; a text without personal data, an empty one among them, is unchanged. Rows that repeat an id or a
+    text are treated one by one, texts of any length whole; ``n_chars`` stays where the text is null; an empty table gives
+    no rows.
     """
     out = docs.withColumn("text", _redact(F.col("text").cast("string")))
     if "n_chars" in docs.columns:

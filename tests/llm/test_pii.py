@@ -65,8 +65,46 @@ def test_identifiers_of_any_length():
         pii.spans(unit * (400_000 // len(unit)))
 
 
+SECRETS = {
+    "token: eyJhbGciOi.eyJzdWIiOi.abc_DEF-gh": "eyJhbGciOi.eyJzdWIiOi.abc_DEF-gh",
+    "secret=abcd/efgh+12345678==": "abcd/efgh+12345678==",
+    "password: hunter2!secret99": "hunter2!secret99",
+    "PassWord = 'p4ss wd9'": "p4ss wd9",
+    "API_KEY=\"sk-live_4f9A\"": "sk-live_4f9A",
+    "api key: (ab12cd34ef).": None,
+    "passport No. X1234567": "X1234567",
+    "PASSPORT NUMBER: X1234567": "X1234567",
+    "Iban DE89 3704 0044 0532 0130 00": "DE89 3704 0044 0532 0130 00",
+    "Token abc12345, then": "abc12345",
+    "the password required for access": None,
+    "password: required": None,
+    "secretary: 12345678 files": None,
+    "token of appreciation 2024": None,
+    "no.password.here": None,
+}
+
+
+def test_announced_values_by_cue():
+    for text, value in SECRETS.items():
+        assert [text[a:b] for k, a, b in pii.spans(f"{text} ") if k == "account"] == ([value] if value else []), text
+        around = f"Words before {text}. Words after"
+        assert value is None or value not in pii.redacted(around)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from([*SECRETS, " ", "\n", "token", "secret=", "passport ", "é", "x9", "www.a.b", "12345678", "a@b.cd"]), max_size=8))
+def test_added_spans_are_plain_and_apart(parts):
+    """Added spans hold no white space at their ends, do not overlap within a kind, and no secret is found in what is left."""
+    text = "".join(parts)
+    by = {}
+    for kind, start, end in pii.spans(text):
+        assert text[start:end].strip() == text[start:end] != "" and start >= by.get(kind, 0)
+        by[kind] = end
+    assert [s for s in pii.spans(text) if s[0] in pii.BASE] == base(text)
+
+
 def test_long_texts_take_linear_time():
-    for unit in ("1", "a@", "+1", "1.", "1 ", "+(", "@a.", "token "):
+    for unit in ("1", "a@", "+1", "1.", "1 ", "+(", "@a.", "token ", "token=", "secret:token", "passport no. "):
         text = unit * (400_000 // len(unit))
         pii.spans(text)
 
