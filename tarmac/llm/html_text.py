@@ -2,14 +2,17 @@
 
 A page is a stream of block tags and text slots; inline markup belongs to the slot around it. Neighbouring copies of a
 group fold into ``(group)+``. Streams of one host are then aligned two at a time: what both have stays, a group that one
-has once and the other repeatedly becomes repeated, and what only one has becomes ``(group)?``. The result accepts the
-pages of the host, and says so in ``matched``. Words of a class or id are part of a stream only if they are hints (below),
-so pages whose elements carry words of their own have no wrappers of their own.
+has once and the other repeatedly becomes repeated, and what only one has becomes ``(group)?``. Where many such groups
+follow one another the order means nothing, and they become one slot that takes any of these elements in any number, an
+element once for all its forms; so a wrapper's size follows the kinds of elements and not the pages. The result accepts
+all pages of the host, and says so in ``matched``. Words of a class or id are part of a stream only if they are hints
+(below), so pages whose elements carry words of their own have no wrappers of their own.
 
 A host's slots, by their place in the element tree, are classified by what the host's pages have there. Text that stands
 unchanged on several pages is template text. The rest is summed by the container it is in (article, main, an element
 named like one, or none) and by the number of hints above it: elements that look like a menu, sidebar, notice, advert,
-form or comments by tag, role or class. Hints inside a container rule text out. Hints around it do not: the article is
+form or comments by tag, role or a name of such words alone (``ad-slot``, not ``search-methods``); headings never do. Hints
+inside a container rule text out. Hints around it do not: the article is
 under the fewest hints that leave a fair share of the changing text, so a layout element with a telling class is passed
 over, and comments or teasers deeper in hints are not. Without a container, template slots go, and the container is the
 deepest element with most of the changing text.
@@ -70,6 +73,13 @@ BOILERPLATE_WORDS = frozenset(
 )
 HINT_TAGS = frozenset(("form",))
 HEADER_WORDS = frozenset(("header", "topbar"))
+#: Words that say nothing about what an element holds, and headings, whose names belong to their section.
+PLAIN_WORDS = frozenset(
+    "area bar block body bottom box buttons button cell col column container count grid group holder icon icons inner item "
+    "items layout left link links list module outer panel primary region right row secondary section site slot "
+    "text thread title toggle top unit wrap wrapper zone".split()
+)
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 ARTICLE_WORDS = frozenset("article post entry story content main maincontent articlebody".split())
 HINTS = BOILERPLATE_WORDS | HEADER_WORDS | ARTICLE_WORDS
 #: Containers of the article, best first.
@@ -77,6 +87,10 @@ CONTAINERS = ("article", "main", "named")
 #: Of the changing text, the share of what is under more hints that text under fewer must have; and the share of a host's
 #: pages on which a template text stands.
 FAIR, TEMPLATE = 0.1, 0.1
+#: Marked groups in a row from which on their order is given up.
+LOOSE = 8
+#: Depth from which on elements are no part of a stream; their text is.
+DEEPEST = 60
 #: Streams aligned in one task, longest repeated group, and share of the text that the container of the rest must hold.
 FOLD, LONGEST_GROUP, MOST = 64, 24, 0.6
 #: Streams and slots a task combines before it passes them on.
@@ -94,14 +108,17 @@ def _attributes(text: str) -> dict[str, str]:
 def _element(tag: str, attributes: str) -> tuple[str, str, bool, bool, str | None]:
     """Labels in streams and in places, whether it is boilerplate, a hint, and which kind of article container it is."""
     found = _attributes(attributes) if attributes.strip() else {}
-    words = set(re.split(r"[\s_-]+", f"{found.get('class', '')} {found.get('id', '')}".lower())) - {""}
+    names = [set(re.split(r"[_-]+", name)) - {""} for name in f"{found.get('class', '')} {found.get('id', '')}".lower().split()]
+    words = set().union(*names)
+    known = HINTS | PLAIN_WORDS
+    telling = set().union(*(n for n in names if tag not in HEADINGS and all(w in known or w.isdigit() for w in n)))
     role = found.get("role", "").lower()
     boilerplate = tag in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
     own = tag in ("html", "body", "article", "main")
-    hint = tag in HINT_TAGS or bool(words & BOILERPLATE_WORDS)
+    hint = tag in HINT_TAGS or bool(telling & BOILERPLATE_WORDS)
     container = "article" if tag == "article" else "main" if tag == "main" or role == "main" else "named" if words & ARTICLE_WORDS else None
     container = None if tag in ("html", "body") else container
-    header = "^" if tag == "header" or words & HEADER_WORDS else ""
+    header = "^" if tag == "header" or telling & HEADER_WORDS else ""
     # ids and words with digits are mostly those of one page
     classes = {w for w in re.split(r"[\s_-]+", found.get("class", "").lower()) if w and not any(map(str.isdigit, w))}
     label, place = (header + ".".join([tag, *sorted(w)]) for w in (words & HINTS, classes | words & HINTS))
@@ -136,6 +153,8 @@ class Page:
             else:
                 self._open(tag, token[4] or token[7] or "")
         self._flush()
+        while self.path:  # what the page leaves open ends with it
+            self._pop()
 
     def _flush(self) -> None:
         """Ends the slot of running text, if it holds any."""
@@ -163,7 +182,9 @@ class Page:
         return (*((c, n) for c, n in found.items() if n == hints), ("", hints))
 
     def _pop(self) -> None:
-        self.stream.append(f"/{self.path.pop()[0]}")
+        label = self.path.pop()[1]
+        if len(self.path) < DEEPEST:
+            self.stream.append(f"/{label}")
 
     def _open(self, tag: str, attributes: str) -> None:
         self._flush()
@@ -177,7 +198,8 @@ class Page:
             elif self.path[at][0] in SCOPES:
                 break
         element = _element(tag, attributes.rstrip("/"))
-        self.stream.append(element[0])
+        if len(self.path) < DEEPEST:
+            self.stream.append(element[0])
         if tag not in VOID:
             self.path.append((tag, *element))
 
@@ -189,43 +211,111 @@ class Page:
             self._pop()
 
 
-Node = str | tuple  # a tag or slot, or ("+" or "?", nodes)
+Node = str | tuple  # a tag or slot, ("+" or "?", nodes), ("*", alternatives), or an alternative ("|", nodes)
 
 
 def folded(nodes: list[Node]) -> list[Node]:
-    """Neighbouring copies of a group as one repeated group, short groups first."""
-    for size in range(1, LONGEST_GROUP + 1):
+    """Neighbouring copies of a group of elements as one repeated group, short groups first, inside elements as well."""
+    units = [(u[0], *folded(list(u[1:-1])), u[-1]) if len(u) > 2 and u[-1] == f"/{u[0]}" else u for u in _units(nodes)]
+    for size in range(1, min(LONGEST_GROUP, len(units) // 2) + 1):
         out, i = [], 0
-        while i < len(nodes):
-            group, times = nodes[i : i + size], 1
-            if len(group) == size and (size > 1 or isinstance(group[0], str)):
-                while nodes[i + times * size : i + (times + 1) * size] == group:
+        while i < len(units):
+            group, times = units[i : i + size], 1
+            if len(group) == size and (size > 1 or not _is_marked(group[0])):
+                while units[i + times * size : i + (times + 1) * size] == group:
                     times += 1
             if times > 1:
-                out.append(("+", tuple(group)))
+                out.append((("+", tuple(n for u in group for n in u)),))
                 i += times * size
             else:
-                out.append(nodes[i])
+                out.append(units[i])
                 i += 1
-        nodes = out
-    return nodes
-
-
-def _marked(nodes: list[Node], other: list[Node]) -> list[Node]:
-    """``nodes`` with the groups that ``other`` has as repeated or optional marked likewise."""
-    for sign, group in dict.fromkeys(n for n in other if isinstance(n, tuple)):
-        plain, out, i = list(group), [], 0
-        while i < len(nodes):
-            if nodes[i : i + len(plain)] == plain:
-                out.append((sign, group))
-                i += len(plain)
-                while sign == "+" and nodes[i : i + len(plain)] == plain:
-                    i += len(plain)
+        units = out
+    return [n for u in units for n in u]
+
+
+def _marked(units: list[tuple], other: list[tuple]) -> list[tuple]:
+    """Elements that ``other`` has as repeated, optional or free groups marked likewise, at this level alone."""
+    for sign, group in dict.fromkeys(u[0] for u in other if _is_marked(u)):
+        wanted = [a[1] for a in group] if sign == "*" else _units(list(group))
+        mark, out, i = ((sign, group),), [], 0
+        while i < len(units):
+            if sign == "*":
+                met = int(units[i] == mark or units[i] in wanted)
             else:
-                out.append(nodes[i])
-                i += 1
-        nodes = out
-    return nodes
+                met = len(wanted) if units[i : i + len(wanted)] == wanted else 0
+            if not met:
+                out.append(units[i])
+            elif sign == "?" or not out or out[-1] != mark:
+                out.append(mark)
+            i += met or 1
+        units = out
+    return units
+
+
+def _alternatives(node: tuple) -> list[tuple]:
+    """The elements that a marked group is made of."""
+    sign, group = node
+    if sign == "*":
+        return [a[1] for a in group]
+    found = []
+    for unit in _units(list(group)):
+        found += _alternatives(unit[0]) if len(unit) == 1 and isinstance(unit[0], tuple) else [unit]
+    return found
+
+
+def _label(unit: tuple) -> Node:
+    """What two elements must share to become one: the label of a whole element, else all of it."""
+    whole_ = len(unit) > 1 and isinstance(unit[0], str) and unit[-1] == f"/{unit[0]}"
+    return unit[0] if whole_ or len(unit) == 1 else unit
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    """One element for two of the same label."""
+    return a if a == b else (a[0], *aligned(list(a[1:-1]), list(b[1:-1])), a[-1])
+
+
+def _free(units: list[tuple]) -> tuple:
+    """One free slot for elements in any order and number; elements of one label become one alternative."""
+    by_label: dict[Node, tuple] = {}
+    for unit in dict.fromkeys(units):
+        label = _label(unit)
+        by_label[label] = _merged(by_label[label], unit) if label in by_label else unit
+    return ("*", tuple(("|", by_label[k]) for k in sorted(by_label, key=repr)))
+
+
+def _is_marked(unit: tuple) -> bool:
+    return len(unit) == 1 and isinstance(unit[0], tuple)
+
+
+def generalised(nodes: list[Node]) -> list[Node]:
+    """Runs of ``LOOSE`` marked groups as one free slot, which also takes in what is marked beside it and elements of its
+    labels."""
+    units, out, i = _units(nodes), [], 0
+    while i < len(units):
+        run = i
+        while run < len(units) and _is_marked(units[run]):
+            run += 1
+        held = [a for u in units[i:run] for a in _alternatives(u[0])]
+        free = [u for u in units[i:run] if u[0][0] == "*" or (u[0][0] == "?" and len(u[0][1]) == 1 and u[0][1][0][0] == "*")]
+        if run - i >= LOOSE or free:
+            known = set(map(_label, held))
+            while out and (_is_marked(out[-1]) or _label(out[-1]) in known):
+                taken = out.pop()
+                held += _alternatives(taken[0]) if _is_marked(taken) else [taken]
+                known = set(map(_label, held))
+            while run < len(units) and (_is_marked(units[run]) or _label(units[run]) in known):
+                held += _alternatives(units[run][0]) if _is_marked(units[run]) else [units[run]]
+                known = set(map(_label, held))
+                run += 1
+            out.append((_free(held),))
+        else:
+            out += units[i:run]
+            if run < len(units):
+                out.append(units[run])
+                run += 1
+        i = run
+    return [n for u in out for n in u]
 
 
 def _units(nodes: list[Node]) -> list[tuple]:
@@ -233,7 +323,7 @@ def _units(nodes: list[Node]) -> list[tuple]:
     units, start, open_ = [], 0, []
     for i, node in enumerate(nodes):
         if isinstance(node, str) and node[0] == "/":
-            if not open_ or node[1:] != open_.pop().split(".")[0].lstrip("^"):
+            if not open_ or node[1:] != open_.pop():
                 return [tuple(nodes)]
         elif isinstance(node, str) and node != "#" and node.split(".")[0].lstrip("^") not in VOID:
             open_.append(node)
@@ -244,18 +334,21 @@ def _units(nodes: list[Node]) -> list[tuple]:
 
 
 def aligned(a: list[Node], b: list[Node]) -> list[Node]:
-    """A wrapper for what either of two wrappers accepts, mismatches resolved into repeated and optional groups."""
-    a, b = _marked(a, b), _marked(b, a)
+    """A wrapper for what either of two wrappers accepts: elements of one label are aligned inside, mismatches resolved into
+    repeated, optional and free groups."""
+    if a == b:
+        return a
+    ours, theirs = _units(a), _units(b)
+    ours, theirs = _marked(ours, theirs), _marked(theirs, ours)
     out: list[Node] = []
-    for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
+    for kind, i, j, k, m in SequenceMatcher(None, [*map(_label, ours)], [*map(_label, theirs)], autojunk=False).get_opcodes():
         if kind == "equal":
-            out += a[i:j]
+            for x, y in zip(ours[i:j], theirs[k:m]):
+                out += _merged(x, y)
         else:
-            for nodes in (a[i:j], b[k:m]):
-                for unit in _units(nodes):
-                    optional = len(unit) == 1 and isinstance(unit[0], tuple) and unit[0][0] == "?"
-                    out += unit if optional else [("?", unit)]
-    return folded(out)
+            for unit in [*ours[i:j], *theirs[k:m]]:
+                out += unit if _is_marked(unit) and unit[0][0] in "?*" else [("?", unit)]
+    return folded(generalised(out))
 
 
 def _plain(node):
@@ -282,13 +375,65 @@ def labels(nodes) -> set[str]:
 
 
 def accepts(nodes: list[Node], stream: list[str]) -> bool:
-    """The wrapper as a regular expression over the tags of a stream, without backtracking into a group."""
+    """The wrapper as a regular expression over the tags of a stream: first without going back into a group, as nearly
+    all pages need, then through all ways at once."""
     letters = {label: chr(0xE000 + i) for i, label in enumerate(sorted(labels(nodes) | set(stream)))}
 
     def pattern(of) -> str:
-        return "".join(f"(?:{pattern(n[1])}){n[0]}+" if isinstance(n, tuple) else letters[n] for n in of)
+        return "".join(letters[n] if isinstance(n, str) else f"(?:{inside(n)}){n[0]}+" for n in of)
 
-    return re.fullmatch(pattern(nodes), "".join(letters[s] for s in stream)) is not None
+    def inside(node: tuple) -> str:
+        return "|".join(pattern(a[1]) for a in node[1]) if node[0] == "*" else pattern(node[1])
+
+    if re.fullmatch(pattern(nodes), "".join(letters[s] for s in stream)):
+        return True
+    return _reaches(nodes, stream)
+
+
+def _reaches(nodes: list[Node], stream: list[str]) -> bool:
+    """All states of the expression that a stream leads to, one tag after another."""
+    moves: list[dict[str, list[int]]] = [{}]
+    jumps: list[list[int]] = [[]]
+
+    def state() -> int:
+        moves.append({})
+        jumps.append([])
+        return len(moves) - 1
+
+    def laid(of, at: int) -> int:
+        for node in of:
+            end = state()
+            if isinstance(node, str):
+                moves[at].setdefault(node, []).append(end)
+            else:
+                sign, group = node
+                begin = state()
+                jumps[at].append(begin)
+                for part in [a[1] for a in group] if sign == "*" else [group]:
+                    last = laid(part, begin)
+                    jumps[last].append(begin if sign in "*+" else end)
+                    if sign == "+":
+                        jumps[last].append(end)
+                if sign in "?*":
+                    jumps[begin].append(end)
+            at = end
+        return at
+
+    def closed(states: set[int]) -> set[int]:
+        found, left = set(states), list(states)
+        while left:
+            new = [n for n in jumps[left.pop()] if n not in found]
+            found.update(new)
+            left += new
+        return found
+
+    final = laid(nodes, 0)
+    states = closed({0})
+    for tag in stream:
+        states = closed({n for at in states for n in moves[at].get(tag, ())})
+        if not states:
+            return False
+    return final in states
 
 
 def host(url: str | None) -> str:
