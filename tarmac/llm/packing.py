@@ -1,9 +1,10 @@
 """Bound-certified best-fit packing of documents into sequences of a fixed number of tokens.
 
-Pieces are dealt to partitions by a hash of their row number, so that rows without an id or with one id spread, each small enough for one task, and packed by best-fit decreasing. Dual feasible
-functions give a lower bound for the same pieces; where it equals the number of sequences the partition is certified
-optimal. A partition with a gap gives up its worst-filled sequences; what all such partitions give up is dealt anew, so
-they exchange documents, and packed again, until every partition is certified or one is left alone with its gap.
+Pieces are dealt by a hash of their row number, so that rows without an id or with one id spread, to partitions small enough
+for one task, and packed by best-fit decreasing. Dual feasible functions give a lower bound for the same pieces; where it
+equals the number of sequences the partition is certified optimal. A partition with a gap gives up its worst-filled
+sequences; what all such partitions give up is dealt anew, so they exchange documents, and packed again, until every
+partition is certified, one is left alone with its gap, or a round gives up no fewer pieces than the one before.
 """
 
 from __future__ import annotations
@@ -13,15 +14,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarmac.llm.encoding import encoder
 from tarmac.llm.text import cut, whole
 
 CAPACITY = 4096
-#: Pieces a partition holds on average, and rounds of exchange at most.
-PER_PARTITION, ROUNDS = 50_000, 8
+#: Pieces a partition holds on average.
+PER_PARTITION = 50_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -94,15 +97,17 @@ def lower_bound(counts: np.ndarray, capacity: int, steps: int = 64) -> int:
 
 def _packer(capacity: int, last: bool) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        lengths = table.column("length").to_numpy()
+        """Rows (``piece``, the row itself, ``number`` and ``part``) with their places."""
+        of = pa.table([pc.struct_field(table.column("piece"), "length"), table.column("number")], ["length", "number"])
+        table = table.take(pc.sort_indices(of, [("length", "descending"), ("number", "ascending")]))
+        lengths = pc.struct_field(table.column("piece"), "length").to_numpy()
         where, offset, room = best_fit_decreasing(lengths, capacity)
         gap = len(room) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
         given = np.zeros(len(room), bool)
         if gap and not last:  # the emptiest sequences, until their free tokens would fill the gap and one sequence more
             worst = np.argsort(-room, kind="stable")
             given[worst[: np.searchsorted(np.cumsum(room[worst]), (gap + 1) * capacity) + 1]] = True
-        out = {"sequence": where, "offset": offset, "given": given[where]}
+        out = {"sequence": where, "place": offset, "given": given[where]}
         for name, values in out.items():
             table = table.append_column(name, pa.array(values))
         return table
@@ -110,27 +115,33 @@ def _packer(capacity: int, last: bool) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def packed(found: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_PARTITION, rounds: int = ROUNDS) -> DataFrame:
-    """``found`` pieces with sequence_id and offset; every other column is carried along.
+def packed(found: DataFrame, capacity: int = CAPACITY, per_partition: int = PER_PARTITION, rounds: int | None = None) -> DataFrame:
+    """``found`` pieces with sequence_id and offset; every other column is carried along, whatever its name.
 
     Sequence ids are unique and otherwise arbitrary. Rows that repeat a document are packed one by one. An empty table
-    gives no rows.
+    gives no rows. ``rounds`` ends the exchange earlier.
     """
-    names = [f.name for f in found.schema]
-    open_, done = cut(found.withColumn("__row", F.monotonically_increasing_id())), None
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in open_.schema) + ", `group` int, `sequence` bigint, `offset` bigint, `given` boolean"
-    for turn in range(rounds):
-        groups = max(1, -(-open_.count() // per_partition))
-        dealt = open_.withColumn("group", F.pmod(F.xxhash64("__row", F.lit(turn)), F.lit(groups)).cast("int"))
-        last = turn == rounds - 1 or (turn > 0 and groups == 1)
-        result = cut(dealt.groupBy("group").applyInArrow(_packer(capacity, last), schema))
-        number = F.lit(turn << 56).cast("bigint") + F.shiftleft(F.col("group").cast("bigint"), 28) + F.col("sequence")
-        settled = result.where("NOT given").select(*[f"`{n}`" for n in names], number.alias("sequence_id"), "offset")
+    names = [n for n in found.columns if n not in ("sequence_id", "offset")]
+    piece = F.struct(*[F.col(f"`{n}`") for n in names]).alias("piece")
+    open_, done = cut(found.select(piece, F.monotonically_increasing_id().alias("number"))), None
+    of_result = "number bigint, part int, sequence bigint, place bigint, given boolean"
+    schema = StructType([open_.schema["piece"], *StructType.fromDDL(of_result)])
+    turn, before = 0, float("inf")
+    while True:
+        pieces_left = open_.count()
+        groups = max(1, -(-pieces_left // per_partition))
+        dealt = open_.withColumn("part", F.pmod(F.xxhash64("number", F.lit(turn)), F.lit(groups)).cast("int"))
+        last = turn > 0 and (groups == 1 or pieces_left >= before) or turn + 1 == rounds
+        result = cut(dealt.groupBy("part").applyInArrow(_packer(capacity, last), schema))
+        number = F.lit(turn << 56).cast("bigint") + F.shiftleft(F.col("part").cast("bigint"), 28) + F.col("sequence")
+        settled = result.where("NOT given").select("piece", number.alias("sequence"), "place")
         done = settled if done is None else done.unionByName(settled)
-        open_ = result.where("given").select(*[f"`{n}`" for n in names], "__row")
+        open_ = result.where("given").select("piece", "number")
         if last or open_.isEmpty():
             break
-    return done
+        turn, before = turn + 1, pieces_left
+    columns = [F.col("piece").getField(n).alias(n) for n in names]
+    return done.select(*columns, F.col("sequence").alias("sequence_id"), F.col("place").alias("offset"))
 
 
 def certificate(packing: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:

@@ -156,6 +156,14 @@ def test_rows_of_one_id_are_spread(spark, monkeypatch):
     check_packing(rows, 4096)
 
 
+def test_packing_carries_columns_of_any_name(spark):
+    names = ["group", "part", "number", "sequence", "place", "given", "__row", "odd name"]
+    df = spark.range(50).selectExpr("id AS doc_id", "0 AS piece", "id * 37 % 900 + 1 AS length", *[f"concat('{n}', id) AS `{n}`" for n in names])
+    rows = packing.packed(df, capacity=1000, per_partition=10).collect()
+    assert len(rows) == 50 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+    check_packing(rows, 1000)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(1, 12), max_size=9))
 def test_bound_is_never_above_the_optimum(lengths):
