@@ -79,10 +79,15 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = content_hash
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose document stays."""
-    rows = docs.withColumns({"__id": F.col("doc_id"), "__body": normalised()}).withColumn("__hash", content_hash(F.col("__body")))
+    """The rows of ``docs``, all columns whatever their names, whose document stays: of equal texts the smallest doc_id.
+
+    Null text counts as empty. Rows that repeat that id stay together; a null id stays only where no row of the group has
+    one. Texts of any length are compared whole; an empty table gives no rows.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col("doc_id").alias("__id"), normalised().alias("__body")).withColumn("__hash", content_hash(F.col("__body")))
     kept = _joined(rows, docs, content_hash).where(F.col("__id").eqNullSafe(F.col("__keep")))
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    return kept.select("row.*")
 
 
 SQL = r"""

@@ -133,15 +133,17 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, with one row of each component, the one with the smallest id.
+    """The rows of ``docs``, all columns whatever their names, with one row of each component, the one with the smallest id.
 
     Of several rows with that id, or if no row of the component has an id, one stays. Rows of other components stay
-    whatever their ids.
+    whatever their ids. Null text counts as empty; texts without a word are linked to each other; texts of any length are
+    read whole; an empty table gives no rows.
     """
     place = scratch_path(docs.sparkSession, "numbered")
-    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(place)  # a row keeps its number
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    docs.select(row, F.monotonically_increasing_id().alias("number")).write.parquet(place)  # a row keeps its number
     rows = docs.sparkSession.read.parquet(place)
-    prints = cut(fingerprints(rows, F.col("__row")))
-    gone = prints.join(_named(prints), "fingerprint").where("row <> named.row").select(F.col("row").alias("__gone"))
-    kept = rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti")
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    prints = cut(fingerprints(rows.select("document.doc_id", "document.text", "number"), F.col("number")))
+    gone = prints.join(_named(prints), "fingerprint").where("row <> named.row").select(F.col("row").alias("gone"))
+    kept = rows.join(gone, F.col("number") == F.col("gone"), "left_anti")
+    return kept.select("document.*")

@@ -135,3 +135,59 @@ def test_packing_stage(stages):
 def test_run_is_the_stages(spark, stages):
     key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
     assert sorted(map(key, corpus_pipeline.run(spark, stages[-1]).collect())) == sorted(map(key, stages[-2].collect()))
+
+
+CLASHES = ["row", "number", "document", "piece", "part", "__row", "__id", "__body", "__hash", "group", "sequence", "named", "text_sha256"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    prose = " ".join(f"word{i % 61} of the {i * i % 97}" for i in range(80))
+    texts = [(1, prose), (1, prose), (2, prose + "  x"), (3, None), (3, None), (4, ""), (5, " \t"), (None, prose), (None, "other " + prose * 3), (6, prose * 400)]
+    texts += [(7, prose.replace("word1 ", "a@b.cd ") + " token: hunter2!secret99")]
+    rows = [(i, t, "en", "s", None if t is None else len(t), *[f"c{n}" for n in range(len(CLASHES))]) for i, t in texts]
+    extra = ", ".join(f"`{c}` string" for c in CLASHES)
+    return spark.createDataFrame(rows, f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}").repartition(3)
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_take_rows_of_any_kind(spark, odd, number):
+    """Null and empty texts, repeated and missing ids, columns of any name: rows come through whole or not at all."""
+    out = corpus_pipeline.STAGES[number][1](spark, odd, "")
+    assert out.dtypes == odd.dtypes
+    assert all(r[c] == f"c{n}" for r in out.collect() for n, c in enumerate(CLASHES))
+    ids = sorted(((r.doc_id or -1), len(r.text or "")) for r in out.collect())
+    whole = sorted(((r.doc_id or -1), len(r.text or "")) for r in odd.collect())
+    prose = len(odd.where("doc_id = 1").first().text)
+    if number == 0:  # few words go
+        assert [i for i, n in ids if n < 300] == [] and all(pair in whole for pair in ids)
+    elif number == 1:  # copies go, rows of the staying id stay together
+        assert ids == sorted([p for p in whole if p not in {(-1, prose), (3, 0)} and p[0] not in (4, 5)] + [(3, 0), (3, 0), (5, 2)])
+    elif number == 2:
+        assert len(ids) < len(whole) and all(pair in whole for pair in ids)
+    else:
+        assert len(ids) == len(whole)
+        text = odd.where("doc_id = 7").first().text
+        cleaned = out.where("doc_id = 7").first()
+        assert "hunter2" in text and "hunter2" not in cleaned.text and "a@b.cd" not in cleaned.text and cleaned.n_chars == len(cleaned.text)
+        assert {r.text for r in out.where("doc_id = 3").collect()} == {None}
+    assert corpus_pipeline.STAGES[number][1](spark, odd.where("false"), "").count() == 0
+
+
+def test_packing_takes_rows_of_any_kind(spark, odd):
+    rows_ = corpus_pipeline.best_fit_packing(spark, odd, "").collect()
+    assert sorted({(r.doc_id or -1) for r in rows_}) == [-1, 1, 2, 3, 4, 5, 6, 7] and len(rows_) >= odd.count()
+    assert corpus_pipeline.best_fit_packing(spark, odd.where("false"), "").count() == 0
+
+
+def test_no_secret_is_left(stages):
+    """What the search for personal data calls a secret or identifier is nowhere in the texts that go on."""
+    from tarmac.llm import pii
+
+    before, after = rows(stages[3]), rows(stages[4])
+    held = [before[i].text[a:b] for i in before for kind, a, b in pii.spans(before[i].text) if kind in ("account", "url")]
+    assert len(held) > 3
+    for i, r in after.items():
+        for kind, a, b in pii.spans(before[i].text):
+            if kind == "account":
+                assert before[i].text[a:b] not in r.text
