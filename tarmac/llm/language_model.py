@@ -39,7 +39,7 @@ from tarmac.session import scratch_path
 FOLDS, HELD_OUT = 7, 2
 #: The end of a document; no word holds white space.
 END = b"\n"
-#: Words with broadcast counts; distinct words a task counts, and pairs it gathers, before it passes them on.
+#: Words with broadcast counts at most; distinct words a task counts, and pairs it gathers, before it passes them on.
 HEAD, FLUSH_WORDS, FLUSH_PAIRS = 50_000, 300_000, 3_000_000
 #: Word pairs of the corpus to a segment; filter bits to an entry, wanted and at least; and levels that share a word.
 SEGMENT_PAIRS, BITS, LEAST_BITS, SHARED = 2_000_000, 7, 3, 2
@@ -446,6 +446,18 @@ def _scoring(corpus: Corpus, head: dict[bytes, int], context):
     return run
 
 
+def _least_of_head(counts: DataFrame) -> int:
+    """The smallest power of two that at most ``HEAD`` words reach; a row per power comes to the driver."""
+    powers = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("words")).collect()
+    reached, least = 0, 1 << 62
+    for power, words in sorted(powers, reverse=True):
+        reached += words
+        if reached > HEAD:
+            break
+        least = 1 << power
+    return least
+
+
 def scored(docs: DataFrame, corpus: Corpus) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -453,7 +465,7 @@ def scored(docs: DataFrame, corpus: Corpus) -> DataFrame:
     read, whatever their names; an empty table gives no rows. With nothing learned every probability is the floor.
     """
     spark = docs.sparkSession
-    head = {bytes(r["word"]): r["n"] for r in corpus.counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()}
+    head = {bytes(r["word"]): r["n"] for r in corpus.counts.where(F.col("n") >= _least_of_head(corpus.counts)).collect()}
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").alias("text")
     )
