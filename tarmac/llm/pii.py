@@ -151,11 +151,9 @@ def _identifier(text: str, head: re.Match, dead: int) -> tuple[tuple[int, int] |
 
 
 def _lowered(text: str) -> str:
-    """The text with A-Z in small letters and every place kept, in which anchors are found."""
-    return text.translate(_SMALL)
-
-
-_SMALL = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+    """The text in small letters with every place kept, in which anchors are found. Only one letter becomes two."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.replace(chr(0x130), "i").lower()
 
 
 def spans(text: str) -> list[tuple[str, int, int]]:
@@ -169,7 +167,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
             if valid:
                 found[kind].append(span)
 
-    for last, (anchor, length) in _anchors().iter(text.lower() if text.isascii() else _lowered(text)):
+    for last, (anchor, length) in _anchors().iter(_lowered(text)):
         start = last - length + 1
         if anchor == "digit":
             first = start == 0 or text[start - 1] not in DIGITS

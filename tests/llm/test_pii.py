@@ -81,6 +81,7 @@ SECRETS = {
     "secretary: 12345678 files": None,
     "token of appreciation 2024": None,
     "no.password.here": None,
+    chr(0x130) * 3 + " TOKEN: ab12cd34": "ab12cd34",
 }
 
 
