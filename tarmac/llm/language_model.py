@@ -446,16 +446,18 @@ def _scoring(corpus: Corpus, head: dict[bytes, int], context):
     return run
 
 
-def _least_of_head(counts: DataFrame) -> int:
-    """The smallest power of two that at most ``HEAD`` words reach; a row per power comes to the driver."""
-    powers = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("words")).collect()
-    reached, least = 0, 1 << 62
-    for power, words in sorted(powers, reverse=True):
+def _head(counts: DataFrame) -> dict[bytes, int]:
+    """The most frequent words, at most ``HEAD``, cut between eighths of a power of two; a row for each of these comes to the
+    driver first."""
+    step = F.floor(8 * F.log2("n"))
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
+    reached, least = 0, 1 << 30
+    for at, words in sorted(steps, reverse=True):
         reached += words
         if reached > HEAD:
             break
-        least = 1 << power
-    return least
+        least = at
+    return {bytes(r["word"]): r["n"] for r in counts.where(step >= least).collect()}
 
 
 def scored(docs: DataFrame, corpus: Corpus) -> DataFrame:
@@ -465,7 +467,7 @@ def scored(docs: DataFrame, corpus: Corpus) -> DataFrame:
     read, whatever their names; an empty table gives no rows. With nothing learned every probability is the floor.
     """
     spark = docs.sparkSession
-    head = {bytes(r["word"]): r["n"] for r in corpus.counts.where(F.col("n") >= _least_of_head(corpus.counts)).collect()}
+    head = _head(corpus.counts)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").alias("text")
     )
