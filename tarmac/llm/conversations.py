@@ -386,7 +386,8 @@ def solved(places: DataFrame) -> DataFrame:
     chained = _by_conversation(maps, F.col("at").desc()).mapInArrow(_chained, "at bigint, behind int, closes boolean, opens boolean, seam bigint")
     arrow = pa.null() if kind == "void" else _arrow_type(places)
     spread = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # tracing costs time, not bytes
-    traced = cut(parts.join(chained, "at").repartition(spread, "at").mapInArrow(_traced(arrow), f"conv_id {kind}, {_TRACED}"))
+    # by a hash of the key: by the key itself the join's own partitions would do, which are few, as the rows are short
+    traced = cut(parts.join(chained, "at").repartition(spread, F.xxhash64("at")).mapInArrow(_traced(arrow), f"conv_id {kind}, {_TRACED}"))
     steps = traced.select("conv_id", "at", "entry", "exit")
     entered = _by_conversation(steps, F.col("at"), F.col("entry")).mapInArrow(_entered, "at bigint, entry int")
     return cut(traced.join(entered, ["at", "entry"]))
