@@ -726,7 +726,7 @@ def stream_dedup(spark, sf_dir):
     events_in = tables.read(spark, sf_dir, "events")
     path = tables.in_ordered_files(events_in, scratch_path(spark, "events"), "event_id", FILES)
     for again in ("event_id % 4 = 0", "event_id % 4 = 0"):
-        events_in.where(again).write.mode("append").parquet(path)
+        events_in.where(again).coalesce(1).write.mode("append").parquet(path)
     sent = jobs.table_stream(spark, path, files_per_batch=1)
     return jobs.without_duplicates(sent, ["event_id"], "ts", scratch_path(spark, "dedup"), "1 day")
 

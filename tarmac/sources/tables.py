@@ -14,6 +14,7 @@ from tarmac.schemas import FLIGHT_RECORD
 
 HUBS = 25  # airports are the nations
 OPENING_SEATS = 300
+ROWS_PER_FILE = 1 << 22
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,14 +22,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def in_ordered_files(rows: DataFrame, path: str, order: str, files: int) -> str:
-    """Write rows in batches of files that follow the integer expression ``order``, one batch after the other as a feed
-    would drop them."""
+    """Write rows as files that follow the integer expression ``order``, one after the other as a feed would drop them:
+    ``files`` of them, or more where one would hold over ``ROWS_PER_FILE`` rows of evenly spread order."""
     place = F.expr(order)
-    first, last = rows.agg(F.min(place), F.max(place)).first()
+    first, last, count = rows.agg(F.min(place), F.max(place), F.count(F.lit(1))).first()
+    files = max(files, -(-count // ROWS_PER_FILE))
     step = max(1, -(-(last - first + 1) // files)) if first is not None else 1
     for n in range(files if first is not None else 1):
         part = rows if first is None else rows.where(place.between(first + n * step, first + (n + 1) * step - 1))
-        part.write.mode("append").parquet(path)
+        part.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
