@@ -9,7 +9,7 @@ The filter is one file in the shared folder that every worker maps or reads, nev
 corpus is scored in one pass. A part has ``BITS`` bits to an entry where its share of the file allows that. Beyond, its
 entries get fewer, and once they would get less than ``LEAST_BITS``, counts are quantised by powers of 4, 8, ... instead of
 2, which takes fewer entries. So a filter of any corpus is held, and what grows with a corpus too large for it is the error:
-an unknown n-gram is taken for a known one once in 19 at 7 bits to an entry, in 10 at 5, in 4 at 3, in 3 at 2.
+an unknown n-gram is taken for a known one in 5 % of cases at 7 bits to an entry, 11 % at 5 and 28 % at 3 (measured).
 
 The probability of a word after another is its pair count smoothed by the word's own probability, itself an add-one
 estimate: (min(c(ab), c(a)) + WEIGHT * p(b)) / (c(a) + WEIGHT).
