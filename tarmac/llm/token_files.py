@@ -56,9 +56,9 @@ def trained(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> bytes:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, drops_space=False).ids
+        encode = encoder(tokenizer, drops_space=False).column
         for batch in batches:
-            taken = [_serialized(encode(t.as_py()) + end, width)[:SAMPLE_BYTES] for t in batch.column(0)]
+            taken = [_serialized(i + end, width)[:SAMPLE_BYTES] for i in encode(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(taken, pa.binary())], ["ids"])
 
     some = docs.where(F.col("doc_id").isin(chosen)).select(whole("text").alias("text"))
@@ -78,12 +78,14 @@ def _compressed(docs: DataFrame, tokenizer: str, end_id: int, width: int, dictio
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, drops_space=False).ids
+        encode = encoder(tokenizer, drops_space=False).column
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_codec(dictionary)).compress
         for batch in batches:
-            ids = [encode(t.as_py()) + end for t in batch.column(1)]
-            columns = [batch.column(0), pa.array([len(i) // 4 for i in ids], pa.int64())]
-            columns.append(pa.array([compress(_serialized(i, width)) for i in ids], pa.binary()))
+            tokens, packed = [], []
+            for ids in encode(batch.column(1)):
+                tokens.append(len(ids) // 4 + 1)
+                packed.append(compress(_serialized(ids + end, width)))
+            columns = [batch.column(0), pa.array(tokens, pa.int64()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "packed"])
 
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").alias("text"))
