@@ -300,6 +300,27 @@ def test_no_cell_of_a_connection_join_is_crowded(spark, shape):
     assert found.select("first_flight_id", "second_flight_id").distinct().count() == arrivals * departures
 
 
+def test_tasks_of_a_large_connection_join_follow_its_pairs(spark, monkeypatch):
+    """Few rows that make many pairs: neither side is broadcast, so one file's rows are not all paired in one task."""
+    flights, policy = flights_like(spark, 12).coalesce(1), SkewPolicy(pairs=400)
+    plain = connections.connections(flights, policy=KEEP_PLAIN)
+    monkeypatch.setattr(connections, "TASK_PAIRS", 50)
+    found = connections.connections(flights, policy=policy)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.rdd.getNumPartitions() >= 32
+    assert sorted(found.collect()) == sorted(plain.collect())
+
+
+@pytest.mark.parametrize("keys", [["hub"], ["hub", "_bucket"]])
+def test_cells_count_the_pairs_that_meet(spark, keys):
+    left = spark.createDataFrame([("A", 1), ("A", 1), ("A", 2), (None, 1), ("B", None), ("C", 1)], "hub string, _bucket long")
+    right = spark.createDataFrame([("A", 1), ("A", 1), ("A", 3), (None, 1), ("B", None), ("D", 1)], "hub string, _bucket long")
+    counts = connections.cell_counts(left, right, keys)
+    met = left.join(right, keys).count()
+    assert met > 0 and sum(r._left * r._right for r in counts.collect()) == met
+
+
 def split_columns(text):
     """Column expressions of a select list whose commas inside brackets do not count."""
     parts, depth, start = [], 0, 0
