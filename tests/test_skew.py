@@ -312,6 +312,20 @@ def test_tasks_of_a_large_connection_join_follow_its_pairs(spark, monkeypatch):
     assert sorted(found.collect()) == sorted(plain.collect())
 
 
+def test_joins_below_a_crowded_cell_are_dealt_too(spark, monkeypatch):
+    """Pairs of all cells together count: there may be many without any crowded cell, also of operable flights alone."""
+    flights = flights_like(spark, 13).withColumn("status", F.expr("if(hash(flight_id) % 4 = 0, 'Cancelled', status)")).coalesce(1)
+    plain = sorted(connections.connections(flights).collect())
+    plain_legs = sorted(connections.connections_three_legs(flights).collect())
+    monkeypatch.setattr(connections, "PLAIN_PAIRS", 400)
+    found, legs = connections.connections(flights), connections.connections_three_legs(flights)
+    for df in (found, legs):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert plain and sorted(found.collect()) == plain
+    assert plain_legs and sorted(legs.collect()) == plain_legs
+
+
 @pytest.mark.parametrize("keys", [["hub"], ["hub", "_bucket"]])
 def test_cells_count_the_pairs_that_meet(spark, keys):
     left = spark.createDataFrame([("A", 1), ("A", 1), ("A", 2), (None, 1), ("B", None), ("C", 1)], "hub string, _bucket long")
